@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from .. import params
 from ..functions.calendar import date_key, days_before, hour_text
 from ..functions.rules import any_substring, classify_by_rules, performance_bucket
+from ..operators.scalars import combine_scalars
 from ..operators.validate import check_choice, check_range, check_text
 
 r2 = lambda c: F.round(c, 2)
@@ -332,15 +333,6 @@ def channel_info(dim_channels: DataFrame, channel: str) -> DataFrame:
 
 # ---------------------------------------------------------------- pipeline stats
 
-def combine_scalars(parts: dict[str, DataFrame]) -> DataFrame:
-    """One row from several one-row, one-column aggregates, without a cartesian product:
-    the scalars are unioned as (name, value) and folded by one aggregation."""
-    rows = reduce(DataFrame.unionByName,
-                  [df.select(F.lit(k).alias("_k"), F.col(df.columns[0]).cast("bigint").alias("_v"))
-                   for k, df in parts.items()])
-    return rows.agg(*[F.max(F.when(F.col("_k") == k, F.col("_v"))).alias(k) for k in parts])
-
-
 def pipeline_stats(dim_channels: DataFrame, fct: DataFrame) -> DataFrame:
     return combine_scalars({
         "channels": dim_channels.agg(F.count(F.lit(1))),

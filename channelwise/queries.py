@@ -11,7 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import params
-from .plans import reports, search
+from pyspark.sql import functions as F
+
+from .plans import catalog, enrich, marts, reports, search
+from .sources import fixtures
 from .plans.warehouse import Warehouse, fixture_warehouse
 
 AS_OF = params.DEFAULT_AS_OF
@@ -153,5 +156,83 @@ def q_pipeline_stats(spark, sf_dir):
     return reports.pipeline_stats(w.dim_channels, w.fct)
 
 
+# ---------------------------------------------------------------- marts
+
+def q_product_mart(spark, sf_dir):
+    return marts.product_mart(marts.with_potential_products(_wh(spark, sf_dir).fct))
+
+
+def q_channel_performance_mart(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return marts.channel_performance_mart(w.fct, w.dim_channels, w.dim_dates, as_of=AS_OF)
+
+
+# ---------------------------------------------------------------- enrichment
+
+def _det(spark, sf_dir):
+    return enrich.classify_images(fixtures.raw_detections(spark, sf_dir))
+
+
+def q_classify_images(spark, sf_dir):
+    d = _det(spark, sf_dir)
+    return d.select("image_path", "channel_name", "message_id",
+                    F.array_join("detected_objects", ",").alias("detected_objects"),
+                    "detection_count", "image_category", "has_person", "has_product", "detection_time")
+
+
+def q_box_categories(spark, sf_dir):
+    raw = fixtures.raw_detections(spark, sf_dir)
+    boxes = raw.select("image_path", F.explode("detected_objects").alias("class"))
+    return enrich.box_category_counts(boxes)
+
+
+def q_image_categories(spark, sf_dir):
+    return enrich.image_category_stats(_det(spark, sf_dir))
+
+
+def q_image_engagement(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return enrich.image_engagement(_det(spark, sf_dir), w.fct, w.dim_channels)
+
+
+def q_promo_vs_display(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return enrich.promotional_vs_display(_det(spark, sf_dir), w.fct, w.dim_channels)
+
+
+def q_visual_channels(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return enrich.visual_channels(_det(spark, sf_dir), w.fct, w.dim_channels, limit=5)
+
+
+def q_top_objects(spark, sf_dir):
+    return enrich.top_objects(_det(spark, sf_dir), limit=10)
+
+
+def q_recent_detections(spark, sf_dir):
+    return enrich.recent_detections(_det(spark, sf_dir), limit=5)
+
+
+# ---------------------------------------------------------------- quality and catalog
+
+def q_quality_suite(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return catalog.run_quality_suite(w.stg, w.dim_channels, w.dim_dates, w.fct, as_of=AS_OF)
+
+
+def q_landing_manifest(spark, sf_dir):
+    raw = fixtures.raw_messages(spark, sf_dir).withColumn("scrape_date", F.to_date("scraped_at"))
+    return catalog.manifest_rows(catalog.landing_manifest(raw, run_utc=AS_OF))
+
+
+def q_table_counts(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return catalog.table_counts({"raw_telegram_messages": w.raw, **w.tables()})
+
+
+def q_dedupe(spark, sf_dir):
+    return catalog.dedupe_messages(fixtures.raw_messages_with_redeliveries(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}

@@ -29,8 +29,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _channels(spark: SparkSession) -> DataFrame:
-    # 8 literal rows: a fixed-size broadcast side.
-    return F.broadcast(spark.createDataFrame(FIXTURE_CHANNELS, "k long, channel_name string"))
+    # 8 literal rows, built JVM-side: a fixed-size broadcast side.
+    rows = F.array(*[F.struct(F.lit(k).cast("bigint").alias("k"), F.lit(n).alias("channel_name"))
+                     for k, n in FIXTURE_CHANNELS])
+    return F.broadcast(spark.range(1).select(F.inline(rows)))
 
 
 def _case(key, values, default):
