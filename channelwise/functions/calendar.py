@@ -67,3 +67,8 @@ def as_of_col(as_of) -> Column:
 def to_utc_ntz(ts: Column, session_tz: str) -> Column:
     """Instant (TIMESTAMP) -> UTC wall clock (TIMESTAMP_NTZ), whatever the session zone."""
     return F.convert_timezone(F.lit(session_tz), F.lit("UTC"), ts.cast("timestamp_ntz"))
+
+
+def utc_instant(ntz: Column, session_tz: str) -> Column:
+    """UTC wall clock (TIMESTAMP_NTZ) -> the instant (TIMESTAMP), whatever the session zone."""
+    return F.convert_timezone(F.lit("UTC"), F.lit(session_tz), ntz).cast("timestamp")

@@ -234,5 +234,16 @@ def q_dedupe(spark, sf_dir):
     return catalog.dedupe_messages(fixtures.raw_messages_with_redeliveries(spark, sf_dir))
 
 
+# ---------------------------------------------------------------- streaming
+
+def q_stream_daily_trend(spark, sf_dir):
+    """T3 run as a stream over the events files (availableNow), result read back."""
+    from .plans.staging import stage_messages
+    from .streaming import jobs
+    raw = fixtures.raw_messages_from(fixtures.events_stream(spark, sf_dir), fixtures.read_table(spark, sf_dir, "part"))
+    out = jobs.run_to_table(jobs.daily_trend_stream(stage_messages(raw, AS_OF)), "daily_trend")
+    return spark.read.parquet(out).drop("channels_active_approx")
+
+
 def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -42,20 +43,25 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared folder and is used as is. Only when it is
-    unset (local tests) a fresh scratch folder is created and registered.
+    On a cluster the setting names a shared folder and is used as is. Only when it is unset
+    (local tests) a fresh scratch folder is created and registered with the context.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(configured)
         return configured
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     path = tempfile.mkdtemp(prefix="channelwise-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for intermediate tables and stream state."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
+    """A fresh sub-folder of the shared checkpoint folder for intermediate tables and stream
+    state (unique per call, so runs never see each other's state)."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/channelwise/{name}-{uuid.uuid4().hex}"

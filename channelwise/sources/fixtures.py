@@ -44,10 +44,25 @@ def _case(key, values, default):
 
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events ⋈ channel list ⋈ part -> raw message rows (schema ``schemas.RAW_MESSAGE``)."""
-    e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    return raw_messages_from(read_table(spark, sf_dir, "events"), read_table(spark, sf_dir, "part"))
+
+
+def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The events table as a streaming file source (new files under the glob are picked up)."""
+    schema = read_table(spark, sf_dir, "events").schema
+    r = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.parquet(f"{sf_dir.rstrip('/')}/events*.parquet")
+
+
+def raw_messages_from(events: DataFrame, part: DataFrame) -> DataFrame:
+    """The mapping over given events (batch or streaming) and part tables."""
+    spark = events.sparkSession
+    e = events.select("event_id", "ts", "user_id", "event_type", "value", "props")
     # event_id % 200 lies in [-199, 199], so only part keys in that range can join: the
     # part side is bounded by 399 keys whatever the table size, a safe broadcast.
-    p = (read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    p = (part.select("p_partkey", "p_name", "p_size")
          .filter((F.col("p_partkey") > -200) & (F.col("p_partkey") < 200)))
     ch = _channels(spark)
     eid = F.col("event_id")
