@@ -54,7 +54,8 @@ def as_of_col(as_of) -> Column:
     Accepts a datetime, a date, an ISO string, a Column, or None (current time in UTC).
     """
     if as_of is None:
-        return F.convert_timezone(F.lit("UTC"), F.localtimestamp())
+        # session-zone wall clock -> UTC wall clock
+        return F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
     if isinstance(as_of, Column):
         return as_of.cast("timestamp_ntz")
     if isinstance(as_of, _dt.datetime):

@@ -53,8 +53,12 @@ def _detect_batches(detector_factory: Callable[[], Detector], threshold: float):
                 objs.append([c for c, _ in found])
                 scores.append([s for _, s in found])
                 times.append(mtime)
-            yield pd.DataFrame({"image_path": paths, "detected_objects": objs, "confidence_scores": scores,
-                                "detection_time": pd.to_datetime(pd.Series(times, dtype="object"))})
+            if not paths:
+                continue
+            yield pd.DataFrame({"image_path": pd.Series(paths, dtype="object"),
+                                "detected_objects": pd.Series(objs, dtype="object"),
+                                "confidence_scores": pd.Series(scores, dtype="object"),
+                                "detection_time": pd.to_datetime(pd.Series(times))})
     return run
 
 

@@ -83,14 +83,18 @@ def read_landing(spark: SparkSession, root: str, layout: str = "array", as_of=No
         msgs = parsed.filter(F.col("m").isNotNull()).select("source_file", "record", "m.*")
         rejects = bad_files.unionByName(non_obj).unionByName(bad_obj)
     elif layout == "lines":
-        schema = schemas.LANDING_JSON.add("_corrupt_record", T.StringType())
-        raw = (spark.read.schema(schema).option("mode", "PERMISSIVE")
-               .option("columnNameOfCorruptRecord", "_corrupt_record")
-               .option("recursiveFileLookup", "true").json(root)
-               .withColumn("source_file", F.col("_metadata.file_path")))
-        rejects = raw.filter(F.col("_corrupt_record").isNotNull()).select(
-            "source_file", F.lit("malformed object").alias("reason"), F.col("_corrupt_record").alias("record"))
-        msgs = raw.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record").withColumn("record", F.lit(None))
+        # JSON lines, read splittably as text; partition discovery restores the folder
+        # columns (channel_name, scrape_date) that the lake writer moved into paths
+        lines = spark.read.text(root).select(F.col("value").alias("record"), "channel_name",
+                                             F.col("_metadata.file_path").alias("source_file"))
+        lines = lines.filter(F.trim("record") != "")
+        parsed = lines.select("source_file", "record", F.col("channel_name").alias("_part_channel"),
+                              F.from_json("record", schemas.LANDING_JSON).alias("m"))
+        rejects = parsed.filter(F.col("m").isNull()).select(
+            "source_file", F.lit("malformed object").alias("reason"), "record")
+        msgs = (parsed.filter(F.col("m").isNotNull()).select("source_file", "record", "_part_channel", "m.*")
+                .withColumn("channel_name", F.coalesce("channel_name", "_part_channel").cast("string"))
+                .drop("_part_channel"))
     else:
         raise ValueError(f"unknown layout {layout!r}")
     date_pat = r"/(\d{4}-\d{2}-\d{2})/" if layout == "array" else r"scrape_date=(\d{4}-\d{2}-\d{2})"

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.calendar import to_utc_ntz, utc_instant
@@ -27,7 +28,7 @@ KEYS = ["message_id", "channel_name"]
 def landing_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming scan of ``<root>/<date>/<channel>.json`` arrays with the landing schema.
     Corrupt records surface in ``_corrupt_record``; keys are checked downstream."""
-    schema = schemas.LANDING_JSON.add("_corrupt_record", "string")
+    schema = T.StructType(schemas.LANDING_JSON.fields + [T.StructField("_corrupt_record", T.StringType())])
     r = (spark.readStream.schema(schema).option("multiLine", True)
          .option("columnNameOfCorruptRecord", "_corrupt_record"))
     if max_files_per_trigger:
