@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import params
 from ..sources import fixtures
 from .dims import channel_dimension, date_dimension_for
-from .facts import message_fact
+from .facts import FACT_COLUMNS, message_fact
 from .staging import stage_messages
 
 
@@ -51,17 +51,29 @@ class Warehouse:
         return {"stg_telegram_messages": self.stg, "dim_dates": self.dim_dates,
                 "dim_channels": self.dim_channels, "fct_messages": self.fct}
 
-    def materialize(self, path: str, fmt: str = "parquet") -> "Warehouse":
-        """Write every table (overwrite = rebuild on rerun) and return a warehouse reading
-        them back, which also cuts the lineage for downstream reports."""
-        out = {}
-        for name, df in self.tables().items():
-            target = f"{path.rstrip('/')}/{name}"
-            df.write.mode("overwrite").format(fmt).save(target)
-            out[name] = self.spark.read.format(fmt).load(target)
+    def materialize(self, path: str, fmt: str = "parquet", partition_fact_by: str | None = None) -> "Warehouse":
+        """Build the tables in dependency order, each from the *written* tables before it:
+        staging is written once and read back, the dimensions are built from it, the fact from
+        staging and dimensions. Every write is an overwrite (a rerun rebuilds), and reading
+        back cuts the lineage, so a lost executor only recomputes from the last table.
+        ``partition_fact_by`` (e.g. ``date_key``) lets date-bounded reports prune files."""
+        base = path.rstrip("/")
+
+        def write(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+            w = df.write.mode("overwrite").format(fmt)
+            if by:
+                w = w.partitionBy(by)
+            w.save(f"{base}/{name}")
+            return self.spark.read.format(fmt).load(f"{base}/{name}")
+
+        stg = write(stage_messages(self.raw, self.as_of), "stg_telegram_messages")
+        dates = write(date_dimension_for(stg, self.pad_days, self.as_of), "dim_dates")
+        channels = write(channel_dimension(stg, self.as_of), "dim_channels")
+        fct = write(message_fact(stg, channels, dates), "fct_messages", partition_fact_by)
+        if partition_fact_by:
+            fct = fct.select(*[c for c in FACT_COLUMNS])
         w = Warehouse(self.raw, self.as_of, self.pad_days)
-        w._cache.update({"stg": out["stg_telegram_messages"], "dim_dates": out["dim_dates"],
-                         "dim_channels": out["dim_channels"], "fct": out["fct_messages"]})
+        w._cache.update({"stg": stg, "dim_dates": dates, "dim_channels": channels, "fct": fct})
         return w
 
     def register(self) -> None:

@@ -39,3 +39,16 @@ def test_materialize_roundtrip(spark, tmp_path):
     w = fixture_warehouse(spark, "/root/testdata/sf0.001", AS_OF)
     m = w.materialize(str(tmp_path / "wh"))
     assert m.fct.count() == w.fct.count()
+
+
+def test_materialized_context_matches_lazy(spark, tmp_path):
+    from channelwise import queries as Q
+    sf = "/root/testdata/sf0.001"
+    lazy = Q.lazy_context(spark, sf)
+    mat = Q.materialized_context(spark, sf, str(tmp_path / "wh"))
+    assert dict(mat.w.fct.dtypes) == dict(lazy.w.fct.dtypes)
+    for name in ["q_daily_trends", "q_top_products", "q_channel_performance_mart", "q_visual_channels",
+                 "q_quality_suite", "q_search_messages"]:
+        a = sorted(map(tuple, Q.REPORTS[name](lazy).collect()), key=repr)
+        b = sorted(map(tuple, Q.REPORTS[name](mat).collect()), key=repr)
+        assert a == b, name
