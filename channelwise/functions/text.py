@@ -61,3 +61,11 @@ def round_each(arr: Column | str, places: int = 3) -> Column:
 def map_total(m: Column | str) -> Column:
     """Sum of the values of a map<string,bigint>."""
     return F.aggregate(F.map_values(_col(m)), F.lit(0).cast("bigint"), lambda acc, x: acc + x)
+
+
+def merge_maps(base: Column | str, updates: Column | str) -> Column:
+    """``base.update(updates)``: union of two maps where a key in ``updates`` wins, without
+    depending on the session's duplicate-key policy."""
+    b, u = _col(base), _col(updates)
+    kept = F.map_filter(b, lambda k, v: ~F.array_contains(F.map_keys(u), k))
+    return F.map_concat(kept, u)
