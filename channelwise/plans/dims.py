@@ -82,7 +82,7 @@ def channel_dimension(stg: DataFrame, as_of=None, rules: Rules = params.CHANNEL_
     pct = lambda c: F.round(F.col(c) * 100.0 / F.nullif(F.col("total_posts"), F.lit(0)), 2)
     shaped = stats.select(
         *CHANNEL_ID,
-        channel_type(F.col("channel_name"), rules, default_type).alias("channel_type"),
+        channel_type("channel_name", rules, default_type).alias("channel_type"),
         "first_post_date", "last_post_date", "total_posts",
         F.round("_avg_views", 2).alias("avg_views"),
         F.round("_avg_forwards", 2).alias("avg_forwards"),

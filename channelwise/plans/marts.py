@@ -58,7 +58,7 @@ def product_mart(fct_with_products: DataFrame, engagement: Column | None = None)
                   F.min("date_key").alias("first_mentioned_date"),
                   F.max("date_key").alias("last_mentioned_date")))
     cat = stats.select("*",
-                       classify_by_rules(F.col("product_name"), params.PRODUCT_RULES_MART,
+                       classify_by_rules("product_name", params.PRODUCT_RULES_MART,
                                          params.PRODUCT_DEFAULT).alias("product_category"),
                        strength(F.col("product_name")).alias("strength"))
     ranked = ordered_row_number(cat, [F.col("mention_count").desc(), F.col("product_name")], "popularity_rank")

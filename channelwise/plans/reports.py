@@ -60,7 +60,7 @@ def top_products(fct: DataFrame, dim_channels: DataFrame, limit: int = 10, compl
     words = [k for _, kws in rules for k in kws] if complete else params.PRODUCT_FILTER_REPORT
     m = _product_mentions(fct).filter(any_substring(F.col("_t"), words))
     m = m.join(dim_channels.select("channel_key", "channel_type"), "channel_key")
-    g = (m.groupBy(classify_by_rules(F.col("_t"), rules, params.PRODUCT_DEFAULT).alias("product_category"))
+    g = (m.groupBy(classify_by_rules("_t", rules, params.PRODUCT_DEFAULT).alias("product_category"))
          .agg(F.count(F.lit(1)).alias("mention_count"),
               F.sum("view_count").alias("total_views"),
               F.count_distinct("channel_type").alias("channel_count"),
@@ -79,7 +79,7 @@ def top_products(fct: DataFrame, dim_channels: DataFrame, limit: int = 10, compl
 def product_extract(fct: DataFrame, limit: int = 20) -> DataFrame:
     """Product categories (rule set B) without 'Other', average views per mention, top ``limit``."""
     m = _product_mentions(fct)
-    g = (m.groupBy(classify_by_rules(F.col("_t"), params.PRODUCT_RULES_EXTRACT, params.PRODUCT_DEFAULT)
+    g = (m.groupBy(classify_by_rules("_t", params.PRODUCT_RULES_EXTRACT, params.PRODUCT_DEFAULT)
                    .alias("product_category"))
          .agg(F.count(F.lit(1)).alias("mention_count"), F.sum("view_count").alias("total_views")))
     return (g.filter(F.col("product_category") != params.PRODUCT_DEFAULT)

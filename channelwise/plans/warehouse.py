@@ -60,6 +60,10 @@ class Warehouse:
         base = path.rstrip("/")
 
         def write(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+            if by:
+                # rebalance on the partition column: AQE coalesces small outputs into fewer files
+                # per folder and splits a hot value (one day with a third of the rows) across tasks
+                df = df.hint("rebalance", by)
             w = df.write.mode("overwrite").format(fmt)
             if by:
                 w = w.partitionBy(by)

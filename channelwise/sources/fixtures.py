@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import csv_split
 
 # Fixed values of the mapping: channel list keyed by user_id % 8, and product-form words
 # keyed by event_id % 13 (index 12 and anything else -> 'offer').
@@ -35,13 +34,6 @@ def _channels(spark: SparkSession) -> DataFrame:
     return F.broadcast(spark.range(1).select(F.inline(rows)))
 
 
-def _case(key, values, default):
-    expr = None
-    for i, v in enumerate(values):
-        expr = F.when(key == i, F.lit(v)) if expr is None else expr.when(key == i, F.lit(v))
-    return expr.otherwise(F.lit(default))
-
-
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events ⋈ channel list ⋈ part -> raw message rows (schema ``schemas.RAW_MESSAGE``)."""
     return raw_messages_from(read_table(spark, sf_dir, "events"), read_table(spark, sf_dir, "part"))
@@ -56,41 +48,43 @@ def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int |
     return r.parquet(f"{sf_dir.rstrip('/')}/events*.parquet")
 
 
+def _sql_case(key_sql: str, values, default: str) -> str:
+    whens = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))
+    return f"CASE {key_sql} {whens} ELSE '{default}' END"
+
+
+def _sql_str_list(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
 def raw_messages_from(events: DataFrame, part: DataFrame) -> DataFrame:
-    """The mapping over given events (batch or streaming) and part tables."""
+    """The mapping over given events (batch or streaming) and part tables. The projection is
+    written as SQL expressions (parsed once in the JVM)."""
     spark = events.sparkSession
     e = events.select("event_id", "ts", "user_id", "event_type", "value", "props")
     # event_id % 200 lies in [-199, 199], so only part keys in that range can join: the
     # part side is bounded by 399 keys whatever the table size, a safe broadcast.
-    p = (part.select("p_partkey", "p_name", "p_size")
-         .filter((F.col("p_partkey") > -200) & (F.col("p_partkey") < 200)))
+    p = part.select("p_partkey", "p_name", "p_size").filter("p_partkey > -200 AND p_partkey < 200")
     ch = _channels(spark)
-    eid = F.col("event_id")
     j = (e.join(ch, (F.col("user_id") % 8) == ch.k)
-         .join(F.broadcast(p), (eid % 200) == F.col("p_partkey")))
-    form = _case(eid % 13, FIXTURE_FORMS, "offer")
-    unit = F.when(eid % 3 == 0, "mg").when(eid % 3 == 1, " ml").otherwise("")
-    text = (F.when(eid % 20 == 0, F.lit(None).cast("string"))
-            .when(eid % 20 == 1, F.lit("   "))
-            .otherwise(F.concat(F.lit("  "), F.col("p_name"), F.lit(" "), form, F.lit(" "),
-                                (F.col("p_size") * 10).cast("string"), unit, F.lit(" "))))
-    views = (F.when(eid % 50 == 0, F.lit(None).cast("bigint"))
-             .when(eid % 97 == 0, F.lit(-1).cast("bigint"))
-             .otherwise(F.floor(F.col("value") * 40).cast("bigint")))
-    return j.select(
-        eid.alias("message_id"),
-        F.col("channel_name"),
-        F.concat(F.lit("@"), F.col("channel_name")).alias("channel_username"),
-        F.concat(F.lit("Title "), F.col("channel_name")).alias("channel_title"),
-        F.col("ts").cast("timestamp_ntz").alias("message_date"),
-        text.alias("message_text"),
-        F.col("event_type").isin("view", "click").alias("has_media"),
-        F.when(F.col("event_type") == "view",
-               F.concat(F.lit("data/raw/images/"), F.col("channel_name"), F.lit("/"),
-                        eid.cast("string"), F.lit(".jpg"))).alias("image_path"),
-        views.alias("views"),
-        F.regexp_extract(F.col("props"), r"([0-9]+)", 1).cast("bigint").alias("forwards"),
-        (F.col("ts").cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")).alias("scraped_at"),
+         .join(F.broadcast(p), (F.col("event_id") % 200) == F.col("p_partkey")))
+    form = _sql_case("event_id % 13", FIXTURE_FORMS, "offer")
+    image = "concat('data/raw/images/', channel_name, '/', CAST(event_id AS STRING), '.jpg')"
+    return j.selectExpr(
+        "event_id AS message_id",
+        "channel_name",
+        "concat('@', channel_name) AS channel_username",
+        "concat('Title ', channel_name) AS channel_title",
+        "CAST(ts AS TIMESTAMP_NTZ) AS message_date",
+        "CASE WHEN event_id % 20 = 0 THEN CAST(NULL AS STRING) WHEN event_id % 20 = 1 THEN '   ' "
+        f"ELSE concat('  ', p_name, ' ', {form}, ' ', CAST(p_size * 10 AS STRING), "
+        "CASE event_id % 3 WHEN 0 THEN 'mg' WHEN 1 THEN ' ml' ELSE '' END, ' ') END AS message_text",
+        "event_type IN ('view', 'click') AS has_media",
+        f"CASE WHEN event_type = 'view' THEN {image} END AS image_path",
+        "CASE WHEN event_id % 50 = 0 THEN CAST(NULL AS BIGINT) WHEN event_id % 97 = 0 THEN CAST(-1 AS BIGINT) "
+        "ELSE CAST(floor(value * 40) AS BIGINT) END AS views",
+        "CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS forwards",
+        "CAST(ts AS TIMESTAMP_NTZ) + INTERVAL 1 DAY AS scraped_at",
     )
 
 
@@ -109,14 +103,15 @@ def raw_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = (read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
          .filter(F.col("event_type") == "view"))
     ch = _channels(spark)
-    eid = F.col("event_id")
-    objs = csv_split(_case(eid % 7, FIXTURE_OBJECTS, FIXTURE_OBJECTS[-1]))
+    csv = _sql_case("event_id % 7", FIXTURE_OBJECTS, FIXTURE_OBJECTS[-1])
+    objs = f"CASE WHEN {csv} = '' THEN CAST(array() AS ARRAY<STRING>) ELSE split({csv}, ',') END"
     j = e.join(ch, (F.col("user_id") % 8) == ch.k)
-    return j.select(
-        F.concat(F.lit("data/raw/images/"), F.col("channel_name"), F.lit("/"),
-                 eid.cast("string"), F.lit(".jpg")).alias("image_path"),
-        objs.alias("detected_objects"),
-        # deterministic stand-in scores, one per object, above the threshold
-        F.transform(objs, lambda x, i: F.round(0.3 + ((eid + i) % 70) / 100.0, 3)).alias("confidence_scores"),
-        (F.col("ts").cast("timestamp_ntz") + F.expr("INTERVAL 1 HOUR")).alias("detection_time"),
-    )
+    return (j.selectExpr(
+        "concat('data/raw/images/', channel_name, '/', CAST(event_id AS STRING), '.jpg') AS image_path",
+        f"{objs} AS detected_objects", "event_id", "ts")
+        .selectExpr(
+            "image_path", "detected_objects",
+            # deterministic stand-in scores, one per object, above the threshold
+            "transform(detected_objects, (x, i) -> round(0.3 + ((event_id + i) % 70) / 100.0, 3)) "
+            "AS confidence_scores",
+            "CAST(ts AS TIMESTAMP_NTZ) + INTERVAL 1 HOUR AS detection_time"))
