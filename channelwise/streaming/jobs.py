@@ -67,6 +67,17 @@ def keyed_load(stream: DataFrame, target: str, checkpoint: str | None = None,
             .trigger(availableNow=True).start())
 
 
+def dedupe_stream(stream: DataFrame, delay: str = "2 days", keys=KEYS) -> DataFrame:
+    """T2 with bounded state: drop re-deliveries of a key that arrive within ``delay`` (event
+    time = scrape time) of its first copy. State is evicted by the watermark, so it stays
+    proportional to the keys of the last ``delay`` instead of every key ever loaded."""
+    tz = stream.sparkSession.conf.get("spark.sql.session.timeZone")
+    return (stream.withColumn("_scraped_instant", utc_instant(F.col("scraped_at"), tz))
+            .withWatermark("_scraped_instant", delay)
+            .dropDuplicatesWithinWatermark(list(keys))
+            .drop("_scraped_instant"))
+
+
 def daily_trend_stream(staged: DataFrame, watermark: str = "1 day") -> DataFrame:
     """Per event-time day, posts / views / image posts of valid messages. Late data
     within ``watermark`` updates its day; older data is dropped by the watermark."""

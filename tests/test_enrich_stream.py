@@ -101,3 +101,20 @@ def test_quality_counter_stream(spark):
     batch = stage_messages(fixtures.raw_messages(spark, sf), AS_OF)
     assert r.messages == batch.count()
     assert r.needs_review == batch.filter("data_quality_status = 'needs_review'").count()
+
+
+def test_dedupe_stream_bounded_state(spark):
+    root = tempfile.mkdtemp(prefix="cw-dlanding-")
+    for date, ids in [("2024-01-10", [1, 2]), ("2024-01-11", [2, 3])]:
+        os.makedirs(os.path.join(root, date))
+        with open(os.path.join(root, date, "chemed.json"), "w") as f:
+            json.dump([{"message_id": i, "channel_name": "chemed", "message_date": f"{date}T09:00:00Z",
+                        "scraped_at": f"{date}T12:00:00Z"} for i in ids], f)
+    # append-mode file sink collecting every micro-batch
+    target = tempfile.mkdtemp(prefix="cw-dout-") + "/t"
+    q = (jobs.dedupe_stream(jobs.landing_stream(spark, root)).writeStream.format("parquet")
+         .option("path", target).option("checkpointLocation", tempfile.mkdtemp(prefix="cw-dck-"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted(r.message_id for r in spark.read.parquet(target).collect())
+    assert got == [1, 2, 3]
