@@ -20,17 +20,20 @@ def ordered_row_number(df: DataFrame, order: Sequence[Column], out: str = "row_n
                        num_partitions: int | None = None) -> DataFrame:
     """Add ``out`` = 1-based position of each row in the total order ``order``.
 
-    ``order`` should be a total order (append unique tie-breaks) for deterministic numbers.
+    ``order`` should be a total order (append unique tie-breaks) for deterministic numbers;
+    it also keeps equal leading keys from piling into one range partition. The per-partition
+    counts are taken from the range-partitioned rows themselves, so both branches share one
+    exchange (planned as a reused exchange): the input is computed once.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    mid = F.monotonically_increasing_id()
-    local = ranged.select("*", F.spark_partition_id().alias("_pid"),
-                          (mid.bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))).alias("_local"))
-    counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per partition: bounded by ``n``; a window over it is cheap.
+    ranged = df.repartitionByRange(n, *order)
+    counts = ranged.groupBy(F.spark_partition_id().alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
+    # one row per partition: bounded by ``n``; a window over it is cheap
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset"))
+    local = ranged.sortWithinPartitions(*order).select(
+        "*", F.spark_partition_id().alias("_pid"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)).alias("_local"))
     numbered = local.join(F.broadcast(offsets), "_pid")
     return numbered.withColumn(out, F.col("_offset") + F.col("_local") + 1).drop("_pid", "_local", "_offset")
