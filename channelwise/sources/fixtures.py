@@ -53,10 +53,6 @@ def _sql_case(key_sql: str, values, default: str) -> str:
     return f"CASE {key_sql} {whens} ELSE '{default}' END"
 
 
-def _sql_str_list(values) -> str:
-    return ", ".join(f"'{v}'" for v in values)
-
-
 def raw_messages_from(events: DataFrame, part: DataFrame) -> DataFrame:
     """The mapping over given events (batch or streaming) and part tables. The projection is
     written as SQL expressions (parsed once in the JVM)."""
