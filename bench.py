@@ -50,7 +50,12 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     reps = int(os.environ.get("BENCH_REPS", "3"))
     mode = os.environ.get("BENCH_MODE", "warehouse")
-    spark = local_session(cpus, shuffle_partitions=cpus, app="channelwise-bench")
+    event_log = None
+    if os.environ.get("BENCH_EVENT_LOG"):
+        import tempfile
+        event_log = tempfile.mkdtemp(prefix="channelwise-eventlog-")
+        print(f"event log: {event_log}", file=sys.stderr)
+    spark = local_session(cpus, shuffle_partitions=cpus, app="channelwise-bench", event_log_dir=event_log)
     times = {}
     if mode == "warehouse":
         names = sys.argv[1:] or HEADLINE

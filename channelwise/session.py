@@ -24,7 +24,8 @@ RECOMMENDED_CONF = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "channelwise") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "channelwise",
+                  event_log_dir: str | None = None) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -35,6 +36,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
     for k, v in RECOMMENDED_CONF.items():
         builder = builder.config(k, v)
+    if event_log_dir:  # stage/task timings without the UI: read with tools/stage_times.py
+        builder = (builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
+                   .config("spark.eventLog.compress", "false"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
