@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,15 @@ from .facts import FACT_COLUMNS, message_fact
 from .staging import stage_messages
 
 
+def run_concurrently(*actions):
+    """Run independent Spark actions (e.g. writes of unrelated tables) as concurrent jobs
+    from driver threads; returns their results in order. Spark schedules their tasks side by
+    side, which fills cores left idle by small or single-task stages."""
+    with ThreadPoolExecutor(max_workers=len(actions)) as pool:
+        futures = [pool.submit(a) for a in actions]
+        return [f.result() for f in futures]
+
+
 @dataclass
 class Warehouse:
     """stg -> dim_dates, dim_channels -> fct, all lazy DataFrames sharing one as-of instant."""
@@ -71,8 +81,10 @@ class Warehouse:
             return self.spark.read.format(fmt).load(f"{base}/{name}")
 
         stg = write(stage_messages(self.raw, self.as_of), "stg_telegram_messages")
-        dates = write(date_dimension_for(stg, self.pad_days, self.as_of), "dim_dates")
-        channels = write(channel_dimension(stg, self.as_of), "dim_channels")
+        # the two dimensions only depend on staging: build them as concurrent jobs
+        dates, channels = run_concurrently(
+            lambda: write(date_dimension_for(stg, self.pad_days, self.as_of), "dim_dates"),
+            lambda: write(channel_dimension(stg, self.as_of), "dim_channels"))
         fct = write(message_fact(stg, channels, dates), "fct_messages", partition_fact_by)
         if partition_fact_by:
             fct = fct.select(*[c for c in FACT_COLUMNS])

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from . import params
 from .plans import catalog, enrich, marts, reports, search
 from .plans.staging import stage_messages
-from .plans.warehouse import Warehouse, fixture_warehouse
+from .plans.warehouse import Warehouse, fixture_warehouse, run_concurrently
 from .sources import fixtures
 
 AS_OF = params.DEFAULT_AS_OF
@@ -311,9 +311,12 @@ def materialized_context(spark: SparkSession, sf_dir: str, path: str) -> Context
     """Build the warehouse and the detection table once into ``path`` (the serving setup:
     reports then read tables; the fact is partitioned by date_key for pruning)."""
     lazy = fixture_warehouse(spark, sf_dir, AS_OF)
-    w = lazy.materialize(path, partition_fact_by="date_key")
     det_path = f"{path.rstrip('/')}/image_detections"
-    enrich.classify_images(fixtures.raw_detections(spark, sf_dir)).write.mode("overwrite").parquet(det_path)
+    # the detection table is independent of the star schema: built as a concurrent job
+    w, _ = run_concurrently(
+        lambda: lazy.materialize(path, partition_fact_by="date_key"),
+        lambda: enrich.classify_images(fixtures.raw_detections(spark, sf_dir)).write.mode("overwrite")
+        .parquet(det_path))
     return Context(spark, sf_dir, w, spark.read.parquet(det_path))
 
 
