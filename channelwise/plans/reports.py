@@ -59,12 +59,17 @@ def top_products(fct: DataFrame, dim_channels: DataFrame, limit: int = 10, compl
     rules = params.PRODUCT_RULES_REPORT
     words = [k for _, kws in rules for k in kws] if complete else params.PRODUCT_FILTER_REPORT
     m = _product_mentions(fct).filter(any_substring(F.col("_t"), words))
-    m = m.join(dim_channels.select("channel_key", "channel_type"), "channel_key")
-    g = (m.groupBy(classify_by_rules("_t", rules, params.PRODUCT_DEFAULT).alias("product_category"))
-         .agg(F.count(F.lit(1)).alias("mention_count"),
-              F.sum("view_count").alias("total_views"),
+    # reduce the fact to one row per (category, channel) first: two distinct counts on the raw
+    # rows would make Spark expand every row once per distinct column
+    per_ch = (m.groupBy(classify_by_rules("_t", rules, params.PRODUCT_DEFAULT).alias("product_category"),
+                        "channel_key")
+              .agg(F.count(F.lit(1)).alias("_n"), F.sum("view_count").alias("_v")))
+    per_ch = per_ch.join(dim_channels.select("channel_key", "channel_type"), "channel_key")
+    g = (per_ch.groupBy("product_category")
+         .agg(F.sum("_n").alias("mention_count"),
+              F.sum("_v").alias("total_views"),
               F.count_distinct("channel_type").alias("channel_count"),
-              F.count_distinct("channel_key").alias("distinct_channels"))
+              F.count(F.lit(1)).alias("distinct_channels"))
          .filter(F.col("mention_count") > 0))
     # at most one row per rule + default: a bounded window
     w = Window.orderBy(F.col("mention_count").desc(), F.col("product_category"))

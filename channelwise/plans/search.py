@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import params
+from ..functions.calendar import date_key
 from ..functions.text import contains_ci, like_ci
 from ..operators.validate import check_range, check_text
 from .reports import LIST_COLUMNS
@@ -25,25 +26,32 @@ def _match(text: Column, term: str, wildcards: bool) -> Column:
 
 
 def search_matches(fct: DataFrame, dim_channels: DataFrame, dim_dates: DataFrame, query: str,
-                   channel: str | None = None, wildcards: bool = False) -> DataFrame:
+                   channel: str | None = None, wildcards: bool = False,
+                   since=None, until=None) -> DataFrame:
     """All fact messages whose text contains ``query`` (case-insensitive, literal unless
-    ``wildcards``), optionally in channels whose name contains ``channel``."""
+    ``wildcards``), optionally in channels whose name contains ``channel`` and posted on days
+    in [``since``, ``until``] (dates; bounds become date_key filters that prune fact files)."""
     check_text("query", query, params.SEARCH_MIN_LENGTH)
     c = dim_channels.select("channel_key", "channel_name", "channel_type")
     if channel:
         c = c.filter(_match(F.col("channel_name"), channel, wildcards))
-    f = fct.filter(_match(F.col("message_text"), query, wildcards))
+    f = fct
+    if since is not None:
+        f = f.filter(F.col("date_key") >= date_key(F.lit(since).cast("date")))
+    if until is not None:
+        f = f.filter(F.col("date_key") <= date_key(F.lit(until).cast("date")))
+    f = f.filter(_match(F.col("message_text"), query, wildcards))
     j = f.join(c, "channel_key").join(dim_dates.select("date_key", F.col("full_date").alias("message_date")), "date_key")
     return j.select(*MESSAGE_COLUMNS)
 
 
 def search_messages(fct: DataFrame, dim_channels: DataFrame, dim_dates: DataFrame, query: str,
                     channel: str | None = None, limit: int = 20, page: int = 1,
-                    wildcards: bool = False) -> DataFrame:
+                    wildcards: bool = False, since=None, until=None) -> DataFrame:
     """One page of matches, newest day first (ties by channel, id)."""
     check_range("limit", limit, 1, params.LIMIT_MAX)
     check_range("page", page, 1, None)
-    m = search_matches(fct, dim_channels, dim_dates, query, channel, wildcards)
+    m = search_matches(fct, dim_channels, dim_dates, query, channel, wildcards, since, until)
     ordered = m.orderBy(F.col("message_date").desc(), "channel_name", "message_id")
     return ordered.offset((page - 1) * limit).limit(limit)
 
@@ -65,9 +73,9 @@ def search_messages_after(fct: DataFrame, dim_channels: DataFrame, dim_dates: Da
 
 
 def search_count(fct: DataFrame, dim_channels: DataFrame, dim_dates: DataFrame, query: str,
-                 channel: str | None = None, wildcards: bool = False) -> DataFrame:
-    """Total number of matches (one row)."""
-    m = search_matches(fct, dim_channels, dim_dates, query, channel, wildcards)
+                 channel: str | None = None, wildcards: bool = False, since=None, until=None) -> DataFrame:
+    """Total number of matches (one row), with the same filters as :func:`search_messages`."""
+    m = search_matches(fct, dim_channels, dim_dates, query, channel, wildcards, since, until)
     return m.agg(F.count(F.lit(1)).alias("total_count"))
 
 

@@ -108,3 +108,9 @@ def test_product_mart_extracts_and_ranks(wh):
     assert names["cream 50 ml"].strength == "50 ml" and names["cream 50 ml"].product_category == "Topical"
     assert sorted(r.popularity_rank for r in m) == list(range(1, len(m) + 1))
     assert sorted(r.views_rank for r in m) == list(range(1, len(m) + 1))
+
+
+def test_search_date_range(wh):
+    got = search.search_messages(wh.fct, wh.dim_channels, wh.dim_dates, "in", limit=100,
+                                 since=dt.date(2024, 1, 21), until=dt.date(2024, 1, 26)).collect()
+    assert sorted(r.message_id for r in got) == [2, 4]
