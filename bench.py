@@ -29,7 +29,7 @@ HEADLINE = [
     "q_image_vs_text", "q_top_image_channels", "q_visual_by_type", "q_perf_by_type", "q_search_messages",
     "q_search_count", "q_recent_messages", "q_channel_engagement", "q_posting_hours", "q_top_messages",
     "q_product_mart", "q_channel_performance_mart", "q_image_categories", "q_image_engagement",
-    "q_visual_channels", "q_top_objects", "q_quality_suite", "q_pipeline_stats",
+    "q_visual_channels", "q_top_objects", "q_quality_suite", "q_warehouse_stats",
 ]
 END_TO_END = ["q_stage_messages", "q_dim_channels", "q_fct_messages", "q_daily_trends", "q_top_products",
               "q_product_mart", "q_quality_suite", "q_dedupe", "q_landing_manifest", "q_image_engagement"]

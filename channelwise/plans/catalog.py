@@ -68,6 +68,7 @@ def run_quality_suite(stg: DataFrame, dim_channels: DataFrame, dim_dates: DataFr
 
 def save_quality_results(results: DataFrame, path: str, as_of=None) -> None:
     """Results table with a timestamp column, written as CSV with a header."""
+    # one row per check: a single output file is bounded
     (results.withColumn("checked_at", as_of_col(as_of)).coalesce(1)
      .write.mode("overwrite").option("header", True).csv(path))
 

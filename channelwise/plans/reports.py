@@ -336,9 +336,9 @@ def channel_info(dim_channels: DataFrame, channel: str) -> DataFrame:
     return _one_channel(dim_channels, channel).select(*INFO_COLUMNS)
 
 
-# ---------------------------------------------------------------- pipeline stats
+# ---------------------------------------------------------------- warehouse stats
 
-def pipeline_stats(dim_channels: DataFrame, fct: DataFrame) -> DataFrame:
+def warehouse_stats(dim_channels: DataFrame, fct: DataFrame) -> DataFrame:
     return combine_scalars({
         "channels": dim_channels.agg(F.count(F.lit(1))),
         "messages": fct.agg(F.count(F.lit(1))),

@@ -61,12 +61,14 @@ class Warehouse:
         return {"stg_telegram_messages": self.stg, "dim_dates": self.dim_dates,
                 "dim_channels": self.dim_channels, "fct_messages": self.fct}
 
-    def materialize(self, path: str, fmt: str = "parquet", partition_fact_by: str | None = None) -> "Warehouse":
+    def materialize(self, path: str, fmt: str = "parquet", partition_fact_by: str | None = None,
+                    calendar: DataFrame | None = None) -> "Warehouse":
         """Build the tables in dependency order, each from the *written* tables before it:
         staging is written once and read back, the dimensions are built from it, the fact from
         staging and dimensions. Every write is an overwrite (a rerun rebuilds), and reading
         back cuts the lineage, so a lost executor only recomputes from the last table.
-        ``partition_fact_by`` (e.g. ``date_key``) lets date-bounded reports prune files."""
+        ``partition_fact_by`` (e.g. ``date_key``) lets date-bounded reports prune files;
+        ``calendar`` replaces the data-derived calendar (e.g. a declared date range)."""
         base = path.rstrip("/")
 
         def write(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
@@ -83,7 +85,8 @@ class Warehouse:
         stg = write(stage_messages(self.raw, self.as_of), "stg_telegram_messages")
         # the two dimensions only depend on staging: build them as concurrent jobs
         dates, channels = run_concurrently(
-            lambda: write(date_dimension_for(stg, self.pad_days, self.as_of), "dim_dates"),
+            lambda: write(calendar if calendar is not None else date_dimension_for(stg, self.pad_days, self.as_of),
+                          "dim_dates"),
             lambda: write(channel_dimension(stg, self.as_of), "dim_channels"))
         fct = write(message_fact(stg, channels, dates), "fct_messages", partition_fact_by)
         if partition_fact_by:

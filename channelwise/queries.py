@@ -193,8 +193,8 @@ def q_channel_info(c: Context):
 
 
 @report
-def q_pipeline_stats(c: Context):
-    return reports.pipeline_stats(c.w.dim_channels, c.w.fct)
+def q_warehouse_stats(c: Context):
+    return reports.warehouse_stats(c.w.dim_channels, c.w.fct)
 
 
 # ---------------------------------------------------------------- marts

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.dedupe import insert_or_ignore
 from ..plans import reports
 from ..plans.warehouse import Warehouse
+from ..session import scratch_path
 from . import schemas
 from .landing import export_csv
 
@@ -46,16 +47,20 @@ def extended_raw(messages: DataFrame) -> DataFrame:
 
 
 def load_parquet_table(incoming: DataFrame, path: str, keys=RAW_KEYS, order=("scraped_at",)) -> DataFrame:
-    """S8 as a table load: insert-or-ignore into a Parquet folder; returns the appended rows'
-    plan (already written). Rerunning with the same input appends nothing."""
+    """S8 as a table load: insert-or-ignore into a Parquet folder. The new rows are first
+    written to a staging table (shared checkpoint folder), then appended; the staged table is
+    returned, so it stays the exact record of what this load inserted. Rerunning with the same
+    input appends nothing."""
     spark = incoming.sparkSession
     try:
         existing = spark.read.parquet(path)
     except Exception:  # noqa: BLE001 - no table yet
         existing = None
-    new = insert_or_ignore(incoming, keys, list(order), existing)
-    new.write.mode("append").parquet(path)
-    return new
+    stage = scratch_path(spark, "load_stage")
+    insert_or_ignore(incoming, keys, list(order), existing).write.parquet(stage)
+    staged = spark.read.parquet(stage)
+    staged.write.mode("append").parquet(path)
+    return staged
 
 
 def load_jdbc(incoming: DataFrame, url: str, table: str, properties: dict[str, str],
@@ -87,6 +92,6 @@ def write_api_extracts(w: Warehouse, folder: str, as_of=None) -> dict[str, str]:
     }
     out = {}
     for name, df in extracts.items():
-        export_csv(df.coalesce(1), f"{base}/{name}")
+        export_csv(df, f"{base}/{name}")
         out[name] = f"{base}/{name}"
     return out
