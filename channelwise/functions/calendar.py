@@ -58,10 +58,14 @@ def as_of_col(as_of) -> Column:
         return F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
     if isinstance(as_of, Column):
         return as_of.cast("timestamp_ntz")
+    # literals are built from ISO text: a Python datetime literal would pass through the
+    # session time zone and shift "now" by its offset
     if isinstance(as_of, _dt.datetime):
-        return F.lit(as_of.replace(tzinfo=None)).cast("timestamp_ntz")
+        if as_of.tzinfo is not None:
+            as_of = as_of.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+        return F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
     if isinstance(as_of, _dt.date):
-        return F.lit(_dt.datetime(as_of.year, as_of.month, as_of.day)).cast("timestamp_ntz")
+        return F.lit(f"{as_of.isoformat()} 00:00:00").cast("timestamp_ntz")
     return F.lit(str(as_of)).cast("timestamp_ntz")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -21,6 +22,13 @@ def _all(preds: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, preds) if preds else F.lit(True)
 
 
+def _date_lit(v) -> Column:
+    """A calendar-date literal from a date, datetime or ISO string (no time-zone conversion)."""
+    if isinstance(v, _dt.datetime):
+        v = v.date()
+    return F.lit(v.isoformat() if isinstance(v, _dt.date) else str(v)).cast("date")
+
+
 def _match(text: Column, term: str, wildcards: bool) -> Column:
     return like_ci(text, term) if wildcards else contains_ci(text, term)
 
@@ -37,9 +45,9 @@ def search_matches(fct: DataFrame, dim_channels: DataFrame, dim_dates: DataFrame
         c = c.filter(_match(F.col("channel_name"), channel, wildcards))
     f = fct
     if since is not None:
-        f = f.filter(F.col("date_key") >= date_key(F.lit(since).cast("date")))
+        f = f.filter(F.col("date_key") >= date_key(_date_lit(since)))
     if until is not None:
-        f = f.filter(F.col("date_key") <= date_key(F.lit(until).cast("date")))
+        f = f.filter(F.col("date_key") <= date_key(_date_lit(until)))
     f = f.filter(_match(F.col("message_text"), query, wildcards))
     j = f.join(c, "channel_key").join(dim_dates.select("date_key", F.col("full_date").alias("message_date")), "date_key")
     return j.select(*MESSAGE_COLUMNS)

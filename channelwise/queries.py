@@ -299,7 +299,11 @@ def lazy_context(spark: SparkSession, sf_dir: str) -> Context:
     """Context whose tables are lazy plans over the test tables. The plan objects (not data)
     are shared per (session, folder): DataFrames are immutable, so this only saves rebuilding
     the same Python-side plan; every query still computes everything when it runs."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext (e.g. Spark Connect)
+        app = None
+    key = (id(spark), app, sf_dir)
     if key not in _PLANS:
         w = fixture_warehouse(spark, sf_dir, AS_OF)
         w.stg, w.dim_dates, w.dim_channels, w.fct  # noqa: B018 - build the shared plans once

@@ -51,7 +51,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the setting names a shared folder and is used as is. Only when it is unset
     (local tests) a fresh scratch folder is created and registered with the context.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no local SparkContext (e.g. Spark Connect): use the setting only
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        return configured or tempfile.mkdtemp(prefix="channelwise-ckpt-")
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         if sc.getCheckpointDir() is None:

@@ -52,3 +52,22 @@ def test_materialized_context_matches_lazy(spark, tmp_path):
         a = sorted(map(tuple, Q.REPORTS[name](lazy).collect()), key=repr)
         b = sorted(map(tuple, Q.REPORTS[name](mat).collect()), key=repr)
         assert a == b, name
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    from channelwise import queries as Q
+    from channelwise.plans.warehouse import fixture_warehouse as fw
+
+    def run(names):
+        ctx = Q.Context(spark, "/root/testdata/sf0.001", fw(spark, "/root/testdata/sf0.001", AS_OF))
+        return {n: sorted(map(tuple, Q.REPORTS[n](ctx).collect()), key=repr) for n in names}
+
+    names = ["q_stage_messages", "q_daily_trends", "q_dim_channels", "q_posting_hours", "q_stream_daily_trend"]
+    utc = run(names)
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        other = run(names)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for n in names:
+        assert utc[n] == other[n], n
