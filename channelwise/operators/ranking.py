@@ -26,7 +26,10 @@ def ordered_row_number(df: DataFrame, order: Sequence[Column], out: str = "row_n
     exchange (planned as a reused exchange): the input is computed once.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if num_partitions is None:
+        conf = spark.conf.get("spark.sql.shuffle.partitions", "200")
+        num_partitions = int(conf) if str(conf).isdigit() else 200
+    n = num_partitions
     ranged = df.repartitionByRange(n, *order)
     counts = ranged.groupBy(F.spark_partition_id().alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: bounded by ``n``; a window over it is cheap

@@ -77,6 +77,7 @@ def landing_manifest(messages: DataFrame, date_col: str = "scrape_date", run_utc
                      extra: dict[str, str] | None = None) -> DataFrame:
     """Per landing date: message count per channel (map), total, run time and extra fields."""
     per = messages.groupBy(date_col, "channel_name").agg(F.count(F.lit(1)).alias("n"))
+    # the map holds one already-aggregated entry per channel active that day (not messages)
     m = per.groupBy(F.col(date_col).alias("date")).agg(
         F.map_from_entries(F.collect_list(F.struct("channel_name", "n"))).alias("channels"),
         F.sum("n").alias("total_messages"))
