@@ -50,6 +50,41 @@ def _typed(parsed: DataFrame, tz: str, as_of=None) -> DataFrame:
     )
 
 
+def _split_elements(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(value = whole file text, source_file) -> (parsed message rows, rejects). A file is a JSON
+    array (split into elements in the JVM) or one object; each element is parsed on its own."""
+    body = F.trim(F.col("value"))
+    elements = (F.when(body.startswith("["), F.from_json(body, T.ArrayType(T.StringType())))
+                .when(body.startswith("{"), F.array(body)))
+    exploded = files.select("source_file", "value", elements.alias("_els"))
+    bad_files = (exploded.filter(F.col("_els").isNull())
+                 .select("source_file", F.lit("malformed file").alias("reason"), F.col("value").alias("record")))
+    els = exploded.select("source_file", F.explode("_els").alias("record"))
+    is_obj = F.trim(F.col("record")).startswith("{")
+    non_obj = els.filter(~is_obj | F.col("record").isNull()).select(
+        "source_file", F.lit("not an object").alias("reason"), "record")
+    parsed = (els.filter(is_obj)
+              .select("source_file", "record", F.from_json("record", schemas.LANDING_JSON).alias("m")))
+    bad_obj = parsed.filter(F.col("m").isNull()).select("source_file", F.lit("malformed object").alias("reason"),
+                                                       "record")
+    msgs = parsed.filter(F.col("m").isNotNull()).select("source_file", "record", "m.*")
+    return msgs, bad_files.unionByName(non_obj).unionByName(bad_obj)
+
+
+def finish_landing(msgs: DataFrame, rejects: DataFrame, date_pat: str, tz: str, as_of=None):
+    """Partition date from the path, key checks (null key -> reject with reason), defaults."""
+    msgs = msgs.withColumn("scrape_date", F.to_date(F.regexp_extract("source_file", date_pat, 1)))
+    null_key = F.col("message_id").isNull() | F.col("channel_name").isNull()
+    key_rejects = msgs.filter(null_key).select(
+        "source_file",
+        F.concat_ws(",", F.when(F.col("message_id").isNull(), F.lit("null message_id")),
+                    F.when(F.col("channel_name").isNull(), F.lit("null channel_name"))).alias("reason"),
+        F.coalesce(F.col("record"), F.to_json(F.struct(*[F.col(f.name) for f in schemas.LANDING_JSON.fields])))
+        .alias("record"))
+    good = _typed(msgs.filter(~null_key), tz, as_of)
+    return good, rejects.unionByName(key_rejects)
+
+
 def read_landing(spark: SparkSession, root: str, layout: str = "array", as_of=None) -> tuple[DataFrame, DataFrame]:
     """Scan the landing zone -> (messages, rejects).
 
@@ -66,22 +101,7 @@ def read_landing(spark: SparkSession, root: str, layout: str = "array", as_of=No
     if layout == "array":
         files = (spark.read.text(f"{root.rstrip('/')}/*/*.json", wholetext=True)
                  .select(F.col("value"), F.col("_metadata.file_path").alias("source_file")))
-        body = F.trim(F.col("value"))
-        elements = (F.when(body.startswith("["), F.from_json(body, T.ArrayType(T.StringType())))
-                    .when(body.startswith("{"), F.array(body)))
-        exploded = files.select("source_file", "value", elements.alias("_els"))
-        bad_files = (exploded.filter(F.col("_els").isNull())
-                     .select("source_file", F.lit("malformed file").alias("reason"), F.col("value").alias("record")))
-        els = exploded.select("source_file", F.explode("_els").alias("record"))
-        is_obj = F.trim(F.col("record")).startswith("{")
-        non_obj = els.filter(~is_obj | F.col("record").isNull()).select(
-            "source_file", F.lit("not an object").alias("reason"), "record")
-        parsed = (els.filter(is_obj)
-                  .select("source_file", "record", F.from_json("record", schemas.LANDING_JSON).alias("m")))
-        bad_obj = parsed.filter(F.col("m").isNull()).select("source_file", F.lit("malformed object").alias("reason"),
-                                                           "record")
-        msgs = parsed.filter(F.col("m").isNotNull()).select("source_file", "record", "m.*")
-        rejects = bad_files.unionByName(non_obj).unionByName(bad_obj)
+        msgs, rejects = _split_elements(files)
     elif layout == "lines":
         # JSON lines, read splittably as text; partition discovery restores the folder
         # columns (channel_name, scrape_date) that the lake writer moved into paths
@@ -97,17 +117,8 @@ def read_landing(spark: SparkSession, root: str, layout: str = "array", as_of=No
                 .drop("_part_channel"))
     else:
         raise ValueError(f"unknown layout {layout!r}")
-    date_pat = r"/(\d{4}-\d{2}-\d{2})/" if layout == "array" else r"scrape_date=(\d{4}-\d{2}-\d{2})"
-    msgs = msgs.withColumn("scrape_date", F.to_date(F.regexp_extract("source_file", date_pat, 1)))
-    null_key = F.col("message_id").isNull() | F.col("channel_name").isNull()
-    key_rejects = msgs.filter(null_key).select(
-        "source_file",
-        F.concat_ws(",", F.when(F.col("message_id").isNull(), F.lit("null message_id")),
-                    F.when(F.col("channel_name").isNull(), F.lit("null channel_name"))).alias("reason"),
-        F.coalesce(F.col("record"), F.to_json(F.struct(*[F.col(f.name) for f in schemas.LANDING_JSON.fields])))
-        .alias("record"))
-    good = _typed(msgs.filter(~null_key), tz, as_of)
-    return good, rejects.unionByName(key_rejects)
+    date_pat = DATE_IN_PATH if layout == "array" else r"scrape_date=(\d{4}-\d{2}-\d{2})"
+    return finish_landing(msgs, rejects, date_pat, tz, as_of)
 
 
 def raw_columns(df: DataFrame) -> DataFrame:

@@ -13,38 +13,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.calendar import to_utc_ntz, utc_instant
 from ..operators.dedupe import insert_or_ignore
 from ..session import scratch_path
-from ..sources import schemas
-from ..sources.landing import _iso_to_utc
+from ..sources.landing import DATE_IN_PATH, _split_elements, finish_landing
 
 KEYS = ["message_id", "channel_name"]
 
 
-def landing_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming scan of ``<root>/<date>/<channel>.json`` arrays with the landing schema.
-    Corrupt records surface in ``_corrupt_record``; keys are checked downstream."""
-    schema = T.StructType(schemas.LANDING_JSON.fields + [T.StructField("_corrupt_record", T.StringType())])
-    r = (spark.readStream.schema(schema).option("multiLine", True)
-         .option("columnNameOfCorruptRecord", "_corrupt_record"))
+def landing_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None,
+                   as_of=None, with_rejects: bool = False):
+    """Streaming scan of ``<root>/<date>/<channel>.json``: new files only, parsed exactly as
+    the batch scan (whole file -> elements -> per-element parse, defaults, key checks).
+    Returns the message stream, or (messages, rejects) streams with ``with_rejects``."""
+    r = spark.readStream.option("wholetext", True)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = r.json(f"{root.rstrip('/')}/*/*.json")
+    files = (r.text(f"{root.rstrip('/')}/*/*.json")
+             .select(F.col("value"), F.col("_metadata.file_path").alias("source_file")))
+    msgs, rejects = _split_elements(files)
     tz = spark.conf.get("spark.sql.session.timeZone")
-    return (df.filter(F.col("_corrupt_record").isNull())
-            .select("message_id", "channel_name", "channel_username", "channel_title",
-                    _iso_to_utc(F.col("message_date"), tz).alias("message_date"),
-                    F.coalesce("message_text", F.lit("")).alias("message_text"),
-                    F.coalesce("has_media", F.lit(False)).alias("has_media"), "image_path",
-                    F.coalesce("views", F.lit(0).cast("bigint")).alias("views"),
-                    F.coalesce("forwards", F.lit(0).cast("bigint")).alias("forwards"),
-                    _iso_to_utc(F.col("scraped_at"), tz).alias("scraped_at"),
-                    F.to_date(F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4}-\d{2}-\d{2})/", 1))
-                    .alias("scrape_date")))
+    good, bad = finish_landing(msgs, rejects, DATE_IN_PATH, tz, as_of)
+    return (good, bad) if with_rejects else good
 
 
 def keyed_load(stream: DataFrame, target: str, checkpoint: str | None = None,

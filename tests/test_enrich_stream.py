@@ -118,3 +118,35 @@ def test_dedupe_stream_bounded_state(spark):
     q.awaitTermination()
     got = sorted(r.message_id for r in spark.read.parquet(target).collect())
     assert got == [1, 2, 3]
+
+
+def test_landing_stream_equals_batch_scan(spark):
+    from channelwise.sources import landing
+
+    root = tempfile.mkdtemp(prefix="cw-eq-")
+
+    def put(date, name, payload, raw=False):
+        os.makedirs(os.path.join(root, date), exist_ok=True)
+        with open(os.path.join(root, date, name), "w") as f:
+            f.write(payload if raw else json.dumps(payload))
+
+    m = lambda i, ch="chemed": {"message_id": i, "channel_name": ch, "message_date": "2024-01-10T10:00:00+03:00",
+                               "message_text": f"t{i}", "scraped_at": "2024-01-11T00:00:00Z"}
+    put("2024-01-10", "chemed.json", [m(1), 7, m(2), m(None)])
+    put("2024-01-10", "solo.json", m(5, "solo"))
+    put("2024-01-10", "bad.json", '[{"message_id": 1', raw=True)
+    put("2024-01-10", "_manifest.json", {"x": 1})
+    batch_msgs, batch_rej = landing.read_landing(spark, root)
+    s_msgs, s_rej = jobs.landing_stream(spark, root, with_rejects=True)
+    outs = []
+    for df in (s_msgs, s_rej):
+        path = tempfile.mkdtemp(prefix="cw-eqo-") + "/t"
+        (df.writeStream.format("parquet").option("path", path)
+         .option("checkpointLocation", tempfile.mkdtemp(prefix="cw-eqc-")).trigger(availableNow=True)
+         .start().awaitTermination())
+        outs.append(spark.read.parquet(path))
+    cols = ["message_id", "channel_name", "message_date", "message_text", "views", "scraped_at", "scrape_date"]
+    key = lambda rows: sorted(map(tuple, rows), key=repr)
+    assert key(outs[0].select(*cols).collect()) == key(batch_msgs.select(*cols).collect())
+    assert key(outs[1].select("reason").collect()) == key(batch_rej.select("reason").collect())
+    assert outs[0].count() == 3
