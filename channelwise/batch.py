@@ -1,11 +1,11 @@
 """End-to-end batch job: landing files -> raw table -> warehouse -> checks -> extracts.
 
-    python -m channelwise.batch --landing /lake/raw/telegram_messages --out /warehouse \
+    python -m channelwise.batch --landing /lake/raw/messages --out /warehouse \
         [--as-of "2024-01-29 12:00:00"] [--calendar data|fixed]
 
 Steps (each a Spark job over the whole input; every output is a table under ``--out``):
 1. scan the landing zone (per-element rejects -> ``rejects/``, manifest -> ``manifests/``);
-2. insert-or-ignore the new messages into ``raw_telegram_messages/`` (a rerun inserts nothing);
+2. insert-or-ignore the new messages into ``raw_messages/`` (a rerun inserts nothing);
 3. build staging, calendar, channel dimension and the date-partitioned fact from the raw table;
 4. run the quality suite -> ``quality_results/`` (CSV);
 5. write the four API extracts -> ``api_extracts/``.
@@ -36,7 +36,7 @@ def run_batch(spark: SparkSession, landing_root: str, out: str, as_of=None, cale
     rejects.write.mode("append").parquet(f"{base}/rejects")
     landing.write_manifest(landing_manifest(msgs, run_utc=as_of), base)
 
-    raw_path = f"{base}/raw_telegram_messages"
+    raw_path = f"{base}/raw_messages"
     incoming = landing.raw_columns(msgs)
     inserted = sinks.load_parquet_table(incoming, raw_path)
     counts = load_counts(incoming, RAW_KEYS, inserted).first().asDict()

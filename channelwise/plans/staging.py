@@ -15,7 +15,7 @@ STAGING_COLUMNS = [
 
 
 def stage_messages(raw: DataFrame, as_of=None) -> DataFrame:
-    """Raw messages -> ``stg_telegram_messages``.
+    """Raw messages -> ``stg_messages``.
 
     Drops undated rows and rows dated after ``as_of`` (compared as timestamps), defaults
     null views/forwards to 0, trims text, and sets the quality flags and status.

@@ -58,7 +58,7 @@ class Warehouse:
         return self._get("fct", lambda: message_fact(self.stg, self.dim_channels, self.dim_dates))
 
     def tables(self) -> dict[str, DataFrame]:
-        return {"stg_telegram_messages": self.stg, "dim_dates": self.dim_dates,
+        return {"stg_messages": self.stg, "dim_dates": self.dim_dates,
                 "dim_channels": self.dim_channels, "fct_messages": self.fct}
 
     def materialize(self, path: str, fmt: str = "parquet", partition_fact_by: str | None = None,
@@ -82,7 +82,7 @@ class Warehouse:
             w.save(f"{base}/{name}")
             return self.spark.read.format(fmt).load(f"{base}/{name}")
 
-        stg = write(stage_messages(self.raw, self.as_of), "stg_telegram_messages")
+        stg = write(stage_messages(self.raw, self.as_of), "stg_messages")
         # the two dimensions only depend on staging: build them as concurrent jobs
         dates, channels = run_concurrently(
             lambda: write(calendar if calendar is not None else date_dimension_for(stg, self.pad_days, self.as_of),

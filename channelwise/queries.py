@@ -270,7 +270,7 @@ def q_landing_manifest(c: Context):
 
 @report
 def q_table_counts(c: Context):
-    return catalog.table_counts({"raw_telegram_messages": c.w.raw, **c.w.tables()})
+    return catalog.table_counts({"raw_messages": c.w.raw, **c.w.tables()})
 
 
 @report

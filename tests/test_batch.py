@@ -27,7 +27,7 @@ def test_batch_job_is_idempotent(spark, tmp_path):
     assert (first["read"], first["inserted"], first["duplicate"], first["all_passed"]) == (6, 5, 1, True)
     second = run_batch(spark, root, out, AS_OF)
     assert second["inserted"] == 0
-    assert spark.read.parquet(out + "/raw_telegram_messages").count() == 5
+    assert spark.read.parquet(out + "/raw_messages").count() == 5
     assert spark.read.parquet(out + "/warehouse/fct_messages").count() == 5
     assert spark.read.parquet(out + "/rejects").count() == 6  # 3 files x 2 runs
     assert spark.read.option("header", True).csv(out + "/api_extracts/channel_activity").count() == 2
