@@ -58,7 +58,6 @@ def test_declared_sources_and_listing(spark, tmp_path):
 
 
 def test_extended_raw(spark):
-    from channelwise.sources.schemas import LANDING_JSON  # noqa: F401
     w = fixture_warehouse(spark, "/root/testdata/sf0.001", AS_OF)
     raw = (w.raw.withColumn("replies", F.lit(None).cast("bigint"))
            .withColumn("hashtags", F.array(F.lit("x"), F.lit("y")))
