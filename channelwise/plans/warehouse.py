@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import params
+from ..session import scratch_path
 from ..sources import fixtures
 from .dims import channel_dimension, date_dimension_for
 from .facts import FACT_COLUMNS, message_fact
@@ -30,6 +31,10 @@ class Warehouse:
     raw: DataFrame
     as_of: object = None
     pad_days: int = params.CALENDAR_PAD_DAYS
+    # write the two (aggregated, small) dimensions to the shared checkpoint folder on first use
+    # and read them back: joins then see their real size (broadcast only if small, sort-merge
+    # otherwise) and their lineage is cut; staging and the fact stay lazy
+    stage_dimensions: bool = False
     _cache: dict = field(default_factory=dict, repr=False)
 
     def _get(self, name, build):
@@ -45,13 +50,32 @@ class Warehouse:
     def stg(self) -> DataFrame:
         return self._get("stg", lambda: stage_messages(self.raw, self.as_of))
 
+    def _dims(self) -> None:
+        if "dim_dates" in self._cache and "dim_channels" in self._cache:
+            return
+        dates = date_dimension_for(self.stg, self.pad_days, self.as_of)
+        channels = channel_dimension(self.stg, self.as_of)
+        if self.stage_dimensions:
+            base = scratch_path(self.spark, "dimensions")
+
+            def written(df: DataFrame, name: str) -> DataFrame:
+                df.write.mode("overwrite").parquet(f"{base}/{name}")
+                return self.spark.read.parquet(f"{base}/{name}")
+
+            dates, channels = run_concurrently(lambda: written(dates, "dim_dates"),
+                                               lambda: written(channels, "dim_channels"))
+        self._cache.setdefault("dim_dates", dates)
+        self._cache.setdefault("dim_channels", channels)
+
     @property
     def dim_dates(self) -> DataFrame:
-        return self._get("dim_dates", lambda: date_dimension_for(self.stg, self.pad_days, self.as_of))
+        self._dims()
+        return self._cache["dim_dates"]
 
     @property
     def dim_channels(self) -> DataFrame:
-        return self._get("dim_channels", lambda: channel_dimension(self.stg, self.as_of))
+        self._dims()
+        return self._cache["dim_channels"]
 
     @property
     def fct(self) -> DataFrame:
@@ -101,5 +125,6 @@ class Warehouse:
             df.createOrReplaceTempView(name)
 
 
-def fixture_warehouse(spark: SparkSession, sf_dir: str, as_of=params.DEFAULT_AS_OF) -> Warehouse:
-    return Warehouse(fixtures.raw_messages(spark, sf_dir), as_of)
+def fixture_warehouse(spark: SparkSession, sf_dir: str, as_of=params.DEFAULT_AS_OF,
+                      stage_dimensions: bool = False) -> Warehouse:
+    return Warehouse(fixtures.raw_messages(spark, sf_dir), as_of, stage_dimensions=stage_dimensions)

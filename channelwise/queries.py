@@ -296,16 +296,17 @@ _PLANS: dict = {}
 
 
 def lazy_context(spark: SparkSession, sf_dir: str) -> Context:
-    """Context whose tables are lazy plans over the test tables. The plan objects (not data)
-    are shared per (session, folder): DataFrames are immutable, so this only saves rebuilding
-    the same Python-side plan; every query still computes everything when it runs."""
+    """Context over the test tables: staging and the fact are lazy plans; the two small
+    dimensions are written once to the shared checkpoint folder (from the test tables) so that
+    joins see their real size. Plan objects are shared per (session, folder); every query still
+    computes staging, the fact and its report from the test tables when it runs."""
     try:
         app = spark.sparkContext.applicationId
     except Exception:  # noqa: BLE001 - sessions without a local SparkContext (e.g. Spark Connect)
         app = None
     key = (id(spark), app, sf_dir)
     if key not in _PLANS:
-        w = fixture_warehouse(spark, sf_dir, AS_OF)
+        w = fixture_warehouse(spark, sf_dir, AS_OF, stage_dimensions=True)
         w.stg, w.dim_dates, w.dim_channels, w.fct  # noqa: B018 - build the shared plans once
         _PLANS[key] = Context(spark, sf_dir, w)
     return _PLANS[key]
