@@ -2,8 +2,9 @@
 
 Conventions:
 * every report takes DataFrames (fact, dimensions) and returns a lazy DataFrame;
-* the fact is aggregated per dimension key *before* it meets a dimension (partial
-  aggregation runs map-side, so a hot channel or day is pre-combined in every task);
+* aggregating reports reduce the fact per dimension key before descriptive dimension columns
+  are joined (partial aggregation runs map-side, so a hot channel or day is pre-combined in
+  every task); a join that only selects rows (one channel) comes first, as a filter;
 * "now" is the explicit ``as_of`` argument;
 * every top-k has a total order (tie-breaks on name/id) so results are deterministic;
 * shares of a total are computed with a window over the grouped rows only where the

@@ -2,10 +2,12 @@
 
 Each report is a function of a :class:`Context` (the star schema, the classified image
 detections, and the raw test tables). ``queries()`` exposes every report as a callable
-``(spark, sf_dir) -> DataFrame`` that builds the context lazily from the driver's test
-tables (mapped to raw messages/detections by ``sources.fixtures``), so each registered query
-reads the given tables and does all its work on every run. ``materialized_context`` builds
-the warehouse once into tables (the serving setup) for the benchmark.
+``(spark, sf_dir) -> DataFrame`` over the driver's test tables (mapped to raw messages and
+detections by ``sources.fixtures``): staging, the fact, the detections and the report are
+computed from the test tables on every run; the two small dimensions are computed from them
+once per (session, folder) and written to the shared checkpoint folder (see
+``Warehouse.stage_dimensions``). ``materialized_context`` builds the whole warehouse into
+tables (the serving setup) for the benchmark.
 
 Timestamps leave as TIMESTAMP_NTZ (UTC wall clock), dates as DATE.
 """
