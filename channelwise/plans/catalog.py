@@ -20,8 +20,9 @@ def run_quality_suite(stg: DataFrame, dim_channels: DataFrame, dim_dates: DataFr
                       as_of=None) -> DataFrame:
     """Every check of the warehouse as one DataFrame (test_name, status, result).
 
-    The five in-process checks come first, then the schema tests and singular tests.
-    Row-level checks of each table share one scan.
+    Contains the five in-process checks (future dates, negative views, channel types, the two
+    foreign keys), the schema tests (not-null, unique, accepted values, not-negative,
+    relationships) and the message-length test. Row-level checks of each table share one scan.
     """
     now = as_of_col(as_of)
     valid = F.col("data_quality_status") == "valid"
