@@ -24,6 +24,21 @@ RECOMMENDED_CONF = {
 }
 
 
+# Starting points for a large cluster (not applied by the library; the caller owns its session).
+# Shuffles start with many partitions and AQE coalesces them to ~256 MB each, so a stage never
+# holds more per task than fits in executor memory; skewed partitions over 4x the median and
+# 512 MB are split; scans read ~256 MB per task.
+CLUSTER_CONF = {
+    **RECOMMENDED_CONF,
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "channelwise",
                   event_log_dir: str | None = None) -> SparkSession:
     builder = (
