@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition_id << 33 | row index in partition
+MAX_DEFAULT_PARTITIONS = 1024
 
 
 def ordered_row_number(df: DataFrame, order: Sequence[Column], out: str = "row_number",
@@ -27,8 +28,11 @@ def ordered_row_number(df: DataFrame, order: Sequence[Column], out: str = "row_n
     """
     spark = df.sparkSession
     if num_partitions is None:
+        # an explicit count (AQE must not coalesce: partition ids carry the order), capped so a
+        # small dimension on a wide cluster does not become thousands of empty tasks; pass
+        # ``num_partitions`` for inputs beyond a few billion rows
         conf = spark.conf.get("spark.sql.shuffle.partitions", "200")
-        num_partitions = int(conf) if str(conf).isdigit() else 200
+        num_partitions = min(int(conf) if str(conf).isdigit() else 200, MAX_DEFAULT_PARTITIONS)
     n = num_partitions
     ranged = df.repartitionByRange(n, *order)
     counts = ranged.groupBy(F.spark_partition_id().alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
