@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import params
+from ..functions.calendar import to_utc_ntz
 from ..sources.schemas import RAW_DETECTION
 
 Detector = Callable[[bytes], Sequence[tuple[str, float]]]
@@ -66,7 +67,8 @@ def detect_images(files: DataFrame, detector_factory: Callable[[], Detector] = l
                   threshold: float = params.DETECTION_THRESHOLD) -> DataFrame:
     """binaryFile rows -> raw detection rows (schema ``RAW_DETECTION``); classes with score
     above ``threshold`` are kept. ``detection_time`` is the file's modification time."""
-    src = files.select("path", "content", F.col("modificationTime").cast("timestamp_ntz").alias("modificationTime"))
+    tz = files.sparkSession.conf.get("spark.sql.session.timeZone")
+    src = files.select("path", "content", to_utc_ntz(F.col("modificationTime"), tz).alias("modificationTime"))
     return src.mapInPandas(_detect_batches(detector_factory, threshold), RAW_DETECTION)
 
 

@@ -220,6 +220,17 @@ def q_classify_images(c: Context):
                         "detection_count", "image_category", "has_person", "has_product", "detection_time")
 
 
+@report
+def q_detect_images(c: Context):
+    """The detection job (binaryFile rows -> mapInPandas detector -> classification) over
+    file rows derived from the pages table, with the deterministic stub detector."""
+    from .operators.detect import detect_images
+    det = enrich.classify_images(detect_images(fixtures.image_file_rows(c.spark, c.sf_dir)))
+    return det.select("image_path", "channel_name", "message_id",
+                      F.array_join("detected_objects", ",").alias("detected_objects"),
+                      "detection_count", "image_category", "has_person", "has_product", "detection_time")
+
+
 @report
 def q_box_categories(c: Context):
     raw = fixtures.raw_detections(c.spark, c.sf_dir)

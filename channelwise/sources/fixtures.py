@@ -111,3 +111,18 @@ def raw_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
             "transform(detected_objects, (x, i) -> round(0.3 + ((event_id + i) % 70) / 100.0, 3)) "
             "AS confidence_scores",
             "CAST(ts AS TIMESTAMP_NTZ) + INTERVAL 1 HOUR AS detection_time"))
+
+
+def image_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pages -> rows in the ``binaryFile`` schema (path, modificationTime, length, content): each
+    page's HTML bytes stand in for an image file at ``data/raw/images/<channel>/<page_id>.jpg``
+    (channel from the fixed list by page_id % 8). Input for the detection job only."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "html")
+    ch = _channels(spark)
+    j = pages.join(ch, (F.col("page_id") % 8) == ch.k)
+    return j.selectExpr(
+        "concat('data/raw/images/', channel_name, '/', CAST(page_id AS STRING), '.jpg') AS path",
+        "CAST(TIMESTAMP_NTZ '2024-01-20 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, page_id) AS TIMESTAMP)"
+        " AS modificationTime",
+        "CAST(octet_length(html) AS BIGINT) AS length",
+        "encode(html, 'UTF-8') AS content")

@@ -150,3 +150,20 @@ def test_landing_stream_equals_batch_scan(spark):
     assert key(outs[0].select(*cols).collect()) == key(batch_msgs.select(*cols).collect())
     assert key(outs[1].select("reason").collect()) == key(batch_rej.select("reason").collect())
     assert outs[0].count() == 3
+
+
+def test_registered_detection_job_matches_brute_force(spark):
+    import pandas as pd
+
+    from channelwise import queries as Q
+    from channelwise.sources.fixtures import FIXTURE_CHANNELS
+
+    sf = "/root/testdata/sf0.001"
+    got = {r.image_path: r for r in Q.queries()["q_detect_images"](spark, sf).collect()}
+    pages = pd.read_parquet(f"{sf}/pages.parquet")
+    names = dict(FIXTURE_CHANNELS)
+    assert len(got) == len(pages)
+    for pid, html in zip(pages.page_id, pages.html):
+        path = f"data/raw/images/{names[pid % 8]}/{pid}.jpg"
+        want = [c for c, s in stub_detector(html.encode("utf-8")) if s > 0.25]
+        assert got[path].detected_objects == ",".join(want) and got[path].message_id == pid
