@@ -303,6 +303,16 @@ def q_stream_daily_trend(c: Context):
     return c.spark.read.parquet(out).drop("channels_active_approx")
 
 
+@report
+def q_stream_quality_counters(c: Context):
+    """T4 run as a stream over the events files (availableNow, complete mode), result read back."""
+    from .streaming import jobs
+    raw = fixtures.raw_messages_from(fixtures.events_stream(c.spark, c.sf_dir),
+                                     fixtures.read_table(c.spark, c.sf_dir, "part"))
+    out = jobs.run_to_table(jobs.quality_counter_stream(stage_messages(raw, AS_OF)), "quality_counters")
+    return c.spark.read.parquet(out)
+
+
 # ---------------------------------------------------------------- contexts
 
 _PLANS: dict = {}
