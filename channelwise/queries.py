@@ -313,6 +313,21 @@ def q_stream_quality_counters(c: Context):
     return c.spark.read.parquet(out)
 
 
+@report
+def q_stream_keyed_load(c: Context):
+    """S5 + T1 + T2: the raw messages (with later re-deliveries) are written to the partitioned
+    JSON-lines lake, streamed back (availableNow) and loaded with insert-or-ignore into a target
+    table, which is read back."""
+    from .sources.landing import raw_columns, write_lake
+    from .session import scratch_path
+    from .streaming import jobs
+    lake, target = scratch_path(c.spark, "lake"), scratch_path(c.spark, "raw_target")
+    incoming = fixtures.raw_messages_with_redeliveries(c.spark, c.sf_dir)
+    write_lake(incoming.withColumn("scrape_date", F.to_date("scraped_at")), lake)
+    jobs.keyed_load(jobs.landing_stream(c.spark, lake, layout="lines"), target).awaitTermination()
+    return raw_columns(c.spark.read.parquet(target))
+
+
 # ---------------------------------------------------------------- contexts
 
 _PLANS: dict = {}

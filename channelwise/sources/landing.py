@@ -18,6 +18,9 @@ from . import schemas
 
 KEYS = ["message_id", "channel_name"]
 DATE_IN_PATH = r"/(\d{4}-\d{2}-\d{2})/"
+LAKE_DATE = r"scrape_date=(\d{4}-\d{2}-\d{2})"
+# microseconds kept (the JSON writer's default keeps milliseconds)
+LAKE_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def _session_tz(spark: SparkSession) -> str:
@@ -71,6 +74,20 @@ def _split_elements(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     return msgs, bad_files.unionByName(non_obj).unionByName(bad_obj)
 
 
+def _parse_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(record = one JSON line, source_file) -> (parsed message rows, rejects). The channel
+    comes from the record or, for our partitioned lake, from the ``channel_name=`` folder."""
+    lines = lines.filter(F.trim("record") != "")
+    parsed = lines.select("source_file", "record", F.from_json("record", schemas.LANDING_JSON).alias("m"))
+    rejects = parsed.filter(F.col("m").isNull()).select(
+        "source_file", F.lit("malformed object").alias("reason"), "record")
+    folder_channel = F.regexp_extract("source_file", r"channel_name=([^/]+)", 1)
+    msgs = (parsed.filter(F.col("m").isNotNull()).select("source_file", "record", "m.*")
+            .withColumn("channel_name", F.coalesce(F.col("channel_name"),
+                                                   F.when(folder_channel != "", folder_channel))))
+    return msgs, rejects
+
+
 def finish_landing(msgs: DataFrame, rejects: DataFrame, date_pat: str, tz: str, as_of=None):
     """Partition date from the path, key checks (null key -> reject with reason), defaults."""
     msgs = msgs.withColumn("scrape_date", F.to_date(F.regexp_extract("source_file", date_pat, 1)))
@@ -103,21 +120,13 @@ def read_landing(spark: SparkSession, root: str, layout: str = "array", as_of=No
                  .select(F.col("value"), F.col("_metadata.file_path").alias("source_file")))
         msgs, rejects = _split_elements(files)
     elif layout == "lines":
-        # JSON lines, read splittably as text; partition discovery restores the folder
-        # columns (channel_name, scrape_date) that the lake writer moved into paths
-        lines = spark.read.text(root).select(F.col("value").alias("record"), "channel_name",
+        # JSON lines (our lake), read splittably as text, one record per line
+        lines = spark.read.text(root).select(F.col("value").alias("record"),
                                              F.col("_metadata.file_path").alias("source_file"))
-        lines = lines.filter(F.trim("record") != "")
-        parsed = lines.select("source_file", "record", F.col("channel_name").alias("_part_channel"),
-                              F.from_json("record", schemas.LANDING_JSON).alias("m"))
-        rejects = parsed.filter(F.col("m").isNull()).select(
-            "source_file", F.lit("malformed object").alias("reason"), "record")
-        msgs = (parsed.filter(F.col("m").isNotNull()).select("source_file", "record", "_part_channel", "m.*")
-                .withColumn("channel_name", F.coalesce("channel_name", "_part_channel").cast("string"))
-                .drop("_part_channel"))
+        msgs, rejects = _parse_lines(lines)
     else:
         raise ValueError(f"unknown layout {layout!r}")
-    date_pat = DATE_IN_PATH if layout == "array" else r"scrape_date=(\d{4}-\d{2}-\d{2})"
+    date_pat = DATE_IN_PATH if layout == "array" else LAKE_DATE
     return finish_landing(msgs, rejects, date_pat, tz, as_of)
 
 
@@ -129,7 +138,10 @@ def raw_columns(df: DataFrame) -> DataFrame:
 def write_lake(messages: DataFrame, base: str) -> None:
     """One folder per (scrape_date, channel); rerunning a date replaces only that date's
     folders (dynamic partition overwrite)."""
-    (messages.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # rebalance on the folder columns: few files per folder, a hot channel-day split across tasks
+    (messages.hint("rebalance", "scrape_date", "channel_name")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("timestampNTZFormat", LAKE_TIMESTAMP_FORMAT)
      .partitionBy("scrape_date", "channel_name").json(base))
 
 

@@ -18,24 +18,38 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.calendar import to_utc_ntz, utc_instant
 from ..operators.dedupe import insert_or_ignore
 from ..session import scratch_path
-from ..sources.landing import DATE_IN_PATH, _split_elements, finish_landing
+from ..sources.landing import DATE_IN_PATH, LAKE_DATE, _parse_lines, _split_elements, finish_landing
 
 KEYS = ["message_id", "channel_name"]
 
 
 def landing_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None,
-                   as_of=None, with_rejects: bool = False):
-    """Streaming scan of ``<root>/<date>/<channel>.json``: new files only, parsed exactly as
-    the batch scan (whole file -> elements -> per-element parse, defaults, key checks).
-    Returns the message stream, or (messages, rejects) streams with ``with_rejects``."""
-    r = spark.readStream.option("wholetext", True)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    files = (r.text(f"{root.rstrip('/')}/*/*.json")
-             .select(F.col("value"), F.col("_metadata.file_path").alias("source_file")))
-    msgs, rejects = _split_elements(files)
+                   as_of=None, with_rejects: bool = False, layout: str = "array"):
+    """Streaming scan of the landing zone, new files only, parsed exactly as the batch scan.
+    ``layout="array"``: collector files ``<root>/<date>/<channel>.json`` (whole file -> elements
+    -> per-element parse); ``layout="lines"``: our JSON-lines lake (one record per line).
+    Defaults and key checks as in batch. Returns the message stream, or (messages, rejects)
+    streams with ``with_rejects``."""
     tz = spark.conf.get("spark.sql.session.timeZone")
-    good, bad = finish_landing(msgs, rejects, DATE_IN_PATH, tz, as_of)
+    if layout == "array":
+        r = spark.readStream.option("wholetext", True)
+        if max_files_per_trigger:
+            r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+        files = (r.text(f"{root.rstrip('/')}/*/*.json")
+                 .select(F.col("value"), F.col("_metadata.file_path").alias("source_file")))
+        msgs, rejects = _split_elements(files)
+        date_pat = DATE_IN_PATH
+    elif layout == "lines":
+        r = spark.readStream.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+        if max_files_per_trigger:
+            r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+        lines = (r.text(root).select(F.col("value").alias("record"),
+                                     F.col("_metadata.file_path").alias("source_file")))
+        msgs, rejects = _parse_lines(lines)
+        date_pat = LAKE_DATE
+    else:
+        raise ValueError(f"unknown layout {layout!r}")
+    good, bad = finish_landing(msgs, rejects, date_pat, tz, as_of)
     return (good, bad) if with_rejects else good
 
 
