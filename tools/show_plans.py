@@ -40,6 +40,8 @@ def main() -> None:
     w = ctx.w
     items = [("fact build from written staging and dimensions", message_fact(w.stg, w.dim_channels, w.dim_dates))]
     items += [(name, Q.REPORTS[name](ctx)) for name in SHOW]
+    items += [("registered q_fct_messages (from the test tables; dimensions written first)",
+               Q.queries()["q_fct_messages"](spark, sf_dir))]
     for title, df in items:
         lines = [ln for ln in final_plan(df).splitlines() if KEEP.search(ln)]
         print(f"## {title}\n\n```")
