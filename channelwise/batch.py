@@ -9,7 +9,8 @@ Steps (each a Spark job over the whole input; every output is a table under ``--
 3. build staging, calendar, channel dimension and the date-partitioned fact from the raw table;
 4. run the quality suite -> ``quality_results/`` (CSV);
 5. write the four API extracts -> ``api_extracts/``.
-Returns the load counts and whether every check passed.
+Returns the load counts (read / rejected null keys / duplicates / inserted / landing rejects)
+and whether every check passed.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from .operators.quality import all_passed
 from .plans.catalog import landing_manifest, run_quality_suite, save_quality_results
 from .plans.dims import date_dimension
 from .plans.warehouse import Warehouse
+from .session import scratch_path
 from .sources import landing, sinks
 
 RAW_KEYS = ["message_id", "channel_name"]
@@ -33,7 +35,10 @@ RAW_KEYS = ["message_id", "channel_name"]
 def run_batch(spark: SparkSession, landing_root: str, out: str, as_of=None, calendar: str = "data") -> dict:
     base = out.rstrip("/")
     msgs, rejects = landing.read_landing(spark, landing_root, as_of=as_of)
-    rejects.write.mode("append").parquet(f"{base}/rejects")
+    reject_path = scratch_path(spark, "batch_rejects")
+    rejects.write.parquet(reject_path)  # this run's rejects, counted once, then appended
+    run_rejects = spark.read.parquet(reject_path)
+    run_rejects.write.mode("append").parquet(f"{base}/rejects")
     landing.write_manifest(landing_manifest(msgs, run_utc=as_of), base)
 
     raw_path = f"{base}/raw_messages"
@@ -50,7 +55,7 @@ def run_batch(spark: SparkSession, landing_root: str, out: str, as_of=None, cale
     passed = all_passed(spark.read.option("header", True).option("inferSchema", True)
                         .csv(f"{base}/quality_results"))
     sinks.write_api_extracts(built, f"{base}/api_extracts", as_of)
-    return {**counts, "all_passed": passed}
+    return {**counts, "landing_rejects": run_rejects.count(), "all_passed": passed}
 
 
 def main(argv=None) -> None:

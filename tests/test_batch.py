@@ -25,6 +25,7 @@ def test_batch_job_is_idempotent(spark, tmp_path):
     out = str(tmp_path / "out")
     first = run_batch(spark, root, out, AS_OF)
     assert (first["read"], first["inserted"], first["duplicate"], first["all_passed"]) == (6, 5, 1, True)
+    assert first["landing_rejects"] == 3  # one non-object element per file
     second = run_batch(spark, root, out, AS_OF)
     assert second["inserted"] == 0
     assert spark.read.parquet(out + "/raw_messages").count() == 5
