@@ -65,3 +65,23 @@ def test_extended_raw(spark):
     r = sinks.extended_raw(raw).filter("message_text IS NOT NULL").first()
     assert r.hashtags_text == "x,y" and r.potential_products == [] and r.replies == 0
     assert r.message_length == len(r.message_text)
+
+
+def test_violation_sample_results_csv_and_detection_append(spark, tmp_path):
+    from channelwise.operators import quality as Q
+    from channelwise.plans.catalog import save_quality_results
+
+    df = spark.createDataFrame([(1, -1), (2, -5), (3, 4)], "id long, v long")
+    check = Q.not_negative("nn_v", "v")
+    assert Q.violations(df, check, ["id"]).count() == 2
+    assert Q.violations(df, check, ["id"], limit=1).count() == 1  # sample, as a dev run does
+    out = str(tmp_path / "dq")
+    save_quality_results(Q.with_status(Q.row_checks(df, [check])), out, as_of=AS_OF)
+    row = spark.read.option("header", True).csv(out).first()
+    assert (row.test_name, row.status, row.result) == ("nn_v", "FAIL", "2") and row.checked_at.startswith("2024-01-29")
+    det = spark.createDataFrame([("images/a/1.jpg", ["cup"])], "image_path string, detected_objects array<string>")
+    target = str(tmp_path / "det")
+    sinks.load_detections(det, target)
+    sinks.load_detections(det, target)
+    back = spark.read.parquet(target)
+    assert back.count() == 2 and back.first().detected_objects == ["cup"] and "created_at" in back.columns
