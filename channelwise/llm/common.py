@@ -7,10 +7,14 @@ checkpoint folder and reads it back, which cuts lineage and survives lost execut
 from __future__ import annotations
 
 import re
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +26,23 @@ MIX_2 = np.uint64(0x94D049BB133111EB)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors as a zip file, once per Spark context, so that workers can
+    import the functions they run wherever the driver was started."""
+    context = spark.sparkContext
+    if getattr(context, "_channelwise_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    out = Path(tempfile.mkdtemp(prefix="channelwise-zip-"), "channelwise.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, Path(package.name, source.relative_to(package)))
+    context.addPyFile(str(out))
+    context._channelwise_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -65,7 +85,7 @@ def batches_by_bytes(batches: Iterator[pa.RecordBatch], column: str, limit: int
     for b in batches:
         if not b.num_rows:
             continue
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(b.column(column)), 0))
+        sizes = np.asarray(pc.fill_null(pc.binary_length(b.column(column)), 0))
         ends = np.cumsum(sizes.astype(np.int64))
         at = 0
         while at < b.num_rows:

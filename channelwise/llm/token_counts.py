@@ -21,6 +21,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -123,7 +124,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = TOKEN_LIMIT) -> DataFr
             texts = b.column("text")
             n = [count(t) for t in texts.to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.compute.binary_length(texts).cast(pa.int64()), pa.array(n, pa.int64()),
+                [b.column("doc_id"), pc.binary_length(texts).cast(pa.int64()), pa.array(n, pa.int64()),
                  pa.array([x > limit for x in n], pa.bool_())], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
