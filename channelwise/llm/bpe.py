@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -49,28 +49,31 @@ class Codec:
         self.drops_space = all(" " not in w and "Ġ" not in w for w, _ in self.pre_tokenizer.pre_tokenize_str(
             "a b"))
         self.mode = "tokens" if library.decoder is None else "bytes"
+        self.id_text = {t: str(i) for t, i in self.merges.vocab.items()}
+        self.glue = " " if self.mode == "tokens" else b""
         self.stream = Transducer(self.merges, self.lookahead)
         self.words = Recent(CACHE_ENTRIES)  # word -> (ids, decoded), as the pieces
         self.pieces = Recent(CACHE_ENTRIES)  # piece -> (ids joined by a space, decoded text or bytes)
 
-    def _words(self, words: list[str]) -> tuple[str, str | bytes]:
-        if len(words) == 1 and (known := self.words.get(words[0])) is not None:
-            return known
+    def _encode_words(self, words: list[str]) -> dict[str, tuple[str, str | bytes]]:
+        """The results of those words that aren't held yet, which also go to the cache."""
+        fresh, number, tokens_of = {}, self.id_text, self.stream.word
         for word in self.words.lacking(words):
-            vocab = self.merges.vocab
-            ids = [vocab[t] for t in self.stream.word(word)]
-            self.words.put(word, (" ".join(map(str, ids)), self._decoded(ids)))
-        found = [self._held(self.words, w) for w in words]
-        glue = " " if self.mode == "tokens" else b""
-        return " ".join([x[0] for x in found]), glue.join([x[1] for x in found])
-
-    @staticmethod
-    def _held(cache: Recent, key: str):
-        # the cache may have turned over since the key was put in
-        value = cache.get(key)
-        return value if value is not None else cache.old[key]
-
-    def _decoded(self, ids: list[int]) -> str | bytes:
+            tokens = tokens_of(word)
+            fresh[word] = (" ".join([number[t] for t in tokens]), self._decoded(map(self.merges.vocab.__getitem__, tokens)))
+        for word, value in fresh.items():
+            if len(word) <= LONG_PIECE:
+                self.words.put(word, value)
+        return fresh
+
+    def _words(self, words: list[str], fresh: dict) -> tuple[str, str | bytes]:
+        get, old = self.words.get, self.words.old.get
+        found = [fresh.get(w) or get(w) or old(w) for w in words]
+        if len(found) == 1:
+            return found[0]
+        return " ".join([x[0] for x in found]), self.glue.join([x[1] for x in found])
+
+    def _decoded(self, ids: Iterable[int]) -> str | bytes:
         decoder = Decoder(self.merges, self.mode)
         return decoder.push(ids) if self.mode == "tokens" else decoder.raw(ids)
 
@@ -82,7 +85,8 @@ class Codec:
         if self.special is not None and self.special.fullmatch(piece):
             ids = [self.merges.added[piece]]
             return str(ids[0]), self._decoded(ids)
-        return self._words(self._cut_words(piece))
+        words = self._cut_words(piece)
+        return self._words(words, self._encode_words(words))
 
     def results(self, pieces: list[str]) -> list[tuple[str, str | bytes]]:
         """The results of the pieces in order; those that aren't held are worked out together."""
@@ -94,16 +98,19 @@ class Codec:
             else:
                 fresh[p] = self._piece(p)
         if plain:  # one call for all: a NUL between spaces is a word of its own
-            words: list[str] = []
-            at = 0
-            for w in [*self._cut_words(" \0 ".join(plain)), BYTE_SYMBOLS[0]]:
-                if w == BYTE_SYMBOLS[0]:
-                    fresh[plain[at]] = self._words(words) if words else ("", "" if self.mode == "tokens" else b"")
+            end, words, at = BYTE_SYMBOLS[0], [], 0
+            cut = self._cut_words(" \0 ".join(plain))
+            cut.append(end)
+            new = self._encode_words(cut)
+            for w in cut:
+                if w == end:
+                    fresh[plain[at]] = self._words(words, new)
                     words, at = [], at + 1
                 else:
                     words.append(w)
-        held = [fresh.get(p) or self._held(self.pieces, p) for p in pieces] if fresh else \
-            [self.pieces[p] if p in self.pieces else self.pieces.old[p] for p in pieces]
+        # results are never empty tuples; the cache may have turned over since an entry moved into it
+        get, old = self.pieces.get, self.pieces.old.get
+        held = [get(p) or fresh.get(p) or old(p) for p in pieces]
         for p, value in fresh.items():
             if len(p) <= LONG_PIECE:
                 self.pieces.put(p, value)

@@ -86,13 +86,10 @@ def merge_all(parts: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
     """Merge the pair of smallest rank, the leftmost first, until no pair has a rule."""
     get, none = ranks.get, 1 << 60
     found = [get(pair, none) for pair in zip(parts, parts[1:])]
-    while found:
-        best = min(found)
-        if best == none:
-            break
+    while found and (best := min(found)) != none:
         i = found.index(best)
-        token = parts[i] = parts[i] + parts[i + 1]
-        del parts[i + 1], found[i]
+        token = parts[i] = parts[i] + parts.pop(i + 1)
+        del found[i]
         if i:
             found[i - 1] = get((parts[i - 1], token), none)
         if i < len(found):

@@ -130,9 +130,7 @@ class Recent(dict):
     def lacking(self, keys) -> list:
         """Those of ``keys`` (once each) that aren't held; what the old half has moves over."""
         out = []
-        for key in set(keys):
-            if key in self:
-                continue
+        for key in [k for k in set(keys) if k not in self]:
             value = self.old.get(key)
             if value is None:
                 out.append(key)
