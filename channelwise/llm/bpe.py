@@ -66,9 +66,15 @@ class Codec:
                 self.words.put(word, value)
         return fresh
 
+    def _one_word(self, word: str) -> tuple[str, str | bytes]:
+        tokens = self.stream.word(word)
+        return " ".join([self.id_text[t] for t in tokens]), self._decoded(self.merges.vocab[t] for t in tokens)
+
     def _words(self, words: list[str], fresh: dict) -> tuple[str, str | bytes]:
         get, old = self.words.get, self.words.old.get
         found = [fresh.get(w) or get(w) or old(w) for w in words]
+        if None in found:  # pushed out by a text of more words than the cache holds
+            found = [x or self._one_word(w) for w, x in zip(words, found)]
         if len(found) == 1:
             return found[0]
         return " ".join([x[0] for x in found]), self.glue.join([x[1] for x in found])
@@ -110,7 +116,7 @@ class Codec:
                     words.append(w)
         # results are never empty tuples; the cache may have turned over since an entry moved into it
         get, old = self.pieces.get, self.pieces.old.get
-        held = [get(p) or fresh.get(p) or old(p) for p in pieces]
+        held = [get(p) or fresh.get(p) or old(p) or self._piece(p) for p in pieces]
         for p, value in fresh.items():
             if len(p) <= LONG_PIECE:
                 self.pieces.put(p, value)

@@ -71,11 +71,10 @@ class Counts:
         fresh: dict[str, int] = {}
         if lacking := cache.lacking(rest):
             fresh = dict(zip(lacking, self.library_lengths(lacking)))
+        get, old = cache.get, cache.old.get
         for p in rest:
-            n = cache.get(p)
-            if n is None:
-                n = fresh.get(p)
-            total += cache.old[p] if n is None else n
+            n = get(p) or fresh.get(p) or old(p)  # a pre-token has one token at least
+            total += self.library_lengths([p])[0] if n is None else n
         for p, n in fresh.items():
             if len(p) <= SHORT:
                 cache.put(p, n)
