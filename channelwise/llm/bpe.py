@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe_core import BYTE_SYMBOLS, Decoder, Transducer, load_merges
-from .common import Recent, batches_by_bytes, table, text_or_empty
+from .common import Recent, batches_by_bytes, ship, table, text_or_empty
 
 CACHE_ENTRIES = 1 << 18
 LONG_PIECE = 256
@@ -224,4 +224,5 @@ def op7_bpe_encode_decode(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return encode_digests(docs, tokenizer_path("word_bpe_49k.json"))

@@ -14,10 +14,9 @@ weights are 1 by default (the plain similarity of shingle sets); ``weighting="co
 buckets (a pair at 0.8 shares one with probability 1 - (1 - 0.8**6)**32 > 0.9999). In every bucket of
 two or more nodes a leader, drawn by hash and so another one in each band, is compared with each
 member: a number of pairs linear in the bucket. Exact similarities of the real shingle sets decide,
-and connected components join the links. A bucket whose members then still lie in several components
-may hide a link between two that aren't its leader; those pairs are compared as well, unless the
-triangle inequality of the Jaccard distance rules them out by the distances to the leader. No bucket
-is capped.
+and connected components join the links. ``TURNS - 1`` further leaders are compared with the members
+that still lie in other components. What then still lies apart (the outsiders of a bucket) is compared
+with the whole bucket, dealt out in blocks whose tasks return links alone. No bucket is capped.
 
 Cases: null counts as the empty text; texts without words are near-duplicates of equal texts only;
 rows of one doc_id are separate documents; a null doc_id ranks last and its class_id is null if all
@@ -35,13 +34,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import GOLDEN, batches_by_bytes, materialize, mix64, table, text_or_empty, unit_interval
+from .common import GOLDEN, batches_by_bytes, materialize, mix64, ship, table, text_or_empty, unit_interval
 from .components import components
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 6
 K = BANDS * ROWS
+TURNS = 3  # leaders compared in every bucket before its remaining components are compared in full
+BLOCK = 256
 LAST = (1 << 63) - 1
 CACHE_ENTRIES = 1 << 19
 SIGNATURES = "doc long, t long, node long, n int, bands array<long>"
@@ -171,50 +172,119 @@ def signatures(docs: DataFrame, weighting: str = "binary") -> DataFrame:
 
 
 def _shingle_sets(docs: DataFrame, wanted: DataFrame, weighting: str) -> DataFrame:
-    """(node, s, w) of the nodes in ``wanted`` (node, doc, t), from the text of that row."""
+    """(node, s) of the nodes in ``wanted`` (node, doc, t), from the text of that row: the shingles'
+    hashes, ascending, as bytes; behind them the weights as floats if they aren't all 1. 32 bits of
+    a hash tell the shingles of two documents apart (two documents of 1,000 shingles share one by
+    chance in one of 4,000 pairs, which changes their similarity by a thousandth)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches_by_bytes(batches, "text"):
-            sets, weights = [], []
-            for text in b.column("text").to_pylist():
-                e, w = shingles(text, weighting)
-                e = e.view(np.int64)
-                order = np.argsort(e)
-                sets.append(e[order])
-                weights.append(w[order] if weighting == "count" else w[:0])
-            yield pa.RecordBatch.from_arrays(
-                [b.column("node"), pa.array(sets, pa.list_(pa.int64())), pa.array(weights, pa.list_(pa.float64()))],
-                ["node", "s", "w"])
+            sets = [pack(*shingles(t, weighting), weighting) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(sets, pa.binary())], ["node", "s"])
 
     rows = _texts(docs).join(wanted, ["doc", "t"]).select("node", "text")
     # rows that agree in doc_id and text would give a node twice
-    return rows.mapInArrow(run, "node long, s array<long>, w array<double>").dropDuplicates(["node"])
+    return rows.mapInArrow(run, "node long, s binary").dropDuplicates(["node"])
+
+
+def pack(elements: np.ndarray, weights: np.ndarray, weighting: str = "binary") -> bytes:
+    short = (elements >> np.uint64(32)).astype(np.uint32)
+    if weighting == "binary":
+        return np.unique(short).tobytes()
+    short, at = np.unique(short, return_inverse=True)
+    return short.tobytes() + np.bincount(at, weights).astype(np.float32).tobytes()
+
+
+def unpack(packed, weighting: str = "binary") -> tuple[np.ndarray, np.ndarray | None]:
+    if weighting == "binary":
+        return np.frombuffer(packed, np.uint32), None
+    half = len(packed) // 2
+    return np.frombuffer(packed[:half], np.uint32), np.frombuffer(packed[half:], np.float32)
 
 
 def similarity(a: np.ndarray, b: np.ndarray, wa: np.ndarray | None = None, wb: np.ndarray | None = None) -> float:
     """Jaccard similarity of sorted distinct arrays, weighted if weights are given."""
-    if wa is None or not len(wa):
+    if wa is None:
         both = len(np.intersect1d(a, b, assume_unique=True))
         return both / (len(a) + len(b) - both) if len(a) + len(b) else 1.0
     _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
     low = np.minimum(wa[i], wb[j]).sum()
-    return low / (wa.sum() + wb.sum() - low)
+    return float(low / (wa.sum() + wb.sum() - low))
 
 
-def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, similarity) of node pairs."""
+class Block:
+    """Sets side by side, by element, so that one more set is compared with all of them at once."""
+
+    def __init__(self, sets: list):
+        elements = np.concatenate([e for e, _ in sets])
+        order = np.argsort(elements, kind="stable")
+        self.elements = elements[order]
+        self.owners = np.repeat(np.arange(len(sets)), [len(e) for e, _ in sets])[order]
+        weights = [np.ones(len(e), np.float32) if w is None else w for e, w in sets]
+        self.weights = np.concatenate(weights)[order]
+        self.sizes = np.array([w.sum(dtype=np.float64) for w in weights])
+
+    def similarities(self, elements: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
+        weights = np.ones(len(elements), np.float32) if weights is None else weights
+        first = np.searchsorted(self.elements, elements, "left")
+        count = np.searchsorted(self.elements, elements, "right") - first
+        at = np.repeat(first - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
+        both = np.bincount(self.owners[at], np.minimum(self.weights[at], np.repeat(weights, count)), len(self.sizes))
+        return both / (self.sizes + weights.sum(dtype=np.float64) - both)
+
+
+def _links(pairs: DataFrame, sets: DataFrame, threshold: float, weighting: str) -> DataFrame:
+    """The pairs (a, b) of nodes whose similarity reaches the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            columns = [b.column(c) for c in ("sa", "sb", "wa", "wb")]
-            out = [similarity(*(np.asarray(c[k].values) for c in columns)) for k in range(b.num_rows)]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("a"), b.column("b"), pa.array(out, pa.float64())], ["a", "b", "similarity"])
-
-    one = sets.select(F.col("node").alias("a"), F.col("s").alias("sa"), F.col("w").alias("wa"))
-    two = sets.select(F.col("node").alias("b"), F.col("s").alias("sb"), F.col("w").alias("wb"))
-    return (pairs.join(two, "b").join(one, "a").select("a", "b", "sa", "sb", "wa", "wb")
-            .mapInArrow(run, "a long, b long, similarity double"))
+            keep = []
+            for x, y in zip(b.column("sa"), b.column("sb")):
+                (ea, wa), (eb, wb) = unpack(x.as_buffer(), weighting), unpack(y.as_buffer(), weighting)
+                keep.append(similarity(ea, eb, wa, wb) >= threshold)
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    one = sets.select(F.col("node").alias("a"), F.col("s").alias("sa"))
+    two = sets.select(F.col("node").alias("b"), F.col("s").alias("sb"))
+    return pairs.join(two, "b").join(one, "a").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+
+
+def _hidden_links(placed: DataFrame, sets: DataFrame, keys: DataFrame, threshold: float, weighting: str) -> DataFrame:
+    """Links between members of one bucket that lie in different components, all of them compared.
+
+    The bucket's largest component is dealt out in blocks of about ``BLOCK`` rows; its other members
+    (the outsiders) go to every block, where a task compares arrays and returns links alone. A pair
+    is compared in the first bucket that it shares."""
+
+    def compare(members: pa.Table, asked: pa.Table) -> pa.Table:
+        out = []
+        if members.num_rows and asked.num_rows:
+            bucket = asked.column("bucket")[0].as_py()
+            block = Block([unpack(x.as_buffer(), weighting) for x in members.column("s")])
+            node, root = (np.asarray(members.column(c)) for c in ("node", "root"))
+            outside, keys = np.asarray(members.column("outside")), np.array(members.column("bands").to_pylist())
+            for x in asked.to_pylist():
+                own = np.array(x["bands"])
+                todo = (root != x["root"]) & ~(outside & (node <= x["node"]))
+                todo &= own[(keys == own).argmax(axis=1)] == bucket
+                if todo.any():
+                    near = todo & (block.similarities(*unpack(x["s"], weighting)) >= threshold)
+                    out += [(min(x["node"], y), max(x["node"], y)) for y in node[near].tolist()]
+        return pa.table([pa.array([r[i] for r in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    by_root = placed.groupBy("bucket", "root").agg(F.count("*").alias("c"))
+    by_bucket = (by_root.groupBy("bucket").agg(F.count("*").alias("roots"), F.sum("c").alias("c"),
+                                               F.max_by("root", F.struct("c", "root")).alias("main"))
+                 .filter("roots > 1 and c > 2").select(
+                     "bucket", "main", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")))
+    rows = (placed.join(materialize(by_bucket, "mixed-buckets"), "bucket").withColumn("outside", F.col("root") != F.col("main"))
+            .select("bucket", "node", "root", "outside", "blocks"))
+    rows = materialize(rows, "mixed-members").join(sets, "node").join(keys, "node")
+    members = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    asked = rows.filter("outside").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    asked = asked.select(*[F.col(c).alias(c) for c in asked.columns])  # both sides come of the same rows
+    return (members.groupBy("bucket", "block").cogroup(asked.groupBy("bucket", "block"))
+            .applyInArrow(compare, "a long, b long").distinct())
 
 
 def _pairs(rows: DataFrame, one: str, two: str) -> DataFrame:
@@ -222,43 +292,46 @@ def _pairs(rows: DataFrame, one: str, two: str) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, weighting: str = "binary") -> DataFrame:
-    """(doc, t, class, size) for every row of ``docs``: class is the smallest doc of its group."""
+    """(doc, t, root, class, size) for every row of ``docs``: root names its group, whose smallest doc is
+    ``class`` (groups of rows that share a doc_id may share that)."""
     sig = materialize(signatures(docs, weighting), "signatures")
     nodes = sig.filter("n > 0").select("node", "bands").dropDuplicates(["node"])
     rows = materialize(nodes.select("node", F.explode("bands").alias("bucket")), "bands")
-    lead = (rows.groupBy("bucket").agg(F.min(F.expr("node ^ bucket")).alias("m"), F.count("*").alias("c"))
-            .filter("c > 1").select("bucket", F.expr("m ^ bucket").alias("leader")))
-    members = materialize(rows.join(lead, "bucket").select("bucket", "leader", "node"), "members")
+    shared = rows.groupBy("bucket").agg(F.count("*").alias("c")).filter("c > 1").select("bucket")
+    members = materialize(rows.join(shared, "bucket"), "members")
     wanted = (sig.join(members.select("node").distinct(), "node", "left_semi")
               .groupBy("node").agg(F.min(F.struct("doc", "t")).alias("r")).select("node", "r.doc", "r.t"))
     sets = materialize(_shingle_sets(docs, materialize(wanted, "candidates"), weighting), "shingle-sets")
-    star = materialize(_compare(_pairs(members.filter("node != leader"), "leader", "node"), sets), "star")
-    links = star.filter(F.col("similarity") >= threshold).select("a", "b")
-    roots = components(links)
-
-    # buckets whose members still lie apart: pairs without the leader, unless too far from each other by it
-    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    apart = placed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("c")
-                                         ).filter("x != y and c > 2").select("bucket")
-    distance = star.select("a", "b", (1 - F.col("similarity")).alias("d"))
-    rest = (placed.filter("node != leader").join(apart, "bucket")
-            .withColumn("a", F.least("node", "leader")).withColumn("b", F.greatest("node", "leader"))
-            .join(distance, ["a", "b"]).select("bucket", "node", "root", "d"))
-    rest = materialize(rest, "apart")
-    if not rest.isEmpty():
-        other = rest.select("bucket", F.col("node").alias("node2"), F.col("root").alias("root2"), F.col("d").alias("d2"))
-        hidden = rest.join(other, "bucket").filter(
-            (F.col("node") < F.col("node2")) & (F.col("root") != F.col("root2"))
-            & (F.abs(F.col("d") - F.col("d2")) <= 1 - threshold + 1e-9))
-        pairs = _pairs(hidden, "node", "node2").join(star, ["a", "b"], "left_anti")
-        found = _compare(pairs, sets).filter(F.col("similarity") >= threshold).select("a", "b")
-        roots = components(links.union(found))
+    links, roots = None, members.select("node", F.col("node").alias("root")).distinct()
+    for turn in range(TURNS):
+        # another leader of every bucket; only members of other components than its own are compared
+        placed = members.join(roots, "node")
+        salt = F.xxhash64("bucket", F.lit(turn))
+        lead = (placed.withColumn("key", F.col("node").bitwiseXOR(salt)).groupBy("bucket")
+                .agg(F.min("key").alias("key"), F.min("root").alias("x"), F.max("root").alias("y")).filter("x != y")
+                .select("bucket", F.col("key").bitwiseXOR(salt).alias("leader")))
+        asked = placed.join(lead, "bucket")
+        if turn:
+            of = roots.select(F.col("node").alias("leader"), F.col("root").alias("leader_root"))
+            asked = asked.join(of, "leader").filter("root != leader_root")
+        pairs = _pairs(asked.filter("node != leader"), "leader", "node")
+        found = materialize(_links(pairs, sets, threshold, weighting), "links")
+        links = found if links is None else links.union(found)
+        roots = _roots(members, links)
+    hidden = materialize(_hidden_links(members.join(roots, "node"), sets, nodes, threshold, weighting), "hidden-links")
+    if not hidden.isEmpty():
+        roots = _roots(members, links.union(hidden))
     by_node = (sig.groupBy("node").agg(F.min("doc").alias("doc"), F.count("*").alias("size"))
                .join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     classes = by_node.groupBy("root").agg(F.min("doc").alias("class"), F.sum("size").alias("size"))
-    of_node = materialize(by_node.select("node", "root").join(classes, "root").select("node", "class", "size"),
-                          "classes")
-    return sig.select("doc", "t", "node").join(of_node, "node").select("doc", "t", "class", "size")
+    of_node = materialize(by_node.select("node", "root").join(classes, "root"), "classes")
+    return sig.select("doc", "t", "node").join(of_node, "node").select("doc", "t", "root", "class", "size")
+
+
+def _roots(members: DataFrame, links: DataFrame) -> DataFrame:
+    found = components(links)
+    return materialize(members.select("node").distinct().join(found, "node", "left")
+                       .select("node", F.coalesce("root", "node").alias("root")), "roots")
 
 
 def op1_minhash_dedup(spark, sf_dir: str) -> DataFrame:
@@ -273,9 +346,9 @@ def keep_one(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """One row of each near-duplicate class: that of the smallest doc_id (then of the smallest text
     hash, then any of rows that agree in both), with all its columns."""
     found = materialize(near_duplicates(docs, threshold), "near-duplicates")
-    kept = materialize(found.filter("doc = class").groupBy("class").agg(F.min("t").alias("t"), F.count("*").alias("c")),
+    kept = materialize(found.filter("doc = class").groupBy("root").agg(F.min("t").alias("t"), F.count("*").alias("c")),
                        "kept")
-    gone = found.join(kept.select("class", F.col("t").alias("kept_t")), "class").filter(
+    gone = found.join(kept.select("root", F.col("t").alias("kept_t")), "root").filter(
         "doc != class or t != kept_t").select(F.col("doc").alias("__gone_doc"), F.col("t").alias("__gone_t")).distinct()
     keyed = docs.withColumn("__doc", _doc()).withColumn("__t", F.xxhash64(text_or_empty()))
     out = keyed.join(materialize(gone, "gone"), (F.col("__doc") == F.col("__gone_doc"))
@@ -286,4 +359,5 @@ def keep_one(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return keep_one(docs)

@@ -111,14 +111,13 @@ def op4_mix_sources(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the rows of the mix, with the columns of ``docs``."""
-    sized = docs.select(*docs.columns, size_of().alias("__mix_words"))
-    renamed = sized.select(*[F.col(c) for c in docs.columns if c not in ("size", "source_size", "target", "taken")],
-                           F.col("__mix_words").alias("size"))
-    mixed = mix(renamed, [F.col("doc_id"), F.xxhash64("text")])
-    drawn = draw(mixed)
+    clash = {c: f"__own_{c}" for c in docs.columns if c.lower() in ("size", "source_size", "target", "taken")}
+    rows = docs.withColumnsRenamed(clash).withColumn("size", size_of())
+    drawn = draw(mix(rows, [F.col("doc_id"), F.xxhash64("text")]))
     if "n_chars" in docs.columns:
-        drawn = drawn.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return drawn.select(*[c for c in docs.columns if c in drawn.columns and c not in ("size", "target", "taken")])
+        cut = F.length("text").cast(docs.schema["n_chars"].dataType)
+        drawn = drawn.withColumn("n_chars", F.when(F.col("n_chars").isNull(), F.col("n_chars")).otherwise(cut))
+    return drawn.select(*[F.col(clash.get(c, c)).alias(c) for c in docs.columns])
 
 
 ORACLE_OP4 = r"""

@@ -214,7 +214,7 @@ def fit(table_of_features: DataFrame, labels: DataFrame, bound: int = BOUND) ->
     sample = sampled_labels(labels, "quality", bound)
     rows = (table_of_features.join(F.broadcast(sample), "doc_id").select("doc_id", "f", "label")
             .orderBy("doc_id", "f").limit(2 * bound).collect())
-    return fit_gam(np.array([r.f for r in rows], float).reshape(len(rows), -1), np.array([float(r.label) for r in rows]))
+    return fit_gam(np.array([r.f for r in rows], float).reshape(len(rows), len(NAMES)), np.array([float(r.label) for r in rows]))
 
 
 def score_features(table_of_features: DataFrame, model: Gam) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, batches_by_bytes, held_out, materialize, sampled_labels, table, text_or_empty
+from .common import WORD, batches_by_bytes, held_out, materialize, sampled_labels, ship, table, text_or_empty
 
 BOUND = 20_000
 BUCKETS = 1 << 18
@@ -280,4 +280,5 @@ def op8_toxicity(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return keep_clean(docs, fit(docs, table(spark, sf_dir, "labels")))

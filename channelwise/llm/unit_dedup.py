@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches_by_bytes, materialize, table, text_or_empty
+from .common import batches_by_bytes, materialize, ship, table, text_or_empty
 
 MIN_WORDS = 30
 LAST = (1 << 63) - 1  # ranks a null doc_id behind all others
@@ -145,4 +145,5 @@ def op10_substring_dedup(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return remove_repeats(docs)
