@@ -102,13 +102,14 @@ def _sketch(c: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return np.unique(np.unique(hashes)[:SIZE] >> np.uint64(32))
 
 
-def text_of(sketch: np.ndarray) -> str:
-    return sketch.astype(">u4").tobytes().hex()
+def packed(sketch: np.ndarray) -> bytes:
+    """A sketch as bytes, four for each hash; the fingerprint is their hexadecimal text."""
+    return sketch.astype(">u4").tobytes()
 
 
-def likeness(a: str, b: str) -> float:
+def likeness(a: bytes | str, b: bytes | str) -> float:
     """Estimated Jaccard similarity of the anchor sets behind two fingerprints."""
-    x, y = ({s[i:i + 8] for i in range(0, len(s), 8)} for s in (a, b))
+    x, y = (set(np.frombuffer(bytes.fromhex(s) if isinstance(s, str) else s, ">u4").tolist()) for s in (a, b))
     if not x and not y:
         return 1.0
     union = sorted(x | y)
@@ -123,16 +124,16 @@ class Document:
     def __init__(self, text: str):
         self.text, self.codes = text, codes(text)
         self.places, self.hashes = syncmers(self.codes)
-        self.fingerprint = text_of(_sketch(self.codes, self.hashes))
+        self.fingerprint = packed(_sketch(self.codes, self.hashes))
 
-    def edited(self, following: "Document") -> tuple[str, str]:
+    def edited(self, following: "Document") -> tuple[bytes, bytes]:
         """(sha256, fingerprint) of this text with its last third replaced by the other's start; the
         anchors before the edit are this text's own."""
         n = len(self.codes)
         third = n // 3
         keep = n - third
         text = self.text[:keep] + following.text[:third]
-        sha = hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+        sha = hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()
         if text == self.text:
             return sha, self.fingerprint
         joined = np.concatenate([self.codes[:keep], following.codes[:third]])
@@ -142,10 +143,10 @@ class Document:
             hashes = self.hashes[self.places <= keep - K]
             if len(joined) > keep:
                 hashes = np.concatenate([hashes, syncmers(joined[keep - K + 1:])[1]])
-        return sha, text_of(_sketch(joined, hashes))
+        return sha, packed(_sketch(joined, hashes))
 
 
-COLUMNS = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+COLUMNS = ("doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, "
            "near_edited double, near_next double")
 FIELDS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
@@ -159,7 +160,7 @@ def _row(doc_id, doc: Document, following: Document) -> tuple:
 def _record(rows: list[tuple], extra: list[tuple]) -> pa.RecordBatch:
     """Finished rows (edge null) and edges (edge "head" or "tail", with part and text)."""
     done = [*rows, *[(e[0], None, None, None, None, None, None) for e in extra]]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
     arrays = [pa.array([r[i] for r in done], k) for i, k in enumerate(kinds)]
     none = [None] * len(rows)
     arrays += [pa.array([*none, *[e[1] for e in extra]], pa.string()), pa.array([*none, *[e[2] for e in extra]], pa.int32()),
@@ -193,7 +194,7 @@ def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``; see COLUMNS."""
+    """One row per row of ``docs``: FIELDS, with hashes and fingerprints as lower-case hexadecimal text."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"),
                        F.xxhash64("text").alias("h"))
@@ -207,7 +208,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     used = sorted(r.part for r in tails.select("part").collect())
     follows = spark.createDataFrame(list(zip(used, used[1:] + used[:1])), "part int, next int")
     closed = tails.join(follows, "part").join(heads, "next").select("doc_id", "text", "following")
-    return found.filter("edge is null").select(*FIELDS).unionByName(closed.mapInArrow(_close, COLUMNS))
+    rows = found.filter("edge is null").select(*FIELDS).unionByName(closed.mapInArrow(_close, COLUMNS))
+    return rows.withColumns({c: F.lower(F.hex(c)) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")})
 
 
 def anchors(docs: DataFrame) -> DataFrame:

@@ -161,7 +161,7 @@ def test_fingerprints_follow_descending_ids(spark, awkward, documents):
             third = len(t) // 3
             edited = t[:len(t) - third] + following[:third]
             a, b, c = (syncmers.Document(x).fingerprint for x in (t, edited, following))
-            want.append((d, len(t), sha(edited), a, b, syncmers.likeness(a, b), syncmers.likeness(a, c)))
+            want.append((d, len(t), sha(edited), a.hex(), b.hex(), syncmers.likeness(a, b), syncmers.likeness(a, c)))
         got = [tuple(r) for r in syncmers.fingerprints(df).collect()]
         assert sorted(got, key=str) == sorted(want, key=str)
     assert syncmers.fingerprints(awkward.limit(0)).count() == 0
