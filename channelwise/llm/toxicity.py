@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, batches_by_bytes, held_out, materialize, sampled_labels, ship, table, text_or_empty
+from .common import WORD, Recent, batches_by_bytes, held_out, materialize, sampled_labels, ship, table, text_or_empty
 
 BOUND = 20_000
 BUCKETS = 1 << 18
@@ -56,11 +56,13 @@ class Lexicon:
 
     base: float
     counts: dict = field(default_factory=dict)
-    cache: dict = field(default_factory=dict, repr=False)
+    cache: Recent = field(default_factory=lambda: Recent(CACHE_ENTRIES), repr=False)
 
     def score(self, word: str) -> float:
         """Positive score of a word, or 0 if it has none."""
         known = self.cache.get(word)
+        if known is None and (known := self.cache.old.get(word)) is not None:
+            self.cache.put(word, known)
         if known is not None:
             return known
         out, found = 0.0, [(k, self.counts.get((k, b))) for k, b in forms(word)]
@@ -76,9 +78,7 @@ class Lexicon:
                     own = lower
                 mean = a / (a + b)
             out = max(0.0, best if own is None else own)
-        if len(self.cache) >= CACHE_ENTRIES:
-            self.cache.clear()
-        self.cache[word] = out
+        self.cache.put(word, out)
         return out
 
     def positives(self, words: list[str]) -> list[tuple[int, float]]:
