@@ -1,9 +1,11 @@
 """Global ``ROW_NUMBER() OVER (ORDER BY ...)`` without a single-partition window.
 
-A window with no PARTITION BY moves every row into one task. Here the rows are
-range-partitioned on the order keys (balanced by sampling), sorted within partitions,
-numbered locally, and shifted by the row count of all earlier partitions. The only
-data that meets in one place is one count per partition.
+A window with no PARTITION BY moves every row into one task. Here the rows are range-partitioned on
+the order keys (balanced by sampling), sorted within partitions, and written once, below the shared
+checkpoint folder, with their partition's number and their place in it. The row counts of the
+partitions and the rows themselves are both taken from that table, so they belong to the same
+partitioning whatever columns are read, and a retried task can't change them. The only data that
+meets in one place is one count per partition.
 """
 
 from __future__ import annotations
@@ -13,8 +15,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_LOCAL_BITS = 33  # monotonically_increasing_id = partition_id << 33 | row index in partition
-MAX_DEFAULT_PARTITIONS = 1024
+from ..session import scratch_path
+
+_STEP = 1 << 33  # monotonically_increasing_id starts each partition at a multiple of this
 
 
 def ordered_row_number(df: DataFrame, order: Sequence[Column], out: str = "row_number",
@@ -22,25 +25,22 @@ def ordered_row_number(df: DataFrame, order: Sequence[Column], out: str = "row_n
     """Add ``out`` = 1-based position of each row in the total order ``order``.
 
     ``order`` should be a total order (append unique tie-breaks) for deterministic numbers;
-    it also keeps equal leading keys from piling into one range partition. The per-partition
-    counts are taken from the range-partitioned rows themselves, so both branches share one
-    exchange (planned as a reused exchange): the input is computed once.
+    it also keeps equal leading keys from piling into one range partition. Runs a job: the ordered
+    rows are written when the function is called. ``num_partitions`` defaults to the session's
+    shuffle partitions.
     """
     spark = df.sparkSession
-    if num_partitions is None:
-        # an explicit count (AQE must not coalesce: partition ids carry the order), capped so a
-        # small dimension on a wide cluster does not become thousands of empty tasks; pass
-        # ``num_partitions`` for inputs beyond a few billion rows
-        conf = spark.conf.get("spark.sql.shuffle.partitions", "200")
-        num_partitions = min(int(conf) if str(conf).isdigit() else 200, MAX_DEFAULT_PARTITIONS)
-    n = num_partitions
-    ranged = df.repartitionByRange(n, *order)
-    counts = ranged.groupBy(F.spark_partition_id().alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # an explicit count: AQE must not coalesce, as partition numbers carry the order
+    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    placed = ranged.withColumn("_pid", F.spark_partition_id()).withColumn(
+        "_local", F.monotonically_increasing_id() - F.col("_pid").cast("bigint") * F.lit(_STEP))
+    path = scratch_path(spark, "ordered_rows")
+    placed.write.parquet(path)
+    rows = spark.read.schema(placed.schema).parquet(path)
+    counts = rows.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: bounded by ``n``; a window over it is cheap
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset"))
-    local = ranged.sortWithinPartitions(*order).select(
-        "*", F.spark_partition_id().alias("_pid"),
-        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)).alias("_local"))
-    numbered = local.join(F.broadcast(offsets), "_pid")
+    numbered = rows.join(F.broadcast(offsets), "_pid")
     return numbered.withColumn(out, F.col("_offset") + F.col("_local") + 1).drop("_pid", "_local", "_offset")

@@ -27,7 +27,7 @@ from .plans.warehouse import Warehouse, fixture_warehouse, run_concurrently
 from .sources import fixtures
 
 AS_OF = params.DEFAULT_AS_OF
-CHANNEL = "tikvahpharma"
+CHANNEL = "tabletmart_0"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -150,13 +150,13 @@ def q_list_channels(c: Context):
 
 @report
 def q_search_messages(c: Context):
-    return search.search_messages(c.w.fct, c.w.dim_channels, c.w.dim_dates, "tablet", channel="pharma",
+    return search.search_messages(c.w.fct, c.w.dim_channels, c.w.dim_dates, "tablet", channel="med",
                                   limit=20, page=2)
 
 
 @report
 def q_search_count(c: Context):
-    return search.search_count(c.w.fct, c.w.dim_channels, c.w.dim_dates, "tablet", channel="pharma")
+    return search.search_count(c.w.fct, c.w.dim_channels, c.w.dim_dates, "tablet", channel="med")
 
 
 @report

@@ -63,14 +63,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared folder and is used as is. Only when it is unset
-    (local tests) a fresh scratch folder is created and registered with the context.
+    On a cluster the setting names a shared folder and is used as is; if it is unset there, this
+    raises. With a local master a fresh scratch folder is created and registered with the context.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - no local SparkContext (e.g. Spark Connect): use the setting only
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        return configured or tempfile.mkdtemp(prefix="channelwise-ckpt-")
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share") from None
+        return configured
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         if sc.getCheckpointDir() is None:
@@ -79,6 +81,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="channelwise-ckpt-")
     sc.setCheckpointDir(path)
     return path

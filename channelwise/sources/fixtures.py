@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-# Fixed values of the mapping: channel list keyed by user_id % 8, and product-form words
-# keyed by event_id % 13 (index 12 and anything else -> 'offer').
-FIXTURE_CHANNELS = [
-    (0, "tikvahpharma"), (1, "lobelia4cosmetics"), (2, "doctorsonline"), (3, "cityhealthclinic"),
-    (4, "dailynews"), (5, "skinbeautyet"), (6, "chemed"), (7, "medicalhub"),
-]
+# Fixed values of the mapping. A channel belongs to each user (so channels grow with the data); every
+# third event belongs to channel 0, which so holds a third of all messages. The name's first part goes
+# by the channel number % 8, and one of them holds characters that folder names and paths escape.
+CHANNEL_KEY = "CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END"
+FIXTURE_CHANNELS = ["tabletmart", "lotionshop", "doctorline", "cityclinic", "daily news 50%=ዜና:", "skincorner",
+                    "chemed", "medicalhub"]
+# Product-form words keyed by event_id % 13 (index 12 -> 'offer').
 FIXTURE_FORMS = [
     "Tablet", "pill", "capsule", "cream", "ointment", "syrup", "liquid", "injection", "vitamin",
     "supplement", "device", "equipment",
@@ -27,15 +28,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _channels(spark: SparkSession) -> DataFrame:
-    # 8 literal rows, built JVM-side: a fixed-size broadcast side.
-    rows = F.array(*[F.struct(F.lit(k).cast("bigint").alias("k"), F.lit(n).alias("channel_name"))
-                     for k, n in FIXTURE_CHANNELS])
-    return F.broadcast(spark.range(1).select(F.inline(rows)))
+def channel_name(key: str = CHANNEL_KEY) -> str:
+    """SQL expression of a channel's name from its number."""
+    names = ", ".join(f"'{n}'" for n in FIXTURE_CHANNELS)
+    return f"concat(element_at(array({names}), CAST(({key}) % 8 AS INT) + 1), '_', CAST({key} AS STRING))"
 
 
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events ⋈ channel list ⋈ part -> raw message rows (schema ``schemas.RAW_MESSAGE``)."""
+    """events ⋈ part -> raw message rows (schema ``schemas.RAW_MESSAGE``)."""
     return raw_messages_from(read_table(spark, sf_dir, "events"), read_table(spark, sf_dir, "part"))
 
 
@@ -56,14 +56,12 @@ def _sql_case(key_sql: str, values, default: str) -> str:
 def raw_messages_from(events: DataFrame, part: DataFrame) -> DataFrame:
     """The mapping over given events (batch or streaming) and part tables. The projection is
     written as SQL expressions (parsed once in the JVM)."""
-    spark = events.sparkSession
     e = events.select("event_id", "ts", "user_id", "event_type", "value", "props")
-    # event_id % 200 lies in [-199, 199], so only part keys in that range can join: the
-    # part side is bounded by 399 keys whatever the table size, a safe broadcast.
-    p = part.select("p_partkey", "p_name", "p_size").filter("p_partkey > -200 AND p_partkey < 200")
-    ch = _channels(spark)
-    j = (e.join(ch, (F.col("user_id") % 8) == ch.k)
-         .join(F.broadcast(p), (F.col("event_id") % 200) == F.col("p_partkey")))
+    # every part takes part: the events go round the parts' whole key range
+    p = part.select("p_partkey", "p_name", "p_size")
+    keys = part.agg(F.max("p_partkey").alias("m")).first()["m"]
+    j = (e.withColumn("channel_name", F.expr(channel_name()))
+         .join(p, (F.col("event_id") % F.lit((keys or 0) + 1)) == F.col("p_partkey")))
     form = _sql_case("event_id % 13", FIXTURE_FORMS, "offer")
     image = "concat('data/raw/images/', channel_name, '/', CAST(event_id AS STRING), '.jpg')"
     return j.selectExpr(
@@ -98,10 +96,9 @@ def raw_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events(view) -> raw detector output rows (schema ``schemas.RAW_DETECTION``)."""
     e = (read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
          .filter(F.col("event_type") == "view"))
-    ch = _channels(spark)
     csv = _sql_case("event_id % 7", FIXTURE_OBJECTS, FIXTURE_OBJECTS[-1])
     objs = f"CASE WHEN {csv} = '' THEN CAST(array() AS ARRAY<STRING>) ELSE split({csv}, ',') END"
-    j = e.join(ch, (F.col("user_id") % 8) == ch.k)
+    j = e.withColumn("channel_name", F.expr(channel_name()))
     return (j.selectExpr(
         "concat('data/raw/images/', channel_name, '/', CAST(event_id AS STRING), '.jpg') AS image_path",
         f"{objs} AS detected_objects", "event_id", "ts")
@@ -116,10 +113,9 @@ def raw_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
 def image_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """pages -> rows in the ``binaryFile`` schema (path, modificationTime, length, content): each
     page's HTML bytes stand in for an image file at ``data/raw/images/<channel>/<page_id>.jpg``
-    (channel from the fixed list by page_id % 8). Input for the detection job only."""
+    (the channel's number is the page_id). Input for the detection job only."""
     pages = read_table(spark, sf_dir, "pages").select("page_id", "html")
-    ch = _channels(spark)
-    j = pages.join(ch, (F.col("page_id") % 8) == ch.k)
+    j = pages.withColumn("channel_name", F.expr(channel_name("page_id")))
     return j.selectExpr(
         "concat('data/raw/images/', channel_name, '/', CAST(page_id AS STRING), '.jpg') AS path",
         "CAST(TIMESTAMP_NTZ '2024-01-20 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, page_id) AS TIMESTAMP)"
