@@ -56,28 +56,14 @@ class Codec:
         self.pieces = Recent(CACHE_ENTRIES)  # piece -> (ids joined by a space, decoded text or bytes)
 
     def _encode_words(self, words: list[str]) -> dict[str, tuple[str, str | bytes]]:
-        """The results of those words that aren't held yet, which also go to the cache."""
-        fresh, number, tokens_of = {}, self.id_text, self.stream.word
-        for word in self.words.lacking(words):
-            tokens = tokens_of(word)
-            fresh[word] = (" ".join([number[t] for t in tokens]), self._decoded(map(self.merges.vocab.__getitem__, tokens)))
-        for word, value in fresh.items():
-            if len(word) <= LONG_PIECE:
-                self.words.put(word, value)
-        return fresh
-
-    def _one_word(self, word: str) -> tuple[str, str | bytes]:
-        tokens = self.stream.word(word)
-        return " ".join([self.id_text[t] for t in tokens]), self._decoded(self.merges.vocab[t] for t in tokens)
-
-    def _words(self, words: list[str], fresh: dict) -> tuple[str, str | bytes]:
-        get, old = self.words.get, self.words.old.get
-        found = [fresh.get(w) or get(w) or old(w) for w in words]
-        if None in found:  # pushed out by a text of more words than the cache holds
-            found = [x or self._one_word(w) for w, x in zip(words, found)]
-        if len(found) == 1:
-            return found[0]
-        return " ".join([x[0] for x in found]), self.glue.join([x[1] for x in found])
+        out, number, ids = {}, self.id_text, self.merges.vocab.__getitem__
+        for word in words:
+            tokens = self.stream.word(word)
+            out[word] = (" ".join([number[t] for t in tokens]), self._decoded(map(ids, tokens)))
+        return out
+
+    def _joined(self, found: list[tuple[str, str | bytes]]) -> tuple[str, str | bytes]:
+        return found[0] if len(found) == 1 else (" ".join([x[0] for x in found]), self.glue.join([x[1] for x in found]))
 
     def _decoded(self, ids: Iterable[int]) -> str | bytes:
         decoder = Decoder(self.merges, self.mode)
@@ -87,40 +73,30 @@ class Codec:
         text = self.normalizer.normalize_str(text) if self.normalizer is not None else text
         return [w for w, _ in self.pre_tokenizer.pre_tokenize_str(text)]
 
-    def _piece(self, piece: str) -> tuple[str, str | bytes]:
-        if self.special is not None and self.special.fullmatch(piece):
-            ids = [self.merges.added[piece]]
-            return str(ids[0]), self._decoded(ids)
-        words = self._cut_words(piece)
-        return self._words(words, self._encode_words(words))
-
-    def results(self, pieces: list[str]) -> list[tuple[str, str | bytes]]:
-        """The results of the pieces in order; those that aren't held are worked out together."""
-        fresh: dict[str, tuple[str, str | bytes]] = {}
-        plain = []
-        for p in self.pieces.lacking(pieces):
-            if self.drops_space and "\0" not in p and not (self.special is not None and self.special.search(p)):
+    def _encode_pieces(self, pieces: list[str]) -> dict[str, tuple[str, str | bytes]]:
+        out, plain = {}, []
+        for p in pieces:
+            if self.special is not None and self.special.search(p):
+                ids = [self.merges.added[p]]  # ``cut`` leaves special tokens as pieces of their own
+                out[p] = str(ids[0]), self._decoded(ids)
+            elif self.drops_space and "\0" not in p:
                 plain.append(p)
             else:
-                fresh[p] = self._piece(p)
+                out[p] = self._joined(self.words.fetch(self._cut_words(p), self._encode_words, LONG_PIECE))
         if plain:  # one call for all: a NUL between spaces is a word of its own
-            end, words, at = BYTE_SYMBOLS[0], [], 0
+            end = BYTE_SYMBOLS[0]
             cut = self._cut_words(" \0 ".join(plain))
             cut.append(end)
-            new = self._encode_words(cut)
-            for w in cut:
+            found, at, first = self.words.fetch(cut, self._encode_words, LONG_PIECE), 0, 0
+            for k, w in enumerate(cut):
                 if w == end:
-                    fresh[plain[at]] = self._words(words, new)
-                    words, at = [], at + 1
-                else:
-                    words.append(w)
-        # results are never empty tuples; the cache may have turned over since an entry moved into it
-        get, old = self.pieces.get, self.pieces.old.get
-        held = [get(p) or fresh.get(p) or old(p) or self._piece(p) for p in pieces]
-        for p, value in fresh.items():
-            if len(p) <= LONG_PIECE:
-                self.pieces.put(p, value)
-        return held
+                    out[plain[at]] = found[first] if k == first + 1 else self._joined(found[first:k])
+                    at, first = at + 1, k + 1
+        return out
+
+    def results(self, pieces: list[str]) -> list[tuple[str, str | bytes]]:
+        """The results of the pieces in order; those that aren't held are worked out together."""
+        return self.pieces.fetch(pieces, self._encode_pieces, LONG_PIECE)
 
     def cut(self, text: str) -> list[str]:
         """Pieces of a text that are encoded independently of each other."""

@@ -127,13 +127,21 @@ class Recent(dict):
             self.clear()
         self[key] = value
 
-    def lacking(self, keys) -> list:
-        """Those of ``keys`` (once each) that aren't held; what the old half has moves over."""
-        out = []
-        for key in [k for k in set(keys) if k not in self]:
-            value = self.old.get(key)
-            if value is None:
-                out.append(key)
-            else:
-                self.put(key, value)
-        return out
+    def fetch(self, keys: list, work, longest: int) -> list:
+        """The values of ``keys`` in order. ``work`` gets those that aren't held, once each, and returns
+        a dict of their values; keys of more than ``longest`` characters aren't kept."""
+        held = list(map(self.get, keys))
+        if None in held:
+            new, lacking = {}, []
+            for key in {k for k, v in zip(keys, held) if v is None}:
+                if (value := self.old.get(key)) is None:
+                    lacking.append(key)
+                else:
+                    new[key] = value
+            if lacking:
+                new.update(work(lacking))
+            held = [new[k] if v is None else v for k, v in zip(keys, held)]
+            for key, value in new.items():
+                if len(key) <= longest:
+                    self.put(key, value)
+        return held

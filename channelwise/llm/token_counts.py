@@ -58,27 +58,18 @@ class Counts:
         # texts that hold one of these are encoded whole
         self.special = re.compile("|".join(re.escape(t.content) for t in added)) if added else None
 
-    def library_lengths(self, pieces: list[str]) -> list[int]:
-        return [len(x.ids) for x in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
+    def library_lengths(self, pieces: list[str]) -> dict[str, int]:
+        found = self.library.encode_batch_fast(pieces, add_special_tokens=False)
+        return {p: len(x.ids) for p, x in zip(pieces, found)}
 
     def count(self, text: str) -> int:
         if self.special is not None and self.special.search(text):
             return len(self.library.encode(text, add_special_tokens=False).ids)
-        pieces = pre_tokens(text)
-        frequent, cache = self.frequent, self.cache
-        rest = [p for p in pieces if p not in frequent]
-        total = sum([frequent[p] for p in pieces if p in frequent])
-        fresh: dict[str, int] = {}
-        if lacking := cache.lacking(rest):
-            fresh = dict(zip(lacking, self.library_lengths(lacking)))
-        get, old = cache.get, cache.old.get
-        for p in rest:
-            n = get(p) or fresh.get(p) or old(p)  # a pre-token has one token at least
-            total += self.library_lengths([p])[0] if n is None else n
-        for p, n in fresh.items():
-            if len(p) <= SHORT:
-                cache.put(p, n)
-        return total
+        tier_one = list(map(self.frequent.get, pieces := pre_tokens(text)))
+        if None not in tier_one:
+            return sum(tier_one)
+        rest = [p for p, n in zip(pieces, tier_one) if n is None]
+        return sum(filter(None, tier_one)) + sum(self.cache.fetch(rest, self.library_lengths, SHORT))
 
 
 def frequent_lengths(docs: DataFrame, path: str) -> dict[str, int]:
@@ -89,7 +80,7 @@ def frequent_lengths(docs: DataFrame, path: str) -> dict[str, int]:
         if text and not (counts.special is not None and counts.special.search(text)):
             seen.update(p for p in pre_tokens(text) if len(p) <= SHORT)
     top = [p for p, n in seen.most_common(TABLE_ENTRIES) if n > 1]
-    return dict(zip(top, counts.library_lengths(top)))
+    return counts.library_lengths(top)
 
 
 @lru_cache(maxsize=2)
