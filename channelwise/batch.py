@@ -9,7 +9,8 @@ Steps (each a Spark job over the whole input; every output is a table under ``--
 3. build staging, calendar, channel dimension and the date-partitioned fact from the raw table;
 4. run the quality suite -> ``quality_results/`` (CSV);
 5. write the four API extracts -> ``api_extracts/``.
-Returns the load counts (read / rejected null keys / duplicates / inserted / landing rejects)
+Returns the load counts (read / rejected null keys / duplicates / already loaded / inserted / landing
+rejects)
 and whether every check passed.
 """
 
@@ -34,19 +35,20 @@ RAW_KEYS = ["message_id", "channel_name"]
 
 def run_batch(spark: SparkSession, landing_root: str, out: str, as_of=None, calendar: str = "data") -> dict:
     base = out.rstrip("/")
-    msgs, rejects = landing.read_landing(spark, landing_root, as_of=as_of)
-    reject_path = scratch_path(spark, "batch_rejects")
-    rejects.write.parquet(reject_path)  # this run's rejects, counted once, then appended
-    run_rejects = spark.read.parquet(reject_path)
-    run_rejects.write.mode("append").parquet(f"{base}/rejects")
+    parsed_path = scratch_path(spark, "batch_parsed")
+    landing.parse_landing(spark, landing_root, as_of=as_of).write.parquet(parsed_path)  # parsed once
+    parsed = spark.read.parquet(parsed_path)
+    msgs, rejects = landing.good_messages(parsed), landing.rejects(parsed)
+    landing.write_rejects(rejects, base)
     landing.write_manifest(landing_manifest(msgs, run_utc=as_of), base)
 
     raw_path = f"{base}/raw_messages"
-    incoming = landing.raw_columns(msgs)
-    inserted = sinks.load_parquet_table(incoming, raw_path)
+    order = ["scrape_date", "scraped_at", "source_file"]  # the earliest scrape of a message wins
+    incoming = landing.raw_columns(msgs, "scrape_date", "source_file")
+    inserted = sinks.load_parquet_table(incoming, raw_path, order=order, drop=("scrape_date", "source_file"))
     counts = load_counts(incoming, RAW_KEYS, inserted).first().asDict()
 
-    raw = spark.read.parquet(raw_path)
+    raw = landing.raw_columns(spark.read.parquet(raw_path))
     cal = date_dimension(spark) if calendar == "fixed" else None
     built = Warehouse(raw, as_of).materialize(f"{base}/warehouse", partition_fact_by="date_key", calendar=cal)
 
@@ -55,7 +57,7 @@ def run_batch(spark: SparkSession, landing_root: str, out: str, as_of=None, cale
     passed = all_passed(spark.read.option("header", True).option("inferSchema", True)
                         .csv(f"{base}/quality_results"))
     sinks.write_api_extracts(built, f"{base}/api_extracts", as_of)
-    return {**counts, "landing_rejects": run_rejects.count(), "all_passed": passed}
+    return {**counts, "landing_rejects": rejects.count(), "all_passed": passed}
 
 
 def main(argv=None) -> None:

@@ -1,10 +1,11 @@
 """Keep-first-per-key and insert-or-ignore loads.
 
-``first_per_key`` picks, per key, the row that is smallest in the given order with
-``min(struct(order..., payload...))``. That is an ordinary aggregate with map-side partial
-aggregation: every task reduces its copies of a key to one row before the shuffle, so a
-key holding a third of all rows costs one row per task, not one task holding all copies
-(which a ``row_number()`` window partitioned by the key would).
+``first_per_key`` first finds the keys that occur more than once (a hash aggregate over the key columns
+alone) and writes them to the shared checkpoint folder. Rows of other keys pass through as they are;
+only the copies are reduced, with ``min(struct(order..., payload...))``: an ordinary aggregate with
+map-side combining, so a key holding a third of all rows costs one row per task, not one task holding
+all copies (which a ``row_number()`` window partitioned by the key would). Spark broadcasts the
+written keys if they are few, by their measured size.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .scalars import combine_scalars
 
 
@@ -30,9 +32,15 @@ def _order_fields(order: Sequence[Column | str]) -> list[Column]:
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """One row per ``keys``: the first in ``order`` (ties broken by the remaining columns)."""
     payload = [c for c in df.columns if c not in keys]
+    path = scratch_path(df.sparkSession, "repeated_keys")
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    counted.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).write.parquet(path)
+    repeated = df.sparkSession.read.parquet(path)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
     best = F.min(F.struct(*_order_fields(order), *[F.col(c) for c in payload])).alias("_best")
-    picked = df.groupBy(*keys).agg(best)
-    return picked.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in payload]).select(*df.columns)
+    picked = df.join(repeated, same, "left_semi").groupBy(*keys).agg(best)
+    reduced = picked.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in payload]).select(*df.columns)
+    return df.join(repeated, same, "left_anti").unionByName(reduced)
 
 
 def split_rejects(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -54,12 +62,15 @@ def insert_or_ignore(incoming: DataFrame, keys: Sequence[str], order: Sequence[C
 
 
 def load_counts(incoming: DataFrame, keys: Sequence[str], inserted: DataFrame) -> DataFrame:
-    """Read / rejected / duplicate / inserted counts of one load, as one row."""
+    """Counts of one load, as one row: read = rejected (null key) + duplicate (further copies of a key
+    in this load) + already_loaded (keys that the target held) + inserted."""
     bad = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     good = incoming.filter(~bad)
-    return combine_scalars({
+    counts = combine_scalars({
         "read": incoming.agg(F.count(F.lit(1))),
         "rejected": incoming.agg(F.count_if(bad)),
-        "duplicate": good.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.sum(F.col("_n") - 1)),
+        "duplicate": good.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(
+            F.coalesce(F.sum(F.col("_n") - 1), F.lit(0).cast("bigint"))),
         "inserted": inserted.agg(F.count(F.lit(1))),
     })
+    return counts.withColumn("already_loaded", F.col("read") - F.col("rejected") - F.col("duplicate") - F.col("inserted"))

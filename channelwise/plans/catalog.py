@@ -12,6 +12,7 @@ from .. import params
 from ..functions.calendar import as_of_col
 from ..operators import quality as Q
 from ..operators.dedupe import insert_or_ignore
+from ..session import scratch_path
 
 RAW_KEYS = ["message_id", "channel_name"]
 
@@ -22,7 +23,9 @@ def run_quality_suite(stg: DataFrame, dim_channels: DataFrame, dim_dates: DataFr
 
     Contains the five in-process checks (future dates, negative views, channel types, the two
     foreign keys), the schema tests (not-null, unique, accepted values, not-negative,
-    relationships) and the message-length test. Row-level checks of each table share one scan.
+    relationships) and the message-length test. The fact is read once: its row checks are counted by
+    (channel_key, date_key) into a small written table, from which totals and foreign keys follow.
+    A check that can't be evaluated is a FAIL with a null result.
     """
     now = as_of_col(as_of)
     valid = F.col("data_quality_status") == "valid"
@@ -45,7 +48,7 @@ def run_quality_suite(stg: DataFrame, dim_channels: DataFrame, dim_dates: DataFr
         Q.not_null("not_null_dim_dates_full_date", "full_date"),
         Q.accepted_values("accepted_values_dim_dates_is_weekend", "is_weekend", [True, False]),
     ])
-    fct_checks = Q.row_checks(fct, [
+    checks_of_fact = [
         Q.not_null("not_null_fct_messages_message_id", "message_id"),
         Q.not_null("not_null_fct_messages_channel_key", "channel_key"),
         Q.not_null("not_null_fct_messages_date_key", "date_key"),
@@ -54,14 +57,26 @@ def run_quality_suite(stg: DataFrame, dim_channels: DataFrame, dim_dates: DataFr
         Q.not_null("not_null_fct_messages_forward_count", "forward_count"),
         Q.not_negative("not_negative_fct_messages_forward_count", "forward_count"),
         Q.accepted_values("accepted_values_fct_messages_has_image", "has_image", [True, False]),
-    ])
+    ]
+    spark = fct.sparkSession
+    path = scratch_path(spark, "fact_profile")
+    Q.profile(fct, [k for k in ("channel_key", "date_key") if k in fct.columns], checks_of_fact).write.parquet(path)
+    by_key = spark.read.parquet(path)
+    fct_checks = Q.profile_results(fct, by_key, checks_of_fact)
+
+    def orphans(name, key, parent, null_passes):
+        return Q.guarded(spark, name, lambda: Q.relationships(name, by_key, key, parent, key, null_passes))
+
+    def doubled(name, df, key):
+        return Q.guarded(spark, name, lambda: Q.unique(name, df, [key]))
+
     sets = [
-        Q.relationships("Foreign key integrity (channels)", fct, "channel_key", dim_channels, "channel_key", False),
-        Q.relationships("Foreign key integrity (dates)", fct, "date_key", dim_dates, "date_key", False),
-        Q.unique("unique_dim_channels_channel_key", dim_channels, ["channel_key"]),
-        Q.unique("unique_dim_dates_date_key", dim_dates, ["date_key"]),
-        Q.relationships("relationships_fct_messages_channel_key", fct, "channel_key", dim_channels, "channel_key"),
-        Q.relationships("relationships_fct_messages_date_key", fct, "date_key", dim_dates, "date_key"),
+        orphans("Foreign key integrity (channels)", "channel_key", dim_channels, False),
+        orphans("Foreign key integrity (dates)", "date_key", dim_dates, False),
+        doubled("unique_dim_channels_channel_key", dim_channels, "channel_key"),
+        doubled("unique_dim_dates_date_key", dim_dates, "date_key"),
+        orphans("relationships_fct_messages_channel_key", "channel_key", dim_channels, True),
+        orphans("relationships_fct_messages_date_key", "date_key", dim_dates, True),
     ]
     results = reduce(DataFrame.unionByName, [stg_checks, ch_checks, date_checks, fct_checks, *sets])
     return Q.with_status(results)
@@ -76,20 +91,20 @@ def save_quality_results(results: DataFrame, path: str, as_of=None) -> None:
 
 def landing_manifest(messages: DataFrame, date_col: str = "scrape_date", run_utc=None,
                      extra: dict[str, str] | None = None) -> DataFrame:
-    """Per landing date: message count per channel (map), total, run time and extra fields."""
-    per = messages.groupBy(date_col, "channel_name").agg(F.count(F.lit(1)).alias("n"))
-    # the map holds one already-aggregated entry per channel active that day (not messages)
-    m = per.groupBy(F.col(date_col).alias("date")).agg(
-        F.map_from_entries(F.collect_list(F.struct("channel_name", "n"))).alias("channels"),
-        F.sum("n").alias("total_messages"))
+    """One row per landing date and channel: message_count, the date's total, run time and extra
+    fields. The total is an aggregate of the counts, joined back; no list of channels is built."""
+    per = messages.groupBy(F.col(date_col).alias("date"), "channel_name").agg(F.count(F.lit(1)).alias("message_count"))
+    total = per.groupBy(F.col("date").alias("_d")).agg(F.sum("message_count").alias("total_messages"))
     ex = F.create_map(*[x for k, v in (extra or {}).items() for x in (F.lit(k), F.lit(str(v)))]) if extra else \
         F.create_map().cast("map<string,string>")
-    return m.select("date", as_of_col(run_utc).alias("run_utc"), "channels", "total_messages", ex.alias("extra"))
+    return (per.join(total, F.col("date").eqNullSafe(F.col("_d")))
+            .select("date", "channel_name", "message_count", "total_messages", as_of_col(run_utc).alias("run_utc"),
+                    ex.alias("extra")))
 
 
 def manifest_rows(manifest: DataFrame) -> DataFrame:
-    """Manifest flattened to (date, channel_name, message_count, total_messages)."""
-    return manifest.select("date", F.explode("channels").alias("channel_name", "message_count"), "total_messages")
+    """The counts of a manifest: (date, channel_name, message_count, total_messages)."""
+    return manifest.select("date", "channel_name", "message_count", "total_messages")
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -43,9 +43,9 @@ def box_category_counts(boxes: DataFrame) -> DataFrame:
 
 
 def _share(df: DataFrame, count_col: str, out: str) -> DataFrame:
-    # grouped rows are bounded by a fixed vocabulary (categories / detector classes)
-    total = F.sum(count_col).over(Window.partitionBy())
-    return df.withColumn(out, r2(F.col(count_col) * 100.0 / total))
+    """Percentage of the column's total; the total is a one-row aggregate, read by every task."""
+    total = df.agg(F.sum(count_col).alias("_total"))
+    return df.crossJoin(F.broadcast(total)).withColumn(out, r2(F.col(count_col) * 100.0 / F.col("_total"))).drop("_total")
 
 
 def image_category_stats(det: DataFrame) -> DataFrame:
@@ -54,17 +54,18 @@ def image_category_stats(det: DataFrame) -> DataFrame:
     return _share(g, "count", "percentage").orderBy(F.col("count").desc(), "image_category")
 
 
-def _fact_by_message(fct: DataFrame, dim_channels: DataFrame) -> DataFrame:
-    return (fct.join(dim_channels.select("channel_key", "channel_name"), "channel_key")
-            .select("message_id", "channel_name", "view_count", "forward_count", "channel_key"))
+def _with_channel_key(det: DataFrame, dim_channels: DataFrame) -> DataFrame:
+    """Detections with the key of their channel: the dimension is met by the detections, not by the
+    fact, which is then joined on two integers. A name that several dimension rows share matches all."""
+    return det.join(dim_channels.select("channel_key", "channel_name"), "channel_name")
 
 
 def image_engagement(det: DataFrame, fct: DataFrame, dim_channels: DataFrame, categories=None) -> DataFrame:
     """Views and forwards of messages per image category (images matched to their message
     by (message_id, channel) parsed from the path)."""
     d = det if categories is None else det.filter(F.col("image_category").isin(list(categories)))
-    j = d.select("message_id", "channel_name", "image_category").join(
-        _fact_by_message(fct, dim_channels), ["message_id", "channel_name"])
+    j = (_with_channel_key(d.select("message_id", "channel_name", "image_category"), dim_channels)
+         .join(fct.select("message_id", "channel_key", "view_count", "forward_count"), ["message_id", "channel_key"]))
     return (j.groupBy("image_category")
             .agg(F.count(F.lit(1)).alias("image_count"), F.avg("view_count").alias("avg_views"),
                  F.avg("forward_count").alias("avg_forwards"), F.sum("view_count").alias("total_views"))
@@ -82,12 +83,16 @@ def promotional_vs_display(det: DataFrame, fct: DataFrame, dim_channels: DataFra
 
 
 def visual_channels(det: DataFrame, fct: DataFrame, dim_channels: DataFrame, limit: int = 5) -> DataFrame:
-    """Channels by images per message. Detections are pre-counted per message key, so the
-    channel <- fact <- images left joins stay 1:1."""
-    per_msg = det.groupBy("message_id", "channel_name").agg(F.count(F.lit(1)).alias("_img"))
-    f = _fact_by_message(fct, dim_channels).join(per_msg, ["message_id", "channel_name"], "left")
-    per_ch = f.groupBy("channel_key").agg(F.count("message_id").alias("message_count"),
-                                          F.coalesce(F.sum("_img"), F.lit(0)).alias("image_count"))
+    """Channels by images per message. Messages are counted from the fact without a join; only fact
+    rows that have a detection are joined. A message with several images counts once for each, as in a
+    left join of fact and images."""
+    per_msg = (_with_channel_key(det.select("message_id", "channel_name"), dim_channels)
+               .groupBy("message_id", "channel_key").agg(F.count(F.lit(1)).alias("_img")))
+    messages = fct.groupBy("channel_key").agg(F.count("message_id").alias("_messages"))
+    matched = (fct.select("message_id", "channel_key").join(per_msg, ["message_id", "channel_key"])
+               .groupBy("channel_key").agg(F.sum("_img").alias("image_count"), F.sum(F.col("_img") - 1).alias("_more")))
+    per_ch = messages.join(matched, "channel_key", "left").select(
+        "channel_key", "image_count", (F.col("_messages") + F.coalesce("_more", F.lit(0))).alias("message_count"))
     c = dim_channels.select("channel_key", "channel_name", "channel_type").join(per_ch, "channel_key", "left")
     m = F.coalesce(F.col("message_count"), F.lit(0))
     i = F.coalesce(F.col("image_count"), F.lit(0))

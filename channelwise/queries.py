@@ -300,7 +300,7 @@ def q_stream_daily_trend(c: Context):
     raw = fixtures.raw_messages_from(fixtures.events_stream(c.spark, c.sf_dir),
                                      fixtures.read_table(c.spark, c.sf_dir, "part"))
     out = jobs.run_to_table(jobs.daily_trend_stream(stage_messages(raw, AS_OF)), "daily_trend")
-    return c.spark.read.parquet(out).drop("channels_active_approx")
+    return jobs.daily_trend(c.spark.read.parquet(out))
 
 
 @report
@@ -324,7 +324,11 @@ def q_stream_keyed_load(c: Context):
     lake, target = scratch_path(c.spark, "lake"), scratch_path(c.spark, "raw_target")
     incoming = fixtures.raw_messages_with_redeliveries(c.spark, c.sf_dir)
     write_lake(incoming.withColumn("scrape_date", F.to_date("scraped_at")), lake)
-    jobs.keyed_load(jobs.landing_stream(c.spark, lake, layout="lines"), target).awaitTermination()
+    # several micro-batches, so that later ones meet the keys that earlier ones have loaded
+    files = len(c.spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+                .load(lake).select("path").inputFiles())
+    stream = jobs.landing_stream(c.spark, lake, layout="lines", max_files_per_trigger=max(1, -(-files // 3)))
+    jobs.keyed_load(stream, target).awaitTermination()
     return raw_columns(c.spark.read.parquet(target))
 
 

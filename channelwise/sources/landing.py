@@ -2,7 +2,7 @@
 
 Collector layout: ``<root>/<YYYY-MM-DD>/<channel>.json``, each file a JSON array of message
 objects (a single object is accepted too); ``_manifest.json`` files are skipped.
-Our own lake writes JSON lines partitioned by ``scrape_date``/``channel_name`` (splittable),
+Our own lake writes JSON lines by ``scrape_date`` (splittable; by channel too if asked for),
 read back with ``layout="lines"``.
 """
 
@@ -28,127 +28,134 @@ def _session_tz(spark: SparkSession) -> str:
 
 
 def _iso_to_utc(c, tz: str):
-    """ISO-8601 text (with or without offset) -> UTC wall clock; zoneless text is taken as UTC."""
+    """ISO-8601 text (with or without offset) -> UTC wall clock; zoneless text is taken as UTC.
+    Null for text that is no timestamp."""
     has_zone = c.rlike(r"(Z|[+-]\d{2}:?\d{2})$")
-    with_zone = to_utc_ntz(F.to_timestamp(c), tz)
-    return F.when(c.isNull(), F.lit(None).cast("timestamp_ntz")).when(has_zone, with_zone) \
-        .otherwise(F.to_timestamp_ntz(c))
+    return F.when(has_zone, to_utc_ntz(c.try_cast("timestamp"), tz)).otherwise(c.try_cast("timestamp_ntz"))
 
 
-def _typed(parsed: DataFrame, tz: str, as_of=None) -> DataFrame:
-    """Apply defaults to absent non-key fields and convert timestamps."""
-    scraped = _iso_to_utc(F.col("scraped_at"), tz)
-    return parsed.select(
-        "message_id", "channel_name", "channel_username", "channel_title",
-        _iso_to_utc(F.col("message_date"), tz).alias("message_date"),
-        F.coalesce(F.col("message_text"), F.lit("")).alias("message_text"),
-        F.coalesce(F.col("has_media"), F.lit(False)).alias("has_media"),
-        "image_path",
-        F.coalesce(F.col("views"), F.lit(0).cast("bigint")).alias("views"),
-        F.coalesce(F.col("forwards"), F.lit(0).cast("bigint")).alias("forwards"),
-        F.coalesce(scraped, as_of_col(as_of)).alias("scraped_at"),
-        F.coalesce(F.col("replies"), F.lit(0).cast("bigint")).alias("replies"),
-        "hashtags", "potential_products",
-        "source_file", "scrape_date",
-    )
+_CORRUPT = "_corrupt"
+_PARSED = T.StructType([*schemas.LANDING_JSON.fields, T.StructField(_CORRUPT, T.StringType())])
+
+
+def _parse(record):
+    """One JSON object; ``_corrupt`` holds its text if it is broken or a field has the wrong type."""
+    return F.from_json(record, _PARSED, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
 
 
-def _split_elements(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(value = whole file text, source_file) -> (parsed message rows, rejects). A file is a JSON
-    array (split into elements in the JVM) or one object; each element is parsed on its own."""
+def _split_elements(files: DataFrame) -> DataFrame:
+    """(value = whole file text, source_file) -> (source_file, record, bad). A file is a JSON array
+    (split into elements in the JVM) or one object; a file that is neither is one bad record."""
     body = F.trim(F.col("value"))
     elements = (F.when(body.startswith("["), F.from_json(body, T.ArrayType(T.StringType())))
                 .when(body.startswith("{"), F.array(body)))
-    exploded = files.select("source_file", "value", elements.alias("_els"))
-    bad_files = (exploded.filter(F.col("_els").isNull())
-                 .select("source_file", F.lit("malformed file").alias("reason"), F.col("value").alias("record")))
-    els = exploded.select("source_file", F.explode("_els").alias("record"))
-    is_obj = F.trim(F.col("record")).startswith("{")
-    non_obj = els.filter(~is_obj | F.col("record").isNull()).select(
-        "source_file", F.lit("not an object").alias("reason"), "record")
-    parsed = (els.filter(is_obj)
-              .select("source_file", "record", F.from_json("record", schemas.LANDING_JSON).alias("m")))
-    bad_obj = parsed.filter(F.col("m").isNull()).select("source_file", F.lit("malformed object").alias("reason"),
-                                                       "record")
-    msgs = parsed.filter(F.col("m").isNotNull()).select("source_file", "record", "m.*")
-    return msgs, bad_files.unionByName(non_obj).unionByName(bad_obj)
-
-
-def _parse_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(record = one JSON line, source_file) -> (parsed message rows, rejects). The channel
-    comes from the record or, for our partitioned lake, from the ``channel_name=`` folder."""
-    lines = lines.filter(F.trim("record") != "")
-    parsed = lines.select("source_file", "record", F.from_json("record", schemas.LANDING_JSON).alias("m"))
-    rejects = parsed.filter(F.col("m").isNull()).select(
-        "source_file", F.lit("malformed object").alias("reason"), "record")
-    folder_channel = F.regexp_extract("source_file", r"channel_name=([^/]+)", 1)
-    msgs = (parsed.filter(F.col("m").isNotNull()).select("source_file", "record", "m.*")
-            .withColumn("channel_name", F.coalesce(F.col("channel_name"),
-                                                   F.when(folder_channel != "", folder_channel))))
-    return msgs, rejects
-
-
-def finish_landing(msgs: DataFrame, rejects: DataFrame, date_pat: str, tz: str, as_of=None):
-    """Partition date from the path, key checks (null key -> reject with reason), defaults."""
-    msgs = msgs.withColumn("scrape_date", F.to_date(F.regexp_extract("source_file", date_pat, 1)))
-    null_key = F.col("message_id").isNull() | F.col("channel_name").isNull()
-    key_rejects = msgs.filter(null_key).select(
-        "source_file",
-        F.concat_ws(",", F.when(F.col("message_id").isNull(), F.lit("null message_id")),
-                    F.when(F.col("channel_name").isNull(), F.lit("null channel_name"))).alias("reason"),
-        F.coalesce(F.col("record"), F.to_json(F.struct(*[F.col(f.name) for f in schemas.LANDING_JSON.fields])))
-        .alias("record"))
-    good = _typed(msgs.filter(~null_key), tz, as_of)
-    return good, rejects.unionByName(key_rejects)
+    els = files.select("source_file", "value", elements.alias("_els")).select(
+        "source_file", F.col("_els").isNull().alias("_file"), F.explode(F.coalesce("_els", F.array("value"))).alias("record"))
+    is_object = F.coalesce(F.trim("record").startswith("{"), F.lit(False))
+    return els.select("source_file", "record", F.when(F.col("_file"), F.lit("malformed file"))
+                      .when(~is_object, F.lit("not an object")).alias("bad"))
+
+
+def _lines(lines: DataFrame) -> DataFrame:
+    """(record = one JSON line, source_file) -> (source_file, record, bad); blank lines are left out."""
+    return lines.filter(F.trim("record") != "").select("source_file", "record", F.lit(None).cast("string").alias("bad"))
+
+
+def finish_landing(records: DataFrame, date_pat: str, tz: str, as_of=None) -> DataFrame:
+    """(source_file, record, bad) -> one row per record: the typed message with defaults for absent
+    non-key fields, source_file, scrape_date (from the path), record, and ``reason``: null for a good
+    message, else why it is rejected (malformed file or object, not an object, null key, bad date)."""
+    m = F.col("m")
+    parsed = records.withColumn("m", F.when(F.col("bad").isNull(), _parse(F.col("record"))))
+    posted, scraped = _iso_to_utc(m["message_date"], tz), _iso_to_utc(m["scraped_at"], tz)
+    broken = m.isNull() | m[_CORRUPT].isNotNull()
+    faults = F.concat_ws(
+        ",", F.when(m["message_id"].isNull(), F.lit("null message_id")),
+        F.when(m["channel_name"].isNull(), F.lit("null channel_name")),
+        F.when(m["message_date"].isNotNull() & posted.isNull(), F.lit("bad message_date")),
+        F.when(m["scraped_at"].isNotNull() & scraped.isNull(), F.lit("bad scraped_at")))
+    zero = F.lit(0).cast("bigint")
+    return parsed.select(
+        m["message_id"].alias("message_id"), m["channel_name"].alias("channel_name"),
+        m["channel_username"].alias("channel_username"), m["channel_title"].alias("channel_title"),
+        posted.alias("message_date"),
+        F.coalesce(m["message_text"], F.lit("")).alias("message_text"),
+        F.coalesce(m["has_media"], F.lit(False)).alias("has_media"),
+        m["image_path"].alias("image_path"),
+        F.coalesce(m["views"], zero).alias("views"),
+        F.coalesce(m["forwards"], zero).alias("forwards"),
+        F.coalesce(scraped, as_of_col(as_of)).alias("scraped_at"),
+        F.coalesce(m["replies"], zero).alias("replies"),
+        m["hashtags"].alias("hashtags"), m["potential_products"].alias("potential_products"),
+        "source_file", F.regexp_extract("source_file", date_pat, 1).try_cast("date").alias("scrape_date"),
+        "record",
+        F.coalesce("bad", F.when(broken, F.lit("malformed object")), F.nullif(faults, F.lit(""))).alias("reason"))
 
 
-def read_landing(spark: SparkSession, root: str, layout: str = "array", as_of=None) -> tuple[DataFrame, DataFrame]:
-    """Scan the landing zone -> (messages, rejects).
+def good_messages(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(F.col("reason").isNull()).drop("record", "reason")
+
 
-    ``layout="array"``: each file is read whole (files are one channel-day each) and its
-    JSON array is split into elements in the JVM; every element is parsed on its own, so a
-    bad element or a non-object is rejected without losing the file's good messages, and a
-    malformed file is rejected as a whole. ``layout="lines"``: JSON lines (our lake), read
-    splittably with PERMISSIVE mode.
+def rejects(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(F.col("reason").isNotNull()).select("source_file", "scrape_date", "reason", "record")
 
-    Messages carry ``source_file`` and ``scrape_date`` (from the path). Rows with a null key
-    are rejects (reason given); absent non-key fields get defaults.
+
+def parse_landing(spark: SparkSession, root: str, layout: str = "array", as_of=None) -> DataFrame:
+    """Scan the landing zone once -> one row per record, good or rejected (see ``finish_landing``).
+
+    ``layout="array"``: each file is read whole (files are one channel-day each) and its JSON array is
+    split into elements in the JVM; every element is parsed on its own, so a bad element is rejected
+    without losing the file's good messages. ``layout="lines"``: JSON lines (our lake), splittable.
     """
-    tz = _session_tz(spark)
     if layout == "array":
         files = (spark.read.text(f"{root.rstrip('/')}/*/*.json", wholetext=True)
                  .select(F.col("value"), F.col("_metadata.file_path").alias("source_file")))
-        msgs, rejects = _split_elements(files)
+        records, date_pat = _split_elements(files), DATE_IN_PATH
     elif layout == "lines":
-        # JSON lines (our lake), read splittably as text, one record per line
         lines = spark.read.text(root).select(F.col("value").alias("record"),
                                              F.col("_metadata.file_path").alias("source_file"))
-        msgs, rejects = _parse_lines(lines)
+        records, date_pat = _lines(lines), LAKE_DATE
     else:
         raise ValueError(f"unknown layout {layout!r}")
-    date_pat = DATE_IN_PATH if layout == "array" else LAKE_DATE
-    return finish_landing(msgs, rejects, date_pat, tz, as_of)
+    return finish_landing(records, date_pat, _session_tz(spark), as_of)
 
 
-def raw_columns(df: DataFrame) -> DataFrame:
-    """Just the canonical raw message columns (``schemas.RAW_MESSAGE``)."""
-    return df.select(*[f.name for f in schemas.RAW_MESSAGE.fields])
+def read_landing(spark: SparkSession, root: str, layout: str = "array", as_of=None) -> tuple[DataFrame, DataFrame]:
+    """(messages, rejects) of ``parse_landing``. Both are views of one parse; write that once (as the
+    batch job does) where both are used."""
+    parsed = parse_landing(spark, root, layout, as_of)
+    return good_messages(parsed), rejects(parsed)
+
 
+def raw_columns(df: DataFrame, *more: str) -> DataFrame:
+    """Just the canonical raw message columns (``schemas.RAW_MESSAGE``), and ``more``."""
+    return df.select(*[f.name for f in schemas.RAW_MESSAGE.fields], *more)
 
-def write_lake(messages: DataFrame, base: str) -> None:
-    """One folder per (scrape_date, channel); rerunning a date replaces only that date's
-    folders (dynamic partition overwrite)."""
-    # rebalance on the folder columns: few files per folder, a hot channel-day split across tasks
-    (messages.hint("rebalance", "scrape_date", "channel_name")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("timestampNTZFormat", LAKE_TIMESTAMP_FORMAT)
-     .partitionBy("scrape_date", "channel_name").json(base))
+
+def write_lake(messages: DataFrame, base: str, by_channel: bool = False) -> None:
+    """JSON lines, one folder per scrape date (``by_channel``: per scrape date and channel, as the
+    collector lays them out; with many small channels that is one small file each). Rerunning a date
+    replaces only that date's folders (dynamic partition overwrite). The channel's name always stays in
+    the record: folder names escape characters, so the name is never read from a path."""
+    by = ["scrape_date", "channel"] if by_channel else ["scrape_date"]
+    if by_channel:
+        messages = messages.withColumn("channel", F.coalesce("channel_name", F.lit("unknown")))
+    # rebalance on the folder columns: few files per folder, a hot folder split across tasks
+    (messages.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("timestampNTZFormat", LAKE_TIMESTAMP_FORMAT).partitionBy(*by).json(base))
 
 
 def write_manifest(manifest: DataFrame, base: str) -> None:
-    """The run manifest stored as data under ``manifests/`` (no leading underscore, so
-    file sources do not treat it as hidden)."""
-    manifest.write.mode("append").json(f"{base.rstrip('/')}/manifests")
+    """The run manifest stored as data under ``manifests/`` (no leading underscore, so file
+    sources do not treat it as hidden). A rerun replaces the manifests of its scrape dates."""
+    (manifest.withColumn("scrape_date", F.col("date")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("scrape_date").json(f"{base.rstrip('/')}/manifests"))
+
+
+def write_rejects(found: DataFrame, base: str) -> None:
+    """Rejects by scrape date; a rerun replaces those of its scrape dates."""
+    (found.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("scrape_date")
+     .parquet(f"{base.rstrip('/')}/rejects"))
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.calendar import to_utc_ntz, utc_instant
 from ..operators.dedupe import insert_or_ignore
 from ..session import scratch_path
-from ..sources.landing import DATE_IN_PATH, LAKE_DATE, _parse_lines, _split_elements, finish_landing
+from ..sources.landing import DATE_IN_PATH, LAKE_DATE, _lines, _split_elements, finish_landing, good_messages, rejects
 
 KEYS = ["message_id", "channel_name"]
 
@@ -37,37 +37,33 @@ def landing_stream(spark: SparkSession, root: str, max_files_per_trigger: int |
             r = r.option("maxFilesPerTrigger", max_files_per_trigger)
         files = (r.text(f"{root.rstrip('/')}/*/*.json")
                  .select(F.col("value"), F.col("_metadata.file_path").alias("source_file")))
-        msgs, rejects = _split_elements(files)
-        date_pat = DATE_IN_PATH
+        records, date_pat = _split_elements(files), DATE_IN_PATH
     elif layout == "lines":
         r = spark.readStream.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", max_files_per_trigger)
         lines = (r.text(root).select(F.col("value").alias("record"),
                                      F.col("_metadata.file_path").alias("source_file")))
-        msgs, rejects = _parse_lines(lines)
-        date_pat = LAKE_DATE
+        records, date_pat = _lines(lines), LAKE_DATE
     else:
         raise ValueError(f"unknown layout {layout!r}")
-    good, bad = finish_landing(msgs, rejects, date_pat, tz, as_of)
-    return (good, bad) if with_rejects else good
+    parsed = finish_landing(records, date_pat, tz, as_of)
+    return (good_messages(parsed), rejects(parsed)) if with_rejects else good_messages(parsed)
 
 
 def keyed_load(stream: DataFrame, target: str, checkpoint: str | None = None,
-               order=("scraped_at",)) -> StreamingQuery:
+               order=("scrape_date", "scraped_at", "source_file")) -> StreamingQuery:
     """Each micro-batch is reduced to the first copy per key and anti-joined with the
     target table before it is appended, so replays and re-deliveries insert nothing twice.
-    Runs to completion over what is available (``availableNow``)."""
+    The target is laid out by id block and only the blocks of the batch are read. The earliest copy
+    (scrape date, scrape time, file) wins. Runs to completion over what is available (``availableNow``)."""
     spark = stream.sparkSession
     ckpt = checkpoint or scratch_path(spark, "keyed_load_checkpoint")
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        try:
-            existing = batch.sparkSession.read.parquet(target)
-        except Exception:  # noqa: BLE001 - first batch: no target yet
-            existing = None
-        new = insert_or_ignore(batch, KEYS, list(order), existing)
-        new.write.mode("append").parquet(target)
+        from ..sources.sinks import append_blocks, read_existing, touched
+        existing = touched(read_existing(batch.sparkSession, target), batch)
+        append_blocks(insert_or_ignore(batch, KEYS, list(order), existing), target)
 
     return (stream.writeStream.foreachBatch(upsert).option("checkpointLocation", ckpt)
             .trigger(availableNow=True).start())
@@ -85,18 +81,25 @@ def dedupe_stream(stream: DataFrame, delay: str = "2 days", keys=KEYS) -> DataFr
 
 
 def daily_trend_stream(staged: DataFrame, watermark: str = "1 day") -> DataFrame:
-    """Per event-time day, posts / views / image posts of valid messages. Late data
-    within ``watermark`` updates its day; older data is dropped by the watermark."""
+    """Per event-time day and channel, posts / views / image posts of valid messages. Late data
+    within ``watermark`` updates its day; older data is dropped by the watermark. Channels are kept
+    apart in the state, so ``daily_trend`` counts the active ones exactly."""
     tz = staged.sparkSession.conf.get("spark.sql.session.timeZone")
     valid = (staged.filter(F.col("data_quality_status") == "valid")
              .withColumn("event_time", utc_instant(F.col("message_date"), tz)))
     return (valid.withWatermark("event_time", watermark)
-            .groupBy(F.window("event_time", "1 day").alias("w"))
+            .groupBy(F.window("event_time", "1 day").alias("w"), "channel_name")
             .agg(F.count(F.lit(1)).alias("post_count"), F.sum("views").alias("total_views"),
-                 F.sum(F.col("has_image").cast("int")).alias("image_posts"),
-                 F.approx_count_distinct("channel_name").alias("channels_active_approx"))
-            .select(F.to_date(to_utc_ntz(F.col("w.start"), tz)).alias("full_date"), "post_count", "total_views", "image_posts",
-                    "channels_active_approx"))
+                 F.sum(F.col("has_image").cast("int")).alias("image_posts"))
+            .select(F.to_date(to_utc_ntz(F.col("w.start"), tz)).alias("full_date"), "channel_name", "post_count",
+                    "total_views", "image_posts"))
+
+
+def daily_trend(per_channel: DataFrame) -> DataFrame:
+    """The stream's per-channel result as one row per day, with the exact number of active channels."""
+    return (per_channel.groupBy("full_date")
+            .agg(F.sum("post_count").alias("post_count"), F.sum("total_views").alias("total_views"),
+                 F.sum("image_posts").alias("image_posts"), F.count(F.lit(1)).alias("channels_active")))
 
 
 def quality_counter_stream(staged: DataFrame) -> DataFrame:
@@ -109,19 +112,29 @@ def quality_counter_stream(staged: DataFrame) -> DataFrame:
     )
 
 
-def run_to_table(df: DataFrame, name: str, output_mode: str = "complete",
+def run_to_table(df: DataFrame, name: str, output_mode: str = "complete", keys: list[str] | None = None,
                  checkpoint: str | None = None, path: str | None = None) -> str:
-    """Run a streaming aggregation over everything available and keep its latest result as
-    a Parquet table (each micro-batch overwrites it with the current complete/updated
-    result). Returns the table path."""
+    """Run a streaming aggregation over everything available and keep its latest result as a Parquet
+    table, one folder per micro-batch; returns the newest folder. ``complete``: each batch is the whole
+    result. ``update``: each batch holds changed rows, which replace those of the same ``keys`` in the
+    result before it. With nothing to read, the result is an empty table."""
     spark = df.sparkSession
     out = path or scratch_path(spark, f"stream_out/{name}")
     ckpt = checkpoint or scratch_path(spark, f"stream_ckpt/{name}")
+    if output_mode == "update" and not keys:
+        raise ValueError("update mode needs the result's keys")
+    newest = [f"{out}/start"]
+    spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(newest[0])
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+        result = batch
+        if output_mode == "update":
+            before = batch.sparkSession.read.schema(batch.schema).parquet(newest[0])
+            result = batch.unionByName(before.join(batch.select(*keys), keys, "left_anti"))
+        result.write.mode("overwrite").parquet(f"{out}/batch={epoch_id}")
+        newest[0] = f"{out}/batch={epoch_id}"
 
     q = (df.writeStream.outputMode(output_mode).foreachBatch(sink).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return out
+    return newest[0]
