@@ -67,24 +67,38 @@ def product_mart(fct_with_products: DataFrame, engagement: Column | None = None)
             .orderBy(F.col("mention_count").desc(), F.col("total_views").desc(), "product_name"))
 
 
-def channel_performance_mart(fct: DataFrame, dim_channels: DataFrame, dim_dates: DataFrame, as_of=None,
-                             engagement: Column | None = None) -> DataFrame:
+def daily_stats(fct: DataFrame, dim_dates: DataFrame, engagement: Column | None = None) -> DataFrame:
+    """Per channel and day: posts, views, forwards, average engagement and image posts."""
+    eng = engagement if engagement is not None else engagement_score()
+    f = fct.join(dim_dates.select("date_key", "full_date"), "date_key")
+    return (f.groupBy("channel_key", "full_date")
+            .agg(F.count(F.lit(1)).alias("daily_posts"),
+                 F.sum("view_count").alias("daily_views"),
+                 F.sum("forward_count").alias("daily_forwards"),
+                 F.avg(eng).alias("avg_daily_engagement"),
+                 F.count_if(F.col("has_image")).alias("daily_images")))
+
+
+def weekly_stats(daily: DataFrame) -> DataFrame:
+    """Per channel and week (from Monday), out of ``daily_stats``; the week's engagement is the mean of
+    its days' averages."""
+    return (daily.groupBy("channel_key", F.date_trunc("week", "full_date").cast("date").alias("week_start"))
+            .agg(F.sum("daily_posts").alias("weekly_posts"),
+                 F.sum("daily_views").alias("weekly_views"),
+                 F.sum("daily_forwards").alias("weekly_forwards"),
+                 F.avg("avg_daily_engagement").alias("avg_weekly_engagement"),
+                 F.sum("daily_images").alias("weekly_images")))
+
+
+def channel_performance_mart(fct: DataFrame, dim_channels: DataFrame, dim_dates: DataFrame, as_of=None) -> DataFrame:
     """Per channel: posts in the last 7 days, weekly growth, content effectiveness,
     performance category and a recommendation.
 
     Daily and weekly statistics are each reduced to one row per channel before they meet
     the dimension, so the summary join is 1:1 (no daily x weekly fan-out).
     """
-    eng = engagement if engagement is not None else engagement_score()
-    f = fct.join(dim_dates.select("date_key", "full_date"), "date_key")
-    daily = (f.groupBy("channel_key", "full_date")
-             .agg(F.count(F.lit(1)).alias("daily_posts"),
-                  F.sum("view_count").alias("daily_views"),
-                  F.sum("forward_count").alias("daily_forwards"),
-                  F.avg(eng).alias("avg_daily_engagement"),
-                  F.count_if(F.col("has_image")).alias("daily_images")))
-    weekly = (daily.groupBy("channel_key", F.date_trunc("week", "full_date").alias("week_start"))
-              .agg(F.sum("daily_posts").alias("weekly_posts")))
+    daily = daily_stats(fct, dim_dates)
+    weekly = weekly_stats(daily)
     recent = (daily.groupBy("channel_key")
               .agg(F.sum(F.when(F.col("full_date") >= days_before(as_of, 7), F.col("daily_posts")))
                    .alias("_recent")))

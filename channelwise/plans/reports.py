@@ -22,6 +22,7 @@ from .. import params
 from ..functions.calendar import date_key, days_before, hour_text
 from ..functions.rules import any_substring, classify_by_rules, performance_bucket
 from ..operators.scalars import combine_scalars
+from .staging import valid_messages
 from ..operators.validate import check_choice, check_range, check_text
 
 r2 = lambda c: F.round(c, 2)
@@ -302,19 +303,17 @@ def channel_engagement(fct: DataFrame, dim_channels: DataFrame, channel: str) ->
     )
 
 
-def posting_hours(fct: DataFrame, dim_channels: DataFrame, dim_dates: DataFrame, stg: DataFrame, channel: str,
+def posting_hours(stg: DataFrame, dim_channels: DataFrame, dim_dates: DataFrame, channel: str,
                   limit: int = 5) -> DataFrame:
-    """Best posting hours of one channel. The hour comes from the staged timestamp, joined on
-    the full message key (message id + channel identity)."""
+    """Best posting hours of one channel. The fact holds the valid staged messages whose channel and day
+    are in the dimensions and no hour, so one scan of those staged messages gives the same counts."""
     ident = ["channel_name", "channel_username", "channel_title"]
-    c = _one_channel(dim_channels, channel).select("channel_key", *ident)
-    f = fct.join(c, "channel_key").join(dim_dates.select("date_key"), "date_key", "left_semi")
-    s = (stg.filter((F.col("channel_name") == channel) & F.col("message_date").isNotNull())
-         .select("message_id", *[F.col(k).alias(f"_s_{k}") for k in ident], "message_date"))
-    cond = reduce(lambda a, b: a & b, [f["message_id"] == s["message_id"]] +
-                  [f[k].eqNullSafe(s[f"_s_{k}"]) for k in ident])
-    j = f.join(s, cond)
-    return (j.groupBy(hour_text(F.col("message_date")).alias("hour_of_day"))
+    c = _one_channel(dim_channels, channel).select(*[F.col(k).alias(f"_c_{k}") for k in ident])
+    s = valid_messages(stg).filter(F.col("channel_name") == channel).select(
+        *ident, "message_date", F.to_date("message_date").alias("full_date"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in ident])
+    kept = s.join(c, same, "left_semi").join(dim_dates.select("full_date"), "full_date", "left_semi")
+    return (kept.groupBy(hour_text(F.col("message_date")).alias("hour_of_day"))
             .agg(F.count(F.lit(1)).alias("post_count"))
             .orderBy(F.col("post_count").desc(), "hour_of_day").limit(limit))
 

@@ -181,7 +181,7 @@ def q_channel_engagement(c: Context):
 
 @report
 def q_posting_hours(c: Context):
-    return reports.posting_hours(c.w.fct, c.w.dim_channels, c.w.dim_dates, c.w.stg, CHANNEL, limit=5)
+    return reports.posting_hours(c.w.stg, c.w.dim_channels, c.w.dim_dates, CHANNEL, limit=5)
 
 
 @report
@@ -221,14 +221,21 @@ def q_classify_images(c: Context):
 
 
 @report
-def q_detect_images(c: Context):
-    """The detection job (binaryFile rows -> mapInPandas detector -> classification) over
-    file rows derived from the pages table, with the deterministic stub detector."""
-    from .operators.detect import detect_images
-    det = enrich.classify_images(detect_images(fixtures.image_file_rows(c.spark, c.sf_dir)))
-    return det.select("image_path", "channel_name", "message_id",
-                      F.array_join("detected_objects", ",").alias("detected_objects"),
-                      "detection_count", "image_category", "has_person", "has_product", "detection_time")
+def q_score_argmax(c: Context):
+    """X4 over the embeddings taken as score vectors: the class (the component's number) of the highest
+    score, where that exceeds the threshold."""
+    from .operators.detect import argmax_class
+    e = fixtures.read_table(c.spark, c.sf_dir, "embeddings").select("vec_id", "embedding")
+    classes = F.transform(F.sequence(F.lit(0), F.size("embedding") - 1), lambda i: i.cast("string"))
+    return e.select("vec_id", argmax_class(F.col("embedding"), classes, 0.25).alias("class"))
+
+
+@report
+def q_image_scores(c: Context):
+    """F32: the rounded confidence scores of every image: how many, smallest and largest."""
+    scores = F.col("confidence_scores")
+    return c.det.select("image_path", F.size(scores).alias("scores"), F.array_min(scores).alias("lowest"),
+                        F.array_max(scores).alias("highest"))
 
 
 @report
@@ -291,6 +298,152 @@ def q_dedupe(c: Context):
     return catalog.dedupe_messages(fixtures.raw_messages_with_redeliveries(c.spark, c.sf_dir))
 
 
+@report
+def q_quality_damaged(c: Context):
+    """The quality suite over tables with faults of every kind, read from a written copy."""
+    from .session import scratch_path
+    names = ("stg", "channels", "dates", "fct")
+    path = scratch_path(c.spark, "damaged")
+    for name, df in zip(names, fixtures.damaged(c.w)):
+        df.write.parquet(f"{path}/{name}")
+    stg, ch, dates, fct = (c.spark.read.parquet(f"{path}/{n}") for n in names)
+    return catalog.run_quality_suite(stg, ch, dates, fct, as_of=AS_OF)
+
+
+@report
+def q_quality_csv(c: Context):
+    """The quality results of the damaged tables through their CSV file."""
+    from .session import scratch_path
+    path = scratch_path(c.spark, "quality_csv")
+    catalog.save_quality_results(q_quality_damaged(c), path, AS_OF)
+    return (c.spark.read.option("header", True).schema("test_name string, status string, result long, checked_at "
+                                                       "timestamp_ntz").csv(path).select("test_name", "status", "result"))
+
+
+@report
+def q_failing_rows(c: Context):
+    """Q13: the staged messages that need review for negative views."""
+    from .operators import quality
+    return quality.violations(c.w.stg, quality.not_negative("negative views", "views"),
+                              ["message_id", "channel_name", "views"])
+
+
+@report
+def q_landing_array(c: Context):
+    """Collector files (JSON arrays, with fixed faults) parsed; messages and rejects counted by
+    scrape date and reason."""
+    from .session import scratch_path
+    from .sources import landing
+    root = scratch_path(c.spark, "collector")
+    fixtures.write_landing_files(c.spark, c.sf_dir, root)
+    parsed = landing.parse_landing(c.spark, root, as_of=AS_OF, pattern="*/*/*.txt")
+    good = F.col("reason").isNull()
+    return parsed.groupBy("scrape_date", F.coalesce("reason", F.lit("")).alias("reason")).agg(
+        F.count(F.lit(1)).alias("records"), F.sum(F.when(good, F.col("message_id"))).alias("ids"),
+        F.sum(F.when(good, F.col("views"))).alias("views"), F.max(F.when(good, F.col("message_date"))).alias("last_message"))
+
+
+@report
+def q_two_batch_load(c: Context):
+    """The even messages are loaded, then all messages with their re-deliveries; the counts of
+    both loads and what the table holds after each."""
+    from .operators.dedupe import load_counts
+    from .session import scratch_path
+    from .sources import sinks
+    target, out = scratch_path(c.spark, "loaded"), None
+    every = fixtures.raw_messages_with_redeliveries(c.spark, c.sf_dir)
+    for n, batch in enumerate([fixtures.raw_messages(c.spark, c.sf_dir).filter("message_id % 2 = 0"), every], 1):
+        counts = load_counts(batch, catalog.RAW_KEYS, sinks.load_parquet_table(batch, target))
+        held = c.spark.read.parquet(target).agg(F.count(F.lit(1)).alias("table_rows"), F.sum("views").alias("table_views"))
+        row = counts.crossJoin(held).select(F.lit(n).alias("load_no"), "*")  # one row each
+        path = scratch_path(c.spark, "load_counts")
+        row.write.parquet(path)
+        row = c.spark.read.parquet(path)
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@report
+def q_extended_raw(c: Context):
+    """The extended raw variant, through CSV (S7) and back."""
+    from .session import scratch_path
+    from .sources import landing, sinks
+    path = scratch_path(c.spark, "extended")
+    raw = (fixtures.raw_messages(c.spark, c.sf_dir).withColumn("replies", F.lit(None).cast("bigint"))
+           .withColumn("hashtags", F.expr("CASE WHEN message_id % 2 = 0 THEN array('a', channel_username) END"))
+           .withColumn("potential_products", F.array().cast("array<string>")))
+    kept = sinks.extended_raw(raw).select("message_id", "channel_name", "message_length", "replies", "hashtags",
+                                          "hashtags_text", "potential_products_text")
+    landing.export_csv(kept, path)
+    back = c.spark.read.option("header", True).schema(
+        "message_id long, channel_name string, message_length int, replies long, hashtags string, hashtags_text string, "
+        "potential_products_text string").csv(path)
+    return back.fillna("", ["hashtags", "hashtags_text", "potential_products_text"])
+
+
+@report
+def q_detections_csv(c: Context):
+    """Classified detections appended to a table, exported as CSV and read back."""
+    from .session import scratch_path
+    from .sources import landing, sinks
+    path = scratch_path(c.spark, "detections")
+    sinks.load_detections(c.det, f"{path}/table")
+    landing.export_csv(c.spark.read.parquet(f"{path}/table").select(
+        "image_path", "channel_name", "message_id", "detected_objects", "detection_count", "image_category"), f"{path}/csv")
+    return c.spark.read.option("header", True).schema(
+        "image_path string, channel_name string, message_id long, detected_objects string, detection_count int, "
+        "image_category string").csv(f"{path}/csv").fillna("", ["detected_objects"])
+
+
+@report
+def q_extract_audit(c: Context):
+    """The four API extracts written as CSV; rows of each."""
+    from functools import reduce
+
+    from pyspark.sql import DataFrame as D
+
+    from .session import scratch_path
+    from .sources import landing, sinks
+    paths = sinks.write_api_extracts(c.w, scratch_path(c.spark, "extracts"), AS_OF)
+    return reduce(D.unionByName, [landing.extract_audit(c.spark, p).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
+                                  .select(F.lit(n).alias("extract"), "rows") for n, p in sorted(paths.items())])
+
+
+@report
+def q_fixed_calendar(c: Context):
+    """The declared calendar with the posts of each of its days."""
+    from .plans.dims import date_dimension
+    posts = c.w.fct.groupBy("date_key").agg(F.count(F.lit(1)).alias("posts"))
+    return (date_dimension(c.spark).join(posts, "date_key", "left")
+            .select("date_key", "full_date", "week_of_year", "day_name", F.coalesce("posts", F.lit(0)).alias("posts")))
+
+
+@report
+def q_search_after(c: Context):
+    """O3 by keyset: the page after the last row of the first one."""
+    first = search.search_messages_after(c.w.fct, c.w.dim_channels, c.w.dim_dates, "tablet", limit=20)
+    last = first.orderBy("message_date", F.col("channel_name").desc(), F.col("message_id").desc()).limit(1).collect()
+    after = (last[0]["message_date"], last[0]["channel_name"], last[0]["message_id"]) if last else None
+    return search.search_messages_after(c.w.fct, c.w.dim_channels, c.w.dim_dates, "tablet", after=after, limit=20)
+
+
+@report
+def q_weekly_stats(c: Context):
+    """Weekly posts, views, forwards, images and engagement of every channel."""
+    weekly = marts.weekly_stats(marts.daily_stats(c.w.fct, c.w.dim_dates))
+    return weekly.withColumn("avg_weekly_engagement", F.round("avg_weekly_engagement", 6))
+
+
+@report
+def q_channel_maps(c: Context):
+    """Handles without ``@``; sums of a map's values before and after another is merged in."""
+    from .functions.text import map_total, merge_maps, strip_handle
+    base = F.create_map(F.lit("media"), F.col("posts_with_media"), F.lit("image"), F.col("posts_with_image"))
+    more = F.create_map(F.lit("image"), F.col("total_posts"), F.lit("all"), F.col("total_posts"))
+    return c.w.dim_channels.select("channel_key", strip_handle("channel_username").alias("handle"),
+                                   map_total(base).alias("total"), map_total(merge_maps(base, more)).alias("merged_total"))
+
+
 # ---------------------------------------------------------------- streaming
 
 @report

@@ -122,3 +122,53 @@ def image_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         " AS modificationTime",
         "CAST(octet_length(html) AS BIGINT) AS length",
         "encode(html, 'UTF-8') AS content")
+
+
+def write_landing_files(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Collector files built from the raw messages: ``<root>/d=<date>/f=<n>/part-*.txt``, each one JSON
+    array of a scrape date and a block of 500 message ids. Fixed faults: every 37th element is text instead
+    of an object, every 41st has a count as text, every 43rd no id, every 31st no readable date, every even
+    one an offset of three hours; files of the 13th of a month are cut off in the middle."""
+    raw = raw_messages(spark, sf_dir)
+    zone = "concat(date_format(message_date + INTERVAL 3 HOUR, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), '+03:00')"
+    plain = "date_format(message_date, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
+    rows = raw.selectExpr(
+        "message_id AS id", "to_date(scraped_at) AS d", "CAST(floor(message_id / 500) AS BIGINT) AS f",
+        f"""to_json(named_struct(
+          'message_id', CASE WHEN message_id % 43 = 0 THEN NULL ELSE message_id END,
+          'channel_name', channel_name, 'channel_username', channel_username, 'channel_title', channel_title,
+          'message_date', CASE WHEN message_id % 31 = 0 THEN 'some day' WHEN message_id % 2 = 0 THEN {zone} ELSE {plain} END,
+          'message_text', message_text, 'has_media', has_media, 'image_path', image_path, 'views', views,
+          'forwards', forwards, 'scraped_at', date_format(scraped_at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))) AS good""",
+    ).selectExpr("d", "f", "id", """CASE WHEN id % 37 = 0 THEN '"just text"'
+          WHEN id % 41 = 0 THEN concat('{"message_id":', id, ',"channel_name":"x","views":"many"}') ELSE good END AS e""")
+    files = rows.groupBy("d", "f").agg(F.array_join(F.array_sort(F.collect_list("e")), ",").alias("es"))
+    text = F.concat(F.lit("["), F.col("es"), F.lit("]"))
+    cut = F.when(F.dayofmonth("d") == 13, F.substring(text, F.lit(1), F.floor(F.length(text) / 2).cast("int"))).otherwise(text)
+    files.select("d", "f", cut.alias("value")).write.partitionBy("d", "f").text(root)
+
+
+def damaged(w) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The warehouse's staging, channels, calendar and fact with fixed faults of every kind that the
+    quality suite looks for (rows are picked by their ids)."""
+    stg = (w.stg.withColumn("message_date", F.expr("CASE WHEN message_id % 101 = 0 THEN message_date + INTERVAL 90 DAY "
+                                                   "ELSE message_date END"))
+           .withColumn("views", F.expr("CASE WHEN message_id % 103 = 0 THEN -5 ELSE views END"))
+           .withColumn("message_length", F.expr("CASE WHEN message_id % 107 = 0 THEN 20000 WHEN message_id % 109 = 0 "
+                                                "THEN -1 ELSE message_length END")))
+    ch = (w.dim_channels.withColumn("channel_type", F.expr("CASE channel_key % 7 WHEN 0 THEN '' WHEN 1 THEN NULL "
+                                                           "WHEN 2 THEN 'Unknown' ELSE channel_type END"))
+          .withColumn("channel_name", F.expr("CASE WHEN channel_key % 11 = 0 THEN NULL ELSE channel_name END"))
+          .withColumn("total_posts", F.expr("CASE WHEN channel_key % 5 = 0 THEN -1 WHEN channel_key % 5 = 1 THEN NULL "
+                                            "ELSE total_posts END"))
+          .withColumn("channel_key", F.expr("CASE WHEN channel_key % 13 = 0 THEN NULL WHEN channel_key % 13 = 1 "
+                                            "THEN channel_key + 1 ELSE channel_key END")))
+    dates = (w.dim_dates.withColumn("full_date", F.expr("CASE WHEN date_key % 9 = 0 THEN NULL ELSE full_date END"))
+             .withColumn("date_key", F.expr("CASE WHEN date_key % 10 = 0 THEN NULL WHEN date_key % 10 = 1 THEN "
+                                            "CAST(date_key + 1 AS INT) ELSE date_key END")))
+    fct = (w.fct.withColumn("view_count", F.expr("CASE message_id % 17 WHEN 0 THEN NULL WHEN 1 THEN -1 ELSE view_count END"))
+           .withColumn("forward_count", F.expr("CASE message_id % 19 WHEN 0 THEN NULL WHEN 1 THEN -1 ELSE forward_count END"))
+           .withColumn("channel_key", F.expr("CASE message_id % 23 WHEN 0 THEN NULL WHEN 1 THEN -1 ELSE channel_key END"))
+           .withColumn("date_key", F.expr("CASE message_id % 29 WHEN 0 THEN NULL WHEN 1 THEN 19000101 ELSE date_key END"))
+           .withColumn("message_id", F.expr("CASE WHEN message_id % 31 = 0 THEN NULL ELSE message_id END")))
+    return stg, ch, dates, fct

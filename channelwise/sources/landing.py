@@ -17,7 +17,7 @@ from ..functions.text import csv_join
 from . import schemas
 
 KEYS = ["message_id", "channel_name"]
-DATE_IN_PATH = r"/(\d{4}-\d{2}-\d{2})/"
+DATE_IN_PATH = r"/(?:\w+=)?(\d{4}-\d{2}-\d{2})/"
 LAKE_DATE = r"scrape_date=(\d{4}-\d{2}-\d{2})"
 # microseconds kept (the JSON writer's default keeps milliseconds)
 LAKE_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -100,7 +100,8 @@ def rejects(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("reason").isNotNull()).select("source_file", "scrape_date", "reason", "record")
 
 
-def parse_landing(spark: SparkSession, root: str, layout: str = "array", as_of=None) -> DataFrame:
+def parse_landing(spark: SparkSession, root: str, layout: str = "array", as_of=None,
+                  pattern: str = "*/*.json") -> DataFrame:
     """Scan the landing zone once -> one row per record, good or rejected (see ``finish_landing``).
 
     ``layout="array"``: each file is read whole (files are one channel-day each) and its JSON array is
@@ -108,7 +109,7 @@ def parse_landing(spark: SparkSession, root: str, layout: str = "array", as_of=N
     without losing the file's good messages. ``layout="lines"``: JSON lines (our lake), splittable.
     """
     if layout == "array":
-        files = (spark.read.text(f"{root.rstrip('/')}/*/*.json", wholetext=True)
+        files = (spark.read.text(f"{root.rstrip('/')}/{pattern}", wholetext=True)
                  .select(F.col("value"), F.col("_metadata.file_path").alias("source_file")))
         records, date_pat = _split_elements(files), DATE_IN_PATH
     elif layout == "lines":
