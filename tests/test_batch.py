@@ -30,7 +30,8 @@ def test_batch_job_is_idempotent(spark, tmp_path):
     assert second["inserted"] == 0
     assert spark.read.parquet(out + "/raw_messages").count() == 5
     assert spark.read.parquet(out + "/warehouse/fct_messages").count() == 5
-    assert spark.read.parquet(out + "/rejects").count() == 6  # 3 files x 2 runs
+    assert spark.read.parquet(out + "/rejects").count() == 3  # a rerun replaces the rejects of its dates
+    assert (second["duplicate"], second["already_loaded"]) == (1, 5)
     assert spark.read.option("header", True).csv(out + "/api_extracts/channel_activity").count() == 2
 
 

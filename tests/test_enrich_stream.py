@@ -63,10 +63,11 @@ def test_stream_daily_trend_equals_batch(spark):
     part = fixtures.read_table(spark, sf, "part")
     raw = fixtures.raw_messages_from(fixtures.events_stream(spark, sf), part)
     out = jobs.run_to_table(jobs.daily_trend_stream(stage_messages(raw, AS_OF)), "t3test")
-    got = {r.full_date: (r.post_count, r.total_views) for r in spark.read.parquet(out).collect()}
+    got = {r.full_date: (r.post_count, r.total_views, r.channels_active)
+           for r in jobs.daily_trend(spark.read.parquet(out)).collect()}
     stg = stage_messages(fixtures.raw_messages(spark, sf), AS_OF).filter("data_quality_status = 'valid'")
-    want = {r.d: (r.n, r.v) for r in stg.groupBy(F.to_date("message_date").alias("d"))
-            .agg(F.count("*").alias("n"), F.sum("views").alias("v")).collect()}
+    want = {r.d: (r.n, r.v, r.c) for r in stg.groupBy(F.to_date("message_date").alias("d"))
+            .agg(F.count("*").alias("n"), F.sum("views").alias("v"), F.count_distinct("channel_name").alias("c")).collect()}
     assert got == want
 
 
@@ -152,18 +153,30 @@ def test_landing_stream_equals_batch_scan(spark):
     assert outs[0].count() == 3
 
 
-def test_registered_detection_job_matches_brute_force(spark):
+def test_detection_job_over_pages_matches_brute_force(spark):
     import pandas as pd
 
-    from channelwise import queries as Q
+    from channelwise.plans import enrich
     from channelwise.sources.fixtures import FIXTURE_CHANNELS
 
     sf = "/root/testdata/sf0.001"
-    got = {r.image_path: r for r in Q.queries()["q_detect_images"](spark, sf).collect()}
+    got = {r.image_path: r for r in enrich.classify_images(detect_images(fixtures.image_file_rows(spark, sf))).collect()}
     pages = pd.read_parquet(f"{sf}/pages.parquet")
-    names = dict(FIXTURE_CHANNELS)
     assert len(got) == len(pages)
     for pid, html in zip(pages.page_id, pages.html):
-        path = f"data/raw/images/{names[pid % 8]}/{pid}.jpg"
+        path = f"data/raw/images/{FIXTURE_CHANNELS[pid % 8]}_{pid}/{pid}.jpg"
         want = [c for c, s in stub_detector(html.encode("utf-8")) if s > 0.25]
-        assert got[path].detected_objects == ",".join(want) and got[path].message_id == pid
+        assert got[path].detected_objects == want and got[path].message_id == pid
+
+
+def test_update_mode_keeps_rows_of_earlier_batches(spark, tmp_path):
+    src = tmp_path / "in"
+    for n, (k, v) in enumerate([("a", 1), ("b", 2), ("a", 3)]):
+        spark.createDataFrame([(k, v)], "k string, v long").coalesce(1).write.mode("append").parquet(str(src))
+    stream = spark.readStream.schema("k string, v long").option("maxFilesPerTrigger", 1).parquet(str(src))
+    out = jobs.run_to_table(stream.groupBy("k").agg(F.sum("v").alias("v")), "upd", "update", keys=["k"])
+    assert {r.k: r.v for r in spark.read.parquet(out).collect()} == {"a": 4, "b": 2}
+    (tmp_path / "none").mkdir()
+    empty = spark.readStream.schema("k string, v long").parquet(str(tmp_path / "none"))
+    out = jobs.run_to_table(empty.groupBy("k").agg(F.sum("v").alias("v")), "none")
+    assert spark.read.parquet(out).count() == 0

@@ -73,7 +73,8 @@ def test_lake_roundtrip_and_manifest(spark, landing_dir):
     assert rows[("2024-01-10", "chemed")] == (3, 4) and rows[("2024-01-10", "medicalhub")] == (1, 4)
     out = tempfile.mkdtemp(prefix="cw-man-")
     landing.write_manifest(man, out)
-    assert spark.read.json(out + "/manifests").count() == 2
+    landing.write_manifest(man, out)  # a rerun replaces its dates
+    assert spark.read.json(out + "/manifests").count() == 3  # a row for each date and channel
 
 
 def test_csv_export_joins_arrays(spark):
@@ -89,3 +90,44 @@ def test_csv_export_joins_arrays(spark):
 def test_landing_audit(spark, landing_dir):
     a = landing.landing_audit(spark, landing_dir).first()
     assert a.file_count == 4
+
+
+@pytest.mark.parametrize("by_channel", [False, True])
+def test_lake_keeps_channel_names(spark, tmp_path, by_channel):
+    names = ["a b", "x%y", "q=1", "c:d", "ዜና ማሰራጫ", "plain", "a/b"]
+    rows = spark.createDataFrame([(i, n, "2024-01-10") for i, n in enumerate(names)],
+                                 "message_id long, channel_name string, scrape_date string")
+    lake = str(tmp_path / "lake")
+    landing.write_lake(rows.withColumn("scrape_date", F.to_date("scrape_date")), lake, by_channel)
+    back, rej = landing.read_landing(spark, lake, layout="lines")
+    assert {r.message_id: r.channel_name for r in back.collect()} == dict(enumerate(names)) and rej.count() == 0
+
+
+def test_bad_values_are_rejected_by_name(spark, tmp_path):
+    folder = tmp_path / "2024-01-10"
+    folder.mkdir()
+    good = {"message_id": 1, "channel_name": "c", "message_date": "2024-01-09T10:00:00+03:00"}
+    rows = [good, {**good, "message_date": "not a date"}, {**good, "message_date": "2024-13-45T99:00:00Z"},
+            {**good, "message_date": ""}, {**good, "views": "12"}, {**good, "scraped_at": "x"}, 7, {"channel_name": "c"}]
+    (folder / "c.json").write_text(json.dumps(rows))
+    (folder / "cut.json").write_text(json.dumps(rows)[:-20])
+    msgs, rej = landing.read_landing(spark, str(tmp_path))
+    assert [r.message_date for r in msgs.collect()] == [dt.datetime(2024, 1, 9, 7)]
+    assert sorted(r.reason for r in rej.collect()) == sorted(
+        ["bad message_date"] * 3 + ["malformed object", "bad scraped_at", "not an object", "null message_id", "malformed file"])
+
+
+def test_unreadable_target_rises(spark, tmp_path):
+    from channelwise.sources import sinks
+    assert sinks.read_existing(spark, str(tmp_path / "none")) is None
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    (bad / "part-0.parquet").write_bytes(b"no parquet")
+    with pytest.raises(Exception):
+        sinks.read_existing(spark, str(bad)).count()
+
+
+def test_counts_of_an_empty_load(spark):
+    from channelwise.operators.dedupe import load_counts
+    empty = spark.createDataFrame([], "message_id long, channel_name string")
+    assert set(load_counts(empty, ["message_id", "channel_name"], empty).first().asDict().values()) == {0}

@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -10,6 +11,8 @@ from channelwise.operators.dedupe import first_per_key, insert_or_ignore, load_c
 from channelwise.operators.ranking import ordered_row_number
 from channelwise.operators.scalars import combine_scalars
 
+from .conftest import AS_OF
+
 
 def test_ordered_row_number_matches_global_window(spark):
     rnd = random.Random(7)
@@ -69,3 +72,53 @@ def test_combine_scalars(spark):
     b = spark.range(3).agg(F.sum("id"))
     r = combine_scalars({"a": a, "b": b}).first()
     assert (r.a, r.b) == (10, 3)
+
+
+@pytest.mark.parametrize("parts", [8, 32])
+def test_row_numbers_on_many_rows_with_other_columns(spark, parts):
+    df = spark.range(0, 200_000).selectExpr("id", "id * 7919 % 1000 AS g", "uuid() AS other", "cast(id AS string) AS more")
+    df = df.drop("other").withColumn("wide", F.repeat("more", 5))
+    got = ordered_row_number(df, [F.col("g").desc(), F.col("id")], "rn", num_partitions=parts)
+    want = df.select("id", F.row_number().over(Window.orderBy(F.col("g").desc(), "id")).alias("want"))
+    assert got.join(want, "id").filter("rn != want").count() == 0 and got.count() == 200_000
+
+
+def test_sixty_thousand_channels_have_as_many_keys(spark):
+    from channelwise.plans.dims import channel_dimension
+    stg = spark.range(0, 120_000).selectExpr(
+        "concat('c', id % 60000) AS channel_name", "'u' AS channel_username", "'t' AS channel_title",
+        "TIMESTAMP_NTZ '2024-01-20 00:00:00' AS message_date", "id AS views", "id AS forwards", "true AS has_media",
+        "false AS has_image", "'valid' AS data_quality_status")
+    keys = channel_dimension(stg, AS_OF).agg(F.count_distinct("channel_key").alias("n"), F.max("channel_key").alias("m")).first()
+    assert (keys.n, keys.m) == (60_000, 60_000)
+
+
+def test_check_that_cannot_run_is_a_failure(spark):
+    from channelwise.operators import quality as q
+    df = spark.createDataFrame([(1,), (-1,)], "a long")
+    res = q.with_status(q.row_checks(df, [q.not_negative("a", "a"), q.not_null("b", "missing")]))
+    assert {r.test_name: (r.status, r.result) for r in res.collect()} == {"a": ("FAIL", 1), "b": ("FAIL", None)}
+    assert not q.all_passed(res.filter("test_name = 'b'"))
+
+
+def test_scratch_folder_is_refused_off_local_masters(monkeypatch):
+    from channelwise import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "yarn"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())

@@ -34,6 +34,28 @@ def test_ranker_reads_its_input_once(spark, tmp_path):
     spark.range(0, 5000).selectExpr("id", "id % 97 AS g").write.parquet(path)
     agg = spark.read.parquet(path).groupBy("g").agg(F.count("*").alias("n"))
     plan = final_plan(ordered_row_number(agg, [F.col("n").desc(), F.col("g")], "rn", num_partitions=4))
-    assert plan.count("FileScan parquet") == 1
-    assert "ReusedExchange" in plan
+    # counts and rows both come of the written ordering; the input isn't planned again
+    assert plan.count("FileScan parquet") == 2 and plan.count("ordered_rows") >= 2 and str(path) not in plan
+    assert "rangepartitioning" not in plan
     assert "Window" in plan and plan.count("Exchange SinglePartition") == 1  # only the per-partition counts
+
+
+def test_quality_suite_scans_the_fact_once(spark):
+    reads = []
+    w = Q.lazy_context(spark, SF).w
+    from channelwise.operators import quality
+    plain = quality.profile
+    try:
+        quality.profile = lambda df, keys, checks: reads.append(keys) or plain(df, keys, checks)
+        from channelwise.plans.catalog import run_quality_suite
+        plan = final_plan(run_quality_suite(w.stg, w.dim_channels, w.dim_dates, w.fct, AS_OF))
+    finally:
+        quality.profile = plain
+    assert ["channel_key", "date_key"] in reads
+    assert plan.count("events.parquet") == 1  # staging's own checks; the fact's come of the written profile
+
+
+def test_image_join_and_posting_hours_plans(spark):
+    c = Q.lazy_context(spark, SF)
+    assert final_plan(Q.REPORTS["q_posting_hours"](c)).count("events.parquet") == 1
+    assert final_plan(Q.REPORTS["q_visual_channels"](c)).count("events.parquet") <= 3

@@ -79,14 +79,14 @@ def test_channel_engagement_and_hours(wh):
     e = reports.channel_engagement(wh.fct, wh.dim_channels, "tikvahpharma").first()
     assert e.total_messages == 3 and e.total_views == 257 and e.image_messages == 1
     assert e.avg_image_views == 200.0 and e.avg_text_views == 28.5
-    hours = reports.posting_hours(wh.fct, wh.dim_channels, wh.dim_dates, wh.stg, "tikvahpharma").collect()
+    hours = reports.posting_hours(wh.stg, wh.dim_channels, wh.dim_dates, "tikvahpharma").collect()
     assert {h.hour_of_day: h.post_count for h in hours} == {"10": 1, "08": 1, "09": 1}
 
 
 def test_posting_hours_ignores_same_id_in_other_channel(raw_df):
     rows = [msg(1, channel="a", date=dt.datetime(2024, 1, 20, 5)), msg(1, channel="b", date=dt.datetime(2024, 1, 20, 6))]
     w = Warehouse(raw_df(rows), AS_OF)
-    hours = reports.posting_hours(w.fct, w.dim_channels, w.dim_dates, w.stg, "a").collect()
+    hours = reports.posting_hours(w.stg, w.dim_channels, w.dim_dates, "a").collect()
     assert [(h.hour_of_day, h.post_count) for h in hours] == [("05", 1)]  # D24
 
 
