@@ -78,6 +78,25 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+#: 64-bit words of the bitmap that ``perhaps_among`` broadcasts: at most so many rows.
+BITMAP_WORDS = 1 << 18
+
+
+def perhaps_among(rows: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
+    """``rows`` with a column ``__perhaps``: false only if the row's ``columns`` surely don't occur in
+    ``keys``. The keys are folded into a bitmap of a fixed number of bits, broadcast as at most
+    BITMAP_WORDS rows; with more keys than bits it only lets more rows through. It spares rows with wide
+    texts a shuffle towards a join that they have no part in."""
+    h = F.xxhash64(*columns)
+    word, bit = F.pmod(F.shiftrightunsigned(h, 6), F.lit(BITMAP_WORDS)), h.bitwiseAND(F.lit(63)).cast("int")
+    bits = (keys.select(word.alias("__word"), bit.alias("__bit"))
+            .groupBy("__word").agg(F.bit_or(F.expr("shiftleft(1L, __bit)")).alias("__bits")))
+    hit = F.expr("__bits & shiftleft(1L, __bit)") != 0
+    return (rows.withColumn("__word", word).withColumn("__bit", bit)
+            .join(F.broadcast(bits), "__word", "left")
+            .withColumn("__perhaps", F.coalesce(hit, F.lit(False))).drop("__word", "__bit", "__bits"))
+
+
 def batches_by_bytes(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20
                      ) -> Iterator[pa.RecordBatch]:
     """Slices of the Arrow batches whose ``column`` holds about ``limit`` bytes (at least one row),

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import GOLDEN, batches_by_bytes, materialize, mix64, ship, table, text_or_empty, unit_interval
+from .common import GOLDEN, batches_by_bytes, materialize, mix64, perhaps_among, ship, table, text_or_empty, unit_interval
 from .components import components
 
 SHINGLE = 5
@@ -180,11 +180,13 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame, weighting: str) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches_by_bytes(batches, "text"):
             sets = [pack(*shingles(t, weighting), weighting) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(sets, pa.binary())], ["node", "s"])
+            yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("t"), pa.array(sets, pa.binary())],
+                                             ["doc", "t", "s"])
 
-    rows = _texts(docs).join(wanted, ["doc", "t"]).select("node", "text")
-    # rows that agree in doc_id and text would give a node twice
-    return rows.mapInArrow(run, "node long, s binary").dropDuplicates(["node"])
+    texts = perhaps_among(_texts(docs), wanted, ["doc", "t"]).filter("__perhaps").drop("__perhaps")
+    # rows that agree in doc_id and text give the same set
+    sets = texts.mapInArrow(run, "doc long, t long, s binary").dropDuplicates(["doc", "t"])
+    return sets.join(wanted, ["doc", "t"]).select("node", "s")
 
 
 def pack(elements: np.ndarray, weights: np.ndarray, weighting: str = "binary") -> bytes:
@@ -246,7 +248,9 @@ def _links(pairs: DataFrame, sets: DataFrame, threshold: float, weighting: str)
 
     one = sets.select(F.col("node").alias("a"), F.col("s").alias("sa"))
     two = sets.select(F.col("node").alias("b"), F.col("s").alias("sb"))
-    return pairs.join(two, "b").join(one, "a").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    pairs = materialize(pairs, "pairs")  # written, so that a few pairs are broadcast instead of all sets shuffled
+    found = pairs.join(two, "b").join(one, "a").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    return materialize(found, "links")
 
 
 def _hidden_links(placed: DataFrame, sets: DataFrame, keys: DataFrame, threshold: float, weighting: str) -> DataFrame:
@@ -275,7 +279,7 @@ def _hidden_links(placed: DataFrame, sets: DataFrame, keys: DataFrame, threshold
     by_root = placed.groupBy("bucket", "root").agg(F.count("*").alias("c"))
     by_bucket = (by_root.groupBy("bucket").agg(F.count("*").alias("roots"), F.sum("c").alias("c"),
                                                F.max_by("root", F.struct("c", "root")).alias("main"))
-                 .filter("roots > 1 and c > 2").select(
+                 .filter("roots > 1").select(
                      "bucket", "main", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")))
     rows = (placed.join(materialize(by_bucket, "mixed-buckets"), "bucket").withColumn("outside", F.col("root") != F.col("main"))
             .select("bucket", "node", "root", "outside", "blocks"))
@@ -297,28 +301,28 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, weighting: s
     sig = materialize(signatures(docs, weighting), "signatures")
     nodes = sig.filter("n > 0").select("node", "bands").dropDuplicates(["node"])
     rows = materialize(nodes.select("node", F.explode("bands").alias("bucket")), "bands")
-    shared = rows.groupBy("bucket").agg(F.count("*").alias("c")).filter("c > 1").select("bucket")
-    members = materialize(rows.join(shared, "bucket"), "members")
+    lead = (rows.groupBy("bucket").agg(F.min(F.expr("node ^ bucket")).alias("m"), F.count("*").alias("c"))
+            .filter("c > 1").select("bucket", "c", F.expr("m ^ bucket").alias("leader")))
+    members = materialize(rows.join(lead, "bucket").select("bucket", "c", "leader", "node"), "members")
     wanted = (sig.join(members.select("node").distinct(), "node", "left_semi")
               .groupBy("node").agg(F.min(F.struct("doc", "t")).alias("r")).select("node", "r.doc", "r.t"))
     sets = materialize(_shingle_sets(docs, materialize(wanted, "candidates"), weighting), "shingle-sets")
-    links, roots = None, members.select("node", F.col("node").alias("root")).distinct()
-    for turn in range(TURNS):
-        # another leader of every bucket; only members of other components than its own are compared
-        placed = members.join(roots, "node")
+    links = _links(_pairs(members.filter("node != leader"), "leader", "node"), sets, threshold, weighting)
+    roots = _roots(members, links)
+    # buckets of two are settled; larger ones get further leaders for what still lies apart
+    larger = members.filter("c > 2").select("bucket", "node")
+    for turn in range(1, TURNS):
+        placed = materialize(larger.join(roots, "node"), "placed")
         salt = F.xxhash64("bucket", F.lit(turn))
         lead = (placed.withColumn("key", F.col("node").bitwiseXOR(salt)).groupBy("bucket")
                 .agg(F.min("key").alias("key"), F.min("root").alias("x"), F.max("root").alias("y")).filter("x != y")
                 .select("bucket", F.col("key").bitwiseXOR(salt).alias("leader")))
-        asked = placed.join(lead, "bucket")
-        if turn:
-            of = roots.select(F.col("node").alias("leader"), F.col("root").alias("leader_root"))
-            asked = asked.join(of, "leader").filter("root != leader_root")
-        pairs = _pairs(asked.filter("node != leader"), "leader", "node")
-        found = materialize(_links(pairs, sets, threshold, weighting), "links")
-        links = found if links is None else links.union(found)
+        of = roots.select(F.col("node").alias("leader"), F.col("root").alias("leader_root"))
+        larger = materialize(placed.join(lead, "bucket").join(of, "leader"), "mixed")
+        links = links.union(_links(_pairs(larger.filter("root != leader_root"), "leader", "node"), sets, threshold, weighting))
+        larger = larger.select("bucket", "node")
         roots = _roots(members, links)
-    hidden = materialize(_hidden_links(members.join(roots, "node"), sets, nodes, threshold, weighting), "hidden-links")
+    hidden = materialize(_hidden_links(larger.join(roots, "node"), sets, nodes, threshold, weighting), "hidden-links")
     if not hidden.isEmpty():
         roots = _roots(members, links.union(hidden))
     by_node = (sig.groupBy("node").agg(F.min("doc").alias("doc"), F.count("*").alias("size"))
@@ -351,8 +355,12 @@ def keep_one(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     gone = found.join(kept.select("root", F.col("t").alias("kept_t")), "root").filter(
         "doc != class or t != kept_t").select(F.col("doc").alias("__gone_doc"), F.col("t").alias("__gone_t")).distinct()
     keyed = docs.withColumn("__doc", _doc()).withColumn("__t", F.xxhash64(text_or_empty()))
-    out = keyed.join(materialize(gone, "gone"), (F.col("__doc") == F.col("__gone_doc"))
-                     & (F.col("__t") == F.col("__gone_t")), "left_anti")
+    gone = materialize(gone, "gone")
+    split = perhaps_among(keyed, gone.select(F.col("__gone_doc").alias("__doc"), F.col("__gone_t").alias("__t")),
+                          ["__doc", "__t"])
+    out = split.filter("not __perhaps").unionByName(split.filter("__perhaps").join(
+        gone, (F.col("__doc") == F.col("__gone_doc")) & (F.col("__t") == F.col("__gone_t")), "left_anti"))
+    out = out.drop("__perhaps")
     if not kept.filter("c > 1").isEmpty():  # some kept row was delivered more than once
         out = out.dropDuplicates(["__doc", "__t"])
     return out.drop("__doc", "__t")
