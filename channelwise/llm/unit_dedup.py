@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches_by_bytes, materialize, ship, table, text_or_empty
+from .common import batches_by_bytes, materialize, perhaps_among, ship, table, text_or_empty
 
 MIN_WORDS = 30
 LAST = (1 << 63) - 1  # ranks a null doc_id behind all others
@@ -112,10 +112,12 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     spans = materialize(repeated_passages(docs, min_words), "repeated-passages")
     by_doc = spans.groupBy(F.col("doc").alias("__cut_doc"), F.col("t").alias("__cut_t")).agg(
         F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__cut_spans"))
-    joined = (docs.withColumn("__cut_key", _doc()).withColumn("__cut_text", F.xxhash64("text"))
-              .join(materialize(by_doc, "passages-by-document"),
-                    (F.col("__cut_key") == F.col("__cut_doc")) & (F.col("__cut_text") == F.col("__cut_t")), "left")
-              .drop("__cut_key", "__cut_doc", "__cut_text", "__cut_t"))
+    by_doc = materialize(by_doc, "passages-by-document")
+    keyed = docs.withColumn("__cut_doc", _doc()).withColumn("__cut_t", F.xxhash64("text"))
+    split = perhaps_among(keyed, by_doc, ["__cut_doc", "__cut_t"])
+    untouched = split.filter("not __perhaps").select(*docs.columns)
+    joined = (split.filter("__perhaps").join(by_doc, ["__cut_doc", "__cut_t"], "left")
+              .select(*docs.columns, "__cut_spans"))
     names = docs.columns
     schema = docs.schema
 
@@ -134,7 +136,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     b = b.set_column(names.index("n_chars"), kind, pa.array(sizes, kind.type))
             yield b
 
-    return joined.mapInArrow(run, schema)
+    return untouched.unionByName(joined.mapInArrow(run, schema))
 
 
 def op10_substring_dedup(spark, sf_dir: str) -> DataFrame:
