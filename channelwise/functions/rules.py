@@ -34,44 +34,23 @@ def any_substring(text: Column | str, keywords: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [t.contains(k) for k in kws])
 
 
-def _sql_literal(v: str | None) -> str:
-    return "NULL" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def rules_case_sql(text_sql: str, rules: Rules, default: str | None) -> str:
-    """The ordered rules as one SQL CASE over the SQL expression ``text_sql``."""
-    whens = []
-    for label, keywords in rules:
-        kws = minimal_keywords(keywords)
-        cond = " OR ".join(f"contains({text_sql}, {_sql_literal(k)})" for k in kws) or "FALSE"
-        whens.append(f"WHEN {cond} THEN {_sql_literal(label)}")
-    return f"CASE {' '.join(whens)} ELSE {_sql_literal(default)} END" if whens else _sql_literal(default)
-
-
 def classify_by_rules(text: Column | str, rules: Rules, default: str | None) -> Column:
     """First matching rule wins; ``default`` (may be None) otherwise.
 
     ``text`` should already be lower-cased by the caller when rules are lower case.
-    Null text matches no rule and gets the default, as a searched CASE does. A column name
-    (str) is compiled as one SQL expression; a Column is composed with the Column API.
+    Null text matches no rule and gets the default, as a searched CASE does.
     """
-    if isinstance(text, str):
-        return F.expr(rules_case_sql(f"`{text}`", rules, default))
-    t = text
+    t = _col(text)
     expr = None
     for label, keywords in rules:
         cond = any_substring(t, keywords)
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    if expr is None:
-        return F.lit(default)
-    return expr.otherwise(F.lit(default))
+    return F.lit(default) if expr is None else expr.otherwise(F.lit(default))
 
 
 def channel_type(name: Column | str, rules: Rules = params.CHANNEL_TYPE_RULES,
                  default: str = params.CHANNEL_TYPE_DEFAULT) -> Column:
-    if isinstance(name, str):
-        return F.expr(rules_case_sql(f"lower(`{name}`)", rules, default))
-    return classify_by_rules(F.lower(name), rules, default)
+    return classify_by_rules(F.lower(_col(name)), rules, default)
 
 
 def recency_bucket(last_ts: Column | str, as_of, active_days: int = params.ACTIVE_DAYS,

@@ -38,8 +38,3 @@ def message_fact(stg: DataFrame, dim_channels: DataFrame, dim_dates: DataFrame)
     keyed = m.join(ch, cond, "inner")
     dated = keyed.join(dim_dates.select("date_key"), "date_key", "left_semi")
     return dated.select(*FACT_COLUMNS)
-
-
-def fact_with_channel(fct: DataFrame, dim_channels: DataFrame, cols=("channel_name", "channel_type")) -> DataFrame:
-    """Fact rows with chosen dimension attributes (star join on channel_key)."""
-    return fct.join(dim_channels.select("channel_key", *cols), "channel_key")
