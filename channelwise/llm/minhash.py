@@ -44,7 +44,7 @@ K = BANDS * ROWS
 TURNS = 3  # leaders compared in every bucket before its remaining components are compared in full
 BLOCK = 256
 LAST = (1 << 63) - 1
-CACHE_ENTRIES = 1 << 19
+CACHE_ENTRIES = 1 << 16
 SIGNATURES = "doc long, t long, node long, n int, bands array<long>"
 
 

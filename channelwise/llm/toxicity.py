@@ -41,7 +41,7 @@ PRIOR, CAUTION, KNOWN, DRIFT = 10.0, 2.0, 5, -0.15
 THRESHOLD = 0.7
 FLOOR = 0.5  # islands of clean text below this score are left out of the law's fit
 COUNTS = "fold int, form int, bucket int, toxic long, clean long"
-CACHE_ENTRIES = 1 << 18
+CACHE_ENTRIES = 1 << 17
 
 
 def forms(word: str) -> list[tuple[int, int]]:
