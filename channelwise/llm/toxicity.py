@@ -1,6 +1,6 @@
 """Toxicity by maximum-scoring segments.
 
-*Token scores.* Document counts of every word, and of its first five and four letters, are taken
+*Token scores.* Document counts of every word, and of its first seven, five and four letters, are taken
 per class from labelled documents. A token's probability of standing in a toxic document has a
 Dirichlet prior (``PRIOR`` pseudo-counts) whose mean is that of the next shorter form, down to the
 base rate. Its score is the log-odds against the base rate less ``CAUTION`` standard deviations, if
@@ -8,10 +8,11 @@ positive; a word seen fewer than ``KNOWN`` times takes the best of its forms. Al
 ``DRIFT``. Forms are counted in hashed tables of a fixed size, so the model can be broadcast.
 
 *Segments.* One linear scan (Ruzzo and Tompa's algorithm) finds every maximal scoring segment of a
-document's token scores. Segment scores of clean documents follow an extreme-value law; its two
+document's token scores. A word that
+comes again counts half as much each time. Segment scores of clean documents follow an extreme-value law; its two
 parameters are estimated from their islands. A segment of score S in n tokens has the normalised
-score ``scale * S - ln(K * n)``; ``log1p`` of the sum of their exponentials is the document's
-evidence, and a logistic curve turns it into a probability. The law and the curve are fitted on
+score ``scale * S - ln(K * n)``; ``log1p`` of the sum of their exponentials (at most
+``MOST_EVIDENCE``) is the document's evidence, and a logistic curve turns it into a probability. The law and the curve are fitted on
 cross-scored folds: fold 0 by counts of fold 2 and the other way round.
 
 Learned from at most ``BOUND`` labelled rows (a documented bound), never from the held-out fold.
@@ -36,7 +37,8 @@ from .common import WORD, Recent, batches_by_bytes, held_out, materialize, sampl
 
 BOUND = 20_000
 BUCKETS = 1 << 18
-FORMS = (0, 5, 4)  # the word, its first five letters, its first four
+FORMS = (0, 7, 5, 4)  # the word, its first seven, five and four letters
+MOST_EVIDENCE = 12.0
 PRIOR, CAUTION, KNOWN, DRIFT = 10.0, 2.0, 5, -0.15
 THRESHOLD = 0.7
 FLOOR = 0.5  # islands of clean text below this score are left out of the law's fit
@@ -46,8 +48,11 @@ CACHE_ENTRIES = 1 << 17
 
 def forms(word: str) -> list[tuple[int, int]]:
     """(form, bucket) of a word; a form as long as the word is the word itself and left out."""
-    return [(k, zlib.crc32((word[:n] if n else word).encode(), k) % BUCKETS)
-            for k, n in enumerate(FORMS) if n == 0 or len(word) > n]
+    return [(k, _bucket(word[:n] if n else word, k)) for k, n in enumerate(FORMS) if n == 0 or len(word) > n]
+
+
+def _bucket(form: str, k: int) -> int:
+    return zlib.crc32(form.encode(), k) % BUCKETS
 
 
 @dataclass
@@ -56,6 +61,7 @@ class Lexicon:
 
     base: float
     counts: dict = field(default_factory=dict)
+    prefixes: dict = field(default_factory=dict, repr=False)
     cache: Recent = field(default_factory=lambda: Recent(CACHE_ENTRIES), repr=False)
 
     def score(self, word: str) -> float:
@@ -65,25 +71,46 @@ class Lexicon:
             self.cache.put(word, known)
         if known is not None:
             return known
-        out, found = 0.0, [(k, self.counts.get((k, b))) for k, b in forms(word)]
-        if any(c is not None for _, c in found):
-            mean, best, own = self.base, 0.0, None
-            for k, c in reversed(found):
-                toxic, total = c or (0, 0)
-                a, b = toxic + PRIOR * mean, total - toxic + PRIOR * (1 - mean)
-                lower = math.log(a / b) - math.log(self.base / (1 - self.base)) - CAUTION * math.sqrt(1 / a + 1 / b)
-                if total and lower > best:
-                    best = lower
-                if k == 0 and total >= KNOWN:
-                    own = lower
-                mean = a / (a + b)
-            out = max(0.0, best if own is None else own)
+        mean, best = self._prefixes(word)
+        toxic, total = self.counts.get((0, _bucket(word, 0)), (0, 0))
+        own = self._lower(toxic, total, mean)[0] if total else None
+        out = max(0.0, best if own is None else own if total >= KNOWN else max(own, best))
         self.cache.put(word, out)
         return out
 
+    def _lower(self, toxic: int, total: int, mean: float) -> tuple[float, float]:
+        """(log-odds against the base rate less the margin, posterior mean) of a form's counts."""
+        a, b = toxic + PRIOR * mean, total - toxic + PRIOR * (1 - mean)
+        odds = math.log(a / b) - math.log(self.base / (1 - self.base))
+        return odds - CAUTION * math.sqrt(1 / a + 1 / b), a / (a + b)
+
+    def _prefixes(self, word: str) -> tuple[float, float]:
+        """(prior mean of a word, best score) out of its shorter forms, from the shortest on."""
+        key = word[:next((n for n in FORMS[1:] if len(word) > n), 0)]
+        known = self.prefixes.get(key)
+        if known is None:
+            mean, best = self.base, 0.0
+            for k, n in reversed(list(enumerate(FORMS))[1:]):
+                if len(word) > n:
+                    toxic, total = self.counts.get((k, _bucket(word[:n], k)), (0, 0))
+                    lower, mean = self._lower(toxic, total, mean)
+                    best = max(best, lower) if total else best
+            if len(self.prefixes) >= CACHE_ENTRIES:
+                self.prefixes.clear()
+            known = self.prefixes[key] = mean, best
+        return known
+
     def positives(self, words: list[str]) -> list[tuple[int, float]]:
+        """(place, score) of the words that score. A word that comes again counts half as much each
+        time, so that a line repeated a hundred times isn't a hundred times the evidence."""
         get, score = self.cache.get, self.score
-        return [(i, s) for i, w in enumerate(words) if (s := score(w) if (s := get(w)) is None else s)]
+        found = [(i, s) for i, w in enumerate(words) if (s := score(w) if (s := get(w)) is None else s)]
+        seen: dict[str, int] = {}
+        for j, (i, s) in enumerate(found):
+            n = seen[words[i]] = seen.get(words[i], -1) + 1
+            if n:
+                found[j] = i, s * 0.5 ** min(n, 60)
+        return found
 
 
 def segments(positives: list[tuple[int, float]], drift: float = DRIFT) -> list[tuple[float, int, int]]:
@@ -121,7 +148,7 @@ class Model:
     def evidence(self, scores: list[float], n: int) -> float:
         if not scores:
             return 0.0
-        return math.log1p(sum(math.exp(min(50.0, self.normalised(s, n))) for s in scores))
+        return min(MOST_EVIDENCE, math.log1p(sum(math.exp(min(50.0, self.normalised(s, n))) for s in scores)))
 
     def probability(self, evidence: float) -> float:
         return 1 / (1 + math.exp(-max(-50.0, min(50.0, self.slope * evidence + self.offset))))
