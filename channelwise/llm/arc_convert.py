@@ -189,7 +189,9 @@ def write_warc(files: DataFrame, path: str, least: int = 0) -> None:
     """Convert ARC files (path, content) and write WARC files below ``path``. The records meet their
     revisit decisions in a join by identifier, which Spark broadcasts only if the written table of
     revisits is small."""
-    decided = materialize(revisits(records(files, payloads=False), least), "revisits")
+    found = records(files, payloads=False).select(
+        "record_id", "uri", "date", "type", "page_id", "payload_bytes", "payload_digest")
+    decided = materialize(revisits(materialize(found, "digests"), least), "revisits")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text = "software: channelwise\r\nformat: WARC File Format 1.1\r\n"
