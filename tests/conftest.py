@@ -19,7 +19,7 @@ def spark():
     s.stop()
 
 
-def msg(message_id, channel="tikvahpharma", date=dt.datetime(2024, 1, 20, 10, 0), text="Paracetamol 500mg tablet",
+def msg(message_id, channel="novapharma", date=dt.datetime(2024, 1, 20, 10, 0), text="Paracetamol 500mg tablet",
         views=100, forwards=5, has_media=False, image=False, username=None, title=None, scraped=None):
     """One raw message row (tuple in RAW_MESSAGE order)."""
     return (message_id, channel, username if username is not None else f"@{channel}",

@@ -13,11 +13,11 @@ from .conftest import AS_OF, msg
 @pytest.fixture
 def wh(raw_df):
     rows = [
-        msg(1, channel="tikvahpharma", text="Amoxicillin 500mg capsule", views=200, image=True),
-        msg(2, channel="tikvahpharma", text="100% pure_vitamin C", views=50, date=dt.datetime(2024, 1, 25, 8)),
-        msg(3, channel="lobelia4cosmetics", text="face cream 50 ml", views=10, date=dt.datetime(2024, 1, 26, 21)),
-        msg(4, channel="lobelia4cosmetics", text="nothing to see", views=5, date=dt.datetime(2024, 1, 26, 22)),
-        msg(5, channel="tikvahpharma", text="pill organiser", views=7, date=dt.datetime(2024, 1, 27, 9)),
+        msg(1, channel="novapharma", text="Amoxicillin 500mg capsule", views=200, image=True),
+        msg(2, channel="novapharma", text="100% pure_vitamin C", views=50, date=dt.datetime(2024, 1, 25, 8)),
+        msg(3, channel="novacosmetics", text="face cream 50 ml", views=10, date=dt.datetime(2024, 1, 26, 21)),
+        msg(4, channel="novacosmetics", text="nothing to see", views=5, date=dt.datetime(2024, 1, 26, 22)),
+        msg(5, channel="novapharma", text="pill organiser", views=7, date=dt.datetime(2024, 1, 27, 9)),
     ]
     return Warehouse(raw_df(rows), AS_OF)
 
@@ -76,10 +76,10 @@ def test_unknown_channel_is_empty(wh):
 
 
 def test_channel_engagement_and_hours(wh):
-    e = reports.channel_engagement(wh.fct, wh.dim_channels, "tikvahpharma").first()
+    e = reports.channel_engagement(wh.fct, wh.dim_channels, "novapharma").first()
     assert e.total_messages == 3 and e.total_views == 257 and e.image_messages == 1
     assert e.avg_image_views == 200.0 and e.avg_text_views == 28.5
-    hours = reports.posting_hours(wh.stg, wh.dim_channels, wh.dim_dates, "tikvahpharma").collect()
+    hours = reports.posting_hours(wh.stg, wh.dim_channels, wh.dim_dates, "novapharma").collect()
     assert {h.hour_of_day: h.post_count for h in hours} == {"10": 1, "08": 1, "09": 1}
 
 
@@ -91,8 +91,8 @@ def test_posting_hours_ignores_same_id_in_other_channel(raw_df):
 
 
 def test_channel_performance_mart_no_fanout(raw_df):
-    rows = [msg(i, channel="tikvahpharma", date=dt.datetime(2024, 1, 1) + dt.timedelta(days=i), image=True)
-            for i in range(28)] + [msg(100, channel="tikvahpharma", date=dt.datetime(2024, 1, 3), image=True)]
+    rows = [msg(i, channel="novapharma", date=dt.datetime(2024, 1, 1) + dt.timedelta(days=i), image=True)
+            for i in range(28)] + [msg(100, channel="novapharma", date=dt.datetime(2024, 1, 3), image=True)]
     w = Warehouse(raw_df(rows), AS_OF)
     m = marts.channel_performance_mart(w.fct, w.dim_channels, w.dim_dates, as_of=AS_OF).first()
     # 2024-01-22..28 are within 7 days of 2024-01-29; four Monday weeks of 8, 7, 7, 7 posts

@@ -43,13 +43,13 @@ def test_channel_type_rule_order():
 
 
 def test_channel_type_classification(spark):
-    names = ["tikvahpharma", "chemed", "medicalhub", "lobelia4cosmetics", "skinbeautyet", "cityhealthclinic",
+    names = ["novapharma", "chemed", "medicalhub", "novacosmetics", "skinbeautyet", "cityhealthclinic",
              "doctorsonline", "dailynews", "MEDICALnews", None]
     df = spark.createDataFrame([(n,) for n in names], "name string")
     got = {r.name: r.t for r in df.select("name", channel_type(F.col("name")).alias("t")).collect()}
-    assert got["tikvahpharma"] == got["chemed"] == got["medicalhub"] == "Pharmaceutical"  # D3: med before medical
+    assert got["novapharma"] == got["chemed"] == got["medicalhub"] == "Pharmaceutical"  # D3: med before medical
     assert got["MEDICALnews"] == "Pharmaceutical"
-    assert got["lobelia4cosmetics"] == got["skinbeautyet"] == "Cosmetics"
+    assert got["novacosmetics"] == got["skinbeautyet"] == "Cosmetics"
     assert got["cityhealthclinic"] == got["doctorsonline"] == "Medical"
     assert got["dailynews"] == "Other" and got[None] == "Other"
 

@@ -19,7 +19,7 @@ from channelwise.plans.facts import message_fact  # noqa: E402
 from channelwise.session import local_session, scratch_path  # noqa: E402
 
 SHOW = ["q_daily_trends", "q_top_products", "q_posting_hours", "q_product_mart", "q_quality_suite",
-        "q_search_messages"]
+        "q_search_messages", "q_image_engagement", "q_visual_channels", "q_dedupe"]
 KEEP = re.compile(r"(Exchange|Join|Aggregate|Window|Scan|TakeOrdered|PartitionFilters|PushedFilters|"
                   r"ReadSchema|ReusedExchange|AQEShuffleRead|Filter \()")
 
