@@ -55,12 +55,16 @@ def _bucket(form: str, k: int) -> int:
     return zlib.crc32(form.encode(), k) % BUCKETS
 
 
+SLOTS = len(FORMS) * BUCKETS
+
+
 @dataclass
 class Lexicon:
-    """Counts of the forms that toxic documents hold: (form, bucket) -> (toxic, all)."""
+    """Documents (toxic, all) that hold a form, by form * BUCKETS + bucket: two arrays of fixed size."""
 
     base: float
-    counts: dict = field(default_factory=dict)
+    toxic: np.ndarray = field(default_factory=lambda: np.zeros(SLOTS, np.int32), repr=False)
+    total: np.ndarray = field(default_factory=lambda: np.zeros(SLOTS, np.int32), repr=False)
     prefixes: dict = field(default_factory=dict, repr=False)
     cache: Recent = field(default_factory=lambda: Recent(CACHE_ENTRIES), repr=False)
 
@@ -72,12 +76,16 @@ class Lexicon:
         if known is not None:
             return known
         mean, best = self._prefixes(word)
-        toxic, total = self.counts.get((0, _bucket(word, 0)), (0, 0))
+        toxic, total = self._counts(word, 0)
         own = self._lower(toxic, total, mean)[0] if total else None
         out = max(0.0, best if own is None else own if total >= KNOWN else max(own, best))
         self.cache.put(word, out)
         return out
 
+    def _counts(self, form: str, k: int) -> tuple[int, int]:
+        at = k * BUCKETS + _bucket(form, k)
+        return self.toxic.item(at), self.total.item(at)
+
     def _lower(self, toxic: int, total: int, mean: float) -> tuple[float, float]:
         """(log-odds against the base rate less the margin, posterior mean) of a form's counts."""
         a, b = toxic + PRIOR * mean, total - toxic + PRIOR * (1 - mean)
@@ -92,7 +100,7 @@ class Lexicon:
             mean, best = self.base, 0.0
             for k, n in reversed(list(enumerate(FORMS))[1:]):
                 if len(word) > n:
-                    toxic, total = self.counts.get((k, _bucket(word[:n], k)), (0, 0))
+                    toxic, total = self._counts(word[:n], k)
                     lower, mean = self._lower(toxic, total, mean)
                     best = max(best, lower) if total else best
             if len(self.prefixes) >= CACHE_ENTRIES:
@@ -183,15 +191,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ["fold", "form", "bucket", "toxic", "clean"])
 
 
-def _lexicon(counts, docs: dict, folds: tuple[int, ...]) -> Lexicon:
+def _lexicon(counts: dict[str, np.ndarray], docs: dict, folds: tuple[int, ...]) -> Lexicon:
     toxic = sum(docs.get((f, 1), 0) for f in folds)
     clean = sum(docs.get((f, 0), 0) for f in folds)
-    found: dict = {}
-    for fold, form, bucket, t, c in counts:
-        if fold in folds:
-            a, n = found.get((form, bucket), (0, 0))
-            found[(form, bucket)] = (a + t, n + t + c)
-    return Lexicon((toxic + 0.5) / (toxic + clean + 1), {k: v for k, v in found.items() if v[0]})
+    out = Lexicon((toxic + 0.5) / (toxic + clean + 1))
+    for f in folds:
+        out.toxic[counts["slot"]] += counts[f"t{f}"].astype(np.int32)
+        out.total[counts["slot"]] += (counts[f"t{f}"] + counts[f"c{f}"]).astype(np.int32)
+    return out
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -221,25 +228,30 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = BOUND) -> Model:
         return Model(Lexicon(0.5))
     counts = (rows.mapInArrow(_count, COUNTS).groupBy("fold", "form", "bucket")
               .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
-    # a form that no toxic document holds never scores; those of either fold are enough
-    held = counts.groupBy("form", "bucket").agg(F.sum("toxic").alias("t"),
-                                                F.collect_list(F.struct("fold", "toxic", "clean")).alias("by"))
-    got = [(r.fold, f, b, r.toxic, r.clean) for f, b, by in
-           held.filter("t > 0").select("form", "bucket", "by").collect() for r in by]
-    by_fold = {f: _lexicon(got, sizes, (1 - f,)) for f in (0, 1)}  # each fold by the other one's counts
+    # a form that no toxic document holds never scores; at most SLOTS rows, fetched as Arrow columns
+    by_slot = counts.groupBy((F.col("form") * BUCKETS + F.col("bucket")).alias("slot")).agg(*[
+        F.coalesce(F.sum(F.when(F.col("fold") == f, F.col(c))), F.lit(0)).alias(f"{c[0]}{f}")
+        for f in (0, 1) for c in ("toxic", "clean")])
+    held = by_slot.filter("t0 + t1 > 0").toArrow()
+    got = {c: np.asarray(held.column(c)) for c in held.column_names}
+    spark = docs.sparkSession
+    # each fold is scored by the other one's counts
+    by_fold = spark.sparkContext.broadcast([_lexicon(got, sizes, (1 - f,)) for f in (0, 1)])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicons = by_fold.value
         for b in batches_by_bytes(batches, "text"):
             out = []
             for text, fold in zip(b.column("text").to_pylist(), b.column("fold").to_pylist()):
                 words = WORD.findall(text.lower())
                 out.append((len(words), sorted((s for s, _, _ in segments(
-                    by_fold[1 if fold else 0].positives(words))), reverse=True)[:64]))
+                    lexicons[1 if fold else 0].positives(words))), reverse=True)[:64]))
             yield pa.RecordBatch.from_arrays(
                 [b.column("label"), pa.array([x[0] for x in out], pa.int64()),
                  pa.array([x[1] for x in out], pa.list_(pa.float64()))], ["label", "n", "scores"])
 
     scored = rows.mapInArrow(score, "label int, n long, scores array<double>").collect()
+    by_fold.unpersist()
     model = Model(_lexicon(got, sizes, (0, 1)))
     islands = [s for y, _, ss in scored if y == 0 for s in ss if s >= FLOOR]
     tokens = sum(n for y, n, _ in scored if y == 0)
