@@ -32,7 +32,7 @@ from .common import batches_by_bytes, materialize, perhaps_among, ship, table, t
 
 MIN_WORDS = 30
 LAST = (1 << 63) - 1  # ranks a null doc_id behind all others
-UNIT = re.compile(r"[^\n]*?[.!?]+(?=\s)|[^\n]+")
+UNIT = re.compile(r"[^\n]*?[.!?](?=\s)|[^\n]+")
 UNITS = "doc long, t long, h1 long, h2 long, at long, size int, words int, k int, again boolean"
 
 
