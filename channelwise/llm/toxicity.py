@@ -4,7 +4,7 @@
 per class from labelled documents. A token's probability of standing in a toxic document has a
 Dirichlet prior (``PRIOR`` pseudo-counts) whose mean is that of the next shorter form, down to the
 base rate. Its score is the log-odds against the base rate less ``CAUTION`` standard deviations, if
-positive; a word seen fewer than ``KNOWN`` times takes the best of its forms. All other tokens score
+at least ``FLOOR``; a word seen fewer than ``KNOWN`` times takes the best of its forms. All other tokens score
 ``DRIFT``. Forms are counted in hashed tables of a fixed size, so the model can be broadcast.
 
 *Segments.* One linear scan (Ruzzo and Tompa's algorithm) finds every maximal scoring segment of a
@@ -41,7 +41,7 @@ FORMS = (0, 7, 5, 4)  # the word, its first seven, five and four letters
 MOST_EVIDENCE = 12.0
 PRIOR, CAUTION, KNOWN, DRIFT = 10.0, 2.0, 5, -0.15
 THRESHOLD = 0.7
-FLOOR = 0.5  # islands of clean text below this score are left out of the law's fit
+FLOOR = 0.5  # weaker evidence of a token counts as none; the least score of an island
 COUNTS = "fold int, form int, bucket int, toxic long, clean long"
 CACHE_ENTRIES = 1 << 17
 
@@ -78,7 +78,8 @@ class Lexicon:
         mean, best = self._prefixes(word)
         toxic, total = self._counts(word, 0)
         own = self._lower(toxic, total, mean)[0] if total else None
-        out = max(0.0, best if own is None else own if total >= KNOWN else max(own, best))
+        out = best if own is None else own if total >= KNOWN else max(own, best)
+        out = out if out >= FLOOR else 0.0
         self.cache.put(word, out)
         return out
 
