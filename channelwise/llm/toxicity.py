@@ -124,7 +124,8 @@ class Lexicon:
 def segments(positives: list[tuple[int, float]], drift: float = DRIFT) -> list[tuple[float, int, int]]:
     """All maximal scoring segments (score, first token, last token), left to right, of a token
     sequence that scores ``drift`` but at the given (index, score) pairs."""
-    out: list[tuple[float, float, int, int]] = []  # sum before, sum after, first, last
+    done: list[tuple[float, float, int, int]] = []  # sum before, sum after, first, last
+    out: list[tuple[float, float, int, int]] = []
     total, at = 0.0, -1
     for i, s in positives:
         total += drift * (i - at - 1)
@@ -134,12 +135,16 @@ def segments(positives: list[tuple[int, float]], drift: float = DRIFT) -> list[t
             j = len(out) - 1
             while j >= 0 and out[j][0] >= left:
                 j -= 1
-            if j < 0 or out[j][1] >= right:
+            if j < 0:  # nothing starts lower: what stands is final
+                done += out
+                out = [(left, right, first, i)]
+                break
+            if out[j][1] >= right:
+                out.append((left, right, first, i))
                 break
             left, first = out[j][0], out[j][2]
             del out[j:]
-        out.append((left, right, first, i))
-    return [(right - left, first, last) for left, right, first, last in out]
+    return [(right - left, first, last) for left, right, first, last in done + out]
 
 
 @dataclass
