@@ -4,9 +4,10 @@ A text is cut into units: its lines, and within a line its sentences (a unit end
 or ``?`` and white space), so that a passage is found whether it stands on lines of its own or inside
 a paragraph. A unit is normalised (lower case, single spaces, trimmed) and hashed to 128 bits. The
 digests are grouped over all documents. The earliest occurrence of a digest (smallest doc_id, then
-smallest offset) is kept; every other one is a repeat, in the same document too. Adjoining repeats of a document form a
-passage, and passages of at least ``MIN_WORDS`` words are removed: a sentence that two texts share
-by chance is not a repeated passage. The original character offsets of what goes are kept.
+smallest offset) is kept; every other one is a repeat, in the same document too, and is removed, however
+short it is. Adjoining repeats of a document form a passage; the original character offsets of what goes
+are kept. ``min_words`` above 1 spares shorter passages; no query asks for that. A repeated passage that
+starts or ends inside a sentence loses its whole sentences only.
 
 Grouping is one aggregation with map-side combining (a digest's group is a minimum and a flag), so a
 passage that a third of all documents share costs a task one row per map task. Only the digests
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import batches_by_bytes, materialize, perhaps_among, ship, table, text_or_empty
 
-MIN_WORDS = 30
+MIN_WORDS = 1  # every repeated unit goes
 LAST = (1 << 63) - 1  # ranks a null doc_id behind all others
 UNIT = re.compile(r"[^\n]*?[.!?](?=\s)|[^\n]+")
 UNITS = "doc long, t long, h1 long, h2 long, at long, size int, words int, k int, again boolean"

@@ -231,6 +231,32 @@ def test_offsets_are_those_of_the_original(documents):
     assert got[1] == ("Intro two.\nOutro two.", len("Intro two.\nOutro two."))
 
 
+def held_before(texts, n=50, distinct=20):
+    """Places (text, word) of the n-grams of words that an earlier text holds too."""
+    seen, out = set(), []
+    for k, text in enumerate(texts):
+        w = text.lower().split()
+        grams = [tuple(w[i:i + n]) for i in range(len(w) - n + 1)]
+        out += [(k, i) for i, g in enumerate(grams) if g in seen and len(set(g)) >= distinct]
+        seen.update(grams)
+    return out
+
+
+def test_no_repeated_50_grams_are_left(documents):
+    """Passages that start and end inside sentences, with few words in whole sentences; short repeated units."""
+    rng = random.Random(8)
+    texts = []
+    for k in range(6):
+        tail, whole, head = (" ".join(words(rng, n, 10**6)) for n in (18, 22, 18))
+        for j in range(3):
+            own = [" ".join(words(rng, 8, 10**6)) for _ in range(4)]
+            texts.append(f"{own[0]}. {own[1]} {tail}. {whole}. {head} {own[2]}. Same to all.\n日本語の同じ行\n{own[3]}.")
+    assert len({k for k, _ in held_before(texts)}) == 12
+    got = [r.text for r in unit_dedup.remove_repeats(documents(texts)).orderBy("doc_id").collect()]
+    assert held_before(got) == []
+    assert got[0] == texts[0] and not any("Same to all." in t or "日本語の同じ行" in t for t in got[1:])
+
+
 def test_awkward_repeats(awkward):
     df = awkward
     for c in CLASHING:
