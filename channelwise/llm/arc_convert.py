@@ -14,10 +14,12 @@ aggregation with map-side combining.
 
 *Files.* Spark's text writer with the record separator as its line separator writes exactly the
 record sequence that the format asks for, gzip-compressed, each file headed by a ``warcinfo`` record.
+Records are built as bytes, and Spark's cast of bytes to a string and its text writer pass them on as they
+are, so HTTP headers and payloads (images, compressed bodies, any charset) come out byte for byte.
 ``read_warc`` parses them by their declared lengths.
 
 Cases: null content counts as empty, a null URL as ``-``; white space and control characters in a
-URL are percent-encoded, as both formats need; a null page id ranks last and stays null; rows that
+URL are percent-encoded, as both formats need, and so are bytes of an ARC header line that aren't UTF-8; a null page id ranks last and stays null; rows that
 agree in all columns are one record and are all responses; empty tables give no records; truncated or
 malformed ARC content ends that file with a row of type ``error`` instead of failing the job.
 """
@@ -25,6 +27,7 @@ malformed ARC content ends that file with a row of type ``error`` instead of fai
 from __future__ import annotations
 
 import base64
+import codecs
 import gzip
 import hashlib
 import io
@@ -51,7 +54,14 @@ LAST = (1 << 63) - 1
 RECORDS_PER_FILE = 20_000
 UNSAFE = re.compile(r"[\x00-\x20\x7f]")
 RECORD = ("record_id string, uri string, ip string, date string, type string, media string, page_id long, "
-          "payload_bytes long, payload_digest string, block_digest string, head string, payload string")
+          "payload_bytes long, payload_digest string, block_digest string, head binary, payload binary")
+
+
+def _percent(e: UnicodeDecodeError) -> tuple[str, int]:
+    return "".join(f"%{x:02X}" for x in e.object[e.start:e.end]), e.end
+
+
+codecs.register_error("channelwise-percent", _percent)
 
 
 def sha1(data: bytes) -> str:
@@ -93,7 +103,7 @@ def parse_arc(content: bytes) -> Iterator[tuple[dict, bytes]]:
         if at >= len(content):
             return
         line_end = content.find(b"\n", at)
-        values = content[at:max(line_end, at)].decode("utf-8", "replace").rsplit(" ", len(names) - 1)
+        values = content[at:max(line_end, at)].decode("utf-8", "channelwise-percent").rsplit(" ", len(names) - 1)
         if len(values) != len(names) or not values[-1].isdigit():
             raise ValueError(f"bad header line at {at}")
         at, size = line_end + 1, int(values[-1])
@@ -116,10 +126,10 @@ def convert(fields: dict, block: bytes) -> tuple:
             page = int(m.group(1))
     name = "\n".join((fields["URL"], fields["Archive-date"], sha1(block)))
     return (f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}", fields["URL"], fields["IP-address"], date, kind, media,
-            page, len(payload), sha1(payload), sha1(block), head.decode("utf-8", "replace"), payload)
+            page, len(payload), sha1(payload), sha1(block), head, payload)
 
 
-_TYPES = [pa.string()] * 6 + [pa.int64(), pa.int64()] + [pa.string()] * 4
+_TYPES = [pa.string()] * 6 + [pa.int64(), pa.int64()] + [pa.string()] * 2 + [pa.binary()] * 2
 _NAMES = [x.split(" ")[0] for x in RECORD.split(", ")]
 
 
@@ -166,23 +176,22 @@ def revisits(found: DataFrame, least: int) -> DataFrame:
         "record_id", "first_id", "first_page", "first_uri", "first_date").dropDuplicates(["record_id"])
 
 
-def warc_record(r: dict) -> str:
-    """The text of one record up to its closing blank lines."""
+def warc_record(r: dict) -> bytes:
+    """The bytes of one record up to its closing blank lines."""
     again = r["first_id"] is not None
     block = r["head"] if again else r["head"] + r["payload"]
-    size = len(block.encode())
     lines = ["WARC/1.1", f"WARC-Type: {'revisit' if again else r['type']}", f"WARC-Record-ID: <{r['record_id']}>",
              f"WARC-Date: {r['date']}", f"WARC-Target-URI: {r['uri']}", f"WARC-IP-Address: {r['ip']}",
              f"WARC-Payload-Digest: sha1:{r['payload_digest']}"]
     if again:
         lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <{r['first_id']}>",
                   f"WARC-Refers-To-Target-URI: {r['first_uri']}", f"WARC-Refers-To-Date: {r['first_date']}",
-                  f"WARC-Block-Digest: sha1:{sha1(block.encode())}"]
+                  f"WARC-Block-Digest: sha1:{sha1(block)}"]
         if r["first_page"] != LAST:
             lines.append(f"X-Refers-To-Page: {r['first_page']}")
     else:
         lines.append(f"WARC-Block-Digest: sha1:{r['block_digest']}")
-    return "\r\n".join([*lines, f"Content-Type: {r['media']}", f"Content-Length: {size}", "", ""]) + block
+    return "\r\n".join([*lines, f"Content-Type: {r['media']}", f"Content-Length: {len(block)}", "", ""]).encode() + block
 
 
 def write_warc(files: DataFrame, path: str, least: int = 0) -> None:
@@ -197,15 +206,15 @@ def write_warc(files: DataFrame, path: str, least: int = 0) -> None:
         text = "software: channelwise\r\nformat: WARC File Format 1.1\r\n"
         info = (f"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:{uuid.uuid4()}>\r\n"
                 f"WARC-Date: 2024-01-01T00:00:00Z\r\nContent-Type: application/warc-fields\r\n"
-                f"Content-Length: {len(text)}\r\n\r\n{text}")
+                f"Content-Length: {len(text)}\r\n\r\n{text}").encode()
         for b in batches_by_bytes(batches, "payload"):
             out = [info] if info else []
             info = None
             out += [warc_record(r) for r in b.to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
     joined = records(files).filter("type != 'error'").join(decided, "record_id", "left")
-    (joined.mapInArrow(run, "value string").write.option("lineSep", END).option("compression", "gzip")
+    (joined.mapInArrow(run, "value binary").select(F.col("value").cast("string")).write.option("lineSep", END).option("compression", "gzip")
      .option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
 
 

@@ -295,6 +295,35 @@ def test_warc_round_trip_with_revisits(spark, tmp_path):
     assert arc_convert.read_warc(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_bytes_of_any_kind_come_out_as_they_are(spark, tmp_path):
+    import gzip
+    top = b"HTTP/1.1 200 OK\r\nX-Title: caf\xe9 \xff\r\nContent-Length: %d\r\n\r\n"
+    bodies = [b"\xff\xfeabc", b"\x89PNG\r\n\x1a\n\x00\xff" + bytes(range(256)) * 20, gzip.compress(b"abc" * 99, mtime=0),
+              "é café".encode("latin-1"), b"\r\n\r\n\xc3", b"\xff\xfeabc", "é".encode()]
+    blocks = [top % len(x) + x for x in bodies] + [b"%PDF-1.4\n\xe2\xe3\xcf\xd3", b"\xed\xa0\x80\xf5"]
+    content = arc_convert.arc_file("n", 1, []) + b"".join(
+        b"http://h/%d\xe9 0.0.0.0 20240101000000 text/html %d\n" % (k, len(x)) + x + b"\n" for k, x in enumerate(blocks))
+    files = spark.createDataFrame([("a", content)], "path string, content binary")
+    assert [(r.type, bytes(r.head + r.payload)) for r in arc_convert.records(files).collect()] == [
+        ("response" if x.startswith(b"HTTP/") else "resource", x) for x in blocks]
+    path = str(tmp_path / "warc")
+    arc_convert.write_warc(files, path)
+    found = {}
+    for part in (tmp_path / "warc").glob("part-*"):
+        with gzip.open(part) as f:
+            for header, block in arc_convert.parse_warc(f):
+                if header["warc-type"] != "warcinfo":
+                    assert header["warc-block-digest"] == "sha1:" + arc_convert.sha1(block)
+                    found[header["warc-target-uri"]] = header["warc-type"], block
+    again = {k for k, (kind, _) in found.items() if kind == "revisit"}
+    assert again < {"http://h/0%E9", "http://h/5%E9"} and len(again) == 1
+    assert {k: b for k, (_, b) in found.items()} == {
+        u: x.partition(b"\r\n\r\n")[0] + b"\r\n\r\n" if u in again else x
+        for u, x in ((f"http://h/{k}%E9", x) for k, x in enumerate(blocks))}
+    got = sorted((r.payload_bytes, r.payload_digest) for r in arc_convert.read_warc(spark, path).collect())
+    assert got == sorted((len(x), arc_convert.sha1(x)) for x in bodies + blocks[len(bodies):])
+
+
 # ---------------------------------------------------------------- registered queries and the pipeline
 
 def test_registered():
