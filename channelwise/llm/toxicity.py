@@ -223,8 +223,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, bound: int = BOUND) -> Model:
-    """Fit on the labelled rows of the learning folds. Only counts of forms that toxic documents hold
-    (a table of fixed size) and the segment scores of at most ``bound`` documents reach the driver."""
+    """Fit on the labelled rows of the learning folds. Only counts of forms (a table of fixed size) and the segment scores of at most ``bound`` documents reach the driver."""
     sample = F.broadcast(sampled_labels(labels, "toxic", bound))
     rows = materialize(docs.select("doc_id", text_or_empty().alias("text")).join(sample, "doc_id")
                        .select("text", "label", "fold"), "toxic-sample")
@@ -233,11 +232,12 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = BOUND) -> Model:
         return Model(Lexicon(0.5))
     counts = (rows.mapInArrow(_count, COUNTS).groupBy("fold", "form", "bucket")
               .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
-    # a form that no toxic document holds never scores; at most SLOTS rows, fetched as Arrow columns
+    # also the forms that only clean documents hold: a word known as clean must not score by its shorter forms;
+    # at most SLOTS rows, fetched as Arrow columns
     by_slot = counts.groupBy((F.col("form") * BUCKETS + F.col("bucket")).alias("slot")).agg(*[
-        F.coalesce(F.sum(F.when(F.col("fold") == f, F.col(c))), F.lit(0)).alias(f"{c[0]}{f}")
+        F.coalesce(F.sum(F.when(F.col("fold") == f, F.col(c))), F.lit(0)).cast("int").alias(f"{c[0]}{f}")
         for f in (0, 1) for c in ("toxic", "clean")])
-    held = by_slot.filter("t0 + t1 > 0").toArrow()
+    held = by_slot.toArrow()
     got = {c: np.asarray(held.column(c)) for c in held.column_names}
     spark = docs.sparkSession
     # each fold is scored by the other one's counts

@@ -156,6 +156,18 @@ def test_toxicity_on_held_out_rows(spark, documents):
                          for r in spans[:50])
 
 
+def test_words_known_as_clean_score_by_their_own_counts(spark, documents):
+    texts, labels, truth = labelled(spark)
+    learned = [i for i in truth if fold(i) != 1 and not truth[i][1]]
+    for i in learned[:60]:
+        texts[i] += " idiotypic"
+    model = toxicity.fit(documents(texts), labels)
+    assert model.lexicon.score("idiotes") > 0 and model.lexicon.score("idiotxyz") > 0
+    at = toxicity._bucket("idiotypic", 0)
+    assert model.lexicon.total[at] >= 60
+    assert model.lexicon.score("idiotypic") == 0
+
+
 def test_held_out_labels_are_never_read(spark, documents):
     texts, labels, _ = labelled(spark, 400)
     other = labels.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1,
