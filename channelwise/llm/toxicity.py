@@ -223,7 +223,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, bound: int = BOUND) -> Model:
-    """Fit on the labelled rows of the learning folds. Only counts of forms (a table of fixed size) and the segment scores of at most ``bound`` documents reach the driver."""
+    """Fit on the labelled rows of the learning folds. Only counts of forms (a table of fixed size) and sums over the segments of at most ``bound`` documents reach the driver."""
     sample = F.broadcast(sampled_labels(labels, "toxic", bound))
     rows = materialize(docs.select("doc_id", text_or_empty().alias("text")).join(sample, "doc_id")
                        .select("text", "label", "fold"), "toxic-sample")
@@ -249,22 +249,30 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = BOUND) -> Model:
             out = []
             for text, fold in zip(b.column("text").to_pylist(), b.column("fold").to_pylist()):
                 words = WORD.findall(text.lower())
-                out.append((len(words), sorted((s for s, _, _ in segments(
-                    lexicons[1 if fold else 0].positives(words))), reverse=True)[:64]))
+                out.append((len(words), [s for s, _, _ in segments(lexicons[1 if fold else 0].positives(words))]))
             yield pa.RecordBatch.from_arrays(
                 [b.column("label"), pa.array([x[0] for x in out], pa.int64()),
                  pa.array([x[1] for x in out], pa.list_(pa.float64()))], ["label", "n", "scores"])
 
-    scored = rows.mapInArrow(score, "label int, n long, scores array<double>").collect()
+    scored = materialize(rows.mapInArrow(score, "label int, n long, scores array<double>"), "toxic-segments")
     by_fold.unpersist()
     model = Model(_lexicon(got, sizes, (0, 1)))
-    islands = [s for y, _, ss in scored if y == 0 for s in ss if s >= FLOOR]
-    tokens = sum(n for y, n, _ in scored if y == 0)
+    # a row for each document; sums that don't depend on the order of the rows
+    clean = scored.filter("label = 0").select("n", F.filter("scores", lambda s: s >= FLOOR).alias("s")).select(
+        "n", F.size("s").alias("islands"), F.aggregate("s", F.lit(0.0), lambda x, y: x + y).alias("total")).collect()
+    islands, tokens = sum(r.islands for r in clean), sum(r.n for r in clean)
     # one more island of excess 1 keeps both estimates finite when clean text has none
-    model.scale = (len(islands) + 1) / (sum(islands) - FLOOR * len(islands) + 1.0)
-    model.k = (len(islands) + 1) / (tokens + 1) * math.exp(model.scale * FLOOR)
-    x = np.array([model.evidence(ss, n) for _, n, ss in scored])
-    model.slope, model.offset = _logistic(x, np.array([float(y) for y, _, _ in scored]))
+    model.scale = (islands + 1) / (math.fsum(r.total for r in clean) - FLOOR * islands + 1.0)
+    model.k = (islands + 1) / (tokens + 1) * math.exp(model.scale * FLOOR)
+    law = Model(None, model.scale, model.k)
+
+    def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [law.evidence(ss, n) for n, ss in zip(b.column("n").to_pylist(), b.column("scores").to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(found, pa.float64())], ["label", "evidence"])
+
+    pairs = sorted((e, float(y)) for y, e in scored.mapInArrow(evidence, "label int, evidence double").collect())
+    model.slope, model.offset = _logistic(np.array([e for e, _ in pairs]), np.array([y for _, y in pairs]))
     return model
 
 

@@ -168,6 +168,22 @@ def test_words_known_as_clean_score_by_their_own_counts(spark, documents):
     assert model.lexicon.score("idiotypic") == 0
 
 
+def test_fit_counts_all_segments_of_a_long_document(spark, documents):
+    """One clean document holds 90 islands; all others hold none."""
+    texts, labels, truth = labelled(spark, 900)
+    rng = random.Random(9)
+    bad = [rng.choice("qxz") + "".join(rng.choice("abcdefghijk") for _ in range(9)) for _ in range(90)]
+    for i in truth:
+        if truth[i][1]:
+            texts[i] += " " + " ".join(rng.sample(bad, 60))
+    clean = [i for i in truth if fold(i) != 1 and not truth[i][1]]
+    texts[clean[0]] = " ".join(" ".join([w, *["w"] * 80]) for w in bad)
+    model = toxicity.fit(documents(texts), labels)
+    tokens = sum(len(toxicity.WORD.findall(texts[i].lower())) for i in clean)
+    islands = model.k * (tokens + 1) / math.exp(model.scale * toxicity.FLOOR) - 1
+    assert round(islands) == 90
+
+
 def test_held_out_labels_are_never_read(spark, documents):
     texts, labels, _ = labelled(spark, 400)
     other = labels.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1,
