@@ -129,6 +129,17 @@ def sampled_labels(labels: DataFrame, value: str, bound: int) -> DataFrame:
     return rows
 
 
+def distinct_rows(rows: DataFrame, content: str, bound: int, name: str) -> DataFrame:
+    """One of ``rows`` for each doc_id and hash of ``content``; where these are more than ``bound``, those
+    whose hash of both is smallest, so that a doc_id of many rows stands for no more than its share."""
+    rows = materialize(rows.withColumn("__content", F.xxhash64(content)).dropDuplicates(["doc_id", "__content"]), name)
+    if rows.count() > bound:
+        keys = ["doc_id", "__content"]
+        chosen = rows.select(*keys).orderBy(F.xxhash64(F.lit("sample"), *keys), *keys).limit(bound)
+        rows = materialize(rows.join(F.broadcast(chosen), keys), f"{name}-bounded")
+    return rows.drop("__content")
+
+
 WORD = re.compile(r"[^\W\d_]+")
 
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches_by_bytes, held_out, materialize, sampled_labels, table, text_or_empty
+from .common import batches_by_bytes, distinct_rows, held_out, materialize, sampled_labels, table, text_or_empty
 
 BOUND = 20_000
 BINS, COARSE, PAIRS = 48, 12, 6
@@ -212,8 +212,8 @@ def fit_gam(x: np.ndarray, y: np.ndarray, seed: int = 7) -> Gam:
 
 def fit(table_of_features: DataFrame, labels: DataFrame, bound: int = BOUND) -> Gam:
     sample = sampled_labels(labels, "quality", bound)
-    rows = (table_of_features.join(F.broadcast(sample), "doc_id").select("doc_id", "f", "label")
-            .orderBy("doc_id", "f").limit(2 * bound).collect())
+    rows = distinct_rows(table_of_features.join(F.broadcast(sample), "doc_id").select("doc_id", "f", "label"), "f", bound,
+                         "quality-sample").orderBy("doc_id", "f").collect()
     return fit_gam(np.array([r.f for r in rows], float).reshape(len(rows), len(NAMES)), np.array([float(r.label) for r in rows]))
 
 

@@ -15,7 +15,8 @@ score ``scale * S - ln(K * n)``; ``log1p`` of the sum of their exponentials (at
 ``MOST_EVIDENCE``) is the document's evidence, and a logistic curve turns it into a probability. The law and the curve are fitted on
 cross-scored folds: fold 0 by counts of fold 2 and the other way round.
 
-Learned from at most ``BOUND`` labelled rows (a documented bound), never from the held-out fold.
+Learned from at most ``BOUND`` labelled rows (a documented bound), one for each doc_id and text, never from
+the held-out fold.
 Cases: null and empty texts have evidence 0 and the score that follows from it; without labels of
 both classes every score is 0; a null doc_id is scored like any other; rows of one doc_id are scored
 each by its own text; extra columns pass through ``keep_clean`` and are ignored elsewhere.
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, Recent, batches_by_bytes, held_out, materialize, sampled_labels, ship, table, text_or_empty
+from .common import WORD, Recent, batches_by_bytes, distinct_rows, held_out, materialize, sampled_labels, ship, table, text_or_empty
 
 BOUND = 20_000
 BUCKETS = 1 << 18
@@ -225,8 +226,8 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def fit(docs: DataFrame, labels: DataFrame, bound: int = BOUND) -> Model:
     """Fit on the labelled rows of the learning folds. Only counts of forms (a table of fixed size) and sums over the segments of at most ``bound`` documents reach the driver."""
     sample = F.broadcast(sampled_labels(labels, "toxic", bound))
-    rows = materialize(docs.select("doc_id", text_or_empty().alias("text")).join(sample, "doc_id")
-                       .select("text", "label", "fold"), "toxic-sample")
+    rows = distinct_rows(docs.select("doc_id", text_or_empty().alias("text")).join(sample, "doc_id"), "text", bound,
+                         "toxic-sample")
     sizes = {(1 if f else 0, y): n for f, y, n in rows.groupBy("fold", "label").count().collect()}
     if not all(any(y == k for _, y in sizes) for k in (0, 1)):
         return Model(Lexicon(0.5))

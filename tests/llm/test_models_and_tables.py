@@ -193,6 +193,25 @@ def test_held_out_labels_are_never_read(spark, documents):
     assert one == two
 
 
+def test_samples_stay_bounded_where_ids_repeat(spark, documents, monkeypatch):
+    rng = random.Random(10)
+    texts = [" ".join(words(rng, 20 + k % 50)) for k in range(300)]
+    ids = [0] * 200 + list(range(200, 300))
+    df = documents(texts + texts[200:], ids=ids + ids[200:])
+    labels = spark.createDataFrame([(i, i // 2 % 2, i // 2 % 2) for i in set(ids)], LABELS)
+    seen = []
+    monkeypatch.setattr(quality_gam, "fit_gam", lambda x, y: seen.append((x, y)))
+    features = quality_gam.feature_table(df)
+    quality_gam.fit(features, labels, bound=80)
+    (x, y), = seen
+    assert len(y) <= 80 and set(y) == {0.0, 1.0}
+    of = {r.doc_id: list(r.f) for r in features.filter("doc_id >= 200").collect()}
+    assert sum(f in x.tolist() for i, f in of.items() if fold(i) != 1) > 5
+    monkeypatch.setattr(toxicity, "_logistic", lambda x, y: seen.append((x, y)) or (1.0, 0.0))
+    toxicity.fit(df, labels, bound=80)
+    assert 0 < len(seen[1][1]) <= 80
+
+
 def test_awkward_classifiers(spark, awkward):
     labels = spark.createDataFrame([(0, 1, 0), (3, 0, 1), (5, 1, 0), (5, 0, 1), (None, 1, 1), (7, None, None)], LABELS)
     for rows in (labels, labels.limit(0)):
