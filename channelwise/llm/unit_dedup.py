@@ -4,17 +4,18 @@ A text is cut into units: its lines, and within a line its sentences (a unit end
 or ``?`` and white space), so that a passage is found whether it stands on lines of its own or inside
 a paragraph. A unit is normalised (lower case, single spaces, trimmed) and hashed to 128 bits. The
 digests are grouped over all documents. The earliest occurrence of a digest (smallest doc_id, then
-smallest offset) is kept; every other one is a repeat, in the same document too, and is removed, however
+hash of the text, then smallest offset) is kept; every other one is a repeat, in the same document too, and is removed, however
 short it is. Adjoining repeats of a document form a passage; the original character offsets of what goes
 are kept. ``min_words`` above 1 spares shorter passages; no query asks for that. A repeated passage that
 starts or ends inside a sentence loses its whole sentences only.
 
-Grouping is one aggregation with map-side combining (a digest's group is a minimum and a flag), so a
-passage that a third of all documents share costs a task one row per map task. Only the digests
+Grouping is two aggregations with map-side combining (by digest and document, then by digest; a group is
+a few minima and a flag), so a passage that a third of all documents share costs a task one row per map task. Only the digests
 that occur again meet the units once more, in a join that Spark may split at a hot digest.
 
-Cases: null and empty texts have no units and stay as they are; rows of one doc_id count as one
-document (a unit doesn't repeat itself there), each row is cut by its own text; a null doc_id ranks last; a text whose every
+Cases: null and empty texts have no units and stay as they are; rows of one doc_id, or without one, are
+documents of their own if their texts differ, ranked by a hash of the text (rows that agree in both can't be
+told apart and count as one); a null doc_id ranks last; a text whose every
 unit repeats becomes empty; extra columns pass through ``remove_repeats``.
 """
 
@@ -81,11 +82,14 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     that holds the earliest occurrence of the passage's first unit."""
     texts = docs.select(_doc().alias("doc"), F.xxhash64("text").alias("t"), text_or_empty().alias("text"))
     found = texts.mapInArrow(_unit_rows, UNITS)
-    repeated = (found.groupBy("h1", "h2").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"),
-                                              F.max("again").alias("within"))
-                .filter("first_doc != last_doc or within").select("h1", "h2", "first_doc"))
+    # in two steps, as the minimum of (doc, t) pairs would be a sorting aggregate
+    by_doc = found.groupBy("h1", "h2", "doc").agg(F.min("t").alias("t"), F.max("t").alias("last_t"), F.max("again").alias("within"))
+    repeated = (by_doc.groupBy("h1", "h2").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"),
+                                               F.min_by("t", "doc").alias("first_t"),
+                                               F.max(F.expr("within or t != last_t")).alias("within"))
+                .filter("first_doc != last_doc or within").select("h1", "h2", "first_doc", "first_t"))
     repeats = (found.join(materialize(repeated, "repeated-units"), ["h1", "h2"])
-               .filter("doc != first_doc or again")
+               .filter("doc != first_doc or t != first_t or again")
                .select("doc", "t", "at", "size", "words", "k", "first_doc").distinct())
     in_doc = Window.partitionBy("doc", "t").orderBy("k")
     runs = repeats.withColumn("run", F.col("k") - F.row_number().over(in_doc))

@@ -257,6 +257,19 @@ def test_no_repeated_50_grams_are_left(documents):
     assert got[0] == texts[0] and not any("Same to all." in t or "日本語の同じ行" in t for t in got[1:])
 
 
+def test_rows_that_share_an_id_or_have_none_are_documents(documents):
+    rng = random.Random(11)
+    passages = [" ".join(words(rng, 60, 10**6)) + "." for _ in range(3)]
+    ids = [None] * 6 + [3] * 6 + [None, 3, 8]
+    texts = [f"{' '.join(words(rng, 5, 10**6))}. {passages[0 if i is None else 1]}" for i in ids[:12]]
+    texts += [f"{' '.join(words(rng, 5, 10**6))}. {passages[2]}" for _ in range(3)]
+    rows = unit_dedup.remove_repeats(documents(texts, ids=ids)).collect()
+    assert len(rows) == len(texts) and held_before([r.text for r in rows]) == []
+    for p, i in zip(passages, (None, 3, 3)):
+        assert [r.doc_id for r in rows if p in r.text] == [i]
+    assert all(any(r.text.startswith(t.partition(".")[0]) for r in rows) for t in texts)
+
+
 def test_awkward_repeats(awkward):
     df = awkward
     for c in CLASHING:
