@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import ann_graph, arc_convert, bpe, minhash, mixing, quality_gam, syncmers, token_counts, toxicity, unit_dedup
+from . import (ann_graph, arc_convert, bpe, minhash, mixing, quality_gam, syncmers, token_align, token_counts, toxicity,
+               unit_dedup)
 
 QUERIES = {
     "op1_minhash_dedup": minhash.op1_minhash_dedup,
@@ -15,5 +16,6 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_arc_to_warc": arc_convert.op9_arc_to_warc,
     "op10_substring_dedup": unit_dedup.op10_substring_dedup,
+    "op12_align_tokenizers": token_align.op12_align_tokenizers,
 }
 ORACLE_SQL = {"op4_mix_sources": mixing.ORACLE_OP4, "op9_arc_to_warc": arc_convert.ORACLE_OP9}
