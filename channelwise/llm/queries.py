@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (ann_graph, arc_convert, bpe, minhash, mixing, quality_gam, syncmers, token_align, token_counts, toxicity,
-               unit_dedup)
+               turn_repair, unit_dedup)
 
 QUERIES = {
     "op1_minhash_dedup": minhash.op1_minhash_dedup,
@@ -16,6 +16,11 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_arc_to_warc": arc_convert.op9_arc_to_warc,
     "op10_substring_dedup": unit_dedup.op10_substring_dedup,
+    "op11_repair_conversations": turn_repair.op11_repair_conversations,
     "op12_align_tokenizers": token_align.op12_align_tokenizers,
 }
-ORACLE_SQL = {"op4_mix_sources": mixing.ORACLE_OP4, "op9_arc_to_warc": arc_convert.ORACLE_OP9}
+ORACLE_SQL = {
+    "op4_mix_sources": mixing.ORACLE_OP4,
+    "op9_arc_to_warc": arc_convert.ORACLE_OP9,
+    "op11_repair_conversations": turn_repair.ORACLE_OP11,
+}
