@@ -518,8 +518,8 @@ WITH RECURSIVE keyed AS (
          coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
 hashed AS (
   SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(k, ''),
-              x -> [ord(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
-              (c, b) -> CASE WHEN b >= 0 THEN xor(c, b) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END),
+              lambda x: [ord(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+              lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END),
             4294967295::BIGINT) % 20 AS kind FROM keyed),
 hurt AS (
   SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role, copy,
