@@ -14,7 +14,7 @@ is one link of an A token with a B token.
 written once. The ``BROADCAST_PAIRS`` most frequent pairs are broadcast as sorted arrays of that fixed
 size; links of rarer pairs, if there are any, meet their counts in a join.
 
-Texts are cut before single spaces that follow and precede other characters: neither tokenizer has a token
+Texts are cut before single spaces and line feeds between other characters: neither tokenizer has a token
 across (B's vocabulary is searched for one; if it had, texts would go whole). Results of such units are kept in
 a worker's cache of bounded size, and units that miss it are encoded together.
 
@@ -41,12 +41,13 @@ from .bpe_core import SYMBOL_BYTES
 from .common import Recent, batches_by_bytes, materialize, table, text_or_empty
 
 BROADCAST_PAIRS = 1 << 21  # 13 bytes each
-CACHE_ENTRIES = 1 << 18
+CACHE_ENTRIES = 1 << 17
 LONG_UNIT = 64  # characters; longer units aren't kept
 STRETCH = 1 << 15  # characters of units encoded together
-SAFE_SPACE = re.compile(r"(?<=\S)(?= \S)")
-JOINABLE = re.compile(r" \S(?:.*\S)?", re.DOTALL)  # cuts before and behind such a unit are safe
-NOTHING = (0, 0, 0, (), "")
+UNEVEN_SPACE = re.compile(r"\s\s|\s$|[\0\x1c-\x1f]")
+SAFE_CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+JOINABLE = re.compile(r"[ \n]\S(?:.*\S)?", re.DOTALL)  # cuts before and behind such a unit are safe
+NOTHING = (0, 0, b"", "")
 
 
 def byte_places(text: str) -> np.ndarray:
@@ -84,8 +85,12 @@ class Aligner:
                         for i, p in enumerate(pieces)]
         self.size_a = np.array([len(self.bytes_a.get(i, b"")) for i in range(max(self.bytes_a) + 1)])
         self.size_b = np.array([len(x) for x in self.bytes_b])
-        self.cuttable = not any("▁" in p.lstrip("▁") for p in pieces)
+        # decimal ids with what may follow them: "," within a group, "|" or ";" at its end
+        self.inner_a, self.last_a = (np.array([f"{i}{x}" for i in range(len(self.size_a))], object) for x in ",|")
+        self.inner_b, self.last_b = (np.array([f"{i}{x}" for i in range(len(pieces))], object) for x in ",;")
+        self.cuttable = not any("▁" in p.lstrip("▁") or "\n" in p for p in pieces)
         self.pairs_b = len(pieces)
+        self.kind = np.int32 if len(self.size_a) * self.pairs_b < 1 << 31 else np.int64
         self.units = Recent(CACHE_ENTRIES)
 
     def tokens(self, text: str):
@@ -103,7 +108,7 @@ class Aligner:
         if not text.isascii():
             offsets = byte_places(text)[offsets]
         # B's spans lie behind the added space, which belongs to the first piece
-        start_b, end_b = (np.fromiter([getattr(p, x) for p in pieces], np.int64, len(of_b)) + 1 for x in ("begin", "end"))
+        start_b, end_b = np.array([p.begin for p in pieces]) + 1, np.array([p.end for p in pieces]) + 1
         start_b[0] = 0
         cut_a, cut_b = cuts(offsets[:, 0], offsets[:, 1]), cuts(start_b, end_b)
         coarse, at_a, at_b = np.intersect1d(offsets[cut_a, 1], end_b[cut_b], assume_unique=True, return_indices=True)
@@ -121,24 +126,24 @@ class Aligner:
         return np.concatenate([[0], coarse])[segment] + sums - before
 
     def align(self, text: str, bounds: list[int]) -> list[tuple] | None:
-        """Results of the parts of ``text`` that end at the byte offsets ``bounds``."""
+        """Results of the parts of ``text`` that end at the byte offsets ``bounds``: number of A's tokens, number of
+        groups, pair numbers as bytes, groups."""
         found = self.tokens(text)
         if found is None:
             return None
         ids_a, ends_a, ids_b, ends_b = found
         both = np.intersect1d(ends_a, ends_b, assume_unique=True)
         union = np.union1d(ends_a, ends_b)
-        pairs = (ids_a[np.searchsorted(ends_a, union)] * self.pairs_b + ids_b[np.searchsorted(ends_b, union)]).tolist()
-        to_a, to_b = np.searchsorted(ends_a, both, "right").tolist(), np.searchsorted(ends_b, both, "right").tolist()
-        text_a, text_b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
-        groups, a, b = [], 0, 0
-        for i, j in zip(to_a, to_b):
-            groups.append(",".join(text_a[a:i]) + "|" + ",".join(text_b[b:j]))
-            a, b = i, j
+        pairs = ids_a[np.searchsorted(ends_a, union)] * self.pairs_b + ids_b[np.searchsorted(ends_b, union)]
+        pairs, width = pairs.astype(self.kind).tobytes(), np.dtype(self.kind).itemsize
+        group_a, group_b = np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
+        texts = np.concatenate([np.where(ends_a == both[group_a], self.last_a[ids_a], self.inner_a[ids_a]),
+                                np.where(ends_b == both[group_b], self.last_b[ids_b], self.inner_b[ids_b])])
+        groups = texts[np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")].tolist()
+        counted = [np.searchsorted(x, bounds, "right") for x in (ends_a, ends_b, both, union)]
         out, last = [], (0, 0, 0, 0)
-        for at in zip(*(np.searchsorted(x, bounds, "right").tolist() for x in (ends_a, ends_b, both, union))):
-            out.append((at[0] - last[0], at[1] - last[1], at[2] - last[2], tuple(pairs[last[3]:at[3]]),
-                        ";".join(groups[last[2]:at[2]])))
+        for at in zip(*(x.tolist() for x in (counted[0], counted[2], counted[3] * width, counted[0] + counted[1]))):
+            out.append((at[0] - last[0], at[1] - last[1], pairs[last[2]:at[2]], "".join(groups[last[3]:at[3]])[:-1]))
             last = at
         return out
 
@@ -152,28 +157,37 @@ class Aligner:
             together.append(u)
             size += len(u)
             if size >= STRETCH or k == len(plain) - 1:
-                ends = np.cumsum([len(x.encode()) for x in together]).tolist()
-                found = self.align("".join(together), ends)
+                # " a" comes first, as B's own space must stand before the first unit
+                ends = np.cumsum([2, *(len(x.encode()) for x in together)]).tolist()
+                found = self.align(" a" + "".join(together), ends)
                 if found is None:
                     alone += together
                 else:
-                    out.update(zip(together, found))
+                    out.update(zip(together, found[1:]))
                 together, size = [], 0
         for u in alone:
-            found = self.align(u, [len(u.encode())])
-            out[u] = found[0] if found else NOTHING
+            lead = "" if u[0] == " " else " a"
+            found = self.align(lead + u, [len(lead), len(lead) + len(u.encode())])
+            out[u] = found[-1] if found else NOTHING
         return out
 
+    def cut(self, text: str) -> list[str]:
+        """Units of a text, with the space that comes before it."""
+        if not text or not self.cuttable:
+            return [" " + text] if text else []
+        if text[0].isspace() or UNEVEN_SPACE.search(text):
+            return SAFE_CUT.split(" " + text)
+        return (" " + text.replace(" ", "\0 ").replace("\n", "\0\n")).split("\0")
+
     def results(self, texts: list[str]) -> list[tuple]:
-        """(n_a, n_b, n_groups, pairs, groups) of each text; the cache is asked once for all of them."""
-        cut = [(SAFE_SPACE.split(" " + t) if self.cuttable else [" " + t]) if t else [] for t in texts]
+        """(n_a, n_groups, pairs as bytes, groups) of each text; the cache is asked once for all of them."""
+        cut = [self.cut(t) for t in texts]
         found = self.units.fetch(list(chain.from_iterable(cut)), self._work, LONG_UNIT)
         out, at = [], 0
         for units in cut:
-            n_a, n_b, n_groups, pairs, groups = zip(*found[at:at + len(units)]) if units else [(0,)] * 5
+            n_a, n_groups, pairs, groups = zip(*found[at:at + len(units)]) if units else [(0,)] * 4
             at += len(units)
-            out.append(NOTHING if 0 in n_a else (sum(n_a), sum(n_b), sum(n_groups), list(chain.from_iterable(pairs)),
-                                                 ";".join(groups)))
+            out.append(NOTHING if 0 in n_a else (sum(n_a), sum(n_groups), b"".join(pairs), ";".join(groups)))
         return out
 
 
@@ -182,16 +196,10 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
-def _pair_type(path_a: str, path_b: str):
-    """Pairs are one number, id of A times the size of B plus id of B: an int where that fits."""
-    both = aligner(path_a, path_b)
-    return (pa.int32(), "int") if len(both.size_a) * both.pairs_b < 1 << 31 else (pa.int64(), "long")
-
-
 def aligned(docs: DataFrame, path_a: str, path_b: str, texts: bool = False) -> DataFrame:
-    """doc_id, n_a, n_b, n_groups, links (array of pair numbers, in order), groups_sha256 for every row of
-    ``docs``; with ``texts`` also ``groups``, the alignment itself (``a1,a2|b1;a3|b2,b3``)."""
-    kind, name = _pair_type(path_a, path_b)
+    """doc_id, n_a, n_b, n_groups, links (array of pair numbers in order: id of A times the size of B plus id of B),
+    groups_sha256 for every row of ``docs``; with ``texts`` also ``groups``, the alignment itself (``a1,a2|b1;a3|b2,b3``)."""
+    name = "int" if aligner(path_a, path_b).kind is np.int32 else "long"
     schema = f"doc_id long, n_a long, n_b long, n_groups long, links array<{name}>, groups_sha256 string"
     if texts:
         schema += ", groups string"
@@ -200,12 +208,16 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, texts: bool = False) -> D
         both = aligner(path_a, path_b)
         for b in batches_by_bytes(batches, "text", 1 << 20):
             rows = both.results(b.column("text").to_pylist())
-            columns = [b.column("doc_id"), *[pa.array([r[k] for r in rows], pa.int64()) for k in range(3)],
-                       pa.array([r[3] for r in rows], pa.list_(kind)),
-                       pa.array([hashlib.sha256(r[4].encode()).hexdigest() if r[0] else "" for r in rows], pa.string())]
+            links = np.frombuffer(b"".join([r[2] for r in rows]), both.kind)
+            sizes = np.array([len(r[2]) for r in rows]) // links.itemsize
+            n_a, n_groups = (np.array([r[k] for r in rows], np.int64) for k in (0, 1))
+            # every link but one of a group starts a token of A or of B alone
+            columns = [b.column("doc_id"), pa.array(n_a), pa.array(sizes + n_groups - n_a), pa.array(n_groups),
+                       pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(links)),
+                       pa.array([hashlib.sha256(r[3].encode()).hexdigest() if r[0] else "" for r in rows], pa.string())]
             names = ["doc_id", "n_a", "n_b", "n_groups", "links", "groups_sha256"]
             if texts:
-                columns.append(pa.array([r[4] for r in rows], pa.string()))
+                columns.append(pa.array([r[3] for r in rows], pa.string()))
                 names.append("groups")
             yield pa.RecordBatch.from_arrays(columns, names)
 
