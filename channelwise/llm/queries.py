@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (ann_graph, arc_convert, bpe, minhash, mixing, quality_gam, syncmers, token_align, token_counts, toxicity,
-               turn_repair, unit_dedup)
+from . import (ann_graph, arc_convert, bpe, minhash, mixing, quality_gam, suffix_tree, syncmers, token_align, token_counts,
+               toxicity, turn_repair, unit_dedup)
 
 QUERIES = {
     "op1_minhash_dedup": minhash.op1_minhash_dedup,
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_substring_dedup": unit_dedup.op10_substring_dedup,
     "op11_repair_conversations": turn_repair.op11_repair_conversations,
     "op12_align_tokenizers": token_align.op12_align_tokenizers,
+    "op13_lm_scores": suffix_tree.op13_lm_scores,
 }
 ORACLE_SQL = {
     "op4_mix_sources": mixing.ORACLE_OP4,

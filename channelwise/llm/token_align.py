@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe_core import SYMBOL_BYTES
-from .common import Recent, batches_by_bytes, materialize, table, text_or_empty
+from .common import Recent, batches_by_bytes, materialize, most_frequent, table, text_or_empty
 
 BROADCAST_PAIRS = 1 << 21  # 13 bytes each
 CACHE_ENTRIES = 1 << 17
@@ -242,7 +242,7 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, bound: int = BROA
     links = materialize(aligned(docs, path_a, path_b).withColumn("row", F.monotonically_increasing_id()), "links")
     pairs = materialize(pair_counts(links, size_b), "pairs")
     whole = pairs.count() <= bound
-    frequent = (pairs if whole else pairs.orderBy(F.desc("n"), "pair").limit(bound)).toArrow()
+    frequent = (pairs if whole else most_frequent(pairs, "n", bound)).toArrow()
     order = np.argsort(keys := np.asarray(frequent["pair"]))
     shared = spark.sparkContext.broadcast(
         (keys[order], np.asarray(frequent["n"])[order], np.asarray(frequent["best"])[order].astype(np.int8)))
