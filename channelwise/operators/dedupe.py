@@ -29,11 +29,15 @@ def _order_fields(order: Sequence[Column | str]) -> list[Column]:
     return out
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """One row per ``keys``: the first in ``order`` (ties broken by the remaining columns)."""
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
+                  repeated: DataFrame | None = None) -> DataFrame:
+    """One row per ``keys``: the first in ``order`` (ties broken by the remaining columns). ``repeated``: the
+    keys that occur more than once, where the caller has counted them."""
     payload = [c for c in df.columns if c not in keys]
     path = scratch_path(df.sparkSession, "repeated_keys")
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    counted = repeated
+    if counted is None:
+        counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
     counted.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).write.parquet(path)
     repeated = df.sparkSession.read.parquet(path)
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])

@@ -347,20 +347,37 @@ def q_landing_array(c: Context):
 def q_two_batch_load(c: Context):
     """The even messages are loaded, then all messages with their re-deliveries; the counts of
     both loads and what the table holds after each."""
-    from .operators.dedupe import load_counts
-    from .session import scratch_path
-    from .sources import sinks
-    target, out = scratch_path(c.spark, "loaded"), None
     every = fixtures.raw_messages_with_redeliveries(c.spark, c.sf_dir)
-    for n, batch in enumerate([fixtures.raw_messages(c.spark, c.sf_dir).filter("message_id % 2 = 0"), every], 1):
-        counts = load_counts(batch, catalog.RAW_KEYS, sinks.load_parquet_table(batch, target))
-        held = c.spark.read.parquet(target).agg(F.count(F.lit(1)).alias("table_rows"), F.sum("views").alias("table_views"))
-        row = counts.crossJoin(held).select(F.lit(n).alias("load_no"), "*")  # one row each
-        path = scratch_path(c.spark, "load_counts")
-        row.write.parquet(path)
-        row = c.spark.read.parquet(path)
-        out = row if out is None else out.unionByName(row)
-    return out
+    return _loads(c, [fixtures.raw_messages(c.spark, c.sf_dir).filter("message_id % 2 = 0"), every])
+
+
+def _loads(c: Context, batches: list) -> DataFrame:
+    """The figures of successive loads of one table, and what it holds after each: a row for each load."""
+    from .session import scratch_path
+    from .sources.keyed_table import KeyedTable
+    table, rows = KeyedTable(c.spark, scratch_path(c.spark, "loaded")), []
+    for n, batch in enumerate(batches, 1):
+        figures = table.load(batch).counts.first().asDict()
+        held = table.rows()
+        after = (0, None) if held is None else tuple(held.agg(F.count(F.lit(1)), F.sum("views")).first())
+        rows.append((n, *(figures[k] for k in ("read", "rejected", "duplicate", "already_loaded", "inserted")), *after))
+    return c.spark.createDataFrame(rows, "load_no int, read long, rejected long, duplicate long, already_loaded long, "
+                                         "inserted long, table_rows long, table_views long")
+
+
+@report
+def q_channel_id_loads(c: Context):
+    """Messages that a second channel posts again under the same ids, loaded three times: the older
+    ones, then all from the middle of the ids on with re-deliveries, then rows without keys."""
+    base = fixtures.raw_messages(c.spark, c.sf_dir)
+    both = base.unionByName(base.withColumn("channel_name", F.concat(F.lit("re_"), "channel_name")).withColumn(
+        "views", F.col("views") + 1))
+    middle = (c.spark.read.parquet(f"{c.sf_dir.rstrip('/')}/events.parquet").agg(F.max("event_id")).first()[0] or 0) // 2
+    again = both.filter(f"message_id > {middle} and message_id % 10 = 0").withColumn("views", F.lit(0).cast("long")).withColumn(
+        "scraped_at", F.expr("scraped_at + INTERVAL 1 DAY"))
+    keyless = both.withColumn("message_id", F.expr("nullif(message_id % 3, 0)"))
+    return _loads(c, [both.filter(f"message_id <= {middle} + 100"), both.filter(f"message_id > {middle}").unionByName(again),
+                      keyless.filter("message_id is null")])
 
 
 @report

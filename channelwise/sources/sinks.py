@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedupe import insert_or_ignore
 from ..plans import reports
 from ..plans.warehouse import Warehouse
-from ..session import scratch_path
 from . import schemas
+from .keyed_table import KeyedTable
 from .landing import export_csv
 
 RAW_KEYS = ["message_id", "channel_name"]
@@ -47,50 +46,9 @@ def extended_raw(messages: DataFrame) -> DataFrame:
     )
 
 
-#: Message ids per folder of a loaded table.
-ID_BLOCK = 100_000
-
-
-def read_existing(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None if there is none yet. Any other fault (a damaged file, missing
-    rights) rises: a table that can't be read must not count as empty."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
-def touched(existing: DataFrame | None, incoming: DataFrame) -> DataFrame | None:
-    """The rows of a loaded table whose id block occurs in ``incoming``: the table is laid out by
-    blocks of message ids, so Spark reads only those folders (dynamic partition pruning)."""
-    if existing is None:
-        return None
-    blocks = incoming.select(id_block().alias("id_block")).distinct()
-    return existing.join(blocks, "id_block", "left_semi")
-
-
-def id_block():
-    return F.coalesce(F.floor(F.col("message_id") / ID_BLOCK), F.lit(-1)).cast("bigint")
-
-
-def append_blocks(new: DataFrame, path: str) -> None:
-    new.withColumn("id_block", id_block()).write.mode("append").partitionBy("id_block").parquet(path)
-
-
-def load_parquet_table(incoming: DataFrame, path: str, keys=RAW_KEYS, order=("scraped_at",), drop=()) -> DataFrame:
-    """S8 as a table load: insert-or-ignore into a Parquet folder laid out by id block. The new rows
-    are first written to a staging table (shared checkpoint folder), then appended; the staged table
-    is returned, so it stays the exact record of what this load inserted. Rerunning with the same
-    input appends nothing. ``drop``: columns that only order the copies of a key."""
-    spark = incoming.sparkSession
-    existing = touched(read_existing(spark, path), incoming)
-    stage = scratch_path(spark, "load_stage")
-    insert_or_ignore(incoming, keys, list(order), existing).drop(*drop).write.parquet(stage)
-    staged = spark.read.parquet(stage)
-    append_blocks(staged, path)
-    return staged
+def load_parquet_table(incoming: DataFrame, path: str, order=("scraped_at",), drop=()) -> DataFrame:
+    """S8 as a table load: insert-or-ignore into the ``KeyedTable`` at ``path``; the rows that went in."""
+    return KeyedTable(incoming.sparkSession, path).load(incoming, order, drop).inserted
 
 
 def load_jdbc(incoming: DataFrame, url: str, table: str, properties: dict[str, str],

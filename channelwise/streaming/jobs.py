@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.calendar import to_utc_ntz, utc_instant
-from ..operators.dedupe import insert_or_ignore
 from ..session import scratch_path
+from ..sources.keyed_table import KeyedTable
 from ..sources.landing import DATE_IN_PATH, LAKE_DATE, _lines, _split_elements, finish_landing, good_messages, rejects
 
 KEYS = ["message_id", "channel_name"]
@@ -53,17 +53,14 @@ def landing_stream(spark: SparkSession, root: str, max_files_per_trigger: int |
 
 def keyed_load(stream: DataFrame, target: str, checkpoint: str | None = None,
                order=("scrape_date", "scraped_at", "source_file")) -> StreamingQuery:
-    """Each micro-batch is reduced to the first copy per key and anti-joined with the
-    target table before it is appended, so replays and re-deliveries insert nothing twice.
-    The target is laid out by id block and only the blocks of the batch are read. The earliest copy
-    (scrape date, scrape time, file) wins. Runs to completion over what is available (``availableNow``)."""
+    """Each micro-batch is a load of the ``KeyedTable`` at ``target``, so replays and re-deliveries insert
+    nothing twice, whatever their delay. Its index tells new keys, and only the buckets of the others are read. The earliest
+    copy (scrape date, scrape time, file) wins. Runs to completion over what is available (``availableNow``)."""
     spark = stream.sparkSession
     ckpt = checkpoint or scratch_path(spark, "keyed_load_checkpoint")
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        from ..sources.sinks import append_blocks, read_existing, touched
-        existing = touched(read_existing(batch.sparkSession, target), batch)
-        append_blocks(insert_or_ignore(batch, KEYS, list(order), existing), target)
+        KeyedTable(batch.sparkSession, target).load(batch, order)
 
     return (stream.writeStream.foreachBatch(upsert).option("checkpointLocation", ckpt)
             .trigger(availableNow=True).start())

@@ -118,7 +118,7 @@ def test_bad_values_are_rejected_by_name(spark, tmp_path):
 
 
 def test_unreadable_target_rises(spark, tmp_path):
-    from channelwise.sources import sinks
+    from channelwise.sources import keyed_table as sinks
     assert sinks.read_existing(spark, str(tmp_path / "none")) is None
     bad = tmp_path / "bad"
     bad.mkdir()
