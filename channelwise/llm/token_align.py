@@ -14,9 +14,10 @@ is one link of an A token with a B token.
 written once. The ``BROADCAST_PAIRS`` most frequent pairs are broadcast as sorted arrays of that fixed
 size; links of rarer pairs, if there are any, meet their counts in a join.
 
-Texts are cut before single spaces and line feeds between other characters: neither tokenizer has a token
-across (B's vocabulary is searched for one; if it had, texts would go whole). Results of such units are kept in
-a worker's cache of bounded size, and units that miss it are encoded together.
+Texts are cut before single spaces and line feeds between other characters, and before a punctuation mark that
+follows a letter: neither tokenizer has a token across (B's vocabulary is searched for one; if it had, texts would go
+whole). Results of such units are kept in a worker's cache of bounded size, and units that miss it are encoded
+together.
 
 Cases: null and empty texts, and texts that one tokenizer doesn't give back byte for byte, have no tokens
 (zeros, empty groups); strings of special tokens are plain text; rows of one doc_id, or without one, are rows of
@@ -29,7 +30,6 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -38,15 +38,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe_core import SYMBOL_BYTES
-from .common import Recent, batches_by_bytes, materialize, most_frequent, table, text_or_empty
+from .common import Recent, batches_by_bytes, materialize, most_frequent, table, text_or_empty, worker_store
 
 BROADCAST_PAIRS = 1 << 21  # 13 bytes each
-CACHE_ENTRIES = 1 << 17
+CACHE_ENTRIES = 1 << 18
 LONG_UNIT = 64  # characters; longer units aren't kept
 STRETCH = 1 << 15  # characters of units encoded together
 UNEVEN_SPACE = re.compile(r"\s\s|\s$|[\0\x1c-\x1f]")
-SAFE_CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
-JOINABLE = re.compile(r"[ \n]\S(?:.*\S)?", re.DOTALL)  # cuts before and behind such a unit are safe
+MARK = re.compile(r"(?<=[^\W\d_\xb2\xb3\xb9\xbc-\xbe])(?=[.,;:!?])")  # behind a letter, which isn't a number
+SAFE_CUT = re.compile(rf"(?<=\S)(?=[ \n]\S)|{MARK.pattern}")
+JOINABLE = re.compile(r"(?:[ \n]\S|[.,;:!?])(?:.*\S)?", re.DOTALL)  # cuts before and behind such a unit are safe
+LINKS = 1 << 20  # links whose counts are looked up together
 NOTHING = (0, 0, b"", "")
 
 
@@ -64,6 +66,16 @@ def cuts(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.flatnonzero((ends > starts) & (following >= ends))
 
 
+def _by_length(texts: list[str], size: int) -> Iterator[list[str]]:
+    """Runs of texts of about ``size`` characters together."""
+    ends = np.cumsum([len(t) for t in texts])
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, side="right")))
+        yield texts[at:to]
+        at = to
+
+
 class Aligner:
     """Both tokenizers, the bytes of their ids, and the results of frequent units."""
 
@@ -88,7 +100,7 @@ class Aligner:
         # decimal ids with what may follow them: "," within a group, "|" or ";" at its end
         self.inner_a, self.last_a = (np.array([f"{i}{x}" for i in range(len(self.size_a))], object) for x in ",|")
         self.inner_b, self.last_b = (np.array([f"{i}{x}" for i in range(len(pieces))], object) for x in ",;")
-        self.cuttable = not any("▁" in p.lstrip("▁") or "\n" in p for p in pieces)
+        self.cuttable = not any("▁" in p.lstrip("▁") or "\n" in p or MARK.search(p) for p in pieces)
         self.pairs_b = len(pieces)
         self.kind = np.int32 if len(self.size_a) * self.pairs_b < 1 << 31 else np.int64
         self.units = Recent(CACHE_ENTRIES)
@@ -150,21 +162,17 @@ class Aligner:
     def _work(self, units: list[str]) -> dict[str, tuple]:
         """Results of units: those that start and end in other characters than space are encoded together."""
         out: dict[str, tuple] = {}
-        together, size, plain, alone = [], 0, [], []
+        plain, alone = [], []
         for u in units:
             (plain if self.cuttable and JOINABLE.fullmatch(u) else alone).append(u)
-        for k, u in enumerate(plain):
-            together.append(u)
-            size += len(u)
-            if size >= STRETCH or k == len(plain) - 1:
-                # " a" comes first, as B's own space must stand before the first unit
-                ends = np.cumsum([2, *(len(x.encode()) for x in together)]).tolist()
-                found = self.align(" a" + "".join(together), ends)
-                if found is None:
-                    alone += together
-                else:
-                    out.update(zip(together, found[1:]))
-                together, size = [], 0
+        for part in _by_length(plain, STRETCH):
+            # " a": B's own space must stand before the first unit, and marks stand behind a letter
+            together = [x for k, u in enumerate(part) for x in ((" a", u) if k == 0 or u[0] not in " \n" else (u,))]
+            found = self.align("".join(together), np.cumsum([len(x.encode()) for x in together]).tolist())
+            if found is None:
+                alone += part
+            else:
+                out.update(zip(together, found))
         for u in alone:
             lead = "" if u[0] == " " else " a"
             found = self.align(lead + u, [len(lead), len(lead) + len(u.encode())])
@@ -177,7 +185,7 @@ class Aligner:
             return [" " + text] if text else []
         if text[0].isspace() or UNEVEN_SPACE.search(text):
             return SAFE_CUT.split(" " + text)
-        return (" " + text.replace(" ", "\0 ").replace("\n", "\0\n")).split("\0")
+        return MARK.sub("\0", " " + text.replace(" ", "\0 ").replace("\n", "\0\n")).split("\0")
 
     def results(self, texts: list[str]) -> list[tuple]:
         """(n_a, n_groups, pairs as bytes, groups) of each text; the cache is asked once for all of them."""
@@ -191,9 +199,8 @@ class Aligner:
         return out
 
 
-@lru_cache(maxsize=1)
 def aligner(path_a: str, path_b: str) -> Aligner:
-    return Aligner(path_a, path_b)
+    return worker_store(("aligner", path_a, path_b), lambda: Aligner(path_a, path_b))
 
 
 def aligned(docs: DataFrame, path_a: str, path_b: str, texts: bool = False) -> DataFrame:
@@ -225,6 +232,17 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, texts: bool = False) -> D
     return rows.mapInArrow(run, schema)
 
 
+def _few_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with about LINKS links, at least one row."""
+    for b in batches:
+        ends, at = np.asarray(b.column("links").offsets)[1:], 0
+        while at < b.num_rows:
+            base = ends[at - 1] if at else np.asarray(b.column("links").offsets)[0]
+            to = max(at + 1, int(np.searchsorted(ends, base + LINKS, side="right")))
+            yield b.slice(at, to - at)
+            at = to
+
+
 def pair_counts(links: DataFrame, size_b: int) -> DataFrame:
     """(pair, n, best): how many links of all texts hold a pair of ids, and whether no pair with the same id of
     B has more."""
@@ -250,7 +268,7 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, bound: int = BROA
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, best = shared.value
-        for b in batches:
+        for b in _few_links(batches):
             lists = b.column("links")
             sizes = np.diff(np.asarray(lists.offsets))
             pair = np.asarray(lists.flatten())
