@@ -2,7 +2,8 @@
 
 * T1 ``landing_stream``: new landing files only (file-source bookkeeping in the checkpoint).
 * T2 ``keyed_load``: idempotent insert-or-ignore into a Parquet table, per micro-batch.
-* T3 ``daily_trend_stream``: event-time daily windows with a watermark.
+* T3 ``daily_trend_stream``: running event-time days with a watermark; ``closed_days``: each day once, when it is over,
+  with state that is evicted.
 * T4 ``quality_counter_stream``: running violation counters.
 
 All state lives in checkpoint folders under the shared ``spark.checkpoint.dir``; a restarted
@@ -11,6 +12,8 @@ query resumes from it, so a lost executor or driver restart does not duplicate o
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -109,29 +112,82 @@ def quality_counter_stream(staged: DataFrame) -> DataFrame:
     )
 
 
+def closed_days(staged: DataFrame, watermark: str = "1 day") -> DataFrame:
+    """T3 for append mode: one row per event-time day, emitted once, when the watermark has passed its end. Two
+    stateful operators in a chain: (day, channel) counts, then days; both forget a day when it is emitted, so state
+    holds the open days only. What comes later than that is dropped (and counted, see ``run_append``). The number of active
+    channels is exact."""
+    tz = staged.sparkSession.conf.get("spark.sql.session.timeZone")
+    valid = (staged.filter(F.col("data_quality_status") == "valid")
+             .withColumn("event_time", utc_instant(F.col("message_date"), tz)))
+    by_channel = (valid.withWatermark("event_time", watermark).groupBy(F.window("event_time", "1 day").alias("w"), "channel_name")
+                  .agg(F.count(F.lit(1)).alias("post_count"), F.sum("views").alias("total_views"),
+                       F.sum(F.col("has_image").cast("int")).alias("image_posts")))
+    days = by_channel.groupBy(F.window(F.window_time("w"), "1 day").alias("day")).agg(
+        F.sum("post_count").alias("post_count"), F.sum("total_views").alias("total_views"),
+        F.sum("image_posts").alias("image_posts"), F.count(F.lit(1)).alias("channels_active"))
+    return days.select(F.to_date(to_utc_ntz(F.col("day.start"), tz)).alias("full_date"), "post_count", "total_views",
+                       "image_posts", "channels_active")
+
+
+@dataclass
+class AppendRun:
+    """One finished run of ``run_append``: where its rows are, how many late groups (here: a day and channel of one batch)
+    the watermark dropped, and the rows of state held after each batch."""
+
+    path: str
+    late_groups: int
+    state_rows: list[int]
+
+
+def run_append(df: DataFrame, name: str, checkpoint: str | None = None, path: str | None = None) -> AppendRun:
+    """Run an append-mode stream over everything available into a Parquet file sink, whose log commits each
+    batch once. The same ``checkpoint`` and ``path`` resume: rows that were emitted are not emitted again."""
+    spark = df.sparkSession
+    out = path or scratch_path(spark, f"stream_out/{name}")
+    ckpt = checkpoint or scratch_path(spark, f"stream_ckpt/{name}")
+    q = (df.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    batches = [[op for op in p.stateOperators] for p in q.recentProgress]
+    return AppendRun(out, sum(op.numRowsDroppedByWatermark for ops in batches for op in ops),
+                     [sum(op.numRowsTotal for op in ops) for ops in batches])
+
+
+def _committed_batches(spark: SparkSession, out: str) -> list[int]:
+    """Numbers of the batch folders below ``out`` that were written to the end."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    folders = path(f"{out}/batch=*")
+    fs = folders.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in fs.globStatus(folders) or []]
+    return sorted(int(p.getName().split("=")[1]) for p in found if fs.exists(path(p, "_SUCCESS")))
+
+
 def run_to_table(df: DataFrame, name: str, output_mode: str = "complete", keys: list[str] | None = None,
                  checkpoint: str | None = None, path: str | None = None) -> str:
     """Run a streaming aggregation over everything available and keep its latest result as a Parquet
     table, one folder per micro-batch; returns the newest folder. ``complete``: each batch is the whole
     result. ``update``: each batch holds changed rows, which replace those of the same ``keys`` in the
-    result before it. With nothing to read, the result is an empty table."""
+    result before it. The same ``checkpoint`` and ``path`` resume from the result that is there; with nothing new to
+    read it stays. With nothing to read at all, the result is an empty table."""
     spark = df.sparkSession
     out = path or scratch_path(spark, f"stream_out/{name}")
     ckpt = checkpoint or scratch_path(spark, f"stream_ckpt/{name}")
     if output_mode == "update" and not keys:
         raise ValueError("update mode needs the result's keys")
-    newest = [f"{out}/start"]
-    spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(newest[0])
+    if not _committed_batches(spark, out):
+        spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(f"{out}/batch=-1")
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
         result = batch
         if output_mode == "update":
-            before = batch.sparkSession.read.schema(batch.schema).parquet(newest[0])
+            # a batch that is run again replaces itself, so it starts from the one before it
+            last = max(n for n in _committed_batches(spark, out) if n < epoch_id)
+            before = batch.sparkSession.read.schema(batch.schema).parquet(f"{out}/batch={last}")
             result = batch.unionByName(before.join(batch.select(*keys), keys, "left_anti"))
         result.write.mode("overwrite").parquet(f"{out}/batch={epoch_id}")
-        newest[0] = f"{out}/batch={epoch_id}"
 
     q = (df.writeStream.outputMode(output_mode).foreachBatch(sink).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return newest[0]
+    return f"{out}/batch={_committed_batches(spark, out)[-1]}"
