@@ -444,6 +444,31 @@ def q_search_after(c: Context):
     return search.search_messages_after(c.w.fct, c.w.dim_channels, c.w.dim_dates, "tablet", after=after, limit=20)
 
 
+def _text_index(c: Context):
+    from .plans.text_index import build_text_index
+    from .session import scratch_path
+    rows = c.w.fct.count()
+    return build_text_index(c.w.fct, scratch_path(c.spark, "text_index"), max(1, rows // 64))
+
+
+@report
+def q_search_indexed(c: Context):
+    """M21 through the text index: the second page of a term in some channels."""
+    return _text_index(c).search(c.w.dim_channels, c.w.dim_dates, "tablet", channel="med", limit=20, page=2)
+
+
+@report
+def q_search_indexed_counts(c: Context):
+    """M21 through the text index: matches of terms of two letters (all blocks), of three and more, and of a pattern."""
+    index, terms = _text_index(c), [("mg", False), ("pil", False), ("vitamin 3", False), ("no such text", False), ("cap%le 1_0", True)]
+    counts = [index.count(c.w.dim_channels, c.w.dim_dates, term, wildcards=wild).select(F.lit(term).alias("term"), "total_count")
+              for term, wild in terms]
+    out = counts[0]
+    for more in counts[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 @report
 def q_weekly_stats(c: Context):
     """Weekly posts, views, forwards, images and engagement of every channel."""
