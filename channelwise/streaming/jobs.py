@@ -1,7 +1,8 @@
 """Structured Streaming versions of the incremental behaviour.
 
 * T1 ``landing_stream``: new landing files only (file-source bookkeeping in the checkpoint).
-* T2 ``keyed_load``: idempotent insert-or-ignore into a Parquet table, per micro-batch.
+* T2 ``keyed_load``: idempotent insert-or-ignore into a keyed table, per micro-batch; ``state_load``: the same with the
+  keys of the last days as the query's own state, so that the target is never read.
 * T3 ``daily_trend_stream``: running event-time days with a watermark; ``closed_days``: each day once, when it is over,
   with state that is evicted.
 * T4 ``quality_counter_stream``: running violation counters.
@@ -80,6 +81,19 @@ def dedupe_stream(stream: DataFrame, delay: str = "2 days", keys=KEYS) -> DataFr
             .drop("_scraped_instant"))
 
 
+def state_load(stream: DataFrame, target: str, checkpoint: str | None = None, delay: str = "30 days",
+               columns: list[str] | None = None) -> StreamingQuery:
+    """T2 without reading the target: keys live in the query's state, checkpointed with the offsets, and new rows go to
+    a Parquet file sink whose log commits each batch once, so a replayed batch and a resumed query insert nothing twice.
+    The first copy to arrive wins. State is bounded: a key is forgotten ``delay`` (of scrape time) after its first copy; rows
+    scraped longer ago than that when they arrive are dropped as late (``keyed_load`` has no such limit). Runs over
+    what is available; ``columns``: those to keep, if not all."""
+    rows = dedupe_stream(stream, delay)
+    return ((rows.select(*columns) if columns else rows).writeStream.format("parquet").outputMode("append")
+            .option("path", target).option("checkpointLocation", checkpoint or scratch_path(stream.sparkSession, "state_load"))
+            .trigger(availableNow=True).start())
+
+
 def daily_trend_stream(staged: DataFrame, watermark: str = "1 day") -> DataFrame:
     """Per event-time day and channel, posts / views / image posts of valid messages. Late data
     within ``watermark`` updates its day; older data is dropped by the watermark. Channels are kept

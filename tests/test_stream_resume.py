@@ -53,3 +53,27 @@ def test_closed_days_are_emitted_once_and_leave_the_state(spark, tmp_path):
     again = jobs.run_append(jobs.closed_days(staged(spark, src)), "closed", ckpt, out)
     days = [r.full_date for r in spark.read.parquet(out).collect()]
     assert len(days) == len(set(days)) == 5 and again.late_groups == 1
+
+
+RAW = "message_id long, channel_name string, hour long, views long"
+
+
+def test_state_load_inserts_once_and_forgets_old_keys(spark, tmp_path):
+    src, out, ckpt = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ck")
+
+    def run():
+        stream = (spark.readStream.schema(RAW).option("maxFilesPerTrigger", 1).parquet(str(src))
+                  .withColumn("scraped_at", F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, hour)")))
+        q = jobs.state_load(stream, out, ckpt, "2 days", ["message_id", "channel_name", "views"])
+        q.awaitTermination()
+        got = sorted((r.channel_name, r.message_id, r.views) for r in spark.read.parquet(out).collect())
+        return got, [sum(op.numRowsTotal for op in p.stateOperators) for p in q.recentProgress]
+
+    put(spark, src, [(i, c, 1, 0) for c in "ab" for i in range(20)], RAW)
+    put(spark, src, [(i, "a", 5, 9) for i in range(10, 30)], RAW)  # ten of them again
+    want = sorted([(c, i, 0) for c in "ab" for i in range(20)] + [("a", i, 9) for i in range(20, 30)])
+    assert run()[0] == want
+    put(spark, src, [(i, "b", 9, 7) for i in range(20)] + [(1, "c", 200, 1)], RAW)  # again in a later run
+    got, held = run()
+    assert got == sorted(want + [("c", 1, 1)]) and held[0] == 51 and held[-1] < 51
+    assert run()[0] == got
