@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import params
 from ..functions.rules import box_category, image_category
 from ..functions.text import channel_from_image_path, message_id_from_image_path, round_each
+from .reports import _share_of_total
 
 r2 = lambda c: F.round(c, 2)
 
@@ -42,16 +43,11 @@ def box_category_counts(boxes: DataFrame) -> DataFrame:
     return boxes.groupBy(box_category(F.col("class")).alias("category")).agg(F.count(F.lit(1)).alias("box_count"))
 
 
-def _share(df: DataFrame, count_col: str, out: str) -> DataFrame:
-    """Percentage of the column's total; the total is a one-row aggregate, read by every task."""
-    total = df.agg(F.sum(count_col).alias("_total"))
-    return df.crossJoin(F.broadcast(total)).withColumn(out, r2(F.col(count_col) * 100.0 / F.col("_total"))).drop("_total")
-
-
 def image_category_stats(det: DataFrame) -> DataFrame:
     g = det.groupBy("image_category").agg(F.count(F.lit(1)).alias("count"),
                                           F.avg("detection_count").alias("avg_detections"))
-    return _share(g, "count", "percentage").orderBy(F.col("count").desc(), "image_category")
+    g = _share_of_total(g, "count", "percentage")  # at most five categories
+    return g.orderBy(F.col("count").desc(), "image_category")
 
 
 def _with_channel_key(det: DataFrame, dim_channels: DataFrame) -> DataFrame:
@@ -107,7 +103,8 @@ def top_objects(det: DataFrame, limit: int = 10) -> DataFrame:
     """Most detected objects with their share of all detected objects."""
     objs = det.select(F.explode("detected_objects").alias("object_name"))
     g = objs.groupBy("object_name").agg(F.count(F.lit(1)).alias("count"))
-    return _share(g, "count", "percentage").orderBy(F.col("count").desc(), "object_name").limit(limit)
+    g = _share_of_total(g, "count", "percentage")  # one row for each class that a detector knows
+    return g.orderBy(F.col("count").desc(), "object_name").limit(limit)
 
 
 def recent_detections(det: DataFrame, limit: int = 5) -> DataFrame:

@@ -7,7 +7,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from channelwise.operators.detect import detect_images, image_files, stub_detector
+from channelwise.operators.detect import detect_images, detect_new_images, image_files, stub_detector
 from channelwise.plans import enrich
 from channelwise.plans.staging import stage_messages
 from channelwise.sources import fixtures
@@ -58,6 +58,26 @@ def test_detection_job_over_image_files(spark):
         assert r.detected_objects == expected
 
 
+def test_new_images_are_detected_once_and_faults_are_kept(spark, tmp_path):
+    root, target, ckpt = tmp_path / "img" / "images" / "chemed", str(tmp_path / "det"), str(tmp_path / "ck")
+    root.mkdir(parents=True)
+
+    def run(**files):
+        for name, data in files.items():
+            (root / f"{name}.jpg").write_bytes(data)
+        q = detect_new_images(spark, str(tmp_path / "img"), target, ckpt, images_per_batch=2)
+        q.awaitTermination()
+        rows = spark.read.parquet(target).collect()
+        return sorted((os.path.basename(r.image_path), r.fault) for r in rows), sum(p.numInputRows for p in q.recentProgress)
+
+    first, read = run(a=b"abc", b=b"\x00bad", c=b"xyz")
+    assert first == [("a.jpg", None), ("b.jpg", "ValueError: unreadable image"), ("c.jpg", None)] and read == 3
+    again, read = run(d=b"new")
+    assert again == sorted([*first, ("d.jpg", None)]) and read == 1
+    found = enrich.classify_images(spark.read.parquet(target).filter("fault IS NULL").drop("fault"))
+    assert found.count() == 3
+
+
 def test_stream_daily_trend_equals_batch(spark):
     sf = "/root/testdata/sf0.001"
     part = fixtures.read_table(spark, sf, "part")
