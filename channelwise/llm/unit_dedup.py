@@ -4,10 +4,11 @@ A text is cut into units: its lines, and within a line its sentences (a unit end
 or ``?`` and white space), so that a passage is found whether it stands on lines of its own or inside
 a paragraph. A unit is normalised (lower case, single spaces, trimmed) and hashed to 128 bits. The
 digests are grouped over all documents. The earliest occurrence of a digest (smallest doc_id, then
-hash of the text, then smallest offset) is kept; every other one is a repeat, in the same document too, and is removed, however
-short it is. Adjoining repeats of a document form a passage; the original character offsets of what goes
-are kept. ``min_words`` above 1 spares shorter passages; no query asks for that. A repeated passage that
-starts or ends inside a sentence loses its whole sentences only.
+hash of the text, then smallest offset) is kept; every other one is a repeat, in the same document too. Adjoining
+repeats of a document form a passage, and passages of at least ``MIN_CHARS`` characters are removed; the original
+character offsets of what goes are kept. A short sentence that two texts share by chance stays, but one
+within a longer repeated passage goes with it. A repeated passage that starts or ends inside a sentence loses its whole
+sentences only.
 
 Grouping is two aggregations with map-side combining (by digest and document, then by digest; a group is
 a few minima and a flag), so a passage that a third of all documents share costs a task one row per map task. Only the digests
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import batches_by_bytes, materialize, perhaps_among, ship, table, text_or_empty
 
-MIN_WORDS = 1  # every repeated unit goes
+MIN_CHARS = 40  # of a passage; what is shorter repeats by chance
 LAST = (1 << 63) - 1  # ranks a null doc_id behind all others
 UNIT = re.compile(r"[^\n]*?[.!?](?=\s)|[^\n]+")
 UNITS = "doc long, t long, h1 long, h2 long, at long, size int, words int, k int, again boolean"
@@ -76,7 +77,7 @@ def _doc():
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
 
 
-def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_passages(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc, t, start, end, words, first_doc): the passages to remove, as character offsets into the
     original text; ``doc`` is the doc_id (the largest long for null), ``t`` the hash of its text and ``first_doc`` the document
     that holds the earliest occurrence of the passage's first unit."""
@@ -96,7 +97,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return (runs.groupBy("doc", "t", "run")
             .agg(F.min("at").alias("start"), F.max(F.col("at") + F.col("size")).alias("end"),
                  F.sum("words").cast("int").alias("words"), F.min_by("first_doc", "k").alias("first_doc"))
-            .filter(F.col("words") >= min_words).drop("run"))
+            .filter(F.col("end") - F.col("start") >= min_chars).drop("run"))
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:
@@ -111,10 +112,10 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join(out)
 
 
-def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def remove_repeats(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` without the repeated passages; ``n_chars``, if there, follows the new text. Texts
     without such a passage are left exactly as they are."""
-    spans = materialize(repeated_passages(docs, min_words), "repeated-passages")
+    spans = materialize(repeated_passages(docs, min_chars), "repeated-passages")
     by_doc = spans.groupBy(F.col("doc").alias("__cut_doc"), F.col("t").alias("__cut_t")).agg(
         F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__cut_spans"))
     by_doc = materialize(by_doc, "passages-by-document")
