@@ -12,8 +12,8 @@ key space is split into equal cells, so a source that holds most rows is spread
 prefix sums run over the cells of a source (at most ``CELLS`` rows) and over the rows of a cell.
 A source repeats whole epochs while its budget allows and cuts the last one at the exact word.
 
-Cases: null text has size 0; null source is a source of its own; a null doc_id is dealt a key like
-any other; rows equal in doc_id, size and text are interchangeable, so reruns agree; sources
+Cases: null text has size 0; null source is a source of its own; rows without a doc_id, or with one doc_id, are
+dealt their keys by their texts too; rows equal in doc_id, size and text are interchangeable, so reruns agree; sources
 without words get target 0; empty tables give empty results; columns of other names pass through
 (``mix`` refuses rows that hold its own result columns).
 """
@@ -58,11 +58,11 @@ def source_targets(sizes: DataFrame) -> DataFrame:
 
 def mix(rows: DataFrame, key: list[Column], seed: str = "mix") -> DataFrame:
     """``rows`` (with ``source`` and ``size``) plus source_size, target and taken (words of this row
-    in the mix, repeats counted). ``key``: columns that name a row; the first one is hashed."""
+    in the mix, repeats counted). ``key``: columns that name a row; their hash deals it to its cell."""
     taken_names = {"source_size", "target", "taken"} & {c.lower() for c in rows.columns}
     if taken_names:
         raise ValueError(f"rows already hold {sorted(taken_names)}")
-    hashed = F.md5(F.concat(F.lit(seed), F.coalesce(key[0].cast("string"), F.lit("null"))))
+    hashed = F.md5(F.concat_ws("|", F.lit(seed), *[F.coalesce(k.cast("string"), F.lit("null")) for k in key]))
     keyed = (rows.withColumn("__mix_key", hashed)
              .withColumn("__mix_cell", F.conv(F.substring("__mix_key", 1, 4), 16, 10).cast("int")))
     cells = keyed.groupBy(F.col("source").alias("__mix_source"), F.col("__mix_cell").alias("__mix_c")).agg(
@@ -105,8 +105,9 @@ def draw(mixed: DataFrame, text: str = "text") -> DataFrame:
 def op4_mix_sources(spark, sf_dir: str) -> DataFrame:
     """doc_id, size, source_size, target, taken for every row of ``documents``."""
     from .common import materialize, table
-    rows = materialize(table(spark, sf_dir, "documents").select("doc_id", "source", size_of().alias("size")), "sizes")
-    return mix(rows, [F.col("doc_id")]).select("doc_id", "size", "source_size", "target", "taken")
+    rows = materialize(table(spark, sf_dir, "documents").select("doc_id", "source", F.md5("text").alias("digest"),
+                                                                size_of().alias("size")), "sizes")
+    return mix(rows, [F.col("doc_id"), F.col("digest")]).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -122,7 +123,8 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 ORACLE_OP4 = r"""
 WITH sized AS (
-  SELECT doc_id, source, md5('mix' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS k,
+  SELECT doc_id, source, md5(text) AS digest,
+         md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), 'null') || '|' || coalesce(md5(text), 'null')) AS k,
          CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
   FROM documents),
 src AS (
@@ -143,7 +145,7 @@ targets AS (
 placed AS (
   SELECT s.doc_id, s.size, t.source_size, t.target,
          CAST(floor(t.target + 0.5) AS BIGINT) AS budget,
-         coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.k, s.doc_id, s.size
+         coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.k, s.doc_id, s.digest, s.size
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,

@@ -376,7 +376,7 @@ def test_bytes_of_any_kind_come_out_as_they_are(spark, tmp_path):
 def test_registered():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "minhash_near_dedup", "substring_dedup", "mix_sources",
                                                       "bpe_encode_decode"]
-    assert sorted(int(re.match(r"op(\d+)_", q).group(1)) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q).group(1)) for q in QUERIES) == list(range(1, 14))
     assert set(ORACLE_SQL) <= set(QUERIES)
 
 
@@ -384,7 +384,7 @@ def test_registered():
 def test_oracles(spark, name):
     import duckdb
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     got = QUERIES[name](spark, DATA)
     columns = sorted(got.columns)
@@ -416,3 +416,19 @@ def test_pipeline_stages_follow_their_operators(spark, tmp_path):
         else:
             assert sorted(ids) == sorted(before) and out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
         docs = out
+
+
+def test_rows_without_an_id_are_dealt_over_cells(documents):
+    docs = documents([f"text number {k} w" for k in range(300)], ids=[None] * 300)
+    rows = docs.withColumn("size", mixing.size_of()).withColumn("digest", F.md5("text"))
+    got = mixing.mix(rows, [F.col("doc_id"), F.col("digest")])
+    assert got.count() == 300 and got.agg(F.sum("taken")).first()[0] == 450 * 4
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" in plan and "digest" in plan.split("md5")[1][:200]
+
+
+def test_samples_don_t_depend_on_the_layout(spark):
+    from channelwise.llm.common import sampled_labels
+    labels = spark.range(4000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("toxic"))
+    drawn = [sorted(r.doc_id for r in sampled_labels(labels.repartition(n, F.rand(n)), "toxic", 500).collect()) for n in (1, 3, 7)]
+    assert drawn[0] == drawn[1] == drawn[2] and 400 < len(drawn[0]) <= 500
