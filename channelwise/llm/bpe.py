@@ -16,16 +16,15 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe_core import BYTE_SYMBOLS, Decoder, Transducer, load_merges
-from .common import Recent, batches_by_bytes, ship, table, text_or_empty
+from .common import Recent, batches_by_bytes, ship, table, text_or_empty, worker_store
 
-CACHE_ENTRIES = 1 << 18
+CACHE_ENTRIES = 1 << 17
 LONG_PIECE = 256
 ASCII_SPACE = re.compile(r"[ \t\n\r\x0b\x0c]+")
 SEPARATORS = re.compile("[\x1c-\x1f]")  # white space for Python, not for the tokenizers' patterns
@@ -140,10 +139,9 @@ class Codec:
         return count, ids_hash.hexdigest(), text_hash.hexdigest()
 
 
-@lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
-    """One codec per worker process and file."""
-    return Codec(path)
+    """One codec per worker process, until another operator needs the room."""
+    return worker_store(("codec", path), lambda: Codec(path))
 
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:

@@ -15,7 +15,6 @@ from __future__ import annotations
 import bisect
 import json
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 
 def byte_symbols() -> list[str]:
@@ -179,7 +178,6 @@ class Decoder:
         return self.utf8.decode(b"", True) if self.utf8 else ""
 
 
-@lru_cache(maxsize=4)
 def load_merges(path: str) -> tuple[MergeList, int]:
     merges = MergeList.load(path)
     return merges, merges.sufficient_lookahead()

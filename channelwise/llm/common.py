@@ -6,11 +6,13 @@ checkpoint folder and reads it back, which cuts lineage and survives lost execut
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,8 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
+T = TypeVar("T")
+
 #: 64-bit odd constants of the usual multiply/xor-shift finalisers (fixed values).
 MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX_2 = np.uint64(0x94D049BB133111EB)
@@ -51,7 +55,24 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` wrote, once nothing reads them any more."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t._scratch_path)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Spark deletes a shuffle's files when the driver's JVM has collected the plan that made it, which it can't while
+    Python holds on to it. A job of many large steps asks for both between them, so that only the present step's
+    files are on disk."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -138,7 +159,8 @@ def sampled_labels(labels: DataFrame, value: str, bound: int) -> DataFrame:
     n = rows.count()
     if n > bound:
         keep = int(bound / n * (1 << 20))
-        rows = rows.filter(F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 20)) < keep).limit(bound)
+        chosen = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 20))
+        rows = rows.filter(chosen < keep).orderBy(chosen, "doc_id").limit(bound)  # the same rows however they are laid out
     return rows
 
 
@@ -153,6 +175,19 @@ def distinct_rows(rows: DataFrame, content: str, bound: int, name: str) -> DataF
     return rows.drop("__content")
 
 
+_STORE: dict = {}
+
+
+def worker_store(owner: tuple | str, build: Callable[[], T]) -> T:
+    """What ``build`` makes, kept for ``owner`` in this worker process until another owner asks. Workers are
+    used again by all stages of an application, so what one operator holds must not outlive its turn."""
+    if owner not in _STORE:
+        _STORE.clear()
+        pa.default_memory_pool().release_unused()
+        _STORE[owner] = build()
+    return _STORE[owner]
+
+
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -166,7 +201,8 @@ class Recent(dict):
 
     def put(self, key, value):
         if len(self) >= self.size:
-            self.old = dict(self)
+            self.old.clear()
+            self.old.update(self)
             self.clear()
         self[key] = value
 

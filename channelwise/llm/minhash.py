@@ -34,7 +34,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import GOLDEN, batches_by_bytes, materialize, mix64, perhaps_among, ship, table, text_or_empty, unit_interval
+from .common import (GOLDEN, batches_by_bytes, materialize, mix64, perhaps_among, ship, table, text_or_empty, unit_interval,
+                     worker_store)
 from .components import components
 
 SHINGLE = 5
@@ -57,7 +58,6 @@ class _WordHashes(dict):
         return h
 
 
-_WORDS = _WordHashes()
 
 
 def shingles(text: str, weighting: str = "binary") -> tuple[np.ndarray, np.ndarray]:
@@ -65,7 +65,8 @@ def shingles(text: str, weighting: str = "binary") -> tuple[np.ndarray, np.ndarr
     words = text.lower().split()
     if not words:
         return np.empty(0, np.uint64), np.empty(0)
-    h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    hashes = worker_store("minhash", _WordHashes)
+    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     size = min(SHINGLE, len(h))
     with np.errstate(over="ignore"):
         s = np.zeros(len(h) - size + 1, np.uint64)

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Recent, batches_by_bytes, table, text_or_empty
+from .common import Recent, batches_by_bytes, table, text_or_empty, worker_store
 
 SAMPLE_DOCS, SAMPLE_CHARS, TABLE_ENTRIES, SHORT = 1000, 1 << 14, 1 << 16, 48
 CACHE_ENTRIES = 1 << 18
@@ -89,9 +89,6 @@ def _pieces_model(path: str):
     return sentencepiece.SentencePieceProcessor(model_file=path)
 
 
-_TIERS: dict = {}
-
-
 def count_tokens(docs: DataFrame, path: str, limit: int = TOKEN_LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for every row of ``docs`` (doc_id, text)."""
     frequent = None
@@ -105,11 +102,8 @@ def count_tokens(docs: DataFrame, path: str, limit: int = TOKEN_LIMIT) -> DataFr
             def count(text: str) -> int:
                 return len(model.encode(text, num_threads=1))
         else:
-            key = (path, frequent._jbroadcast.id() if getattr(frequent, "_jbroadcast", None) else frequent._path)
-            if key not in _TIERS:
-                _TIERS.clear()
-                _TIERS[key] = Counts(path, frequent.value)
-            count = _TIERS[key].count
+            key = frequent._jbroadcast.id() if getattr(frequent, "_jbroadcast", None) else frequent._path
+            count = worker_store(("counts", path, key), lambda: Counts(path, frequent.value)).count
         for b in batches_by_bytes(batches, "text"):
             texts = b.column("text")
             n = [count(t) for t in texts.to_pylist()]

@@ -314,16 +314,17 @@ def toxic_passages(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that aren't predicted toxic, all columns as they were."""
+    """The rows of ``docs`` that aren't predicted toxic, all columns as they were. Only texts go to Python, and only
+    the decision comes back."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("boolean")
+    def is_clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
-        for b in batches_by_bytes(batches, "text"):
-            keep = [m.score(t or "") < threshold for t in b.column("text").to_pylist()]
-            yield b.filter(pa.array(keep, pa.bool_()))
+        for texts in batches:
+            yield pa.array([m.score(t.as_py() or "") < threshold for t in texts], pa.bool_())
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.filter(is_clean("text"))
 
 
 def op8_toxicity(spark, sf_dir: str) -> DataFrame:
