@@ -26,7 +26,6 @@ gives an empty result.
 
 from __future__ import annotations
 
-import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,15 +34,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import GOLDEN, MIX_1, materialize, mix64, most_frequent, table, text_or_empty
+from .common import (GOLDEN, MIX_1, batches_by_bytes, discard, materialize, mix64, most_frequent, release_shuffles, table,
+                     text_or_empty, worker_store)
 
 DEPTH = 2
 MIN_COUNT = 16
 MIN_GAIN = 10.0
 TABLE_KEYS = 1 << 20  # 16 bytes each
-BITMAP_WORDS = 1 << 21  # of 64 bits
+BITMAP_WORDS = 1 << 20  # of 64 bits, for scoring
+LEARNING_WORDS = 1 << 18  # the same, for learning
 FLUSH = 1 << 21  # tokens whose counts a task sums up before it passes them on
-WORD_RUN = r"[^\x20\x09-\x0D]+"
+PART = 2 << 20  # bytes of text that are hashed at once, or one text
 FOLD = 7
 
 
@@ -51,17 +52,55 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLD == 2, F.lit(False))
 
 
-def hashed(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, tokens (hashes, the end token last) of every row."""
-    lowered = F.translate(text_or_empty(), string.ascii_uppercase, string.ascii_lowercase)
-    words = F.regexp_extract_all(lowered, F.lit(WORD_RUN), F.lit(0))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"),
-                       F.transform(F.array_append(words, F.lit("")), lambda w: F.xxhash64(w)).alias("tokens"))
+def prepared(docs: DataFrame) -> DataFrame:
+    """doc_id, held_out, text of every row."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), text_or_empty().alias("text"))
 
 
 # --- keys: unsigned 64-bit numbers in numpy, signed ones in tables -------------------------------------------------
 
 
+#: A value for each byte (A-Z count as a-z), and the hash of the end token.
+BYTE_VALUES = mix64(np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint64) * GOLDEN + MIX_1)
+END = np.uint64(0x5DEECE66D5DEECE6)
+END_VALUE = int(END.astype(np.int64))
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of MIX_1 and of its inverse, modulo 2 ** 64."""
+    held = worker_store("lm-powers", lambda: [np.ones(1, np.uint64)] * 2)
+    if len(held[0]) < n:
+        held[:] = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, x, np.uint64)]), dtype=np.uint64)
+                   for x in (MIX_1, np.uint64(pow(int(MIX_1), -1, 1 << 64)))]
+    return held[0][:n], held[1][:n]
+
+
+def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of all tokens, place of each in its text, tokens of each text) of an Arrow string column: polynomial
+    hashes of the words, all at once, by differences of one running sum over the bytes."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    size = int(offsets[-1] - offsets[0])
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0]:offsets[-1]] if size else np.zeros(0, np.uint8)
+    starts = offsets - offsets[0]
+    gap = (data == 32) | ((data >= 9) & (data <= 13))
+    edge = np.zeros(size + 1, bool)  # a text starts here
+    edge[starts] = True
+    before, behind = np.concatenate([[True], gap]), np.concatenate([gap, [True]])
+    first = np.flatnonzero(~gap & (before[:-1] | edge[:-1]))
+    last = np.flatnonzero(~gap & (behind[1:] | edge[1:])) + 1
+    power, inverse = _powers(size)
+    with np.errstate(over="ignore"):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE_VALUES[data] * power, dtype=np.uint64)])
+        words = mix64((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64) * GOLDEN)
+    text = np.searchsorted(starts, first, side="right") - 1
+    text = np.minimum(text, len(texts) - 1)
+    sizes = np.bincount(text, minlength=len(texts)) + 1
+    ends = np.cumsum(sizes)
+    out = np.full(int(ends[-1]), END)
+    out[np.arange(len(words)) + text] = words
+    return out, np.arange(len(out)) - np.repeat(ends - sizes, sizes), sizes
+
+
 def state_key(context: np.ndarray) -> np.ndarray:
     return mix64(context ^ GOLDEN)
 
@@ -93,6 +132,32 @@ class Bitmap:
         return (self.words[at] >> (keys & np.uint64(63))) & np.uint64(1) == 1
 
 
+class Lookup:
+    """Values of uniformly spread keys: sorted, with the first place of every leading bit pattern."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
+        bits = max(1, int(len(keys)).bit_length() + 1)
+        self.shift = np.uint64(64 - bits)
+        self.first = np.searchsorted(self.keys, np.arange(1 << bits, dtype=np.uint64) << self.shift)
+        self.first = np.append(self.first, len(keys)).astype(np.int32)
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(value or 0, found) of each key."""
+        value, found = np.zeros(len(wanted)), np.zeros(len(wanted), bool)
+        lead = (wanted >> self.shift).astype(np.int64)
+        at, end, who = self.first[lead], self.first[lead + 1], np.arange(len(wanted))
+        while True:
+            left = at < end
+            at, end, who = at[left], end[left], who[left]
+            if not len(who):
+                return value, found
+            hit = self.keys[at] == wanted[who]
+            value[who[hit]], found[who[hit]] = self.values[at[hit]], True
+            at, end, who = at[~hit] + 1, end[~hit], who[~hit]
+
+
 def bitmap(keys: DataFrame, column: str, words: int) -> Bitmap:
     """Bits of a key column, put together in Spark; at most ``words`` rows reach the driver."""
     word = F.pmod(F.shiftrightunsigned(column, 6), F.lit(words)).cast("int")
@@ -104,30 +169,11 @@ def bitmap(keys: DataFrame, column: str, words: int) -> Bitmap:
     return Bitmap(out)
 
 
-def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(all tokens, place of each in its text, length of each text) of an Arrow list column."""
-    sizes = np.diff(np.asarray(lists.offsets))
-    tokens = np.asarray(lists.flatten()).view(np.uint64)
-    starts = np.cumsum(sizes) - sizes
-    return tokens, np.arange(len(tokens)) - np.repeat(starts, sizes), sizes
-
-
-def _parts(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Arrow batches cut to texts of about ``size`` tokens together, at least one text."""
-    for b in batches:
-        ends = np.asarray(b.column("tokens").offsets)[1:].astype(np.int64)
-        at, base = 0, int(np.asarray(b.column("tokens").offsets)[0]) if b.num_rows else 0
-        while at < b.num_rows:
-            to = max(at + 1, int(np.searchsorted(ends, base + size, side="right")))
-            yield b.slice(at, to - at)
-            base, at = int(ends[to - 1]), to
-
-
 def _gathered(batches: Iterator[pa.RecordBatch], pick) -> Iterator[list[np.ndarray]]:
     """Columns that ``pick`` gives for each batch, put together until they hold about FLUSH values."""
     held, size = [], 0
-    for b in _parts(batches, FLUSH):
-        held.append(pick(*_flat(b.column("tokens"))[:2]))
+    for b in batches_by_bytes(batches, "text", PART):
+        held.append(pick(*tokens_of(b.column("text"))[:2]))
         size += len(held[-1][0])
         if size >= FLUSH:
             yield [np.concatenate(c) for c in zip(*held)]
@@ -151,7 +197,7 @@ def unigrams(training: DataFrame) -> DataFrame:
             found, c = np.unique(tokens, return_counts=True)
             yield pa.RecordBatch.from_arrays([_signed(found), pa.array(c, pa.int64())], ["token", "c"])
 
-    return training.select("tokens").mapInArrow(run, "token long, c long").groupBy("token").agg(F.sum("c").alias("c"))
+    return training.select("text").mapInArrow(run, "token long, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
 
 def pairs(training: DataFrame, depth: int, likely: Bitmap, repeated: Bitmap) -> DataFrame:
@@ -176,7 +222,7 @@ def pairs(training: DataFrame, depth: int, likely: Bitmap, repeated: Bitmap) ->
             yield pa.RecordBatch.from_arrays([*(_signed(c[first]) for c in columns), pa.array(k, pa.int64())], [*names, "k"])
 
     schema = ", ".join(f"{n} long" for n in [*names, "k"])
-    return training.select("tokens").mapInArrow(run, schema).groupBy(*names).agg(F.sum("k").alias("k")).filter("k > 1")
+    return training.select("text").mapInArrow(run, schema).groupBy(*names).agg(F.sum("k").alias("k")).filter("k > 1")
 
 
 def _keyed(rows: DataFrame, columns: list[str], out: str) -> DataFrame:
@@ -204,10 +250,10 @@ class Tree:
         return float(-np.log10(self.total + self.distinct + 1))
 
 
-def fit(tokens: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT, min_gain: float = MIN_GAIN,
-        bitmap_words: int = BITMAP_WORDS) -> Tree:
-    """Learn from the rows of ``hashed`` that aren't held out."""
-    training = tokens.filter("not held_out")
+def fit(docs: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT, min_gain: float = MIN_GAIN,
+        bitmap_words: int = LEARNING_WORDS) -> Tree:
+    """Learn from the rows of ``prepared`` that aren't held out."""
+    training = docs.filter("not held_out")
     counts = materialize(unigrams(training), "lm-unigrams")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     tree = Tree(counts, total, distinct)
@@ -217,13 +263,15 @@ def fit(tokens: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT, min_g
     repeated = bitmap(counts.filter("c > 1"), "token", bitmap_words)
     # a word occurs as often as the context of one word; behind an end token comes nothing
     frequent = counts.select(F.lit(0).cast("long").alias("context"), "token", F.col("c").alias("k"))
-    states, entries = [], []
+    states, entries, done = [], [], []
     for d in range(1, depth + 1):
-        often = frequent.filter((F.col("k") >= min_count) & (F.col("token") != F.xxhash64(F.lit(""))))
+        often = frequent.filter((F.col("k") >= min_count) & (F.col("token") != F.lit(END_VALUE)))
         candidates = materialize(_keyed(often.select("context", "token", F.col("k").alias("N")), ["context", "token"], "key")
                                  .select(F.col("key").alias("context"), "N"), "lm-candidates")
+        discard(*done)
         found = materialize(pairs(training, d, bitmap(candidates, "context", bitmap_words), repeated)
                             .withColumnRenamed(f"c{d}", "context"), "lm-pairs")
+        release_shuffles(training.sparkSession)
         frequent = found.select("context", "token", "k")
         # the logarithm that the parent gives to each pair's token
         known = found.join(candidates, "context").join(root, "token")
@@ -232,7 +280,7 @@ def fit(tokens: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT, min_g
                      .join(entries[j - 1].select(F.col("context").alias(f"c{j}"), "token", "gain"), [f"c{j}", "token"], "left")
                      .withColumn("parent", F.col("parent") + F.coalesce("left_over", F.lit(0.0)) + F.coalesce("gain", F.lit(0.0)))
                      .drop("left_over", "gain"))
-        known = materialize(known.select("context", "token", "k", "N", "parent"), "lm-known")
+        logs = known = materialize(known.select("context", "token", "k", "N", "parent"), "lm-known")
         sums = (known.groupBy("context", "N").agg(F.sum("k").alias("pairs"), F.count("*").alias("kinds"))
                 .withColumn("once", F.col("N") - F.col("pairs"))
                 .withColumn("T", F.col("once") + F.col("kinds")))
@@ -249,6 +297,9 @@ def fit(tokens: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT, min_g
         entries.append(materialize(
             known.join(states[-1].select("context", "left_over"), "context")
             .select("context", "token", "k", (share - F.col("left_over") - F.col("parent")).alias("gain")), "lm-entries"))
+        discard(logs, sums, candidates)
+        release_shuffles(training.sparkSession)
+        done = [found]
         model.append(_keyed(states[-1], ["context"], "key").select("key", F.col("left_over").alias("value"), F.col("N").alias("n")))
         model.append(_keyed(entries[-1], ["context", "token"], "key")
                      .select("key", F.col("gain").alias("value"), F.col("k").alias("n")))
@@ -256,40 +307,37 @@ def fit(tokens: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT, min_g
     for part in model[1:]:
         keys = keys.unionByName(part)
     tree.keys = materialize(keys, "lm-keys")
+    discard(counts, *states, *entries, *done)
+    release_shuffles(training.sparkSession)
     return tree
 
 
 # --- scoring ------------------------------------------------------------------------------------------------------
 
 
-def score(tokens: DataFrame, tree: Tree, depth: int = DEPTH, table_keys: int = TABLE_KEYS,
+def score(docs: DataFrame, tree: Tree, depth: int = DEPTH, table_keys: int = TABLE_KEYS,
           bitmap_words: int = BITMAP_WORDS) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of ``hashed``."""
-    spark = tokens.sparkSession
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of ``prepared``."""
+    spark = docs.sparkSession
     top = most_frequent(tree.keys, "n", table_keys).select("key", "value").toArrow()
-    order = np.argsort(keys := np.asarray(top["key"]).astype(np.int64).view(np.uint64))
+    table_ = Lookup(np.asarray(top["key"]).astype(np.int64).view(np.uint64), np.asarray(top["value"]).astype(float))
     unseen = tree.unseen()
-    shared = spark.sparkContext.broadcast((keys[order], np.asarray(top["value"]).astype(float)[order],
-                                           bitmap(tree.keys, "key", bitmap_words)))
+    shared = spark.sparkContext.broadcast((table_, bitmap(tree.keys, "key", bitmap_words)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, values, all_keys = shared.value
+        frequent, all_keys = shared.value
 
         def look_up(wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             """(value or 0, found, open) of keys."""
             possible = np.flatnonzero(all_keys.holds(wanted))
             found, value = np.zeros(len(wanted), bool), np.zeros(len(wanted))
             open_ = found.copy()
-            if len(keys):
-                at = np.minimum(np.searchsorted(keys, wanted[possible]), len(keys) - 1)
-                hit = keys[at] == wanted[possible]
-                found[possible[hit]], value[possible[hit]] = True, values[at[hit]]
-                possible = possible[~hit]
-            open_[possible] = True
+            value[possible], found[possible] = frequent.find(wanted[possible])
+            open_[possible] = ~found[possible]
             return value, found, open_
 
-        for b in _parts(batches, FLUSH // 4):
-            tokens, place, sizes = _flat(b.column("tokens"))
+        for b in batches_by_bytes(batches, "text", PART):
+            tokens, place, sizes = tokens_of(b.column("text"))
             starts = np.cumsum(sizes) - sizes  # every text has its end token
 
             def per_text(x: np.ndarray) -> np.ndarray:
@@ -321,7 +369,7 @@ def score(tokens: DataFrame, tree: Tree, depth: int = DEPTH, table_keys: int = T
 
     schema = ("doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, "
               "roots array<long>, others array<long>")
-    rows = materialize(tokens.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "lm-scores")
+    rows = materialize(docs.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "lm-scores")
     asked = rows.select("row", F.explode("roots").alias("key"), F.lit(1).alias("root")).unionByName(
         rows.select("row", F.explode("others").alias("key"), F.lit(0).alias("root")))
     value = F.col("value") - F.col("root") * F.lit(unseen)
@@ -337,5 +385,5 @@ def score(tokens: DataFrame, tree: Tree, depth: int = DEPTH, table_keys: int = T
 
 def op13_lm_scores(spark, sf_dir: str) -> DataFrame:
     """Log10 probabilities of every document by a suffix tree of the training documents."""
-    tokens = hashed(table(spark, sf_dir, "documents"))
-    return score(tokens, fit(tokens))
+    docs = prepared(table(spark, sf_dir, "documents"))
+    return score(docs, fit(docs))

@@ -78,7 +78,7 @@ def test_equals_plain_tree(spark, documents, depth, table_keys, bitmap_words):
     docs = documents(texts, ids=ids)
     for name in (*CLASHING, "tokens", "key", "n"):
         docs = docs.withColumn(name, docs.text)
-    tokens = suffix_tree.hashed(docs)
+    tokens = suffix_tree.prepared(docs)
     tree = suffix_tree.fit(tokens, depth, 8, 2.0, bitmap_words)
     got = suffix_tree.score(tokens, tree, depth, table_keys, bitmap_words)
     assert got.columns == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
@@ -100,10 +100,10 @@ def test_probabilities_sum_to_one():
 
 def test_empty_and_untrained(spark, documents):
     docs = documents(["a b", None], ids=[3, 4])
-    tokens = suffix_tree.hashed(docs.limit(0))
+    tokens = suffix_tree.prepared(docs.limit(0))
     assert suffix_tree.score(tokens, suffix_tree.fit(tokens)).collect() == []
     held = [i for i in range(100) if is_held_out(i)][:2]
-    tokens = suffix_tree.hashed(documents(["a b", None], ids=held))
+    tokens = suffix_tree.prepared(documents(["a b", None], ids=held))
     rows = {r.doc_id: r for r in suffix_tree.score(tokens, suffix_tree.fit(tokens)).collect()}
     assert [tuple(rows[i])[1:] for i in held] == [(True, 3, 0, 0, 0.0, 0.0), (True, 1, 0, 0, 0.0, 0.0)]
 
@@ -111,3 +111,15 @@ def test_empty_and_untrained(spark, documents):
 def test_held_out_texts_are_better_predicted_than_by_words_alone(spark):
     got = suffix_tree.op13_lm_scores(spark, "/root/testdata/sf0.01").filter("held_out").collect()
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
+
+
+def test_tokens_of_texts():
+    texts = ["", "a  b\n", "B A", "ab", "é a", " ", "\x0bab\tA"]
+    import pyarrow as pa
+    tokens, place, sizes = suffix_tree.tokens_of(pa.array(["skipped words", *texts])[1:])
+    want = [words(t) for t in texts]
+    assert sizes.tolist() == [len(w) for w in want] and place.tolist() == [i for w in want for i in range(len(w))]
+    names = {}
+    for word, token in zip([x for w in want for x in w], tokens.tolist()):
+        assert names.setdefault(word, token) == token
+    assert len(set(names.values())) == len(names)
