@@ -51,7 +51,7 @@ class Codec:
         self.id_text = {t: str(i) for t, i in self.merges.vocab.items()}
         self.glue = " " if self.mode == "tokens" else b""
         self.stream = Transducer(self.merges, self.lookahead)
-        self.words = Recent(CACHE_ENTRIES)  # word -> (ids, decoded), as the pieces
+        self.words = Recent(CACHE_ENTRIES // 2)  # word -> (ids, decoded), as the pieces
         self.pieces = Recent(CACHE_ENTRIES)  # piece -> (ids joined by a space, decoded text or bytes)
 
     def _encode_words(self, words: list[str]) -> dict[str, tuple[str, str | bytes]]:
