@@ -545,16 +545,17 @@ def q_stream_keyed_load(c: Context):
 
 @report
 def q_stream_state_load(c: Context):
-    """T2 with its keys as state: messages in two files by id, then all their re-deliveries; two runs over one
+    """T2 with its keys as state: messages in two batches by id, then all their re-deliveries; two runs over one
     checkpoint, the second meeting the keys of the first."""
     from .session import scratch_path
     from .streaming import jobs
     arrivals, target, ckpt = (scratch_path(c.spark, f"state_{x}") for x in ("arrivals", "target", "checkpoint"))
     raw, copies = fixtures.raw_messages(c.spark, c.sf_dir), fixtures.raw_messages_with_redeliveries(c.spark, c.sf_dir)
+    files = fixtures.files_per_batch(c.spark, c.sf_dir)
     for batches in ([raw.filter("message_id % 2 = 0"), raw.filter("message_id % 2 = 1")], [copies]):
         for batch in batches:
-            batch.coalesce(1).write.mode("append").parquet(arrivals)  # one file a batch, in this order
-        stream = c.spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(arrivals)
+            fixtures.write_arrivals(batch, arrivals, files)  # in this order
+        stream = c.spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", files).parquet(arrivals)
         jobs.state_load(stream, target, ckpt, "90 days").awaitTermination()
     return c.spark.read.parquet(target)
 

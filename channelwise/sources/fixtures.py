@@ -6,6 +6,7 @@ detections); they do none of the jobs' work. The mapping is fixed (FIXTURES.md 
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,6 +93,33 @@ def raw_messages_with_redeliveries(spark: SparkSession, sf_dir: str) -> DataFram
     return base.unionByName(again)
 
 
+#: Events for each file of a batch of arrivals.
+EVENTS_PER_FILE = 250_000
+
+
+def files_per_batch(spark: SparkSession, sf_dir: str, events_per_file: int = EVENTS_PER_FILE) -> int:
+    """Files that a batch of arrivals is written to, in proportion to the events table."""
+    return max(1, -(-read_table(spark, sf_dir, "events").count() // events_per_file))
+
+
+def write_arrivals(batch: DataFrame, path: str, files: int) -> None:
+    """Append ``batch`` to the Parquet folder at ``path`` as exactly ``files`` files of about the same size, so that a
+    stream of ``files`` files a trigger reads batch after batch. Empty parts leave no file; empty files stand for them."""
+    def listed() -> int:
+        try:
+            return len(spark.read.schema(batch.schema).parquet(path).inputFiles())
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return 0
+            raise
+
+    spark = batch.sparkSession
+    before = listed()
+    batch.repartition(files).write.option("maxRecordsPerFile", 0).mode("append").parquet(path)
+    for _ in range(before + files - listed()):
+        spark.createDataFrame([], batch.schema).coalesce(1).write.mode("append").parquet(path)
+
+
 def raw_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events(view) -> raw detector output rows (schema ``schemas.RAW_DETECTION``)."""
     e = (read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")

@@ -3,6 +3,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from channelwise import queries
+from channelwise.sources import fixtures
 from channelwise.streaming import jobs
 
 
@@ -77,3 +79,32 @@ def test_state_load_inserts_once_and_forgets_old_keys(spark, tmp_path):
     got, held = run()
     assert got == sorted(want + [("c", 1, 1)]) and held[0] == 51 and held[-1] < 51
     assert run()[0] == got
+
+
+def test_arrivals_are_whole_batches_of_equal_numbers_of_files(spark, tmp_path):
+    src, rows = str(tmp_path / "in"), spark.range(1000).withColumn("b", F.col("id") % 3)
+    batches = [rows.filter("b = 0"), rows.filter("b = 1 AND id < 5"), rows.filter("b = 7"), rows.filter("b = 2")]
+    for n, batch in enumerate(batches, 1):
+        fixtures.write_arrivals(batch, src, 4)  # few or no rows: still four files
+        assert len(spark.read.schema(batch.schema).parquet(src).inputFiles()) == 4 * n
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(src)
+    q = (stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert [p.numInputRows for p in q.recentProgress] == [b.count() for b in batches]
+
+
+def test_streams_write_their_batches_in_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(fixtures.files_per_batch, "__defaults__", (300,))
+    seen, write = [], fixtures.write_arrivals
+
+    def watched(batch, path, files):
+        write(batch, path, files)
+        seen.append(len(spark.read.schema(batch.schema).parquet(path).inputFiles()))
+
+    monkeypatch.setattr(fixtures, "write_arrivals", watched)
+    sf = "/root/testdata/sf0.001"
+    got = queries.queries()["q_stream_state_load"](spark, sf)
+    assert seen == [4, 8, 12]
+    raw = fixtures.raw_messages(spark, sf)
+    assert got.exceptAll(raw).count() == raw.exceptAll(got).count() == 0
