@@ -500,16 +500,17 @@ def q_stream_daily_trend(c: Context):
 
 @report
 def q_stream_closed_days(c: Context):
-    """T3 in append mode: the messages arrive in three files by day, the last one with late copies of the first days,
+    """T3 in append mode: the messages arrive in three batches by day, the last one with late copies of the first days,
     which the watermark drops; each day that is over is emitted once."""
     from .session import scratch_path
     from .streaming import jobs
     path, raw = scratch_path(c.spark, "arrivals"), fixtures.raw_messages(c.spark, c.sf_dir)
+    files = fixtures.files_per_batch(c.spark, c.sf_dir)
     late = raw.filter("day(message_date) <= 10 AND message_id % 11 = 0")
     for batch in (raw.filter("day(message_date) <= 10"), raw.filter("day(message_date) BETWEEN 11 AND 20"),
                   raw.filter("day(message_date) > 20").unionByName(late)):
-        batch.coalesce(1).write.mode("append").parquet(path)  # one file a batch, in this order
-    stream = c.spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        fixtures.write_arrivals(batch, path, files)  # in this order
+    stream = c.spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", files).parquet(path)
     run = jobs.run_append(jobs.closed_days(stage_messages(stream, AS_OF)), "closed_days")
     return c.spark.read.parquet(run.path).withColumn("late_groups", F.lit(run.late_groups).cast("long"))
 

@@ -108,3 +108,4 @@ def test_streams_write_their_batches_in_many_tasks(spark, tmp_path, monkeypatch)
     assert seen == [4, 8, 12]
     raw = fixtures.raw_messages(spark, sf)
     assert got.exceptAll(raw).count() == raw.exceptAll(got).count() == 0
+    assert queries.queries()["q_stream_closed_days"](spark, sf).count() > 0 and seen[3:] == [4, 8, 12]
