@@ -17,7 +17,8 @@ the root's value of the token, for every retained context the weight it leaves t
 every kept pair what it gains over that. So a text is a bag of keys, and the model is one table (key, value) that grows
 with the corpus. ``TABLE_KEYS`` frequent keys are broadcast as sorted arrays, with a bitmap of ``BITMAP_WORDS`` words over
 all keys, both of fixed size; what they leave open meets the table in a join. A larger
-model only leaves more to the join.
+model only leaves more to the join. Each of ``SLICES`` slices of the keys is joined on its own, so that only one slice's
+shuffles are on disk.
 
 Cases: null and empty texts are the end token alone; a null doc_id is never held out; rows of one doc_id are rows
 of their own; without training texts base_score is 0 for every token; extra columns are ignored; an empty table
@@ -41,9 +42,10 @@ DEPTH = 2
 MIN_COUNT = 16
 MIN_GAIN = 10.0
 TABLE_KEYS = 1 << 20  # 16 bytes each
-BITMAP_WORDS = 1 << 20  # of 64 bits, for scoring
+BITMAP_WORDS = 1 << 22  # of 64 bits, for scoring
 LEARNING_WORDS = 1 << 18  # the same, for learning
 FLUSH = 1 << 21  # tokens whose counts a task sums up before it passes them on
+SLICES = 4  # of the keys, whose joins with the model run one after the other
 PART = 2 << 20  # bytes of text that are hashed at once, or one text
 FOLD = 7
 
@@ -219,6 +221,9 @@ def pairs(training: DataFrame, depth: int, likely: Bitmap, repeated: Bitmap) ->
 
         for columns in _gathered(batches, pick):
             _, first, k = np.unique(pair_key(*columns[-2:]), return_index=True, return_counts=True)
+            # rows of one context side by side take less room in a shuffle
+            order = np.argsort(columns[-2][first])
+            first, k = first[order], k[order]
             yield pa.RecordBatch.from_arrays([*(_signed(c[first]) for c in columns), pa.array(k, pa.int64())], [*names, "k"])
 
     schema = ", ".join(f"{n} long" for n in [*names, "k"])
@@ -261,6 +266,7 @@ def fit(docs: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT, min_gai
     model = [counts.select(F.col("token").alias("key"), (F.log10(F.col("c") + 1) + F.lit(tree.unseen())).alias("value"),
                            F.col("c").alias("n"))]
     repeated = bitmap(counts.filter("c > 1"), "token", bitmap_words)
+    release_shuffles(training.sparkSession)
     # a word occurs as often as the context of one word; behind an end token comes nothing
     frequent = counts.select(F.lit(0).cast("long").alias("context"), "token", F.col("c").alias("k"))
     states, entries, done = [], [], []
@@ -316,7 +322,7 @@ def fit(docs: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT, min_gai
 
 
 def score(docs: DataFrame, tree: Tree, depth: int = DEPTH, table_keys: int = TABLE_KEYS,
-          bitmap_words: int = BITMAP_WORDS) -> DataFrame:
+          bitmap_words: int = BITMAP_WORDS, slices: int = SLICES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of ``prepared``."""
     spark = docs.sparkSession
     top = most_frequent(tree.keys, "n", table_keys).select("key", "value").toArrow()
@@ -343,9 +349,16 @@ def score(docs: DataFrame, tree: Tree, depth: int = DEPTH, table_keys: int = TAB
             def per_text(x: np.ndarray) -> np.ndarray:
                 return np.add.reduceat(x, starts)
 
-            def lists(wanted: np.ndarray, chosen: np.ndarray) -> pa.Array:
-                n = per_text(chosen.astype(np.int64))
-                return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), _signed(wanted[chosen]))
+            def lists(wanted: np.ndarray, chosen: np.ndarray) -> list[pa.Array]:
+                """The chosen keys of every text, by slice. A row of the arrays is a token, so that each text's lie together."""
+                text, _ = np.nonzero(chosen)
+                keys, owner = wanted[chosen], np.searchsorted(starts, text, side="right") - 1
+                which, out = keys % np.uint64(slices), []
+                for s in range(slices):
+                    mine = which == s
+                    n = np.bincount(owner[mine], minlength=len(starts))
+                    out.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), _signed(keys[mine])))
+                return out
 
             value, known, root_open = look_up(tokens)
             value[~known] = unseen
@@ -358,23 +371,29 @@ def score(docs: DataFrame, tree: Tree, depth: int = DEPTH, table_keys: int = TAB
                     more += np.where(there, gain, 0.0)
                     asked.append(key)
                     chosen.append(open_ & there)
-            # the keys of a token stand side by side, so that each text's lie together
-            wide, which = np.stack(asked, 1), np.stack(chosen, 1)
-            n = per_text(which.sum(1))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("held_out"), pa.array(sizes.astype(np.int64)), pa.array(per_text(known.astype(np.int64))),
-                 pa.array(base), pa.array(base + per_text(more)), lists(tokens, root_open),
-                 pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), _signed(wide[which]))],
-                ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "roots", "others"])
+                 pa.array(base), pa.array(base + per_text(more)), *lists(tokens[:, None], root_open[:, None]),
+                 *lists(np.stack(asked, 1), np.stack(chosen, 1))],
+                ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", *names])
 
+    names = [f"{kind}_{s}" for kind in ("roots", "others") for s in range(slices)]
     schema = ("doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, "
-              "roots array<long>, others array<long>")
+              + ", ".join(f"{n} array<long>" for n in names))
     rows = materialize(docs.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "lm-scores")
-    asked = rows.select("row", F.explode("roots").alias("key"), F.lit(1).alias("root")).unionByName(
-        rows.select("row", F.explode("others").alias("key"), F.lit(0).alias("root")))
     value = F.col("value") - F.col("root") * F.lit(unseen)
-    answers = (asked.join(tree.keys.select("key", "value"), "key").groupBy("row")
-               .agg(F.sum("root").alias("known"), F.sum(F.col("root") * value).alias("base"), F.sum(value).alias("all")))
+    answers = None
+    for s in range(slices):
+        asked = rows.select("row", F.explode(f"roots_{s}").alias("key"), F.lit(1).alias("root")).unionByName(
+            rows.select("row", F.explode(f"others_{s}").alias("key"), F.lit(0).alias("root")))
+        # the remainder of the unsigned key
+        own = F.pmod(F.pmod("key", F.lit(slices)) + F.when(F.col("key") < 0, F.lit((1 << 64) % slices)).otherwise(0), F.lit(slices)) == s
+        part = materialize(asked.join(tree.keys.filter(own).select("key", "value"), "key").groupBy("row")
+                           .agg(F.sum("root").alias("known"), F.sum(F.col("root") * value).alias("base"),
+                                F.sum(value).alias("all")), "lm-answers")
+        release_shuffles(spark)
+        answers = part if answers is None else answers.unionByName(part)
+    answers = answers.groupBy("row").agg(*(F.sum(c).alias(c) for c in ("known", "base", "all")))
     none = F.lit(0.0)
     return rows.join(answers, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),

@@ -91,6 +91,15 @@ def test_equals_plain_tree(spark, documents, depth, table_keys, bitmap_words):
         assert r[5:] == pytest.approx(w[5:], rel=1e-9, abs=1e-9)
 
 
+def test_slices_give_the_same_scores(spark, documents):
+    tokens = suffix_tree.prepared(documents(corpus()))
+    tree = suffix_tree.fit(tokens, 2, 8, 2.0, 1 << 12)
+    want, *others = [sorted(map(tuple, suffix_tree.score(tokens, tree, 2, 40, 1 << 12, n).collect())) for n in (1, 3, 4)]
+    for got in others:  # whatever the number divides 2 ** 64
+        assert [r[:5] for r in got] == [r[:5] for r in want]
+        assert [x for r in got for x in r[5:]] == pytest.approx([x for r in want for x in r[5:]], rel=1e-9, abs=1e-9)
+
+
 def test_probabilities_sum_to_one():
     texts = [words(t) for t in corpus()]
     plain = Plain(texts, 2, 8, 2.0)
