@@ -25,6 +25,7 @@ from .bpe_core import BYTE_SYMBOLS, Decoder, Transducer, load_merges
 from .common import Recent, batches_by_bytes, ship, table, text_or_empty, worker_store
 
 CACHE_ENTRIES = 1 << 17
+ALONE_ENTRIES = 1 << 18  # where no other operator's tables share the executor
 LONG_PIECE = 256
 ASCII_SPACE = re.compile(r"[ \t\n\r\x0b\x0c]+")
 SEPARATORS = re.compile("[\x1c-\x1f]")  # white space for Python, not for the tokenizers' patterns
@@ -35,7 +36,7 @@ SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 class Codec:
     """Encoder and decoder of one tokenizer file (byte-level BPE of the tokenizers library)."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, entries: int = CACHE_ENTRIES):
         from tokenizers import Tokenizer
         library = Tokenizer.from_file(path)
         self.merges, self.lookahead = load_merges(path)
@@ -51,14 +52,17 @@ class Codec:
         self.id_text = {t: str(i) for t, i in self.merges.vocab.items()}
         self.glue = " " if self.mode == "tokens" else b""
         self.stream = Transducer(self.merges, self.lookahead)
-        self.words = Recent(CACHE_ENTRIES // 2)  # word -> (ids, decoded), as the pieces
-        self.pieces = Recent(CACHE_ENTRIES)  # piece -> (ids joined by a space, decoded text or bytes)
+        self.token_text = {t: self.merges.token_of[i] for t, i in self.merges.vocab.items()}  # as the decoder gives it
+        self.words = Recent(entries // 2)  # word -> (ids, decoded), as the pieces
+        self.pieces = Recent(entries)  # piece -> (ids joined by a space, decoded text or bytes)
 
     def _encode_words(self, words: list[str]) -> dict[str, tuple[str, str | bytes]]:
         out, number, ids = {}, self.id_text, self.merges.vocab.__getitem__
+        text, plain = self.token_text, self.mode == "tokens"
         for word in words:
             tokens = self.stream.word(word)
-            out[word] = (" ".join([number[t] for t in tokens]), self._decoded(map(ids, tokens)))
+            out[word] = (" ".join([number[t] for t in tokens]),
+                         " ".join([text[t] for t in tokens]) if plain else self._decoded(map(ids, tokens)))
         return out
 
     def _joined(self, found: list[tuple[str, str | bytes]]) -> tuple[str, str | bytes]:
@@ -139,16 +143,17 @@ class Codec:
         return count, ids_hash.hexdigest(), text_hash.hexdigest()
 
 
-def codec(path: str) -> Codec:
+def codec(path: str, entries: int = CACHE_ENTRIES) -> Codec:
     """One codec per worker process, until another operator needs the room."""
-    return worker_store(("codec", path), lambda: Codec(path))
+    return worker_store(("codec", path, entries), lambda: Codec(path, entries))
 
 
-def encode_digests(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 for every row of ``docs`` (doc_id, text)."""
+def encode_digests(docs: DataFrame, path: str, entries: int = CACHE_ENTRIES) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 for every row of ``docs`` (doc_id, text). ``entries``: of a worker's
+    cache of pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = codec(path)
+        tokenizer = codec(path, entries)
         for b in batches_by_bytes(batches, "text"):
             rows = [tokenizer.digests(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -194,7 +199,7 @@ def tokenizer_path(name: str) -> str:
 
 def op7_bpe_encode_decode(spark, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded text of every document."""
-    return encode_digests(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return encode_digests(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), ALONE_ENTRIES)
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

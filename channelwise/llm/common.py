@@ -220,7 +220,10 @@ class Recent(dict):
             if lacking:
                 new.update(work(lacking))
             held = [new[k] if v is None else v for k, v in zip(keys, held)]
-            for key, value in new.items():
-                if len(key) <= longest:
+            kept = new if max(map(len, new)) <= longest else {k: v for k, v in new.items() if len(k) <= longest}
+            if len(self) + len(kept) <= self.size:
+                self.update(kept)
+            else:
+                for key, value in kept.items():
                     self.put(key, value)
         return held

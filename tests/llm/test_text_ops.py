@@ -285,3 +285,14 @@ def test_awkward_repeats(awkward):
     by = {r.doc_id: r for r in got.collect() if r.doc_id is not None}
     assert by[0].text is None and by[7].text and by[8].text == "" and by[8].n_chars == 0
     assert unit_dedup.remove_repeats(awkward.limit(0)).count() == 0
+
+
+def test_codec_keeps_as_many_words_as_it_is_given_room_for(monkeypatch):
+    text, asked = " ".join(f"word{i}x" for i in range(3000)), []
+    for entries, again in ((6000, False), (200, True)):
+        codec = bpe.Codec(bpe.tokenizer_path("word_bpe_49k.json"), entries)
+        first = codec.digests(text)
+        work = codec._encode_pieces
+        asked.clear()
+        monkeypatch.setattr(codec, "_encode_pieces", lambda pieces: asked.extend(pieces) or work(pieces))
+        assert codec.digests(text) == first and bool(asked) == again
