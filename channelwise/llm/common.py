@@ -6,8 +6,10 @@ checkpoint folder and reads it back, which cuts lineage and survives lost execut
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import re
+import sys
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -183,11 +185,24 @@ def worker_store(owner: tuple | str, build: Callable[[], T]) -> T:
     used again by all stages of an application, so what one operator holds must not outlive its turn."""
     if owner not in _STORE:
         _STORE.clear()
-        pa.default_memory_pool().release_unused()
+        release_memory()
         _STORE[owner] = build()
     return _STORE[owner]
 
 
+def worker_turn(owner: str) -> None:
+    """Empty the store of what other operators left in this worker process, for an operator that keeps nothing there."""
+    worker_store(owner, lambda: None)
+
+
+def release_memory() -> None:
+    """Give back to the machine what this process has freed; Arrow and the C library keep it otherwise."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux" and (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)):  # not in every C library
+        trim(0)
+
+
 WORD = re.compile(r"[^\W\d_]+")
 
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, Recent, batches_by_bytes, distinct_rows, held_out, materialize, sampled_labels, ship, table, text_or_empty
+from .common import WORD, Recent, batches_by_bytes, distinct_rows, held_out, materialize, sampled_labels, ship, table, text_or_empty, worker_turn
 
 BOUND = 20_000
 BUCKETS = 1 << 18
@@ -182,6 +182,7 @@ class Model:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Document counts of one task's rows: at most 2 folds x 3 forms x BUCKETS rows."""
+    worker_turn("toxicity")
     tables = np.zeros((2, 2, len(FORMS), BUCKETS), np.int64)  # fold, label, form, bucket
     for b in batches_by_bytes(batches, "text"):
         for text, label, fold in zip(b.column("text").to_pylist(), b.column("label").to_pylist(),
@@ -245,6 +246,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = BOUND) -> Model:
     by_fold = spark.sparkContext.broadcast([_lexicon(got, sizes, (1 - f,)) for f in (0, 1)])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_turn("toxicity")
         lexicons = by_fold.value
         for b in batches_by_bytes(batches, "text"):
             out = []
@@ -282,6 +284,7 @@ def score_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_turn("toxicity")
         m = shared.value
         for b in batches_by_bytes(batches, "text"):
             s = [m.score(t) for t in b.column("text").to_pylist()]
@@ -300,6 +303,7 @@ def toxic_passages(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_turn("toxicity")
         m = shared.value
         for b in batches_by_bytes(batches, "text"):
             found = [(d, *p) for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist())
@@ -320,6 +324,7 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
 
     @F.arrow_udf("boolean")
     def is_clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        worker_turn("toxicity")
         m = shared.value
         for texts in batches:
             yield pa.array([m.score(t.as_py() or "") < threshold for t in texts], pa.bool_())

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches_by_bytes, materialize, perhaps_among, ship, table, text_or_empty
+from .common import batches_by_bytes, materialize, perhaps_among, ship, table, text_or_empty, worker_turn
 
 MIN_CHARS = 40  # of a passage; what is shorter repeats by chance
 LAST = (1 << 63) - 1  # ranks a null doc_id behind all others
@@ -50,6 +50,7 @@ def units(text: str) -> list[tuple[str, int, int]]:
 
 
 def _unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    worker_turn("units")
     for b in batches_by_bytes(batches, "text"):
         hashes, row, at, size, words, index, again = [], [], [], [], [], [], []
         for r, text in enumerate(b.column("text").to_pylist()):
@@ -128,6 +129,7 @@ def remove_repeats(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_turn("units")
         for b in batches_by_bytes(batches, "text"):
             spans_of = b.column("__cut_spans")
             b = b.select(names)

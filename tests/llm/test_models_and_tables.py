@@ -5,11 +5,12 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from channelwise.llm import ann_graph, arc_convert, minhash, mixing, quality_gam, toxicity, unit_dedup
+from channelwise.llm import ann_graph, arc_convert, common, minhash, mixing, quality_gam, toxicity, unit_dedup
 from channelwise.llm.queries import ORACLE_SQL, QUERIES
 
 from .conftest import CLASHING, words
@@ -432,3 +433,11 @@ def test_samples_don_t_depend_on_the_layout(spark):
     labels = spark.range(4000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("toxic"))
     drawn = [sorted(r.doc_id for r in sampled_labels(labels.repartition(n, F.rand(n)), "toxic", 500).collect()) for n in (1, 3, 7)]
     assert drawn[0] == drawn[1] == drawn[2] and 400 < len(drawn[0]) <= 500
+
+
+@pytest.mark.parametrize("step, columns", [(toxicity._count, {"text": ["a b"], "label": [1], "fold": [0]}),
+                                           (unit_dedup._unit_rows, {"text": ["a b"], "doc": [1], "t": [2]})])
+def test_stages_give_up_what_the_one_before_kept(monkeypatch, step, columns):
+    monkeypatch.setattr(common, "_STORE", {("codec", "path", 8): object()})
+    list(step(iter([pa.RecordBatch.from_pydict(columns)])))
+    assert ("codec", "path", 8) not in common._STORE
