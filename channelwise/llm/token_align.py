@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe_core import SYMBOL_BYTES
-from .common import Recent, batches_by_bytes, materialize, most_frequent, table, text_or_empty, worker_store
+from .common import Recent, batches_by_bytes, materialize, most_frequent, table, text_or_empty, worker_store, worker_turn
 
 BROADCAST_PAIRS = 1 << 21  # 13 bytes each
 CACHE_ENTRIES = 1 << 18
@@ -48,7 +48,7 @@ UNEVEN_SPACE = re.compile(r"\s\s|\s$|[\0\x1c-\x1f]")
 MARK = re.compile(r"(?<=[^\W\d_\xb2\xb3\xb9\xbc-\xbe])(?=[.,;:!?])")  # behind a letter, which isn't a number
 SAFE_CUT = re.compile(rf"(?<=\S)(?=[ \n]\S)|{MARK.pattern}")
 JOINABLE = re.compile(r"(?:[ \n]\S|[.,;:!?])(?:.*\S)?", re.DOTALL)  # cuts before and behind such a unit are safe
-LINKS = 1 << 20  # links whose counts are looked up together
+LINKS = 1 << 18  # links whose counts are looked up together
 NOTHING = (0, 0, b"", "")
 
 
@@ -253,6 +253,33 @@ def pair_counts(links: DataFrame, size_b: int) -> DataFrame:
             .select("pair", "n", (F.col("n") == F.col("most")).alias("best")))
 
 
+def with_counts(batches: Iterator[pa.RecordBatch], keys: np.ndarray, counts: np.ndarray, best: np.ndarray
+                ) -> Iterator[pa.RecordBatch]:
+    """Rows of ``aligned`` with the sums over their links whose pairs are among ``keys`` (sorted), and their other links."""
+    worker_turn("pair-counts")  # the tokenizers have done their part
+    for b in _few_links(batches):
+        lists = b.column("links")
+        sizes = np.diff(np.asarray(lists.offsets))
+        pair = np.asarray(lists.flatten())
+        at = np.minimum(np.searchsorted(keys, pair), max(len(keys) - 1, 0))
+        known = keys[at] == pair if len(keys) else np.zeros(len(pair), bool)
+        ends = np.cumsum(sizes)
+
+        def per_row(values: np.ndarray) -> np.ndarray:
+            sums = np.concatenate([[0], np.cumsum(values)])
+            return sums[ends] - sums[ends - sizes]
+
+        n = np.where(known, counts[at], 0) if len(keys) else np.zeros(len(pair), np.int64)
+        is_best = np.where(known, best[at], 0) if len(keys) else np.zeros(len(pair), np.int64)
+        unknown = per_row(~known).astype(np.int32)
+        rest = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(unknown)]).astype(np.int32),
+                                        pa.array(pair[~known], lists.type.value_type))
+        yield pa.RecordBatch.from_arrays(
+            [*(b.column(c) for c in ("row", "doc_id", "n_a", "n_b", "n_groups")), pa.array(sizes.astype(np.int64)),
+             pa.array(per_row(is_best).astype(np.int64)), pa.array(per_row(n).astype(np.int64)), rest, b.column("groups_sha256")],
+            ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "rest", "groups_sha256"])
+
+
 def align_documents(docs: DataFrame, path_a: str, path_b: str, bound: int = BROADCAST_PAIRS) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 for every row of ``docs``."""
     spark = docs.sparkSession
@@ -267,28 +294,7 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, bound: int = BROA
     element = links.schema["links"].dataType.elementType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts, best = shared.value
-        for b in _few_links(batches):
-            lists = b.column("links")
-            sizes = np.diff(np.asarray(lists.offsets))
-            pair = np.asarray(lists.flatten())
-            at = np.minimum(np.searchsorted(keys, pair), max(len(keys) - 1, 0))
-            known = keys[at] == pair if len(keys) else np.zeros(len(pair), bool)
-            ends = np.cumsum(sizes)
-
-            def per_row(values: np.ndarray) -> np.ndarray:
-                sums = np.concatenate([[0], np.cumsum(values)])
-                return sums[ends] - sums[ends - sizes]
-
-            n = np.where(known, counts[at], 0) if len(keys) else np.zeros(len(pair), np.int64)
-            is_best = np.where(known, best[at], 0) if len(keys) else np.zeros(len(pair), np.int64)
-            unknown = per_row(~known).astype(np.int32)
-            rest = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(unknown)]).astype(np.int32),
-                                            pa.array(pair[~known], lists.type.value_type))
-            yield pa.RecordBatch.from_arrays(
-                [*(b.column(c) for c in ("row", "doc_id", "n_a", "n_b", "n_groups")), pa.array(sizes.astype(np.int64)),
-                 pa.array(per_row(is_best).astype(np.int64)), pa.array(per_row(n).astype(np.int64)), rest, b.column("groups_sha256")],
-                ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "rest", "groups_sha256"])
+        yield from with_counts(batches, *shared.value)
 
     found = links.mapInArrow(run, "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, "
                                   f"count_sum long, rest array<{element}>, groups_sha256 string")

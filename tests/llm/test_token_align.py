@@ -2,9 +2,11 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from channelwise.llm import token_align
+from channelwise.llm import common, token_align
 from channelwise.llm.bpe import tokenizer_path
 
 from .conftest import CLASHING
@@ -79,3 +81,17 @@ def test_coarse_cuts_never_split_a_character():
     assert [ends_a[-1], ends_b[-1]] == [len(text.encode())] * 2
     assert [bytes(text.encode()[s:e]) for s, e in zip([0, *ends_a], ends_a)] == [both.bytes_a[i] for i in ids_a]
     assert [bytes(text.encode()[s:e]) for s, e in zip([0, *ends_b], ends_b)] == [both.bytes_b[i] for i in ids_b]
+
+
+def test_counting_gives_up_the_tokenizers(monkeypatch):
+    monkeypatch.setattr(common, "_STORE", {("aligner", "a", "b"): object()})
+    links = pa.array([[1, 2, 2, 7], [], [2]], pa.list_(pa.int32()))
+    whole = [pa.array([0, 0, 0], pa.int64())] * 4
+    rows = pa.RecordBatch.from_arrays([pa.array([5, 6, 7], pa.int64()), *whole, links, pa.array([""] * 3)],
+                                      ["row", "doc_id", "n_a", "n_b", "n_groups", "links", "groups_sha256"])
+    monkeypatch.setattr(token_align, "LINKS", 2)
+    got = pa.Table.from_batches(token_align.with_counts(iter([rows]), np.array([1, 2], np.int32), np.array([1, 3]),
+                                                        np.array([0, 1], np.int8))).to_pylist()
+    assert [(r["row"], r["n_links"], r["n_best"], r["count_sum"], r["rest"]) for r in got] == [
+        (5, 4, 2, 7, [7]), (6, 0, 0, 0, []), (7, 1, 1, 3, [])]
+    assert list(common._STORE) == ["pair-counts"]
