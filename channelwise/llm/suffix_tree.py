@@ -14,7 +14,9 @@ tell, so only pairs seen twice are kept.
 
 *Scoring* takes the longest retained context of each token. In logarithms that is a sum over independent keys:
 the root's value of the token, for every retained context the weight it leaves to its parent, and for
-every kept pair what it gains over that. So a text is a bag of keys, and the model is one table (key, value) that grows
+every kept pair what it gains over that. A context and its next token are themselves the context of what follows, and
+behind every word there is a token; so what the words of a pair gain and what they leave as a context have one key and one
+sum. So a text is a bag of its runs of 1 to ``DEPTH`` + 1 tokens, and the model is one table (key, value) that grows
 with the corpus. ``TABLE_KEYS`` frequent keys are broadcast as sorted arrays, with a bitmap of ``BITMAP_WORDS`` words over
 all keys, both of fixed size; what they leave open meets the table in a join. A larger
 model only leaves more to the join. Each of ``SLICES`` slices of the keys is joined on its own, so that only one slice's
@@ -103,10 +105,6 @@ def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, np.arange(len(out)) - np.repeat(ends - sizes, sizes), sizes
 
 
-def state_key(context: np.ndarray) -> np.ndarray:
-    return mix64(context ^ GOLDEN)
-
-
 def pair_key(context: np.ndarray, token: np.ndarray) -> np.ndarray:
     """The key of a context and the token behind it, which together are the context of what follows."""
     with np.errstate(over="ignore"):
@@ -123,6 +121,12 @@ def contexts(tokens: np.ndarray, place: np.ndarray, depth: int) -> list[tuple[np
     return out
 
 
+def runs(tokens: np.ndarray, place: np.ndarray, depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(key, whether there is one) of the 1 to ``depth`` + 1 tokens that end at every token."""
+    before = [(np.zeros(len(tokens), np.uint64), place >= 0), *contexts(tokens, place, depth)]
+    return [(pair_key(context, tokens), there) for context, there in before]
+
+
 @dataclass
 class Bitmap:
     """A set of keys that may hold more than it was given, of ``len(words) * 64`` bits."""
@@ -135,28 +139,29 @@ class Bitmap:
 
 
 class Lookup:
-    """Values of uniformly spread keys: sorted, with the first place of every leading bit pattern."""
+    """Places of uniformly spread keys: sorted, with the first place of every leading bit pattern."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
+    def __init__(self, keys: np.ndarray, *values: np.ndarray):
         order = np.argsort(keys)
-        self.keys, self.values = keys[order], values[order]
+        self.keys, self.values = keys[order], [v[order] for v in values]
         bits = max(1, int(len(keys)).bit_length() + 1)
         self.shift = np.uint64(64 - bits)
         self.first = np.searchsorted(self.keys, np.arange(1 << bits, dtype=np.uint64) << self.shift)
         self.first = np.append(self.first, len(keys)).astype(np.int32)
 
     def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(value or 0, found) of each key."""
-        value, found = np.zeros(len(wanted)), np.zeros(len(wanted), bool)
+        """(which of ``wanted`` there are, their places)."""
+        place = np.full(len(wanted), -1, np.int32)
         lead = (wanted >> self.shift).astype(np.int64)
         at, end, who = self.first[lead], self.first[lead + 1], np.arange(len(wanted))
         while True:
             left = at < end
             at, end, who = at[left], end[left], who[left]
             if not len(who):
-                return value, found
+                found = np.flatnonzero(place >= 0)
+                return found, place[found]
             hit = self.keys[at] == wanted[who]
-            value[who[hit]], found[who[hit]] = self.values[at[hit]], True
+            place[who[hit]] = at[hit]
             at, end, who = at[~hit] + 1, end[~hit], who[~hit]
 
 
@@ -231,12 +236,11 @@ def pairs(training: DataFrame, depth: int, likely: Bitmap, repeated: Bitmap) ->
 
 
 def _keyed(rows: DataFrame, columns: list[str], out: str) -> DataFrame:
-    """``rows`` with the key of a state (one column) or of a context and a token (two)."""
+    """``rows`` with the key of a context and a token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            values = [np.asarray(b.column(c)).view(np.uint64) for c in columns]
-            key = state_key(*values) if len(values) == 1 else pair_key(*values)
+            key = pair_key(*(np.asarray(b.column(c)).view(np.uint64) for c in columns))
             yield pa.RecordBatch.from_arrays([*b.columns, _signed(key)], [*b.schema.names, out])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
@@ -245,7 +249,8 @@ def _keyed(rows: DataFrame, columns: list[str], out: str) -> DataFrame:
 
 @dataclass
 class Tree:
-    """The model: (key, value, n) as a written table, with the numbers N and V of the training tokens."""
+    """The model: (key, value, root, n) as a written table, with the numbers N and V of the training tokens. ``root``: the
+    root's value of a single token, null for longer runs."""
 
     keys: DataFrame
     total: int
@@ -263,8 +268,9 @@ def fit(docs: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT, min_gai
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     tree = Tree(counts, total, distinct)
     root = counts.select("token", (F.log10(F.col("c") + 1) + F.lit(tree.unseen())).alias("parent"))
-    model = [counts.select(F.col("token").alias("key"), (F.log10(F.col("c") + 1) + F.lit(tree.unseen())).alias("value"),
-                           F.col("c").alias("n"))]
+    single = _keyed(counts.select(F.lit(0).cast("long").alias("context"), "token", "c"), ["context", "token"], "key")
+    model = [single.select("key", (F.log10(F.col("c") + 1) + F.lit(tree.unseen())).alias("value"), F.col("c").alias("n"))
+             .withColumn("root", F.col("value"))]
     repeated = bitmap(counts.filter("c > 1"), "token", bitmap_words)
     release_shuffles(training.sparkSession)
     # a word occurs as often as the context of one word; behind an end token comes nothing
@@ -280,10 +286,11 @@ def fit(docs: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT, min_gai
         release_shuffles(training.sparkSession)
         frequent = found.select("context", "token", "k")
         # the logarithm that the parent gives to each pair's token
-        known = found.join(candidates, "context").join(root, "token")
+        known = found.join(candidates.hint("shuffle_hash"), "context").join(root.hint("shuffle_hash"), "token")
         for j in range(1, d):
-            known = (known.join(states[j - 1].select(F.col("context").alias(f"c{j}"), "left_over"), f"c{j}", "left")
-                     .join(entries[j - 1].select(F.col("context").alias(f"c{j}"), "token", "gain"), [f"c{j}", "token"], "left")
+            known = (known.join(states[j - 1].select(F.col("context").alias(f"c{j}"), "left_over").hint("shuffle_hash"), f"c{j}", "left")
+                     .join(entries[j - 1].select(F.col("context").alias(f"c{j}"), "token", "gain").hint("shuffle_hash"), [f"c{j}", "token"],
+                           "left")
                      .withColumn("parent", F.col("parent") + F.coalesce("left_over", F.lit(0.0)) + F.coalesce("gain", F.lit(0.0)))
                      .drop("left_over", "gain"))
         logs = known = materialize(known.select("context", "token", "k", "N", "parent"), "lm-known")
@@ -291,7 +298,7 @@ def fit(docs: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT, min_gai
                 .withColumn("once", F.col("N") - F.col("pairs"))
                 .withColumn("T", F.col("once") + F.col("kinds")))
         sums = materialize(sums.select("context", "once", "T"), "lm-sums")
-        known = known.join(sums, "context")
+        known = known.join(sums.hint("shuffle_hash"), "context")
         # each occurrence predicted without itself, against the parent
         twice = F.col("k") * (F.log((F.col("k") - 2) / F.pow(F.lit(10.0), "parent") + F.col("T")) - F.log(F.col("N") - 1))
         once = F.col("once") * (F.log(F.greatest(F.col("T") - 1, F.lit(1))) - F.log(F.col("N") - 1))
@@ -301,18 +308,21 @@ def fit(docs: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT, min_gai
             .select("context", "N", F.log10(F.col("T") / F.col("N")).alias("left_over")), "lm-states"))
         share = F.log10((F.col("k") - 1) / F.col("N") + F.col("T") / F.col("N") * F.pow(F.lit(10.0), "parent"))
         entries.append(materialize(
-            known.join(states[-1].select("context", "left_over"), "context")
+            known.join(states[-1].select("context", "left_over").hint("shuffle_hash"), "context")
             .select("context", "token", "k", (share - F.col("left_over") - F.col("parent")).alias("gain")), "lm-entries"))
         discard(logs, sums, candidates)
         release_shuffles(training.sparkSession)
         done = [found]
-        model.append(_keyed(states[-1], ["context"], "key").select("key", F.col("left_over").alias("value"), F.col("N").alias("n")))
+        no_root = F.lit(None).cast("double").alias("root")
+        model.append(states[-1].select(F.col("context").alias("key"), F.col("left_over").alias("value"), F.col("N").alias("n"), no_root))
         model.append(_keyed(entries[-1], ["context", "token"], "key")
-                     .select("key", F.col("gain").alias("value"), F.col("k").alias("n")))
+                     .select("key", F.col("gain").alias("value"), F.col("k").alias("n"), no_root))
+    longest = model.pop() if depth else None  # no context has the key of the longest runs
     keys = model[0]
     for part in model[1:]:
         keys = keys.unionByName(part)
-    tree.keys = materialize(keys, "lm-keys")
+    keys = keys.groupBy("key").agg(F.sum("value").alias("value"), F.max("n").alias("n"), F.max("root").alias("root"))
+    tree.keys = materialize(keys if longest is None else keys.unionByName(longest), "lm-keys")
     discard(counts, *states, *entries, *done)
     release_shuffles(training.sparkSession)
     return tree
@@ -325,22 +335,15 @@ def score(docs: DataFrame, tree: Tree, depth: int = DEPTH, table_keys: int = TAB
           bitmap_words: int = BITMAP_WORDS, slices: int = SLICES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of ``prepared``."""
     spark = docs.sparkSession
-    top = most_frequent(tree.keys, "n", table_keys).select("key", "value").toArrow()
-    table_ = Lookup(np.asarray(top["key"]).astype(np.int64).view(np.uint64), np.asarray(top["value"]).astype(float))
+    top = most_frequent(tree.keys, "n", table_keys).select("key", "value", "root").toArrow()
+    table_ = Lookup(np.asarray(top["key"]).astype(np.int64).view(np.uint64),
+                    *(np.asarray(top[c].fill_null(0.0)).astype(float) for c in ("value", "root")))
     unseen = tree.unseen()
     shared = spark.sparkContext.broadcast((table_, bitmap(tree.keys, "key", bitmap_words)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, all_keys = shared.value
-
-        def look_up(wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            """(value or 0, found, open) of keys."""
-            possible = np.flatnonzero(all_keys.holds(wanted))
-            found, value = np.zeros(len(wanted), bool), np.zeros(len(wanted))
-            open_ = found.copy()
-            value[possible], found[possible] = frequent.find(wanted[possible])
-            open_[possible] = ~found[possible]
-            return value, found, open_
+        values, roots = frequent.values
 
         for b in batches_by_bytes(batches, "text", PART):
             tokens, place, sizes = tokens_of(b.column("text"))
@@ -349,48 +352,47 @@ def score(docs: DataFrame, tree: Tree, depth: int = DEPTH, table_keys: int = TAB
             def per_text(x: np.ndarray) -> np.ndarray:
                 return np.add.reduceat(x, starts)
 
-            def lists(wanted: np.ndarray, chosen: np.ndarray) -> list[pa.Array]:
-                """The chosen keys of every text, by slice. A row of the arrays is a token, so that each text's lie together."""
-                text, _ = np.nonzero(chosen)
-                keys, owner = wanted[chosen], np.searchsorted(starts, text, side="right") - 1
-                which, out = keys % np.uint64(slices), []
-                for s in range(slices):
-                    mine = which == s
-                    n = np.bincount(owner[mine], minlength=len(starts))
-                    out.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), _signed(keys[mine])))
-                return out
-
-            value, known, root_open = look_up(tokens)
-            value[~known] = unseen
-            base = per_text(value)
-            more = np.zeros(len(tokens))
-            asked, chosen = [], []
-            for context, there in contexts(tokens, place, depth):
-                for key in (state_key(context), pair_key(context, tokens)):
-                    gain, _, open_ = look_up(key)
-                    more += np.where(there, gain, 0.0)
-                    asked.append(key)
-                    chosen.append(open_ & there)
+            base, total = np.full(len(tokens), unseen), np.full(len(tokens), unseen)
+            known, asked, chosen = np.zeros(len(tokens), np.int64), [], []
+            for length, (key, there) in enumerate(runs(tokens, place, depth)):
+                possible = np.flatnonzero(there & all_keys.holds(key))
+                found, at = frequent.find(key[possible])
+                open_ = np.zeros(len(tokens), bool)
+                open_[possible] = True
+                found = possible[found]
+                open_[found] = False
+                if length:
+                    total[found] += values[at]
+                else:
+                    base[found], total[found], known[found] = roots[at], values[at], 1
+                asked.append(key)
+                chosen.append(open_)
+            # the open keys of every text, by slice. A row of the arrays is a token, so that each text's lie together
+            asked, chosen = np.stack(asked, 1), np.stack(chosen, 1)
+            keys, owner = asked[chosen], np.repeat(np.arange(len(sizes)), per_text(chosen.sum(1)))
+            which, lists = keys % np.uint64(slices), []
+            for s in range(slices):
+                mine = which == s
+                n = np.bincount(owner[mine], minlength=len(starts))
+                lists.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), _signed(keys[mine])))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("held_out"), pa.array(sizes.astype(np.int64)), pa.array(per_text(known.astype(np.int64))),
-                 pa.array(base), pa.array(base + per_text(more)), *lists(tokens[:, None], root_open[:, None]),
-                 *lists(np.stack(asked, 1), np.stack(chosen, 1))],
+                [b.column("doc_id"), b.column("held_out"), pa.array(sizes.astype(np.int64)), pa.array(per_text(known)),
+                 pa.array(per_text(base)), pa.array(per_text(total)), *lists],
                 ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", *names])
 
-    names = [f"{kind}_{s}" for kind in ("roots", "others") for s in range(slices)]
+    names = [f"open_{s}" for s in range(slices)]
     schema = ("doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, "
               + ", ".join(f"{n} array<long>" for n in names))
     rows = materialize(docs.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "lm-scores")
-    value = F.col("value") - F.col("root") * F.lit(unseen)
     answers = None
     for s in range(slices):
-        asked = rows.select("row", F.explode(f"roots_{s}").alias("key"), F.lit(1).alias("root")).unionByName(
-            rows.select("row", F.explode(f"others_{s}").alias("key"), F.lit(0).alias("root")))
+        asked = rows.select("row", F.explode(f"open_{s}").alias("key"))
         # the remainder of the unsigned key
         own = F.pmod(F.pmod("key", F.lit(slices)) + F.when(F.col("key") < 0, F.lit((1 << 64) % slices)).otherwise(0), F.lit(slices)) == s
-        part = materialize(asked.join(tree.keys.filter(own).select("key", "value"), "key").groupBy("row")
-                           .agg(F.sum("root").alias("known"), F.sum(F.col("root") * value).alias("base"),
-                                F.sum(value).alias("all")), "lm-answers")
+        part = materialize(asked.join(tree.keys.filter(own).select("key", "value", "root").hint("shuffle_hash"), "key").groupBy("row")
+                           .agg(F.count("root").alias("known"), F.sum(F.col("root") - F.lit(unseen)).alias("base"),
+                                F.sum(F.when(F.col("root").isNull(), F.col("value")).otherwise(F.col("value") - F.lit(unseen))).alias("all")),
+                           "lm-answers")
         release_shuffles(spark)
         answers = part if answers is None else answers.unionByName(part)
     answers = answers.groupBy("row").agg(*(F.sum(c).alias(c) for c in ("known", "base", "all")))

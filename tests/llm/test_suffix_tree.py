@@ -132,3 +132,16 @@ def test_tokens_of_texts():
     for word, token in zip([x for w in want for x in w], tokens.tolist()):
         assert names.setdefault(word, token) == token
     assert len(set(names.values())) == len(names)
+
+
+def test_a_token_asks_for_one_key_of_each_length(spark, documents, monkeypatch):
+    tokens = suffix_tree.prepared(documents(corpus()[:60]))
+    tree = suffix_tree.fit(tokens, 2, 8, 2.0, 1 << 12)
+    written, write = {}, suffix_tree.materialize
+    monkeypatch.setattr(suffix_tree, "materialize", lambda df, name: written.setdefault(name, write(df, name)))
+    suffix_tree.score(tokens, tree, 2, 0, 1)  # no table, and a bitmap full of bits
+    rows = written["lm-scores"]
+    asked = [f.name for f in rows.schema if f.dataType.simpleString() == "array<bigint>"]
+    for r in rows.collect():  # single tokens, pairs and triples
+        assert sum(len(r[c]) for c in asked) <= 3 * r.n_tokens
+    assert tree.keys.count() == tree.keys.select("key").distinct().count()
