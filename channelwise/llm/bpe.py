@@ -25,7 +25,7 @@ from .bpe_core import BYTE_SYMBOLS, Decoder, Transducer, load_merges
 from .common import Recent, batches_by_bytes, ship, table, text_or_empty, worker_store
 
 CACHE_ENTRIES = 1 << 16
-ALONE_ENTRIES = 1 << 18  # where no other operator's tables share the executor
+ALONE_ENTRIES = 1 << 19  # where no other operator's tables share the executor
 LONG_PIECE = 256
 ASCII_SPACE = re.compile(r"[ \t\n\r\x0b\x0c]+")
 SEPARATORS = re.compile("[\x1c-\x1f]")  # white space for Python, not for the tokenizers' patterns
@@ -49,20 +49,18 @@ class Codec:
         self.drops_space = all(" " not in w and "Ġ" not in w for w, _ in self.pre_tokenizer.pre_tokenize_str(
             "a b"))
         self.mode = "tokens" if library.decoder is None else "bytes"
-        self.id_text = {t: str(i) for t, i in self.merges.vocab.items()}
+        self.id_text = {i: str(i) for i in self.merges.vocab.values()}
         self.glue = " " if self.mode == "tokens" else b""
         self.stream = Transducer(self.merges, self.lookahead)
-        self.token_text = {t: self.merges.token_of[i] for t, i in self.merges.vocab.items()}  # as the decoder gives it
         self.words = Recent(entries // 2)  # word -> (ids, decoded), as the pieces
         self.pieces = Recent(entries)  # piece -> (ids joined by a space, decoded text or bytes)
 
     def _encode_words(self, words: list[str]) -> dict[str, tuple[str, str | bytes]]:
-        out, number, ids = {}, self.id_text, self.merges.vocab.__getitem__
-        text, plain = self.token_text, self.mode == "tokens"
+        out, number = {}, self.id_text
+        text, plain = self.merges.token_of, self.mode == "tokens"
         for word in words:
-            tokens = self.stream.word(word)
-            out[word] = (" ".join([number[t] for t in tokens]),
-                         " ".join([text[t] for t in tokens]) if plain else self._decoded(map(ids, tokens)))
+            ids = self.stream.ids(word)
+            out[word] = " ".join([number[i] for i in ids]), " ".join([text[i] for i in ids]) if plain else self._decoded(ids)
         return out
 
     def _joined(self, found: list[tuple[str, str | bytes]]) -> tuple[str, str | bytes]:

@@ -96,6 +96,36 @@ def merge_all(parts: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
     return parts
 
 
+SHIFT = 20  # bits of an id beside another one, or below a rank
+MASK = (1 << SHIFT) - 1
+
+
+def numbered(merges: MergeList) -> dict[int, int]:
+    """The merge list by ids: both parts' ids -> the rank above the id of what they make. Empty if a token of a rule has no id."""
+    vocab, out = merges.vocab, {}
+    for (left, right), rank in merges.ranks.items():
+        made = vocab.get(left + right)
+        if made is None or left not in vocab or right not in vocab or max(made, vocab[left], vocab[right]) > MASK:
+            return {}
+        out[vocab[left] << SHIFT | vocab[right]] = rank << SHIFT | made
+    return out
+
+
+def merge_ids(ids: list[int], rules: dict[int, int]) -> list[int]:
+    """``merge_all`` over ids."""
+    get, none = rules.get, 1 << 60
+    found = [get(left << SHIFT | right, none) for left, right in zip(ids, ids[1:])]
+    while found and (best := min(found)) != none:
+        i = found.index(best)
+        made = ids[i] = best & MASK
+        del ids[i + 1], found[i]
+        if i:
+            found[i - 1] = get(ids[i - 1] << SHIFT | made, none)
+        if i < len(found):
+            found[i] = get(made << SHIFT | ids[i + 1], none)
+    return ids
+
+
 class Transducer:
     """Tokens of one word, symbol by symbol: ``feed`` takes symbols and yields stable tokens,
     ``finish`` closes the word and yields the rest."""
@@ -105,6 +135,7 @@ class Transducer:
         self.lookahead = lookahead or merges.sufficient_lookahead()
         self.window = max(window or 0, 4 * self.lookahead)
         self.pending = ""
+        self.rules = numbered(merges)
 
     def feed(self, symbols: str) -> Iterator[str]:
         at, n = 0, len(symbols)
@@ -134,6 +165,16 @@ class Transducer:
             return merge_all(parts, self.merges.ranks)
         return [*self.feed(symbols), *self.finish()]
 
+    def ids(self, symbols: str) -> list[int]:
+        """The ids of ``word``."""
+        vocab = self.merges.vocab
+        if self.rules and len(symbols) < self.window and not self.pending:
+            parts = [*symbols[:-1], symbols[-1] + self.merges.suffix]
+            ids = list(map(vocab.get, parts))
+            if None not in ids:
+                return merge_ids(ids, self.rules)
+        return [vocab[t] for t in self.word(symbols)]
+
     def finish(self) -> Iterator[str]:
         symbols, self.pending = self.pending, ""
         if symbols:

@@ -227,14 +227,16 @@ class Recent(dict):
         held = list(map(self.get, keys))
         if None in held:
             new, lacking = {}, []
-            for key in {k for k, v in zip(keys, held) if v is None}:
+            missed = [at for at, v in enumerate(held) if v is None]
+            for key in {keys[at] for at in missed}:
                 if (value := self.old.get(key)) is None:
                     lacking.append(key)
                 else:
                     new[key] = value
             if lacking:
                 new.update(work(lacking))
-            held = [new[k] if v is None else v for k, v in zip(keys, held)]
+            for at in missed:
+                held[at] = new[keys[at]]
             kept = new if max(map(len, new)) <= longest else {k: v for k, v in new.items() if len(k) <= longest}
             if len(self) + len(kept) <= self.size:
                 self.update(kept)

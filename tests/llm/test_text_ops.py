@@ -296,3 +296,20 @@ def test_codec_keeps_as_many_words_as_it_is_given_room_for(monkeypatch):
         asked.clear()
         monkeypatch.setattr(codec, "_encode_pieces", lambda pieces: asked.extend(pieces) or work(pieces))
         assert codec.digests(text) == first and bool(asked) == again
+
+
+def test_merges_by_ids_are_those_by_strings():
+    import random
+    codec = bpe.Codec(WORD_FILE)
+    vocab, rng = codec.merges.vocab, random.Random(7)
+    symbols = [s for s in BYTE_SYMBOLS if s in vocab]
+    words = ["a", "the", "internationalization", "ab" * 40, "0", symbols[0]]
+    words += ["".join(rng.choice("etaoinshr" if k % 3 else symbols) for _ in range(rng.randrange(1, 30))) for k in range(600)]
+    for w in words:
+        assert codec.stream.ids(w) == [vocab[t] for t in codec.stream.word(w)], w
+    assert codec.stream.rules and codec.stream.ids("x" * 4000) == [vocab[t] for t in codec.stream.word("x" * 4000)]
+    # a rule whose token has no id leaves the merges to the strings
+    few = MergeList({"model": {"vocab": {"a": 0, "b": 1, "c": 2, "bc": 3}, "merges": ["a b", "b c"]}})
+    assert Transducer(few).rules == {} and Transducer(few).ids("bca") == [3, 0]
+    more = MergeList({"model": {"vocab": {"a": 0, "b": 1, "c": 2, "bc": 3, "ab": 4}, "merges": ["b c", "a b"]}})
+    assert Transducer(more).ids("abcab") == [0, 3, 4]
