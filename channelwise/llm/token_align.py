@@ -44,14 +44,20 @@ BROADCAST_PAIRS = 1 << 21  # 13 bytes each
 CACHE_ENTRIES = 1 << 18
 LONG_UNIT = 64  # characters; longer units aren't kept
 STRETCH = 1 << 15  # characters of units encoded together
-UNEVEN_SPACE = re.compile(r"\s\s|\s$|[\0\x1c-\x1f]")
 MARK = re.compile(r"(?<=[^\W\d_\xb2\xb3\xb9\xbc-\xbe])(?=[.,;:!?])")  # behind a letter, which isn't a number
+MARKED = re.compile(r"[.,;:!?](?<=[^\W\d_\xb2\xb3\xb9\xbc-\xbe].)")  # such a mark: marks are looked for first
+SEPARATORS = "\0\x1c\x1d\x1e\x1f"
 SAFE_CUT = re.compile(rf"(?<=\S)(?=[ \n]\S)|{MARK.pattern}")
 JOINABLE = re.compile(r"(?:[ \n]\S|[.,;:!?])(?:.*\S)?", re.DOTALL)  # cuts before and behind such a unit are safe
 LINKS = 1 << 18  # links whose counts are looked up together
 NOTHING = (0, 0, b"", "")
 
 
+def even_space(text: str) -> bool:
+    """Whether only single white space characters stand in ``text``, none at its ends, and no separators."""
+    return len(" ".join(text.split())) == len(text) and not any(c in text for c in SEPARATORS)
+
+
 def byte_places(text: str) -> np.ndarray:
     """Byte offset of every character of ``text``, and of its end."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -183,9 +189,9 @@ class Aligner:
         """Units of a text, with the space that comes before it."""
         if not text or not self.cuttable:
             return [" " + text] if text else []
-        if text[0].isspace() or UNEVEN_SPACE.search(text):
+        if not even_space(text):
             return SAFE_CUT.split(" " + text)
-        return MARK.sub("\0", " " + text.replace(" ", "\0 ").replace("\n", "\0\n")).split("\0")
+        return MARKED.sub("\0\\g<0>", " " + text.replace(" ", "\0 ").replace("\n", "\0\n")).split("\0")
 
     def results(self, texts: list[str]) -> list[tuple]:
         """(n_a, n_groups, pairs as bytes, groups) of each text; the cache is asked once for all of them."""

@@ -95,3 +95,20 @@ def test_counting_gives_up_the_tokenizers(monkeypatch):
     assert [(r["row"], r["n_links"], r["n_best"], r["count_sum"], r["rest"]) for r in got] == [
         (5, 4, 2, 7, [7]), (6, 0, 0, 0, []), (7, 1, 1, 3, [])]
     assert list(common._STORE) == ["pair-counts"]
+
+
+def test_units_are_those_of_the_plain_rules():
+    import random
+    import re
+    rng = random.Random(3)
+    uneven = re.compile(r"\s\s|\s$|[\0\x1c-\x1f]")
+    alphabet = [*"aé1²½_,.;:!? ", " ", "\n", "\t", "\r", "\x0b", "\x85", "\xa0", " ", "　", "\0", "\x1c", "\x1f"]
+    both = token_align.aligner(A, B)
+    for k in range(20000):
+        text = "".join(rng.choice(alphabet[:16] if k % 2 else alphabet) for _ in range(rng.randrange(1, 12)))
+        even = not (text[0].isspace() or uneven.search(text))
+        assert token_align.even_space(text) == even, repr(text)
+        assert "".join(both.cut(text)) == " " + text
+        if even:
+            marked = token_align.MARK.sub("\0", " " + text.replace(" ", "\0 ").replace("\n", "\0\n"))
+            assert both.cut(text) == marked.split("\0"), repr(text)
