@@ -18,9 +18,9 @@ every kept pair what it gains over that. A context and its next token are themse
 behind every word there is a token; so what the words of a pair gain and what they leave as a context have one key and one
 sum. So a text is a bag of its runs of 1 to ``DEPTH`` + 1 tokens, and the model is one table (key, value) that grows
 with the corpus. ``TABLE_KEYS`` frequent keys are broadcast as sorted arrays, with a bitmap of ``BITMAP_WORDS`` words over
-all keys, both of fixed size; what they leave open meets the table in a join. A larger
-model only leaves more to the join. Each of ``SLICES`` slices of the keys is joined on its own, so that only one slice's
-shuffles are on disk.
+all keys, both of fixed size; what they leave open meets the table by ranges of the
+keys. A larger model only leaves more to that. Each of ``SLICES`` slices of the keys is looked up on its own, so that only one
+slice's shuffles are on disk. Counts, open keys and answers go through shuffles as arrays, one row for each range and block.
 
 Cases: null and empty texts are the end token alone; a null doc_id is never held out; rows of one doc_id are rows
 of their own; without training texts base_score is 0 for every token; extra columns are ignored; an empty table
@@ -34,7 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import (GOLDEN, MIX_1, batches_by_bytes, discard, materialize, mix64, most_frequent, release_shuffles, table,
@@ -46,7 +46,8 @@ MIN_GAIN = 10.0
 TABLE_KEYS = 1 << 20  # 16 bytes each
 BITMAP_WORDS = 1 << 22  # of 64 bits, for scoring
 LEARNING_WORDS = 1 << 18  # the same, for learning
-FLUSH = 1 << 21  # tokens whose counts a task sums up before it passes them on
+FLUSH = 1 << 21  # tokens whose counts a task sums up before it passes them on, or keys that it asks for at once
+BUCKET = 1 << 20  # tokens of the training texts for each bucket of a shuffle
 SLICES = 4  # of the keys, whose joins with the model run one after the other
 PART = 2 << 20  # bytes of text that are hashed at once, or one text
 FOLD = 7
@@ -193,6 +194,73 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
+# --- arrays in binary columns, so that a shuffle moves few rows ------------------------------------------------------
+
+
+def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """The range, of ``buckets`` equal ones, that each hash lies in."""
+    return (hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+
+
+def _changes(x: np.ndarray) -> np.ndarray:
+    """Whether each value differs from the one before; the first does."""
+    out = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=out[1:])
+    return out
+
+
+def _equal(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(an order in which equal values lie together, where each value begins there, how often it occurs)."""
+    order = np.argsort(x)
+    first = np.flatnonzero(_changes(x[order]))
+    return order, first, np.diff(np.append(first, len(x)))
+
+
+def _starts(groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(where each run of equal values begins, its value)."""
+    starts = np.flatnonzero(_changes(groups))
+    return starts, groups[starts]
+
+
+def _cut(x: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """The bytes of the pieces of ``x`` that begin at ``starts``."""
+    ends = np.append(starts, len(x)) * x.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(x))])
+
+
+def _steps(x: np.ndarray) -> bytes:
+    """Rising numbers as differences, which compress well."""
+    return np.diff(x, prepend=0).astype(np.int64).tobytes()
+
+
+def _cut_steps(x: np.ndarray, starts: np.ndarray) -> pa.Array:
+    return pa.array([_steps(piece) for piece in np.split(x, starts[1:])], pa.binary())
+
+
+def _whole(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    """All arrays of a binary column, one behind the other."""
+    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(x.as_buffer(), kind) for x in column)])
+
+
+def _whole_steps(column: pa.ChunkedArray) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *(np.cumsum(np.frombuffer(x.as_buffer(), np.int64)) for x in column)])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row, key) of columns row, keys: the rows of about FLUSH keys at once."""
+    held, size = [], 0
+    for b in batches:
+        lists = b.column("keys")
+        keys = np.asarray(lists.flatten()).view(np.uint64)
+        held.append((np.repeat(np.asarray(b.column("row")), np.asarray(lists.value_lengths())), keys))
+        size += len(keys)
+        if size >= FLUSH:
+            yield tuple(np.concatenate(c) for c in zip(*held))
+            held, size = [], 0
+    if size:
+        yield tuple(np.concatenate(c) for c in zip(*held))
+
+
 # --- learning -----------------------------------------------------------------------------------------------------
 
 
@@ -207,32 +275,79 @@ def unigrams(training: DataFrame) -> DataFrame:
     return training.select("text").mapInArrow(run, "token long, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
 
-def pairs(training: DataFrame, depth: int, likely: Bitmap, repeated: Bitmap) -> DataFrame:
-    """(c1 .. c``depth``, token, k) with k > 1: next tokens of the contexts c``depth`` that ``likely`` holds, with the shorter
-    contexts at the same place. ``repeated`` holds the tokens that occur more than once."""
-    shared = training.sparkSession.sparkContext.broadcast((likely, repeated))
-    names = [*(f"c{d}" for d in range(1, depth + 1)), "token"]
+def pairs(training: DataFrame, depth: int, candidates: DataFrame, total: int, min_count: int, bitmap_words: int,
+          bucket: int = BUCKET) -> DataFrame:
+    """Next tokens of the ``candidates`` (context, N) of ``depth`` words. Rows (c1 .. c``depth``, token, k) with k > 1, the shorter
+    contexts at the same place among them, and rows without a token that tell of a context, or of a part of it: k occurrences in
+    all, ``kinds`` of next tokens seen twice, ``once`` of others.
+
+    Counts go to the shuffle as arrays by ranges of the contexts' hashes, about ``bucket`` tokens each. A context of more
+    than half of that is dealt over several by its tokens; there are few of these, and all tasks know them."""
+    buckets = max(8, total // bucket)
+    wide = candidates.filter(F.col("N") > bucket // 2).toArrow()
+    parts = np.minimum(np.asarray(wide["N"]) // (bucket // 2) + 1, buckets).astype(np.uint64)
+    wide = Lookup(np.asarray(wide["context"]).astype(np.int64).view(np.uint64), parts)
+    shared = training.sparkSession.sparkContext.broadcast((bitmap(candidates, "context", bitmap_words), wide))
+    names = [f"c{d}" for d in range(1, depth + 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        candidates, tokens_twice = shared.value
+        likely, wide = shared.value
 
         def pick(tokens: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
             levels = contexts(tokens, place, depth)
             longest, there = levels[-1]
             at = np.flatnonzero(there)
-            at = at[candidates.holds(longest[at])]
-            at = at[tokens_twice.holds(tokens[at])]
+            at = at[likely.holds(longest[at])]
             return [*(context[at] for context, _ in levels), tokens[at]]
 
         for columns in _gathered(batches, pick):
-            _, first, k = np.unique(pair_key(*columns[-2:]), return_index=True, return_counts=True)
-            # rows of one context side by side take less room in a shuffle
-            order = np.argsort(columns[-2][first])
-            first, k = first[order], k[order]
-            yield pa.RecordBatch.from_arrays([*(_signed(c[first]) for c in columns), pa.array(k, pa.int64())], [*names, "k"])
-
-    schema = ", ".join(f"{n} long" for n in [*names, "k"])
-    return training.select("text").mapInArrow(run, schema).groupBy(*names).agg(F.sum("k").alias("k")).filter("k > 1")
+            if not len(columns[0]):
+                continue
+            key = pair_key(*columns[-2:])
+            at, first, k = _equal(key)
+            at = at[first]
+            to, (found, which) = bucket_of(columns[-2][at], buckets), wide.find(columns[-2][at])
+            to[found] = (to[found] + key[at[found]] % wide.values[0][which]) % np.uint64(buckets)
+            order = np.lexsort((columns[-2][at], to))
+            at, k, to = at[order], k[order], to[order]
+            *levels, token = (c[at] for c in columns)
+            # a context once in each bucket, with the number of its tokens
+            opens = np.flatnonzero(_changes(levels[-1]) | _changes(to))
+            sizes = np.diff(np.append(opens, len(to)))
+            starts, ids = _starts(to)
+            inner = np.searchsorted(opens, starts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids.astype(np.int32)), *(_cut(c[opens], inner) for c in levels), _cut(sizes.astype(np.uint32), inner),
+                 _cut(token, starts), _cut(k.astype(np.uint32), starts)], ["bucket", *names, "sizes", "token", "k"])
+
+    def merge(blobs: pa.Table) -> pa.Table:
+        likely, wide = shared.value
+        sizes = _whole(blobs["sizes"], np.uint32)
+        levels = [_whole(blobs[n], np.uint64) for n in names]
+        token, owner = _whole(blobs["token"], np.uint64), np.repeat(np.arange(len(sizes)), sizes)
+        at, first, _ = _equal(pair_key(levels[-1][owner], token))
+        k = np.add.reduceat(_whole(blobs["k"], np.uint32).astype(np.int64)[at], first)
+        at = at[first]
+        token, owner = token[at], owner[at]
+        # by context
+        order, opens, _ = _equal(levels[-1][owner])
+        token, owner, k = token[order], owner[order], k[order]
+        n, kinds = np.add.reduceat(k, opens), np.add.reduceat((k > 1).astype(np.int64), opens)
+        held = (n >= min_count) & (kinds > 0)
+        held[wide.find(levels[-1][owner[opens]])[0]] = True  # a part of a context, which others add to
+        own = owner[opens][held]
+        sizes = np.diff(np.append(opens, len(k)))
+        some = np.repeat(held, sizes) & (k > 1)
+        none = pa.nulls(int(some.sum()), pa.int64())
+        rows = [*(_signed(c[owner[some]]) for c in levels), _signed(token[some]), pa.array(k[some]), none, none]
+        of_contexts = [*(_signed(c[own]) for c in levels), pa.nulls(len(own), pa.int64()), pa.array(n[held]),
+                       pa.array(kinds[held]), pa.array((sizes - kinds)[held])]
+        out = [*names, "token", "k", "kinds", "once"]
+        return pa.concat_tables([pa.table(rows, out), pa.table(of_contexts, out)])
+
+    blobs = training.select("text").mapInArrow(
+        run, ", ".join(["bucket int", *(f"{n} binary" for n in [*names, "sizes", "token", "k"])]))
+    return blobs.groupBy("bucket").applyInArrow(merge, ", ".join(f"{n} long" for n in [*names, "token", "k", "kinds", "once"]))
 
 
 def _keyed(rows: DataFrame, columns: list[str], out: str) -> DataFrame:
@@ -271,7 +386,6 @@ def fit(docs: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT, min_gai
     single = _keyed(counts.select(F.lit(0).cast("long").alias("context"), "token", "c"), ["context", "token"], "key")
     model = [single.select("key", (F.log10(F.col("c") + 1) + F.lit(tree.unseen())).alias("value"), F.col("c").alias("n"))
              .withColumn("root", F.col("value"))]
-    repeated = bitmap(counts.filter("c > 1"), "token", bitmap_words)
     release_shuffles(training.sparkSession)
     # a word occurs as often as the context of one word; behind an end token comes nothing
     frequent = counts.select(F.lit(0).cast("long").alias("context"), "token", F.col("c").alias("k"))
@@ -281,41 +395,39 @@ def fit(docs: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT, min_gai
         candidates = materialize(_keyed(often.select("context", "token", F.col("k").alias("N")), ["context", "token"], "key")
                                  .select(F.col("key").alias("context"), "N"), "lm-candidates")
         discard(*done)
-        found = materialize(pairs(training, d, bitmap(candidates, "context", bitmap_words), repeated)
-                            .withColumnRenamed(f"c{d}", "context"), "lm-pairs")
+        found = materialize(pairs(training, d, candidates, total, min_count, bitmap_words).withColumnRenamed(f"c{d}", "context"),
+                            "lm-pairs")
+        discard(candidates)
         release_shuffles(training.sparkSession)
-        frequent = found.select("context", "token", "k")
+        twice_seen = found.filter("token is not null").drop("kinds", "once")
+        frequent = twice_seen.select("context", "token", "k")
+        sums = (found.filter("token is null").groupBy("context")
+                .agg(F.sum("k").alias("N"), F.sum("once").alias("once"), F.sum(F.col("once") + F.col("kinds")).alias("T"))
+                .filter(F.col("N") >= min_count))
         # the logarithm that the parent gives to each pair's token
-        known = found.join(candidates.hint("shuffle_hash"), "context").join(root.hint("shuffle_hash"), "token")
+        known = twice_seen.join(root.hint("shuffle_hash"), "token")
         for j in range(1, d):
             known = (known.join(states[j - 1].select(F.col("context").alias(f"c{j}"), "left_over").hint("shuffle_hash"), f"c{j}", "left")
                      .join(entries[j - 1].select(F.col("context").alias(f"c{j}"), "token", "gain").hint("shuffle_hash"), [f"c{j}", "token"],
                            "left")
                      .withColumn("parent", F.col("parent") + F.coalesce("left_over", F.lit(0.0)) + F.coalesce("gain", F.lit(0.0)))
-                     .drop("left_over", "gain"))
-        logs = known = materialize(known.select("context", "token", "k", "N", "parent"), "lm-known")
-        sums = (known.groupBy("context", "N").agg(F.sum("k").alias("pairs"), F.count("*").alias("kinds"))
-                .withColumn("once", F.col("N") - F.col("pairs"))
-                .withColumn("T", F.col("once") + F.col("kinds")))
-        sums = materialize(sums.select("context", "once", "T"), "lm-sums")
+                     .drop("left_over", "gain", f"c{j}"))
         known = known.join(sums.hint("shuffle_hash"), "context")
         # each occurrence predicted without itself, against the parent
         twice = F.col("k") * (F.log((F.col("k") - 2) / F.pow(F.lit(10.0), "parent") + F.col("T")) - F.log(F.col("N") - 1))
         once = F.col("once") * (F.log(F.greatest(F.col("T") - 1, F.lit(1))) - F.log(F.col("N") - 1))
-        states.append(materialize(
-            known.groupBy("context", "N", "once", "T").agg(F.sum(twice).alias("twice"))
-            .filter(F.col("twice") + once > min_gain)
-            .select("context", "N", F.log10(F.col("T") / F.col("N")).alias("left_over")), "lm-states"))
         share = F.log10((F.col("k") - 1) / F.col("N") + F.col("T") / F.col("N") * F.pow(F.lit(10.0), "parent"))
-        entries.append(materialize(
-            known.join(states[-1].select("context", "left_over").hint("shuffle_hash"), "context")
-            .select("context", "token", "k", (share - F.col("left_over") - F.col("parent")).alias("gain")), "lm-entries"))
-        discard(logs, sums, candidates)
+        kept = materialize(
+            known.withColumn("twice", F.sum(twice).over(Window.partitionBy("context"))).filter(F.col("twice") + once > min_gain)
+            .withColumn("left_over", F.log10(F.col("T") / F.col("N")))
+            .select("context", "token", "k", "N", "left_over", (share - F.col("left_over") - F.col("parent")).alias("gain")), "lm-entries")
+        states.append(materialize(kept.groupBy("context").agg(F.max("N").alias("N"), F.max("left_over").alias("left_over")), "lm-states"))
+        entries.append(kept)
         release_shuffles(training.sparkSession)
         done = [found]
         no_root = F.lit(None).cast("double").alias("root")
         model.append(states[-1].select(F.col("context").alias("key"), F.col("left_over").alias("value"), F.col("N").alias("n"), no_root))
-        model.append(_keyed(entries[-1], ["context", "token"], "key")
+        model.append(_keyed(entries[-1].select("context", "token", "k", "gain"), ["context", "token"], "key")
                      .select("key", F.col("gain").alias("value"), F.col("k").alias("n"), no_root))
     longest = model.pop() if depth else None  # no context has the key of the longest runs
     keys = model[0]
@@ -331,6 +443,67 @@ def fit(docs: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT, min_gai
 # --- scoring ------------------------------------------------------------------------------------------------------
 
 
+def answered(asked: DataFrame, model: DataFrame, unseen: float, buckets: int) -> DataFrame:
+    """(row, known, base, all): what the keys of each row of ``asked`` (row, keys) add to its sums. Keys meet the model, and sums go
+    back to the block of rows that asked, as arrays."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, keys in _blocks(batches):
+            to = bucket_of(keys, buckets)
+            order = np.argsort(to.astype(np.uint16) if buckets < 1 << 16 else to, kind="stable")
+            row, keys, to = row[order], keys[order], to[order]
+            starts, ids = _starts(to)
+            opens = np.flatnonzero(_changes(row) | _changes(to))
+            inner = np.searchsorted(opens, starts)
+            sizes = np.diff(np.append(opens, len(to))).astype(np.uint32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids.astype(np.int32)), pa.array(np.full(len(ids), row.min())), _cut_steps(row[opens], inner), _cut(sizes, inner),
+                 _cut(keys, starts)], ["bucket", "block", "row", "sizes", "keys"])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            keys = np.asarray(b.column("key")).view(np.uint64)
+            value, root = (np.asarray(b.column(c).fill_null(np.nan)) for c in ("value", "root"))
+            to = bucket_of(keys, buckets)
+            order = np.argsort(to, kind="stable")
+            starts, ids = _starts(to[order])
+            yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int32)), *(_cut(x[order], starts) for x in (keys, value, root))],
+                                             ["bucket", "key", "value", "root"])
+
+    def meet(asked: pa.Table, model: pa.Table) -> pa.Table:
+        value, root = _whole(model["value"], np.float64), _whole(model["root"], np.float64)
+        held = Lookup(_whole(model["key"], np.uint64), np.where(np.isnan(root), value, value - unseen), root - unseen)
+        out = []
+        for b in asked.select(["block", "row", "sizes", "keys"]).to_pylist():
+            row, sizes = np.cumsum(np.frombuffer(b["row"], np.int64)), np.frombuffer(b["sizes"], np.uint32)
+            found, at = held.find(np.frombuffer(b["keys"], np.uint64))
+            owner = np.repeat(np.arange(len(row)), sizes)[found]
+            hit = np.flatnonzero(np.bincount(owner, minlength=len(row)))
+            single = np.flatnonzero(~np.isnan(held.values[1][at]))
+            known = np.bincount(owner[single], minlength=len(row))
+            base = np.bincount(owner[single], held.values[1][at[single]], len(row))
+            some = np.flatnonzero(known)
+            out.append((b["block"], _steps(row[hit]), np.bincount(owner, held.values[0][at], len(row))[hit].tobytes(),
+                        _steps(row[some]), known[some].astype(np.uint32).tobytes(), base[some].tobytes()))
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 6, [pa.int64(), *[pa.binary()] * 5])],
+                        ["block", "row", "all", "single", "known", "base"])
+
+    def add(answers: pa.Table) -> pa.Table:
+        rows, all_ = _whole_steps(answers["row"]), _whole(answers["all"], np.float64)
+        ids, at = np.unique(rows, return_inverse=True)
+        single = np.searchsorted(ids, _whole_steps(answers["single"]))
+        return pa.table([pa.array(ids), pa.array(np.bincount(single, _whole(answers["known"], np.uint32), len(ids)).astype(np.int64)),
+                         pa.array(np.bincount(single, _whole(answers["base"], np.float64), len(ids)).astype(float)),
+                         pa.array(np.bincount(at, all_, len(ids)).astype(float))], ["row", "known", "base", "all"])
+
+    blobs = asked.mapInArrow(ask, "bucket int, block long, row binary, sizes binary, keys binary").groupBy("bucket")
+    dealt = model.select("key", "value", "root").mapInArrow(deal, "bucket int, key binary, value binary, root binary").groupBy("bucket")
+    met = blobs.cogroup(dealt).applyInArrow(meet, "block long, row binary, all binary, single binary, known binary, base binary")
+    return met.groupBy("block").applyInArrow(add, "row long, known long, base double, all double")
+
+
 def score(docs: DataFrame, tree: Tree, depth: int = DEPTH, table_keys: int = TABLE_KEYS,
           bitmap_words: int = BITMAP_WORDS, slices: int = SLICES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of ``prepared``."""
@@ -386,13 +559,10 @@ def score(docs: DataFrame, tree: Tree, depth: int = DEPTH, table_keys: int = TAB
     rows = materialize(docs.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "lm-scores")
     answers = None
     for s in range(slices):
-        asked = rows.select("row", F.explode(f"open_{s}").alias("key"))
         # the remainder of the unsigned key
         own = F.pmod(F.pmod("key", F.lit(slices)) + F.when(F.col("key") < 0, F.lit((1 << 64) % slices)).otherwise(0), F.lit(slices)) == s
-        part = materialize(asked.join(tree.keys.filter(own).select("key", "value", "root").hint("shuffle_hash"), "key").groupBy("row")
-                           .agg(F.count("root").alias("known"), F.sum(F.col("root") - F.lit(unseen)).alias("base"),
-                                F.sum(F.when(F.col("root").isNull(), F.col("value")).otherwise(F.col("value") - F.lit(unseen))).alias("all")),
-                           "lm-answers")
+        part = materialize(answered(rows.select("row", F.col(f"open_{s}").alias("keys")), tree.keys.filter(own), unseen,
+                                    max(8, tree.total // BUCKET // slices)), "lm-answers")
         release_shuffles(spark)
         answers = part if answers is None else answers.unionByName(part)
     answers = answers.groupBy("row").agg(*(F.sum(c).alias(c) for c in ("known", "base", "all")))

@@ -145,3 +145,44 @@ def test_a_token_asks_for_one_key_of_each_length(spark, documents, monkeypatch):
     for r in rows.collect():  # single tokens, pairs and triples
         assert sum(len(r[c]) for c in asked) <= 3 * r.n_tokens
     assert tree.keys.count() == tree.keys.select("key").distinct().count()
+
+
+@pytest.mark.parametrize("bucket", [1 << 20, 20])
+def test_pairs_of_contexts_dealt_over_buckets(spark, documents, bucket):
+    texts = corpus()
+    training = suffix_tree.prepared(documents(texts)).filter("not held_out")
+    follow = {}
+    for i, t in enumerate(texts):
+        if not is_held_out(i):
+            for context, token in zip(words(t), words(t)[1:]):
+                follow.setdefault(context, Counter())[token] += 1
+    want = sorted((sum(c.values()), sum(k == 1 for k in c.values()), sorted(k for k in c.values() if k > 1))
+                  for c in follow.values() if sum(c.values()) >= 8 and max(c.values()) > 1)
+    counts = suffix_tree.unigrams(training)
+    total = counts.agg({"c": "sum"}).first()[0]
+    often = counts.filter((counts.c >= 8) & (counts.token != suffix_tree.END_VALUE)).selectExpr("0L AS zero", "token", "c AS N")
+    candidates = suffix_tree._keyed(often, ["zero", "token"], "context").select("context", "N")
+    got = {}
+    for r in suffix_tree.pairs(training, 1, candidates, total, 8, 1 << 12, bucket).collect():
+        c = got.setdefault(r.c1, [0, 0, 0, []])
+        if r.token is None:  # of a context, or a part of it
+            c[0], c[1], c[2] = c[0] + r.k, c[1] + r.once, c[2] + r.kinds
+        else:
+            c[3].append(r.k)
+    assert sorted((n, once, sorted(k)) for n, once, _, k in got.values() if k) == want
+    assert all(kinds == len(k) for _, _, kinds, k in got.values())
+
+
+def test_no_row_for_each_pair_or_key_goes_through_a_shuffle(spark, documents, monkeypatch):
+    tokens, plans, write = suffix_tree.prepared(documents(corpus()[:60])), {}, suffix_tree.materialize
+
+    def materialize(df, name):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(suffix_tree, "materialize", materialize)
+    suffix_tree.score(tokens, suffix_tree.fit(tokens, 1, 8, 2.0, 1 << 12), 1, 0, 1 << 12, 1)
+    for plan in plans["lm-pairs"] + plans["lm-answers"]:
+        dealt = [line.split("hashpartitioning(")[1] for line in plan.splitlines() if "hashpartitioning(" in line]
+        assert dealt and all(x.startswith(("bucket#", "block#")) for x in dealt)
+        assert "explode" not in plan
