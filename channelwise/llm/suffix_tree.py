@@ -49,7 +49,7 @@ LEARNING_WORDS = 1 << 18  # the same, for learning
 FLUSH = 1 << 21  # tokens whose counts a task sums up before it passes them on, or keys that it asks for at once
 BUCKET = 1 << 20  # tokens of the training texts for each bucket of a shuffle
 SLICES = 4  # of the keys, whose joins with the model run one after the other
-PART = 2 << 20  # bytes of text that are hashed at once, or one text
+PART = 1 << 19  # bytes of text that are hashed at once, or one text
 FOLD = 7
 
 
@@ -69,6 +69,7 @@ def prepared(docs: DataFrame) -> DataFrame:
 BYTE_VALUES = mix64(np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint64) * GOLDEN + MIX_1)
 END = np.uint64(0x5DEECE66D5DEECE6)
 END_VALUE = int(END.astype(np.int64))
+HIGH = np.uint64(0xFFFFFFFF00000000)
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -135,7 +136,8 @@ class Bitmap:
     words: np.ndarray
 
     def holds(self, keys: np.ndarray) -> np.ndarray:
-        at = (keys >> np.uint64(6)) % np.uint64(len(self.words))
+        n, at = len(self.words), keys >> np.uint64(6)
+        at = at % np.uint64(n) if n & n - 1 else at & np.uint64(n - 1)  # a division takes longer
         return (self.words[at] >> (keys & np.uint64(63))) & np.uint64(1) == 1
 
 
@@ -209,11 +211,10 @@ def _changes(x: np.ndarray) -> np.ndarray:
     return out
 
 
-def _equal(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(an order in which equal values lie together, where each value begins there, how often it occurs)."""
+def _equal(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(an order in which equal values lie together, where each value begins there)."""
     order = np.argsort(x)
-    first = np.flatnonzero(_changes(x[order]))
-    return order, first, np.diff(np.append(first, len(x)))
+    return order, np.flatnonzero(_changes(x[order]))
 
 
 def _starts(groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -303,16 +304,20 @@ def pairs(training: DataFrame, depth: int, candidates: DataFrame, total: int, mi
         for columns in _gathered(batches, pick):
             if not len(columns[0]):
                 continue
-            key = pair_key(*columns[-2:])
-            at, first, k = _equal(key)
-            at = at[first]
-            to, (found, which) = bucket_of(columns[-2][at], buckets), wide.find(columns[-2][at])
-            to[found] = (to[found] + key[at[found]] % wide.values[0][which]) % np.uint64(buckets)
-            order = np.lexsort((columns[-2][at], to))
-            at, k, to = at[order], k[order], to[order]
-            *levels, token = (c[at] for c in columns)
+            # one order for contexts, and so buckets, and their tokens. Halves of hashes may be equal by chance: then a pair
+            # may come twice, which ``merge`` puts right
+            order = np.argsort(columns[-2] & HIGH | columns[-1] >> np.uint64(32))
+            longest, token = columns[-2][order], columns[-1][order]
+            first = np.flatnonzero(_changes(longest) | _changes(token))
+            k, at, longest, token = np.diff(np.append(first, len(order))), order[first], longest[first], token[first]
+            to, (found, which) = bucket_of(longest, buckets), wide.find(longest)
+            if len(found):
+                to[found] = (to[found] + pair_key(longest[found], token[found]) % wide.values[0][which]) % np.uint64(buckets)
+                order = np.argsort(to, kind="stable")
+                at, k, to, longest, token = at[order], k[order], to[order], longest[order], token[order]
+            levels = [*(c[at] for c in columns[:-2]), longest]
             # a context once in each bucket, with the number of its tokens
-            opens = np.flatnonzero(_changes(levels[-1]) | _changes(to))
+            opens = np.flatnonzero(_changes(longest) | _changes(to))
             sizes = np.diff(np.append(opens, len(to)))
             starts, ids = _starts(to)
             inner = np.searchsorted(opens, starts)
@@ -325,19 +330,16 @@ def pairs(training: DataFrame, depth: int, candidates: DataFrame, total: int, mi
         sizes = _whole(blobs["sizes"], np.uint32)
         levels = [_whole(blobs[n], np.uint64) for n in names]
         token, owner = _whole(blobs["token"], np.uint64), np.repeat(np.arange(len(sizes)), sizes)
-        at, first, _ = _equal(pair_key(levels[-1][owner], token))
-        k = np.add.reduceat(_whole(blobs["k"], np.uint32).astype(np.int64)[at], first)
-        at = at[first]
-        token, owner = token[at], owner[at]
-        # by context
-        order, opens, _ = _equal(levels[-1][owner])
-        token, owner, k = token[order], owner[order], k[order]
-        n, kinds = np.add.reduceat(k, opens), np.add.reduceat((k > 1).astype(np.int64), opens)
+        order, first = _equal(pair_key(levels[-1][owner], token))
+        k = np.add.reduceat(_whole(blobs["k"], np.uint32).astype(np.int64)[order], first)
+        token, owner = token[order[first]], owner[order[first]]
+        _, own, ids = np.unique(levels[-1], return_index=True, return_inverse=True)
+        of = ids[owner]
+        n, sizes = np.bincount(of, k, len(own)).astype(np.int64), np.bincount(of, minlength=len(own))
+        kinds = np.bincount(of[k > 1], minlength=len(own))
         held = (n >= min_count) & (kinds > 0)
-        held[wide.find(levels[-1][owner[opens]])[0]] = True  # a part of a context, which others add to
-        own = owner[opens][held]
-        sizes = np.diff(np.append(opens, len(k)))
-        some = np.repeat(held, sizes) & (k > 1)
+        held[wide.find(levels[-1][own])[0]] = True  # a part of a context, which others add to
+        own, some = own[held], held[of] & (k > 1)
         none = pa.nulls(int(some.sum()), pa.int64())
         rows = [*(_signed(c[owner[some]]) for c in levels), _signed(token[some]), pa.array(k[some]), none, none]
         of_contexts = [*(_signed(c[own]) for c in levels), pa.nulls(len(own), pa.int64()), pa.array(n[held]),
